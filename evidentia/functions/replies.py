@@ -37,10 +37,7 @@ from evidentia.schema import (ANSWER_MARKER, FIELD_COLUMNS, INCLUDE, INCLUDE_MAR
 
 # A line belongs to question n when it starts with "**n." (bold) or "n." (plain),
 # n in 1..12; "10." never reads as "1." and "1.5" reads as question 1.
-_NUM = r"(1[0-2]|[1-9])\."
-BOLD_NUM_RE = r"^\*\*" + _NUM
-PLAIN_NUM_RE = r"^" + _NUM
-ANY_NUM_RE = r"^(?:\*\*)?" + _NUM
+ANY_NUM_RE = r"^(?:\*\*)?(1[0-2]|[1-9])\."
 STARTER_RE = "^(?:" + "|".join(re.escape(s) for s in QUESTION_STARTERS) + ")"
 
 LOOK_AHEAD = 4
@@ -78,11 +75,11 @@ def screening_decision(lines) -> Column:
                     last_value(REASON_MARKER).alias("reason"))
 
 
-def _first_ahead(lines: Column, i: Column, hit, depth: int = LOOK_AHEAD) -> Column:
-    """Offset k (1..depth) of the first line after line i for which ``hit`` holds."""
+def _first_ahead(facts: Column, i: Column, hit, depth: int = LOOK_AHEAD) -> Column:
+    """Offset k (1..depth) of the first line after line i whose facts satisfy ``hit``."""
     expr = None
     for k in range(depth, 0, -1):
-        cond = hit(F.get(lines, i + k))
+        cond = hit(F.get(facts, i + k))
         expr = F.when(cond, F.lit(k)) if expr is None else F.when(cond, F.lit(k)).otherwise(expr)
     return expr
 
@@ -91,54 +88,72 @@ def _marker_value(line: Column, marker: str) -> Column:
     return F.when(starts_with(line, marker), py_strip(replace_all(line, marker)))
 
 
-def line_candidate(lines: Column, x: Column, i: Column) -> Column:
-    """What the four layouts would write for line ``x`` (index ``i`` in ``lines``)."""
-    bold_n = F.regexp_extract(x, BOLD_NUM_RE, 1)
-    plain_n = F.regexp_extract(x, PLAIN_NUM_RE, 1)
-    is_bold = bold_n != F.lit("")
-    is_plain = plain_n != F.lit("")
-    n = F.when(is_bold, bold_n).when(is_plain, plain_n).cast("int")
-    has_colon = contains(x, ":")
-
-    # form 1: **n. Field**: answer  (+ first **Source**: in the next 4 lines,
-    # stopping at the next **m. line)
-    a1 = py_strip(replace_all(py_strip(after_first(x, ":")), "**"))
-    f1 = is_bold & has_colon & ~is_question_echo(a1, strict=True) & (F.length(a1) > 3)
-    k1 = _first_ahead(lines, i, lambda y: starts_with(y, SOURCE_MARKER) | y.rlike(BOLD_NUM_RE))
-    s1 = _marker_value(F.get(lines, i + k1), SOURCE_MARKER)
-
-    # form 2: n. **Field**: answer  (no filter, no evidence)
-    f2 = is_plain & contains(x, "**:")
-    a2 = py_strip(after_first(x, "**:"))
-
-    # form 3: n. Field: answer  (+ evidence on the very next line)
-    a3 = py_strip(replace_all(replace_all(py_strip(after_first(x, ":")), "**"), "*"))
-    f3 = (is_plain & has_colon & (a3 != F.lit("")) & ~is_question_echo(a3, strict=False)
-          & (F.length(a3) > 3))
-    nxt = F.get(lines, i + 1)
+def line_facts(x: Column) -> Column:
+    """Per-line facts, computed once per line (one regex); look-aheads read these."""
+    num = F.regexp_extract(x, ANY_NUM_RE, 1)
+    n = F.when(num != F.lit(""), num.cast("int"))
+    after_colon = py_strip(after_first(x, ":"))
+    return F.struct(
+        x.alias("line"),
+        n.alias("n"),
+        (n.isNotNull() & starts_with(x, "**")).alias("bold"),
+        contains(x, ":").alias("colon"),
+        contains(x, "**").alias("stars"),
+        _marker_value(x, SOURCE_MARKER).alias("src"),
+        _marker_value(x, ANSWER_MARKER).alias("ans"),
+        # form 1: after the first ':', '**' removed; form 3: every '*' removed
+        py_strip(replace_all(after_colon, "**")).alias("a1"),
+        py_strip(replace_all(after_colon, "*")).alias("a3"),
+        # form 2: after the first '**:'
+        py_strip(after_first(x, "**:")).alias("a2"),
+    )
+
+
+def line_candidate(facts: Column, f: Column, i: Column) -> Column:
+    """What the four layouts would write for line ``f`` (index ``i`` in ``facts``)."""
+    bold = f["bold"]
+    plain = f["n"].isNotNull() & ~bold
+
+    # form 1: first **Source**: within the next 4 lines, stop at the next **m.
+    f1 = bold & f["colon"] & ~is_question_echo(f["a1"], strict=True) & (F.length(f["a1"]) > 3)
+    k1 = _first_ahead(facts, i, lambda y: y["src"].isNotNull() | y["bold"])
+    s1 = F.get(facts, i + k1)["src"]
+
+    # form 2: no filter, no evidence
+    f2 = plain & contains(f["line"], "**:")
+
+    # form 3: evidence on the very next line if it mentions 'source' and has ':'
+    f3 = (plain & f["colon"] & (f["a3"] != F.lit("")) & ~is_question_echo(f["a3"], strict=False)
+          & (F.length(f["a3"]) > 3))
+    nxt = F.get(facts, i + 1)["line"]
     s3 = F.when(contains(F.lower(nxt), "source") & contains(nxt, ":"),
                 py_strip(after_first(nxt, ":")))
 
-    # form 4: question line, then **Answer**: within the next 4 lines (stop at
-    # any numbered line), evidence on the line right after the answer
-    k4 = _first_ahead(lines, i, lambda y: starts_with(y, ANSWER_MARKER) | y.rlike(ANY_NUM_RE))
-    a4 = _marker_value(F.get(lines, i + k4), ANSWER_MARKER)
-    f4 = (is_bold | is_plain) & contains(x, "**") & (F.length(a4) > 3)
-    s4 = _marker_value(F.get(lines, i + k4 + 1), SOURCE_MARKER)
+    # form 4: **Answer**: within the next 4 lines (stop at any numbered line),
+    # evidence on the line right after the answer
+    k4 = _first_ahead(facts, i, lambda y: y["ans"].isNotNull() | y["n"].isNotNull())
+    a4 = F.get(facts, i + k4)["ans"]
+    f4 = f["stars"] & (F.length(a4) > 3)
+    s4 = F.get(facts, i + k4 + 1)["src"]
 
     return F.struct(
-        n.alias("n"),
-        F.coalesce(f1, F.lit(False)).alias("f1"), a1.alias("a1"), s1.alias("s1"),
-        F.coalesce(f2, F.lit(False)).alias("f2"), a2.alias("a2"),
-        F.coalesce(f3, F.lit(False)).alias("f3"), a3.alias("a3"), s3.alias("s3"),
+        f["n"].alias("n"),
+        F.coalesce(f1, F.lit(False)).alias("f1"), f["a1"].alias("a1"), s1.alias("s1"),
+        F.coalesce(f2, F.lit(False)).alias("f2"), f["a2"].alias("a2"),
+        F.coalesce(f3, F.lit(False)).alias("f3"), f["a3"].alias("a3"), s3.alias("s3"),
         F.coalesce(f4, F.lit(False)).alias("f4"), a4.alias("a4"), s4.alias("s4"),
     )
 
 
-def line_candidates(lines) -> Column:
-    """array<candidate> for every line of a reply (computed once per reply)."""
-    lines = col(lines)
-    return F.filter(F.transform(lines, lambda x, i: line_candidate(lines, x, i)),
+def reply_facts(lines) -> Column:
+    """array<facts> for every line of a reply."""
+    return F.transform(col(lines), line_facts)
+
+
+def line_candidates(facts) -> Column:
+    """array<candidate> for the numbered lines of a reply (built once per reply)."""
+    facts = col(facts)
+    return F.filter(F.transform(facts, lambda f, i: line_candidate(facts, f, i)),
                     lambda c: c["n"].isNotNull())
 
 
@@ -202,7 +217,7 @@ def answer_columns(folds: dict, short: Column, screening: Column) -> list:
 
 
 __all__ = [
-    "response_lines", "is_question_echo", "screening_decision", "line_candidate",
-    "line_candidates", "merge_answers", "is_short_response", "count_extracted",
+    "response_lines", "is_question_echo", "screening_decision", "line_facts", "reply_facts",
+    "line_candidate", "line_candidates", "merge_answers", "is_short_response", "count_extracted",
     "response_audit", "answer_columns", "TITLE",
 ]

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.functions.replies import (answer_columns, count_extracted, is_short_response,
-                                         line_candidates, merge_answers, response_audit,
-                                         response_lines, screening_decision)
+                                         line_candidates, merge_answers, reply_facts,
+                                         response_audit, response_lines, screening_decision)
 from evidentia.functions.strings import col
 from evidentia.schema import (CSV_COLUMNS, NOT_SPECIFIED, QUESTION_COLUMNS, QUESTIONS, TITLE,
                               source_column)
@@ -17,26 +17,47 @@ def _keep(keep) -> list:
     return [keep] if isinstance(keep, str) else list(keep or [])
 
 
+_BUILT: dict = {}
+
+
+def _once(name: str, build):
+    """Build a Column list once per JVM: the parser is a few thousand expression
+    nodes and re-creating them through py4j costs seconds per query."""
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    key = (name, id(sc._gateway) if sc is not None else None)
+    if key not in _BUILT:
+        _BUILT[key] = build()
+    return _BUILT[key]
+
+
+def _parser_stages():
+    facts = [is_short_response("_response").alias("_short"),
+             screening_decision("_lines").alias("_screen"),
+             reply_facts("_lines").alias("_facts")]
+    cands = [line_candidates("_facts").alias("_cands")]
+    folds = [merge_answers("_cands", n).alias(f"_q{n}") for n in QUESTIONS]
+    final = answer_columns({n: F.col(f"_q{n}") for n in QUESTIONS},
+                           F.col("_short"), F.col("_screen"))
+    return facts, cands, folds, final
+
+
 def coded_rows(df: DataFrame, response="response", title=TITLE, keep=("doc_id",)) -> DataFrame:
     """Parse replies into the 27-column coded row (plus the ``keep`` columns).
 
-    Three stacked projections so the candidate array is built once per reply
-    and shared by the 12 question folds (Catalyst does not collapse a project
-    whose expensive outputs are used more than once).
+    Stacked projections: lines -> per-line facts -> candidates -> 12 folds ->
+    columns. Each array is built once per reply and shared by the next stage
+    (Catalyst does not collapse a project whose expensive outputs are used
+    more than once). All narrow: no shuffle.
     """
     keep = _keep(keep)
-    title_c = col(title).alias(TITLE)
-    lines = df.select(*keep, title_c, col(response).alias("_response"),
+    facts, cands, folds, final = _once("parser", _parser_stages)
+    lines = df.select(*keep, col(title).alias(TITLE), col(response).alias("_response"),
                       response_lines(col(response)).alias("_lines"))
-    cands = lines.select(*keep, TITLE,
-                         is_short_response("_response").alias("_short"),
-                         screening_decision("_lines").alias("_screen"),
-                         line_candidates("_lines").alias("_cands"))
-    folds = cands.select(*keep, TITLE, "_short", "_screen",
-                         *[merge_answers("_cands", n).alias(f"_q{n}") for n in QUESTIONS])
-    return folds.select(*keep, F.col(TITLE),
-                        *answer_columns({n: F.col(f"_q{n}") for n in QUESTIONS},
-                                        F.col("_short"), F.col("_screen")))
+    s1 = lines.select(*keep, TITLE, *facts)
+    s2 = s1.select(*keep, TITLE, "_short", "_screen", *cands)
+    s3 = s2.select(*keep, TITLE, "_short", "_screen", *folds)
+    return s3.select(*keep, F.col(TITLE), *final)
 
 
 def answers_long(coded: DataFrame, keep=("doc_id",)) -> DataFrame:

@@ -48,16 +48,24 @@ def code_documents(docs: DataFrame, responses: DataFrame, text="text", file_name
 
     ``responses`` holds ``(key, response, error)``; ``error`` set means the
     model call failed for that paper only (failed row, Include 'N').
+
+    Plan: the replies are parsed where they are (narrow, at input
+    parallelism) and only then joined to the projected papers, so the join
+    moves short coded strings and never the paper text; the CPU-bound parse
+    never runs behind a shuffle that adaptive execution may coalesce. Papers
+    routed away from coding get the failure values in the final projection.
     """
     papers = routed_papers(docs, text, file_name, key)
-    joined = attach_responses(papers, responses, key)
-    # only papers routed to coding keep their reply; the rest parse nothing
-    joined = joined.withColumn("response", F.when(F.col("route") == ROUTE_CODE, F.col("response")))
-    coded = coded_rows(joined, response="response", title=TITLE, keep=(key, "route", "error"))
+    replies = responses.select(key, "response", "error", F.lit(True).alias("_has_reply"))
+    parsed = coded_rows(replies, response="response", title=F.lit(None).cast("string"),
+                        keep=(key, "error", "_has_reply"))
+    joined = papers.join(parsed.drop(TITLE), key, "left")
 
-    failed = (F.col("route") != ROUTE_CODE) | F.col("error").isNotNull()
-    reason = (F.when(F.col("route") == ROUTE_NO_TEXT, F.lit(REASON_NO_TEXT))
-               .when(F.col("route") == ROUTE_MANUAL, F.lit(REASON_MANUAL_REVIEW))
+    route_c = F.col("route")
+    error = F.when(F.col("_has_reply").isNull(), F.lit(NO_REPLY_ERROR)).otherwise(F.col("error"))
+    failed = (route_c != ROUTE_CODE) | error.isNotNull()
+    reason = (F.when(route_c == ROUTE_NO_TEXT, F.lit(REASON_NO_TEXT))
+               .when(route_c == ROUTE_MANUAL, F.lit(REASON_MANUAL_REVIEW))
                .otherwise(F.lit(PROCESSING_FAILED)))
     out = [F.col(TITLE)]
     out.append(F.when(failed, F.lit(FAILED_INCLUDE)).otherwise(F.col(f"`{INCLUDE}`")).alias(INCLUDE))
@@ -65,6 +73,6 @@ def code_documents(docs: DataFrame, responses: DataFrame, text="text", file_name
                 .alias(EXCLUSION_REASON))
     out += [F.when(failed, F.lit(PROCESSING_FAILED)).otherwise(F.col(f"`{c}`")).alias(c)
             for c in FIELD_COLUMNS]
-    result = coded.select(key, *out)
+    result = joined.select(key, *out)
     assert result.columns[1:] == CSV_COLUMNS
     return result

@@ -14,7 +14,7 @@ from evidentia.plans.registry import register, table
 
 @register("coded_rows", oracles.parse_sql(oracles.generated_replies_src()))
 def q_coded_rows(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread_on="doc_id")
     replies = docs.selectExpr("doc_id", "'Paper ' || CAST(doc_id AS STRING) AS title",
                               f"{fixtures.RESPONSE_EXPR} AS response")
     return coded_rows(replies, response="response", title="title", keep=("doc_id",))
@@ -25,6 +25,5 @@ def q_coded_rows(spark, sf_dir):
 
 @register("code_documents", oracles.code_documents_sql())
 def q_code_documents(spark, sf_dir):
-    docs = fixtures.named_documents(table(spark, sf_dir, "documents"))
-    replies = fixtures.responses(table(spark, sf_dir, "documents"))
-    return code_documents(docs, replies)
+    src = table(spark, sf_dir, "documents", spread_on="doc_id")
+    return code_documents(fixtures.named_documents(src), fixtures.responses(src))
