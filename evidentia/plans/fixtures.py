@@ -156,3 +156,25 @@ def responses(documents):
 def named_documents(documents):
     """``(doc_id, file_name, text)`` for every document."""
     return documents.selectExpr("doc_id", f"{FILE_NAME_EXPR} AS file_name", "text")
+
+
+# ---------------------------------------------------------------- pages
+# Three extraction modes of a web page: a short plain text (two title words),
+# a layout text (first word of the heading) and the raw html.
+PAGE_TITLE = "regexp_extract(html, '<title>(.*?)</title>', 1)"
+PAGE_H1 = "regexp_extract(html, '<h1>(.*?)</h1>', 1)"
+PAGE_TEXT_EXPR = f"split_part({PAGE_TITLE}, ' ', 1) || ' ' || split_part({PAGE_TITLE}, ' ', 2)"
+PAGE_LAYOUT_EXPR = f"split_part({PAGE_H1}, ' ', 1)"
+
+# Conversation turns stand for the pages of a paper (conv_id = paper,
+# turn = page); the role decides which extraction method produced the page,
+# and short user turns count as an empty extraction.
+CAND_METHOD_EXPR = ("CASE role WHEN 'system' THEN 'text_layer' WHEN 'user' THEN 'layout' "
+                    "ELSE 'ocr' END")
+CAND_TEXT_EXPR = "CASE WHEN role = 'user' AND length(text) <= 150 THEN '' ELSE text END"
+
+# Metadata of a paper no method could read.
+PH_IS_PDF = "lang <> 'de'"
+PH_TITLE = "CASE WHEN lang = 'en' THEN split_part(text, ' ', 2) END"
+PH_AUTHOR = "CASE WHEN doc_id % 3 = 0 THEN source END"
+PH_PAGES = "CAST(floor(n_chars / 3000) AS BIGINT)"

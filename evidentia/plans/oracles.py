@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from evidentia.plans import fixtures
 from evidentia.schema import (ANSWER_MARKER, CSV_COLUMNS, EXCLUSION_REASON, FAILED_INCLUDE,
+                              PLACEHOLDER_NOTE,
                               FIELD_COLUMNS, INCLUDE, INCLUDE_MARKER, NOT_SPECIFIED,
                               PLACEHOLDER_PHRASE, PROCESSING_FAILED, PY_WHITESPACE,
                               QUESTION_COLUMNS, QUESTION_STARTERS, QUESTIONS, REASON_MANUAL_REVIEW,
@@ -197,3 +198,107 @@ def code_documents_sql() -> str:
 
 
 assert len(CSV_COLUMNS) == 27
+
+
+# ---------------------------------------------------------------- text preparation
+
+def stem_sql(fn: str) -> str:
+    return f"regexp_replace(regexp_extract({fn}, '[^/]*$', 0), '(?s)^(.+)\\.[^.]+$', '\\1')"
+
+
+def assembled_sql(order: str, text: str) -> str:
+    agg = (f"string_agg({text}, chr(10) ORDER BY {order}) "
+           f"FILTER (WHERE {text} IS NOT NULL AND {text} <> '')")
+    return f"coalesce({strip(agg)}, '')"
+
+
+NORMALIZE_TEXT = """
+SELECT doc_id,
+       CAST(length(text) + len(list_filter(list_zip(string_split(text, ''),
+            string_split(strip_accents(text), '')), lambda p: p[1] <> p[2])) AS BIGINT) AS nfkd_chars,
+       md5(strip_accents(text)) AS base_md5
+FROM documents"""
+
+STRIP_MARKUP = """
+SELECT page_id, md5(regexp_replace(html, '<[^<]+?>', '', 'g')) AS text_md5,
+       CAST(length(regexp_replace(html, '<[^<]+?>', '', 'g')) AS BIGINT) AS text_len
+FROM pages"""
+
+
+def _short_sql(e: str, n: int) -> str:
+    return f"({e} IS NULL OR length({strip(e)}) < {n})"
+
+
+def page_mode_chain_sql() -> str:
+    t1 = f"CASE WHEN {_short_sql('t0', 20)} THEN lay ELSE t0 END"
+    t2 = (f"CASE WHEN {_short_sql('t1', 20)} AND html IS NOT NULL AND html <> '' "
+          f"THEN regexp_replace(html, '<[^<]+?>', '', 'g') ELSE t1 END")
+    return f"""
+SELECT page_id, md5(t2) AS text_md5, CAST(length(t2) AS BIGINT) AS text_len
+FROM (SELECT *, {t2} AS t2 FROM (SELECT *, {t1} AS t1 FROM (
+  SELECT page_id, html, {fixtures.PAGE_TEXT_EXPR} AS t0, {fixtures.PAGE_LAYOUT_EXPR} AS lay
+  FROM pages)))"""
+
+
+FLATTEN_LAYOUT = """
+SELECT conv_id, md5(t) AS text_md5, CAST(length(t) AS BIGINT) AS text_len
+FROM (SELECT conv_id, string_agg(replace(text, chr(10), ' '), ' ' ORDER BY turn) AS t
+      FROM conversations GROUP BY conv_id)"""
+
+
+def assemble_pages_sql() -> str:
+    return f"""
+SELECT conv_id, md5(t) AS text_md5, CAST(length(t) AS BIGINT) AS text_len
+FROM (SELECT conv_id, {assembled_sql('turn', 'text')} AS t FROM conversations GROUP BY conv_id)"""
+
+
+def pick_page_strategy_sql() -> str:
+    return f"""
+SELECT conv_id, md5(t) AS text_md5, CAST(length(t) AS BIGINT) AS text_len
+FROM (SELECT conv_id,
+        coalesce(arg_min(text, turn) FILTER (WHERE length({strip('text')}) > 50),
+                 arg_max_null(text, turn)) AS t
+      FROM conversations GROUP BY conv_id)"""
+
+
+def first_accepted_text_sql() -> str:
+    return f"""
+WITH rules(method, rank, min_page_chars, min_doc_chars) AS (VALUES
+  ('text_layer', 1, NULL, NULL), ('text_layer_tolerant', 2, NULL, NULL), ('layout', 3, NULL, NULL),
+  ('reader', 4, NULL, NULL), ('cli', 5, NULL, NULL), ('ocr', 6, 10, 100)),
+cands AS (
+  SELECT conv_id AS doc_id, {fixtures.CAND_METHOD_EXPR} AS method, turn AS page_no,
+         {fixtures.CAND_TEXT_EXPR} AS text FROM conversations),
+per_method AS (
+  SELECT doc_id, c.method, r.rank, r.min_doc_chars, {assembled_sql('page_no', 'text')} AS text
+  FROM cands c JOIN rules r ON c.method = r.method
+  WHERE text IS NOT NULL AND text <> ''
+    AND (r.min_page_chars IS NULL OR length({strip('text')}) > r.min_page_chars)
+  GROUP BY doc_id, c.method, r.rank, r.min_doc_chars)
+SELECT doc_id, arg_min(method, rank) AS method, CAST(min(rank) AS INTEGER) AS rank,
+       md5(arg_min(text, rank)) AS text_md5, CAST(length(arg_min(text, rank)) AS BIGINT) AS text_len
+FROM per_method
+WHERE text <> '' AND (min_doc_chars IS NULL OR length(text) > min_doc_chars)
+GROUP BY doc_id"""
+
+
+def placeholder_text_sql() -> str:
+    fn = fixtures.FILE_NAME_EXPR
+    body = (f"'Title: ' || {stem_sql('fn')} "
+            f"|| CASE WHEN mt IS NOT NULL AND mt <> '' THEN chr(10) || 'Extracted title: ' || mt ELSE '' END "
+            f"|| CASE WHEN au IS NOT NULL AND au <> '' THEN chr(10) || 'Extracted author: ' || au ELSE '' END "
+            f"|| CASE WHEN pc IS NOT NULL THEN chr(10) || 'Page count: ' || CAST(pc AS VARCHAR) ELSE '' END "
+            f"|| chr(10) || chr(10) || {q(PLACEHOLDER_NOTE)}")
+    return f"""
+SELECT doc_id, md5(t) AS text_md5, CAST(length(t) AS BIGINT) AS text_len
+FROM (SELECT doc_id, CASE WHEN is_pdf THEN {body} ELSE '' END AS t
+      FROM (SELECT doc_id, {fn} AS fn, {fixtures.PH_IS_PDF} AS is_pdf, {fixtures.PH_TITLE} AS mt,
+                   {fixtures.PH_AUTHOR} AS au, {fixtures.PH_PAGES} AS pc FROM documents))"""
+
+
+def format_title_query_sql() -> str:
+    return (f"SELECT doc_id, file_name, {format_title_sql('file_name')} AS title "
+            f"FROM (SELECT doc_id, {fixtures.FILE_NAME_EXPR} AS file_name FROM documents)")
+
+
+ESTIMATE_TOKENS = "SELECT doc_id, CAST(length(text) // 4 AS BIGINT) AS tokens FROM documents"

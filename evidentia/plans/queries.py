@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from evidentia.functions.text import (estimate_tokens, flatten_layout, format_title,
+                                      normalize_text, page_mode_chain, placeholder_text,
+                                      strip_markup)
 from evidentia.operators.coding import coded_rows
+from evidentia.operators.pages import (assemble_pages, extraction_rules, first_accepted_text,
+                                       pick_page_strategy)
 from evidentia.plans import fixtures, oracles
 from evidentia.plans.pipeline import code_documents
 from evidentia.plans.registry import register, table
@@ -27,3 +32,88 @@ def q_coded_rows(spark, sf_dir):
 def q_code_documents(spark, sf_dir):
     src = table(spark, sf_dir, "documents", spread_on="doc_id")
     return code_documents(fixtures.named_documents(src), fixtures.responses(src))
+
+
+# ---------------------------------------------------------------- text preparation
+
+def _md5_len(df, key, text_col):
+    return df.select(key, F.md5(text_col).alias("text_md5"),
+                     F.length(text_col).cast("long").alias("text_len"))
+
+
+@register("normalize_text", oracles.NORMALIZE_TEXT)
+def q_normalize_text(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", spread_on="doc_id")
+    n = docs.select("doc_id", normalize_text("text").alias("n"))
+    return n.select("doc_id", F.length("n").cast("long").alias("nfkd_chars"),
+                    F.md5(F.regexp_replace("n", r"\p{M}", "")).alias("base_md5"))
+
+
+@register("strip_markup", oracles.STRIP_MARKUP)
+def q_strip_markup(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages", spread_on="page_id")
+    return _md5_len(pages, "page_id", strip_markup("html"))
+
+
+@register("page_mode_chain", oracles.page_mode_chain_sql())
+def q_page_mode_chain(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages", spread_on="page_id").selectExpr(
+        "page_id", "html", f"{fixtures.PAGE_TEXT_EXPR} AS t0", f"{fixtures.PAGE_LAYOUT_EXPR} AS lay")
+    return _md5_len(pages, "page_id", page_mode_chain("t0", "lay", "html"))
+
+
+@register("flatten_layout", oracles.FLATTEN_LAYOUT)
+def q_flatten_layout(spark, sf_dir):
+    conv = table(spark, sf_dir, "conversations")
+    # one block per turn, one line per text line, one span per line
+    lines = F.transform(F.split("text", "\n"),
+                        lambda l: F.struct(F.array(F.struct(l.alias("text"))).alias("spans")))
+    blocks = conv.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", lines.alias("lines")))).alias("b"))
+    layout = blocks.select("conv_id", F.transform("b", lambda x: F.struct(x["lines"].alias("lines")))
+                           .alias("blocks"))
+    return _md5_len(layout, "conv_id", flatten_layout("blocks"))
+
+
+@register("assemble_pages", oracles.assemble_pages_sql())
+def q_assemble_pages(spark, sf_dir):
+    conv = table(spark, sf_dir, "conversations")
+    return _md5_len(assemble_pages(conv, key="conv_id", order="turn", text="text"), "conv_id",
+                    F.col("text"))
+
+
+@register("pick_page_strategy", oracles.pick_page_strategy_sql())
+def q_pick_page_strategy(spark, sf_dir):
+    conv = table(spark, sf_dir, "conversations")
+    picked = pick_page_strategy(conv, key="conv_id", order="turn", text="text")
+    return _md5_len(picked, "conv_id", F.col("text"))
+
+
+@register("first_accepted_text", oracles.first_accepted_text_sql())
+def q_first_accepted_text(spark, sf_dir):
+    cands = table(spark, sf_dir, "conversations").selectExpr(
+        "conv_id AS doc_id", f"{fixtures.CAND_METHOD_EXPR} AS method", "turn AS page_no",
+        f"{fixtures.CAND_TEXT_EXPR} AS text")
+    best = first_accepted_text(cands, extraction_rules(spark), key="doc_id")
+    return best.select("doc_id", "method", "rank", F.md5("text").alias("text_md5"),
+                       F.length("text").cast("long").alias("text_len"))
+
+
+@register("placeholder_text", oracles.placeholder_text_sql())
+def q_placeholder_text(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", spread_on="doc_id").selectExpr(
+        "doc_id", f"{fixtures.FILE_NAME_EXPR} AS fn", f"{fixtures.PH_IS_PDF} AS is_pdf",
+        f"{fixtures.PH_TITLE} AS mt", f"{fixtures.PH_AUTHOR} AS au", f"{fixtures.PH_PAGES} AS pc")
+    return _md5_len(docs, "doc_id", placeholder_text("fn", "is_pdf", "mt", "au", "pc"))
+
+
+@register("format_title", oracles.format_title_query_sql())
+def q_format_title(spark, sf_dir):
+    docs = fixtures.named_documents(table(spark, sf_dir, "documents", spread_on="doc_id"))
+    return docs.select("doc_id", "file_name", format_title("file_name").alias("title"))
+
+
+@register("estimate_tokens", oracles.ESTIMATE_TOKENS)
+def q_estimate_tokens(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", estimate_tokens("text").alias("tokens"))
