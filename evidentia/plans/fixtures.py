@@ -178,3 +178,16 @@ PH_IS_PDF = "lang <> 'de'"
 PH_TITLE = "CASE WHEN lang = 'en' THEN split_part(text, ' ', 2) END"
 PH_AUTHOR = "CASE WHEN doc_id % 3 = 0 THEN source END"
 PH_PAGES = "CAST(floor(n_chars / 3000) AS BIGINT)"
+
+
+# ---------------------------------------------------------------- sections
+def injected_text_expr(sep_sql: str) -> str:
+    """Paper text with section headers put between its lines, joined by ``sep_sql``."""
+    first = "split_part(text, chr(10), 1)"
+    rest = "CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END"
+    parts = ["'Abstract'", first, "'Methods'", rest, "'Results and discussion'",
+             "'Findings for ' || lang", "'Conclusion'", "'References'", "'Method reference list'"]
+    return "(" + f" || {sep_sql} || ".join(parts) + ")"
+
+
+SEP_SQL = {"newline": "chr(10)", "compat": "chr(92) || 'n'"}

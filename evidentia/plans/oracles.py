@@ -302,3 +302,60 @@ def format_title_query_sql() -> str:
 
 
 ESTIMATE_TOKENS = "SELECT doc_id, CAST(length(text) // 4 AS BIGINT) AS tokens FROM documents"
+
+
+# ---------------------------------------------------------------- sections and budget
+
+def _sections_cte(mode: str) -> str:
+    from evidentia.schema import SECTION_MARKERS
+    sep = fixtures.SEP_SQL[mode]
+    low = f"lower({strip('line')})"
+    name = "CASE " + " ".join(f"WHEN contains({low}, {q(m)}) THEN {q(m)}" for m in SECTION_MARKERS) + " END"
+    return f"""
+d AS (SELECT doc_id, {fixtures.injected_text_expr(sep)} AS text FROM documents),
+ln AS (SELECT doc_id, unnest(string_split(text, {sep})) AS line,
+              generate_subscripts(string_split(text, {sep}), 1) AS i FROM d),
+hd AS (SELECT *, CASE WHEN length({low}) < 50 THEN {name} END AS h FROM ln),
+sn AS (SELECT *, CAST(sum(CASE WHEN h IS NULL THEN 0 ELSE 1 END)
+                     OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS INTEGER) AS section_no
+       FROM hd),
+secs AS (SELECT doc_id, section_no, coalesce(max(h), 'start') AS header,
+                string_agg(line, {sep} ORDER BY i) AS content
+         FROM sn GROUP BY doc_id, section_no)"""
+
+
+def split_sections_sql(mode: str) -> str:
+    return (f"WITH {_sections_cte(mode).strip()}\n"
+            "SELECT doc_id, section_no, header, md5(content) AS content_md5, "
+            "CAST(length(content) AS BIGINT) AS content_len FROM secs")
+
+
+def fit_context_sql(mode: str, max_tokens: int) -> str:
+    from evidentia.schema import SECTION_PRIORITY, TRUNCATION_TAG
+    sep = fixtures.SEP_SQL[mode]
+    sep_len = 2 if mode == "compat" else 1
+    limit = max_tokens * 0.8
+    budget = int(max_tokens * 4 * 0.8)
+    prio = ", ".join(f"({q(h)}, {i})" for i, h in enumerate(SECTION_PRIORITY))
+    return f"""
+WITH {_sections_cte(mode).strip()},
+pr AS (SELECT s.*, p.prio FROM secs s JOIN (VALUES {prio}) p(header, prio) ON s.header = p.header),
+cu AS (SELECT *, sum({2 * sep_len} + length(content)) OVER (PARTITION BY doc_id ORDER BY prio, section_no
+                                                            ROWS UNBOUNDED PRECEDING) AS cum FROM pr),
+fl AS (SELECT *, floor(cum / 4) < {limit} AS fits, cum - {2 * sep_len} - length(content) AS prev FROM cu),
+walk AS (
+  SELECT doc_id,
+    coalesce(string_agg({sep} || {sep} || content, '' ORDER BY prio, section_no) FILTER (WHERE fits), '') AS kept,
+    arg_min(CASE WHEN {budget} - prev > 1000
+                 THEN {sep} || {sep} || substr(content, 1, CAST({budget} - prev AS INTEGER)) || {sep} || {q(TRUNCATION_TAG)}
+                 ELSE '' END, prio * 1000000 + section_no) FILTER (WHERE NOT fits) AS cut,
+    bool_or(NOT fits) AS over, bool_or(fits) AS any_kept
+  FROM fl GROUP BY doc_id),
+res AS (
+  SELECT d.doc_id, d.text, length(d.text) // 4 <= {max_tokens} AS whole,
+    CASE WHEN length(d.text) // 4 <= {max_tokens} THEN d.text
+         WHEN coalesce(w.over, false) OR coalesce(w.any_kept, false) THEN w.kept || coalesce(w.cut, '')
+         ELSE substr(d.text, 1, {max_tokens * 4}) END AS fitted
+  FROM d LEFT JOIN walk w ON d.doc_id = w.doc_id)
+SELECT doc_id, md5(fitted) AS text_md5, CAST(length(fitted) AS BIGINT) AS text_len, NOT whole AS truncated
+FROM res"""

@@ -8,6 +8,7 @@ from evidentia.functions.text import (estimate_tokens, flatten_layout, format_ti
                                       normalize_text, page_mode_chain, placeholder_text,
                                       strip_markup)
 from evidentia.operators.coding import coded_rows
+from evidentia.operators.context import fit_documents, split_sections
 from evidentia.operators.pages import (assemble_pages, extraction_rules, first_accepted_text,
                                        pick_page_strategy)
 from evidentia.plans import fixtures, oracles
@@ -117,3 +118,31 @@ def q_format_title(spark, sf_dir):
 def q_estimate_tokens(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", estimate_tokens("text").alias("tokens"))
+
+
+# ---------------------------------------------------------------- sections and budget
+
+FIT_MAX_TOKENS = 1000
+
+
+def _injected(spark, sf_dir, mode):
+    docs = table(spark, sf_dir, "documents", spread_on="doc_id")
+    return docs.selectExpr("doc_id", f"{fixtures.injected_text_expr(fixtures.SEP_SQL[mode])} AS text")
+
+
+def _register_context(mode):
+    @register(f"split_sections_{mode}", oracles.split_sections_sql(mode))
+    def q_split(spark, sf_dir):
+        secs = split_sections(_injected(spark, sf_dir, mode), mode=mode)
+        return secs.select("doc_id", "section_no", "header", F.md5("content").alias("content_md5"),
+                           F.length("content").cast("long").alias("content_len"))
+
+    @register(f"fit_context_{mode}", oracles.fit_context_sql(mode, FIT_MAX_TOKENS))
+    def q_fit(spark, sf_dir):
+        fitted = fit_documents(_injected(spark, sf_dir, mode), max_tokens=FIT_MAX_TOKENS, mode=mode)
+        return fitted.select("doc_id", F.md5("text").alias("text_md5"),
+                             F.length("text").cast("long").alias("text_len"), "truncated")
+
+
+for _mode in ("newline", "compat"):
+    _register_context(_mode)
