@@ -191,3 +191,24 @@ def injected_text_expr(sep_sql: str) -> str:
 
 
 SEP_SQL = {"newline": "chr(10)", "compat": "chr(92) || 'n'"}
+
+
+# ---------------------------------------------------------------- requests
+# Model per paper language (a literal map, so no join is needed).
+MODEL_BY_LANG = {"en": "gpt-4o-mini", "fr": "gpt-5-mini", "de": "gpt-4-turbo", "es": "gpt-5"}
+PROMPT_MAX_TOKENS = 5000
+
+
+def demo_responder(request: dict) -> str:
+    """A deterministic stand-in for a model: replies from the prompt length and
+    fails (raises) for every prompt whose length is a multiple of 7."""
+    prompt = request["messages"][-1]["content"]
+    n = len(prompt)
+    if n % 7 == 0:
+        raise RuntimeError(f"simulated failure at {n} chars")
+    return (f"**Include in Review**: Y\n**1. Primary Stakeholders**: Readers of a {n} "
+            f"character prompt\n**Source**: {request['model']}")
+
+
+# Pages sent as file content; pages on .net hosts carry a PDF signature.
+FILE_CONTENT_EXPR = "CASE WHEN url LIKE '%.net%' THEN '%PDF-1.7 ' || html ELSE html END"

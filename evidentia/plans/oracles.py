@@ -306,13 +306,14 @@ ESTIMATE_TOKENS = "SELECT doc_id, CAST(length(text) // 4 AS BIGINT) AS tokens FR
 
 # ---------------------------------------------------------------- sections and budget
 
-def _sections_cte(mode: str) -> str:
+def _sections_cte(mode: str, text_sql: str | None = None) -> str:
     from evidentia.schema import SECTION_MARKERS
     sep = fixtures.SEP_SQL[mode]
+    text_sql = text_sql or fixtures.injected_text_expr(sep)
     low = f"lower({strip('line')})"
     name = "CASE " + " ".join(f"WHEN contains({low}, {q(m)}) THEN {q(m)}" for m in SECTION_MARKERS) + " END"
     return f"""
-d AS (SELECT doc_id, {fixtures.injected_text_expr(sep)} AS text FROM documents),
+d AS (SELECT doc_id, {text_sql} AS text FROM documents),
 ln AS (SELECT doc_id, unnest(string_split(text, {sep})) AS line,
               generate_subscripts(string_split(text, {sep}), 1) AS i FROM d),
 hd AS (SELECT *, CASE WHEN length({low}) < 50 THEN {name} END AS h FROM ln),
@@ -330,7 +331,8 @@ def split_sections_sql(mode: str) -> str:
             "CAST(length(content) AS BIGINT) AS content_len FROM secs")
 
 
-def fit_context_sql(mode: str, max_tokens: int) -> str:
+def fit_context_sql(mode: str, max_tokens: int, text_sql: str | None = None,
+                    select: str | None = None) -> str:
     from evidentia.schema import SECTION_PRIORITY, TRUNCATION_TAG
     sep = fixtures.SEP_SQL[mode]
     sep_len = 2 if mode == "compat" else 1
@@ -338,7 +340,7 @@ def fit_context_sql(mode: str, max_tokens: int) -> str:
     budget = int(max_tokens * 4 * 0.8)
     prio = ", ".join(f"({q(h)}, {i})" for i, h in enumerate(SECTION_PRIORITY))
     return f"""
-WITH {_sections_cte(mode).strip()},
+WITH {_sections_cte(mode, text_sql).strip()},
 pr AS (SELECT s.*, p.prio FROM secs s JOIN (VALUES {prio}) p(header, prio) ON s.header = p.header),
 cu AS (SELECT *, sum({2 * sep_len} + length(content)) OVER (PARTITION BY doc_id ORDER BY prio, section_no
                                                             ROWS UNBOUNDED PRECEDING) AS cum FROM pr),
@@ -357,5 +359,93 @@ res AS (
          WHEN coalesce(w.over, false) OR coalesce(w.any_kept, false) THEN w.kept || coalesce(w.cut, '')
          ELSE substr(d.text, 1, {max_tokens * 4}) END AS fitted
   FROM d LEFT JOIN walk w ON d.doc_id = w.doc_id)
-SELECT doc_id, md5(fitted) AS text_md5, CAST(length(fitted) AS BIGINT) AS text_len, NOT whole AS truncated
+{select or "SELECT doc_id, md5(fitted) AS text_md5, CAST(length(fitted) AS BIGINT) AS text_len, NOT whole AS truncated"}
 FROM res"""
+
+
+# ---------------------------------------------------------------- requests and replies
+
+def _template() -> str:
+    from evidentia.operators.requests import DEFAULT_TEMPLATE
+    with open(DEFAULT_TEMPLATE, encoding="utf-8") as f:
+        return f.read().strip()
+
+
+def _prompt_sql() -> str:
+    bs_n = "chr(92) || 'n'"
+    return f"{q(_template())} || {bs_n} || {bs_n} || 'RESEARCH PAPER:' || {bs_n} || fitted"
+
+
+def build_prompt_sql() -> str:
+    sel = f"SELECT doc_id, md5({_prompt_sql()}) AS prompt_md5, CAST(length({_prompt_sql()}) AS BIGINT) AS prompt_len"
+    return fit_context_sql("compat", fixtures.PROMPT_MAX_TOKENS, text_sql="text", select=sel)
+
+
+def _request_json_sql() -> str:
+    from evidentia.schema import SYSTEM_MESSAGE
+    msgs = (f"'[{{\"role\":\"system\",\"content\":' || to_json({q(SYSTEM_MESSAGE)}) || "
+            f"'}},{{\"role\":\"user\",\"content\":' || to_json(prompt) || '}}]'")
+    return ("'{\"model\":' || to_json(model) || ',\"messages\":' || " + msgs +
+            " || CASE WHEN mct IS NOT NULL THEN ',\"max_completion_tokens\":' || CAST(mct AS VARCHAR) ELSE '' END"
+            " || CASE WHEN mt IS NOT NULL THEN ',\"max_tokens\":' || CAST(mt AS VARCHAR) ELSE '' END"
+            " || CASE WHEN temp IS NOT NULL THEN ',\"temperature\":' || to_json(temp) ELSE '' END || '}'")
+
+
+def _requests_sql() -> str:
+    models = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in fixtures.MODEL_BY_LANG.items())
+    sel = (f"SELECT doc_id, {_prompt_sql()} AS prompt, "
+           f"CASE lang {models} END AS model")
+    base = fit_context_sql("compat", fixtures.PROMPT_MAX_TOKENS, text_sql="text",
+                           select=sel + ", lang")
+    base = base.replace("SELECT d.doc_id, d.text,", "SELECT d.doc_id, d.text, d.lang,")
+    base = base.replace("d AS (SELECT doc_id, text AS text FROM documents)",
+                        "d AS (SELECT doc_id, text AS text, lang FROM documents)")
+    return f"""
+SELECT *, {_request_json_sql()} AS request_json FROM (
+  SELECT doc_id, prompt, model,
+    CASE WHEN contains(model, 'gpt-5') OR contains(model, 'gpt-4o') THEN 2000 END AS mct,
+    CASE WHEN NOT (contains(model, 'gpt-5') OR contains(model, 'gpt-4o')) THEN 2000 END AS mt,
+    CASE WHEN NOT contains(model, 'gpt-5-mini') THEN CAST(0.0 AS DOUBLE) END AS temp
+  FROM ({base}))"""
+
+
+def build_requests_sql() -> str:
+    return f"""
+SELECT doc_id, model,
+       CASE WHEN mct IS NOT NULL THEN 'max_completion_tokens' ELSE 'max_tokens' END AS cap_field,
+       CAST(coalesce(mct, mt) AS INTEGER) AS cap, temp AS temperature, md5(request_json) AS request_md5,
+       CAST(length(request_json) AS BIGINT) AS request_len
+FROM ({_requests_sql()})"""
+
+
+def apply_responder_sql() -> str:
+    n = "length(prompt)"
+    reply = ("'**Include in Review**: Y' || chr(10) || '**1. Primary Stakeholders**: Readers of a ' "
+             f"|| CAST({n} AS VARCHAR) || ' character prompt' || chr(10) || '**Source**: ' || model")
+    return f"""
+SELECT doc_id, CASE WHEN {n} % 7 = 0 THEN NULL ELSE md5({reply}) END AS response_md5,
+       CASE WHEN {n} % 7 = 0 THEN 'RuntimeError: simulated failure at ' || CAST({n} AS VARCHAR) || ' chars' END AS error
+FROM ({_requests_sql()})"""
+
+
+def attach_responses_sql() -> str:
+    return f"""
+SELECT d.doc_id, md5(r.response) AS response_md5,
+       CASE WHEN r.doc_id IS NULL THEN 'no response recorded' ELSE r.error END AS error
+FROM documents d LEFT JOIN (
+  SELECT doc_id, {fixtures.RESPONSE_EXPR} AS response, {fixtures.ERROR_EXPR} AS error
+  FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) r ON d.doc_id = r.doc_id"""
+
+
+def file_diagnostics_sql() -> str:
+    c = f"({fixtures.FILE_CONTENT_EXPR})"
+    return f"""
+SELECT page_id, CAST(octet_length(encode({c})) AS BIGINT) AS size_bytes,
+       hex(left({c}, 10)) AS header_hex, contains(left({c}, 1000), '%PDF') AS is_pdf,
+       octet_length(encode({c})) / 1048576 AS size_mb
+FROM pages"""
+
+
+def write_coding_csv_sql() -> str:
+    cols = ", ".join(f"nullif({ident(c)}, '') AS {ident(c)}" for c in CSV_COLUMNS)
+    return f"SELECT {cols} FROM ({code_documents_sql()})"

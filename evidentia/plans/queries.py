@@ -8,7 +8,14 @@ from evidentia.functions.text import (estimate_tokens, flatten_layout, format_ti
                                       normalize_text, page_mode_chain, placeholder_text,
                                       strip_markup)
 from evidentia.operators.coding import coded_rows
-from evidentia.operators.context import fit_documents, split_sections
+from evidentia.operators.context import fit_context, fit_documents, split_sections
+from evidentia.operators.requests import (DEFAULT_TEMPLATE, apply_responder, build_prompt,
+                                          build_requests)
+from evidentia.plans.pipeline import attach_responses
+from evidentia.schema import CSV_COLUMNS
+from evidentia.session import scratch_path
+from evidentia.sources.files import file_diagnostics, load_prompt, scan_papers
+from evidentia.sources.sinks import read_coding_csv, write_coding_csv
 from evidentia.operators.pages import (assemble_pages, extraction_rules, first_accepted_text,
                                        pick_page_strategy)
 from evidentia.plans import fixtures, oracles
@@ -146,3 +153,80 @@ def _register_context(mode):
 
 for _mode in ("newline", "compat"):
     _register_context(_mode)
+
+
+# ---------------------------------------------------------------- requests and replies
+
+def _requests(spark, sf_dir, with_model=True):
+    docs = table(spark, sf_dir, "documents", spread_on="doc_id")
+    fitted = docs.select("doc_id", "lang", fit_context("text", max_tokens=fixtures.PROMPT_MAX_TOKENS,
+                                                        mode="compat")["text"].alias("fitted"))
+    prompts = build_prompt(fitted, load_prompt(spark, DEFAULT_TEMPLATE), text="fitted")
+    models = F.create_map(*[F.lit(x) for kv in fixtures.MODEL_BY_LANG.items() for x in kv])
+    return prompts, build_requests(prompts.withColumn("model", F.element_at(models, F.col("lang"))),
+                                   model=F.col("model"))
+
+
+@register("build_prompt", oracles.build_prompt_sql())
+def q_build_prompt(spark, sf_dir):
+    prompts, _ = _requests(spark, sf_dir)
+    return prompts.select("doc_id", F.md5("prompt").alias("prompt_md5"),
+                          F.length("prompt").cast("long").alias("prompt_len"))
+
+
+@register("build_requests", oracles.build_requests_sql())
+def q_build_requests(spark, sf_dir):
+    _, reqs = _requests(spark, sf_dir)
+    r = F.col("request")
+    return reqs.select("doc_id", "request.model",
+                       F.when(r["max_completion_tokens"].isNotNull(), F.lit("max_completion_tokens"))
+                        .otherwise(F.lit("max_tokens")).alias("cap_field"),
+                       F.coalesce(r["max_completion_tokens"], r["max_tokens"]).alias("cap"),
+                       "request.temperature",
+                       F.md5("request_json").alias("request_md5"),
+                       F.length("request_json").cast("long").alias("request_len"))
+
+
+@register("apply_responder", oracles.apply_responder_sql())
+def q_apply_responder(spark, sf_dir):
+    _, reqs = _requests(spark, sf_dir)
+    replies = apply_responder(reqs, fixtures.demo_responder)
+    return replies.select("doc_id", F.md5("response").alias("response_md5"), "error")
+
+
+@register("attach_responses", oracles.attach_responses_sql())
+def q_attach_responses(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", spread_on="doc_id")
+    stored = fixtures.responses(docs).join(table(spark, sf_dir, "labels").select("doc_id"),
+                                           "doc_id", "left_semi")
+    joined = attach_responses(docs.select("doc_id"), stored)
+    return joined.select("doc_id", F.md5("response").alias("response_md5"), "error")
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+@register("file_diagnostics", oracles.file_diagnostics_sql())
+def q_file_diagnostics(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages", spread_on="page_id")
+    files = pages.select("page_id", F.encode(F.expr(fixtures.FILE_CONTENT_EXPR), "UTF-8")
+                         .alias("content"))
+    files = files.withColumn("length", F.octet_length("content").cast("long"))
+    d = file_diagnostics(files)
+    return d.select("page_id", F.col("length").alias("size_bytes"),
+                    F.hex("header").alias("header_hex"), "is_pdf", "size_mb")
+
+
+@register("scan_papers")
+def q_scan_papers(spark, sf_dir):
+    # the driver tables themselves, scanned as files: names, sizes, signatures
+    files = file_diagnostics(scan_papers(spark, sf_dir, glob="*.parquet"))
+    return files.select("file_name", "length", F.hex("header").alias("header_hex"), "is_pdf",
+                        "size_mb")
+
+
+@register("write_coding_csv", oracles.write_coding_csv_sql())
+def q_write_coding_csv(spark, sf_dir):
+    import uuid
+    coded = q_code_documents(spark, sf_dir)
+    path = write_coding_csv(coded, scratch_path(spark, f"coding-csv-{uuid.uuid4().hex}"))
+    return read_coding_csv(spark, path).select(*[F.col(f"`{c}`") for c in CSV_COLUMNS])
