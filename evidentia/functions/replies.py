@@ -134,10 +134,10 @@ def line_candidate(facts: Column, f: Column, i: Column) -> Column:
     k4 = _first_ahead(facts, i, lambda y: y["ans"].isNotNull() | y["n"].isNotNull())
     a4 = F.get(facts, i + k4)["ans"]
     f4 = f["stars"] & (F.length(a4) > 3)
-    s4 = F.get(facts, i + k4 + 1)["src"]
+    s4 = F.when(a4.isNotNull(), F.get(facts, i + k4 + 1)["src"])
 
     return F.struct(
-        f["n"].alias("n"),
+        f["n"].alias("n"), i.alias("line_no"),
         F.coalesce(f1, F.lit(False)).alias("f1"), f["a1"].alias("a1"), s1.alias("s1"),
         F.coalesce(f2, F.lit(False)).alias("f2"), f["a2"].alias("a2"),
         F.coalesce(f3, F.lit(False)).alias("f3"), f["a3"].alias("a3"), s3.alias("s3"),
@@ -197,7 +197,7 @@ def response_audit(response) -> Column:
     """struct<response_length, preview, is_empty> of a reply."""
     r = col(response)
     return F.struct(
-        F.coalesce(F.length(r), F.lit(0)).alias("response_length"),
+        F.coalesce(F.length(r), F.lit(0)).cast("long").alias("response_length"),
         F.when(F.length(r) > 0, F.concat(F.substr(r, F.lit(1), F.lit(300)), F.lit("...")))
          .alias("preview"),
         (F.coalesce(F.length(r), F.lit(0)) == 0).alias("is_empty"),

@@ -84,3 +84,23 @@ def audit_responses(df: DataFrame, response="response", keep=("doc_id",)) -> Dat
 def default_row(title: Column, fill: str = NOT_SPECIFIED) -> list:
     """27 columns with every field set to ``fill`` and the given title."""
     return [title.alias(TITLE)] + [F.lit(fill).alias(c) for c in CSV_COLUMNS[1:]]
+
+
+def reply_lines(df: DataFrame, response="response", keep=("doc_id",)) -> DataFrame:
+    """Exploded reply lines ``(keep.., line_no, line)`` (0-based line numbers)."""
+    keep = _keep(keep)
+    return df.select(*keep, F.posexplode(response_lines(col(response))).alias("line_no", "line"))
+
+
+def screening(df: DataFrame, response="response", keep=("doc_id",)) -> DataFrame:
+    """``(keep.., include, reason)`` from the screening lines (last one wins)."""
+    keep = _keep(keep)
+    return (df.select(*keep, screening_decision(response_lines(col(response))).alias("_s"))
+              .select(*keep, "_s.include", "_s.reason"))
+
+
+def candidate_table(df: DataFrame, response="response", keep=("doc_id",)) -> DataFrame:
+    """Exploded per-line candidates of the four layouts (one row per numbered line)."""
+    keep = _keep(keep)
+    facts = df.select(*keep, reply_facts(response_lines(col(response))).alias("_facts"))
+    return facts.select(*keep, F.inline(line_candidates("_facts")))

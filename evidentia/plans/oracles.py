@@ -85,8 +85,8 @@ def _merge_sql() -> str:
     return f"{{'a': {a}, 's': {s}}}"
 
 
-def parse_sql(src: str, extra_cols: str = "") -> str:
-    """Coded rows for ``src`` = a query giving (doc_id, title, response[, extra])."""
+def parse_with(src: str) -> str:
+    """The CTEs of the reply parser for ``src`` = (doc_id, title, response[, extra])."""
     get = lambda k: f"L[i + {k}]"
     look_src = _lookahead([SOURCE_MARKER], BOLD)
     look_ans = _lookahead([ANSWER_MARKER], ANYN)
@@ -125,12 +125,6 @@ def parse_sql(src: str, extra_cols: str = "") -> str:
     folds = ",\n      ".join(
         f"max(CASE WHEN n = {n} THEN r.a END) AS a{n}, max(CASE WHEN n = {n} THEN r.s END) AS s{n}"
         for n in QUESTIONS)
-    fields = []
-    for n in QUESTIONS:
-        name = QUESTION_COLUMNS[n]
-        fields.append(f"CASE WHEN short THEN {NS} ELSE coalesce(w.a{n}, {NS}) END AS {ident(name)}")
-        fields.append(f"CASE WHEN short THEN {NS} ELSE coalesce(w.s{n}, {NS}) END AS {ident(source_column(name))}")
-    fields = ",\n  ".join(fields)
     return f"""
 WITH src AS ({src}),
 ln AS (
@@ -154,7 +148,18 @@ scr AS (
   SELECT doc_id,
     arg_max(L[i], i) FILTER (WHERE starts_with(L[i], {q(INCLUDE_MARKER)})) AS inc_line,
     arg_max(L[i], i) FILTER (WHERE starts_with(L[i], {q(REASON_MARKER)})) AS rsn_line
-  FROM ex GROUP BY doc_id)
+  FROM ex GROUP BY doc_id)"""
+
+
+def parse_sql(src: str, extra_cols: str = "") -> str:
+    """Coded rows for ``src`` = a query giving (doc_id, title, response[, extra])."""
+    fields = []
+    for n in QUESTIONS:
+        name = QUESTION_COLUMNS[n]
+        fields.append(f"CASE WHEN short THEN {NS} ELSE coalesce(w.a{n}, {NS}) END AS {ident(name)}")
+        fields.append(f"CASE WHEN short THEN {NS} ELSE coalesce(w.s{n}, {NS}) END AS {ident(source_column(name))}")
+    fields = ",\n  ".join(fields)
+    return parse_with(src) + f"""
 SELECT ln.doc_id{extra_cols}, ln.title AS {ident(TITLE)},
   CASE WHEN short THEN {NS} ELSE coalesce({strip(f"replace(inc_line, {q(INCLUDE_MARKER)}, '')")}, {NS}) END
     AS {ident(INCLUDE)},
@@ -449,3 +454,67 @@ FROM pages"""
 def write_coding_csv_sql() -> str:
     cols = ", ".join(f"nullif({ident(c)}, '') AS {ident(c)}" for c in CSV_COLUMNS)
     return f"SELECT {cols} FROM ({code_documents_sql()})"
+
+
+# ---------------------------------------------------------------- reply parsing pieces
+
+def _replies_with(extra: str) -> str:
+    return parse_with(generated_replies_src()) + extra
+
+
+def response_lines_sql() -> str:
+    return _replies_with("SELECT doc_id, CAST(i - 1 AS INTEGER) AS line_no, L[i] AS line FROM ex")
+
+
+def screening_sql() -> str:
+    inc = strip(f"replace(inc_line, {q(INCLUDE_MARKER)}, '')")
+    rsn = strip(f"replace(rsn_line, {q(REASON_MARKER)}, '')")
+    return _replies_with(
+        f"SELECT ln.doc_id, coalesce({inc}, {NS}) AS include, coalesce({rsn}, {NS}) AS reason "
+        "FROM ln LEFT JOIN scr USING (doc_id)")
+
+
+def question_echo_sql() -> str:
+    a = strip(after("L[i]", ":"))
+    return _replies_with(
+        f"SELECT doc_id, CAST(i - 1 AS INTEGER) AS line_no, answer, {echo('answer', True)} AS strict_echo, "
+        f"{echo('answer', False)} AS light_echo FROM (SELECT *, {a} AS answer FROM ex "
+        f"WHERE strpos(L[i], ':') > 0)")
+
+
+def form_sql(form: int) -> str:
+    cols = {1: "a1 AS answer, s1 AS source", 2: "a2 AS answer", 3: "a3 AS answer, s3 AS source",
+            4: "a4 AS answer, s4 AS source"}[form]
+    return _replies_with(
+        f"SELECT doc_id, CAST(i - 1 AS INTEGER) AS line_no, n, {cols} FROM cand WHERE f{form}")
+
+
+def evidence_sql() -> str:
+    return _replies_with(
+        "SELECT doc_id, CAST(i - 1 AS INTEGER) AS line_no, n, s1 AS source_form1, "
+        "s3 AS source_form3, s4 AS source_form4 FROM cand")
+
+
+def merge_answers_sql() -> str:
+    parsed = parse_sql(generated_replies_src())
+    parts = [f"SELECT doc_id, {n} AS n, {q(QUESTION_COLUMNS[n])} AS question, "
+             f"{ident(QUESTION_COLUMNS[n])} AS answer, {ident(source_column(QUESTION_COLUMNS[n]))} AS source "
+             f"FROM parsed" for n in QUESTIONS]
+    return (f"WITH parsed AS ({parsed}) SELECT doc_id, CAST(n AS INTEGER) AS n, question, answer, source "
+            f"FROM ({' UNION ALL '.join(parts)})")
+
+
+def short_guard_sql() -> str:
+    return (f"SELECT doc_id, (response IS NULL OR length({strip('response')}) < 10) AS is_short "
+            f"FROM ({generated_replies_src()})")
+
+
+def count_extracted_sql() -> str:
+    s = " + ".join(f"CAST({ident(c)} <> {NS} AS INTEGER)" for c in FIELD_COLUMNS)
+    return f"SELECT doc_id, CAST({s} AS INTEGER) AS extracted_count FROM ({code_documents_sql()})"
+
+
+def response_audit_sql() -> str:
+    return (f"SELECT doc_id, CAST(coalesce(length(response), 0) AS BIGINT) AS response_length, "
+            f"CASE WHEN length(response) > 0 THEN substr(response, 1, 300) || '...' END AS preview, "
+            f"coalesce(length(response), 0) = 0 AS is_empty FROM ({generated_replies_src()})")

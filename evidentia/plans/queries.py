@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from evidentia.functions.text import (estimate_tokens, flatten_layout, format_title,
                                       normalize_text, page_mode_chain, placeholder_text,
                                       strip_markup)
-from evidentia.operators.coding import coded_rows
+from evidentia.functions.replies import count_extracted, is_question_echo, is_short_response
+from evidentia.functions.strings import after_first, py_strip
+from evidentia.operators.coding import (answers_long, audit_responses, candidate_table, coded_rows,
+                                        reply_lines, screening)
 from evidentia.operators.context import fit_context, fit_documents, split_sections
 from evidentia.operators.requests import (DEFAULT_TEMPLATE, apply_responder, build_prompt,
                                           build_requests)
@@ -230,3 +233,76 @@ def q_write_coding_csv(spark, sf_dir):
     coded = q_code_documents(spark, sf_dir)
     path = write_coding_csv(coded, scratch_path(spark, f"coding-csv-{uuid.uuid4().hex}"))
     return read_coding_csv(spark, path).select(*[F.col(f"`{c}`") for c in CSV_COLUMNS])
+
+
+# ---------------------------------------------------------------- reply parsing pieces
+
+def _replies(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", spread_on="doc_id")
+    return docs.selectExpr("doc_id", "'Paper ' || CAST(doc_id AS STRING) AS title",
+                           f"{fixtures.RESPONSE_EXPR} AS response")
+
+
+@register("response_lines", oracles.response_lines_sql())
+def q_response_lines(spark, sf_dir):
+    return reply_lines(_replies(spark, sf_dir))
+
+
+@register("screening_decision", oracles.screening_sql())
+def q_screening_decision(spark, sf_dir):
+    return screening(_replies(spark, sf_dir))
+
+
+@register("is_question_echo", oracles.question_echo_sql())
+def q_is_question_echo(spark, sf_dir):
+    lines = reply_lines(_replies(spark, sf_dir)).where(F.instr("line", ":") > 0)
+    a = lines.select("doc_id", "line_no", py_strip(after_first("line", ":")).alias("answer"))
+    return a.select("doc_id", "line_no", "answer",
+                    is_question_echo("answer", strict=True).alias("strict_echo"),
+                    is_question_echo("answer", strict=False).alias("light_echo"))
+
+
+_FORM_COLS = {1: [F.col("a1").alias("answer"), F.col("s1").alias("source")],
+              2: [F.col("a2").alias("answer")],
+              3: [F.col("a3").alias("answer"), F.col("s3").alias("source")],
+              4: [F.col("a4").alias("answer"), F.col("s4").alias("source")]}
+
+
+def _register_form(form):
+    @register(f"parse_form{form}", oracles.form_sql(form))
+    def q_form(spark, sf_dir):
+        c = candidate_table(_replies(spark, sf_dir))
+        return c.where(F.col(f"f{form}")).select("doc_id", "line_no", "n", *_FORM_COLS[form])
+
+
+for _form in (1, 2, 3, 4):
+    _register_form(_form)
+
+
+@register("evidence", oracles.evidence_sql())
+def q_evidence(spark, sf_dir):
+    c = candidate_table(_replies(spark, sf_dir))
+    return c.select("doc_id", "line_no", "n", F.col("s1").alias("source_form1"),
+                    F.col("s3").alias("source_form3"), F.col("s4").alias("source_form4"))
+
+
+@register("merge_answers", oracles.merge_answers_sql())
+def q_merge_answers(spark, sf_dir):
+    coded = coded_rows(_replies(spark, sf_dir), response="response", title="title")
+    return answers_long(coded)
+
+
+@register("short_response_guard", oracles.short_guard_sql())
+def q_short_response_guard(spark, sf_dir):
+    return _replies(spark, sf_dir).select("doc_id", is_short_response("response").alias("is_short"))
+
+
+@register("count_extracted", oracles.count_extracted_sql())
+def q_count_extracted(spark, sf_dir):
+    coded = q_code_documents(spark, sf_dir)
+    return coded.select("doc_id", count_extracted().alias("extracted_count"))
+
+
+@register("response_audit", oracles.response_audit_sql())
+def q_response_audit(spark, sf_dir):
+    return audit_responses(_replies(spark, sf_dir))
