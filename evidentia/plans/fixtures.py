@@ -144,7 +144,18 @@ FILE_NAME_EXPR = f"{S} || '_' || {W1} || '-' || {W2} || '_' || {W3} || '-' || {G
 
 RESPONSE_SQL = (f"SELECT doc_id, {RESPONSE_EXPR} AS response, {ERROR_EXPR} AS error "
                 "FROM documents")
-DOCUMENTS_SQL = f"SELECT doc_id, {FILE_NAME_EXPR} AS file_name, text FROM documents"
+# Text as extraction left it: very short papers read as nothing, short ones
+# as the stand-in text of an unreadable PDF, the rest as their text.
+def _placeholder_sql() -> str:
+    from evidentia.schema import PLACEHOLDER_NOTE
+    return "'Title: ' || source || chr(10) || chr(10) || " + _q(PLACEHOLDER_NOTE)
+
+
+ROUTED_TEXT_EXPR = (f"CASE WHEN n_chars < 300 THEN '' WHEN n_chars < 800 THEN {_placeholder_sql()} "
+                    "ELSE text END")
+AUDIT_ERROR_EXPR = "CASE WHEN n_chars < 50 THEN 'unreadable file' END"
+
+DOCUMENTS_SQL = f"SELECT doc_id, {FILE_NAME_EXPR} AS file_name, {ROUTED_TEXT_EXPR} AS text FROM documents"
 
 
 def responses(documents):
@@ -155,7 +166,8 @@ def responses(documents):
 
 def named_documents(documents):
     """``(doc_id, file_name, text)`` for every document."""
-    return documents.selectExpr("doc_id", f"{FILE_NAME_EXPR} AS file_name", "text")
+    return documents.selectExpr("doc_id", f"{FILE_NAME_EXPR} AS file_name",
+                                f"{ROUTED_TEXT_EXPR} AS text")
 
 
 # ---------------------------------------------------------------- pages

@@ -175,6 +175,11 @@ def generated_replies_src(title_expr: str = "'Paper ' || CAST(doc_id AS STRING)"
             f"FROM documents")
 
 
+def route_sql(text: str) -> str:
+    return (f"CASE WHEN ({text}) IS NULL OR ({text}) = '' THEN 'no_text' "
+            f"WHEN contains(lower({text}), {q(PLACEHOLDER_PHRASE)}) THEN 'manual_review' ELSE 'code' END")
+
+
 def code_documents_sql() -> str:
     """Route + title + parse + failure rows over ``documents`` with generated replies."""
     fn = fixtures.FILE_NAME_EXPR
@@ -186,9 +191,7 @@ def code_documents_sql() -> str:
       FROM (
         SELECT doc_id, {fn} AS file_name, {fixtures.RESPONSE_EXPR} AS response,
                {fixtures.ERROR_EXPR} AS error,
-               CASE WHEN text IS NULL OR text = '' THEN 'no_text'
-                    WHEN contains(lower(text), {q(PLACEHOLDER_PHRASE)}) THEN 'manual_review'
-                    ELSE 'code' END AS rt
+               {route_sql(fixtures.ROUTED_TEXT_EXPR)} AS rt
         FROM documents)"""
     parsed = parse_sql(routed, extra_cols=", ln.rt, ln.error")
     failed = "(rt <> 'code' OR error IS NOT NULL)"
@@ -518,3 +521,75 @@ def response_audit_sql() -> str:
     return (f"SELECT doc_id, CAST(coalesce(length(response), 0) AS BIGINT) AS response_length, "
             f"CASE WHEN length(response) > 0 THEN substr(response, 1, 300) || '...' END AS preview, "
             f"coalesce(length(response), 0) = 0 AS is_empty FROM ({generated_replies_src()})")
+
+
+# ---------------------------------------------------------------- results
+
+def _routed_docs_sql() -> str:
+    return f"""SELECT doc_id, rt AS route,
+      CASE WHEN rt = 'no_text' THEN file_name ELSE {format_title_sql('file_name')} END AS title
+    FROM (SELECT doc_id, {fixtures.FILE_NAME_EXPR} AS file_name,
+                 {route_sql(fixtures.ROUTED_TEXT_EXPR)} AS rt FROM documents)"""
+
+
+def route_documents_sql() -> str:
+    return f"SELECT doc_id, route, title AS {ident(TITLE)} FROM ({_routed_docs_sql()})"
+
+
+def _failed_cols(reason_sql: str | None) -> str:
+    cols = [f"title AS {ident(TITLE)}", f"{q(FAILED_INCLUDE)} AS {ident(INCLUDE)}",
+            f"{reason_sql} AS {ident(EXCLUSION_REASON)}"]
+    cols += [f"{q(PROCESSING_FAILED)} AS {ident(c)}" for c in FIELD_COLUMNS]
+    return ", ".join(cols)
+
+
+def failed_rows_sql() -> str:
+    return f"SELECT doc_id, {_failed_cols(q(PROCESSING_FAILED))} FROM ({_routed_docs_sql()})"
+
+
+def assemble_results_sql() -> str:
+    coded_src = (f"SELECT r.doc_id, r.title, {fixtures.RESPONSE_EXPR} AS response "
+                 f"FROM ({_routed_docs_sql()}) r JOIN documents USING (doc_id) WHERE r.route = 'code'")
+    coded = parse_sql(coded_src)
+    cols = ", ".join(["doc_id"] + [ident(c) for c in CSV_COLUMNS])
+    return (f"SELECT {cols} FROM ({coded}) UNION ALL "
+            f"SELECT doc_id, {_failed_cols(q('nan'))} FROM ({_routed_docs_sql()}) WHERE route <> 'code'")
+
+
+# ---------------------------------------------------------------- extraction audit
+
+NON_WS_RE = "[^" + "".join(f"\\x{{{ord(c):x}}}" for c in PY_WHITESPACE) + "]+"
+
+
+def _audit_sql() -> str:
+    t = "text"
+    ok = f"length({strip(t)}) > 0"
+    return f"""SELECT file, status,
+      CASE status WHEN 'SUCCESS' THEN CAST(length({t}) AS BIGINT) WHEN 'FAILED' THEN 0 END AS chars,
+      CASE status WHEN 'SUCCESS' THEN CAST(len(regexp_extract_all({t}, '{NON_WS_RE}')) AS BIGINT)
+                  WHEN 'FAILED' THEN 0 END AS words,
+      CASE WHEN status <> 'ERROR' THEN size_bytes / 1048576 END AS size_mb,
+      CASE WHEN status = 'SUCCESS' THEN {strip(f"replace(substr({t}, 1, 100), chr(10), ' ')")} END AS preview,
+      error
+    FROM (SELECT *, CASE WHEN error IS NOT NULL THEN 'ERROR' WHEN {ok} THEN 'SUCCESS' ELSE 'FAILED' END AS status
+          FROM (SELECT {fixtures.FILE_NAME_EXPR} AS file, {fixtures.ROUTED_TEXT_EXPR} AS text,
+                       octet_length(encode(text)) AS size_bytes, {fixtures.AUDIT_ERROR_EXPR} AS error
+                FROM documents))"""
+
+
+def audit_extraction_sql() -> str:
+    return ("SELECT file, status, CAST(chars AS DOUBLE) AS chars, CAST(words AS DOUBLE) AS words, "
+            f"size_mb, preview, error FROM ({_audit_sql()})")
+
+
+def audit_summary_sql() -> str:
+    return f"""SELECT count(*) AS total, CAST(count_if(status = 'SUCCESS') AS BIGINT) AS successful,
+      CAST(count_if(status <> 'SUCCESS') AS BIGINT) AS failed,
+      round(count_if(status = 'SUCCESS') * 100.0 / nullif(count(*), 0), 1) AS success_rate,
+      CAST(sum(chars) FILTER (WHERE status = 'SUCCESS') AS BIGINT) AS total_chars,
+      avg(chars) FILTER (WHERE status = 'SUCCESS') AS avg_chars
+    FROM ({_audit_sql()})"""
+
+
+def audit_failures_sql() -> str:
+    return f"SELECT file, status, error FROM ({_audit_sql()}) WHERE status <> 'SUCCESS'"

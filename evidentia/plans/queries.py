@@ -11,6 +11,9 @@ from evidentia.functions.replies import count_extracted, is_question_echo, is_sh
 from evidentia.functions.strings import after_first, py_strip
 from evidentia.operators.coding import (answers_long, audit_responses, candidate_table, coded_rows,
                                         reply_lines, screening)
+from evidentia.operators.audit import audit_extraction, audit_failures, audit_summary
+from evidentia.operators.results import (ROUTE_CODE, assemble_results, failed_rows,
+                                         route_documents)
 from evidentia.operators.context import fit_context, fit_documents, split_sections
 from evidentia.operators.requests import (DEFAULT_TEMPLATE, apply_responder, build_prompt,
                                           build_requests)
@@ -306,3 +309,59 @@ def q_count_extracted(spark, sf_dir):
 @register("response_audit", oracles.response_audit_sql())
 def q_response_audit(spark, sf_dir):
     return audit_responses(_replies(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- results
+
+def _routed(spark, sf_dir):
+    src = table(spark, sf_dir, "documents", spread_on="doc_id")
+    return route_documents(fixtures.named_documents(src)), src
+
+
+@register("route_documents", oracles.route_documents_sql())
+def q_route_documents(spark, sf_dir):
+    routed, _ = _routed(spark, sf_dir)
+    return routed.select("doc_id", "route", "Title")
+
+
+@register("failed_rows", oracles.failed_rows_sql())
+def q_failed_rows(spark, sf_dir):
+    routed, _ = _routed(spark, sf_dir)
+    return failed_rows(routed, title="Title")
+
+
+@register("assemble_results", oracles.assemble_results_sql())
+def q_assemble_results(spark, sf_dir):
+    src = table(spark, sf_dir, "documents", spread_on="doc_id")
+    routed = route_documents(fixtures.named_documents(src)).join(
+        fixtures.responses(src).select("doc_id", "response"), "doc_id")
+    coded = coded_rows(routed.where(F.col("route") == ROUTE_CODE), title="Title")
+    failed = failed_rows(routed.where(F.col("route") != ROUTE_CODE), title="Title")
+    return assemble_results(coded, failed.drop("Exclusion Reason"))
+
+
+# ---------------------------------------------------------------- extraction audit
+
+def _audit(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", spread_on="doc_id").selectExpr(
+        f"{fixtures.FILE_NAME_EXPR} AS file", f"{fixtures.ROUTED_TEXT_EXPR} AS text",
+        "octet_length(text) AS size_bytes", f"{fixtures.AUDIT_ERROR_EXPR} AS error")
+    return audit_extraction(docs, error="error")
+
+
+@register("audit_extraction", oracles.audit_extraction_sql())
+def q_audit_extraction(spark, sf_dir):
+    # counts are absent (null) on ERROR rows; shown as doubles, as a table with
+    # missing values holds them
+    return _audit(spark, sf_dir).withColumn("chars", F.col("chars").cast("double")) \
+                                .withColumn("words", F.col("words").cast("double"))
+
+
+@register("audit_summary", oracles.audit_summary_sql())
+def q_audit_summary(spark, sf_dir):
+    return audit_summary(_audit(spark, sf_dir))
+
+
+@register("audit_failures", oracles.audit_failures_sql())
+def q_audit_failures(spark, sf_dir):
+    return audit_failures(_audit(spark, sf_dir))
