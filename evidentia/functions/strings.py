@@ -43,3 +43,13 @@ def starts_with(c, prefix: str) -> Column:
 
 def contains(c, needle: str) -> Column:
     return F.instr(col(c), needle) > 0
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable.
+
+    Lambda bodies get no common-subexpression elimination, so an array used
+    several times inside one (e.g. a paper's lines, read once per section)
+    would be recomputed at every use; binding it here computes it once.
+    """
+    return F.get(F.transform(F.array(value), body), 0)

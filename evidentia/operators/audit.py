@@ -35,7 +35,13 @@ def audit_extraction(files: DataFrame, file="file", text="text", size_bytes="siz
         F.when(ok, py_strip(F.replace(F.substr("_t", F.lit(1), F.lit(PREVIEW_CHARS)),
                                       F.lit("\n"), F.lit(" ")))).alias("preview"),
         "error")
-    return out.orderBy("file") if sort else out
+    if not sort:
+        return out
+    # The range partitioner samples its input before the sort; hash-shuffling
+    # the (small) audit rows first makes it sample materialized rows instead
+    # of re-running the per-file text work a second time.
+    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return out.repartition(n, "file").orderBy("file")
 
 
 def audit_summary(audit: DataFrame) -> DataFrame:

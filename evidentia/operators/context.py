@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.functions.strings import col, py_strip
+from evidentia.functions.strings import col, let, py_strip
 from evidentia.schema import (BUDGET_FILL, CHARS_PER_TOKEN, MAX_CONTEXT_TOKENS, MIN_PARTIAL_CHARS,
                               SECTION_MARKERS, SECTION_PRIORITY, START_SECTION, TRUNCATION_TAG)
 
@@ -44,23 +44,33 @@ def header_of(line: Column) -> Column:
 
 def section_array(text, mode: str = "compat") -> Column:
     """array<struct<section_no, header, content>> in text order; text before
-    the first header is section 0, ``start`` (absent if a header comes first)."""
+    the first header is section 0, ``start`` (absent if a header comes first).
+
+    The lines, their header names and the header positions are each bound
+    once (``let``) and shared by every section built from them."""
     sep = separator(mode)
-    lines = _split_literal(col(text), sep)
-    heads = F.transform(lines, header_of)
-    hpos = F.filter(F.transform(heads, lambda h, i: F.when(h.isNotNull(), i)),
-                    lambda p: p.isNotNull())
-    n = F.size(lines)
-    first = F.coalesce(F.get(hpos, 0), n)
 
-    def sec(no, header, start0, stop0):
-        return F.struct(no.alias("section_no"), header.alias("header"),
-                        F.array_join(F.slice(lines, start0 + 1, stop0 - start0), sep).alias("content"))
+    def build(lines, heads, hpos):
+        n = F.size(lines)
+        first = F.coalesce(F.get(hpos, 0), n)
+
+        def sec(no, header, start0, stop0):
+            return F.struct(no.alias("section_no"), header.alias("header"),
+                            F.array_join(F.slice(lines, start0 + 1, stop0 - start0), sep)
+                            .alias("content"))
+
+        start = F.when(first > 0, F.array(sec(F.lit(0), F.lit(START_SECTION), F.lit(0), first)))
+        rest = F.transform(hpos, lambda p, k: sec(k + 1, F.get(heads, p), p,
+                                                  F.coalesce(F.get(hpos, k + 1), n)))
+        return F.concat(F.coalesce(start, F.array().cast(SECTION_TYPE)), rest)
+
+    def with_heads(lines):
+        return let(F.transform(lines, header_of), lambda heads: let(
+            F.filter(F.transform(heads, lambda h, i: F.when(h.isNotNull(), i)),
+                     lambda p: p.isNotNull()),
+            lambda hpos: build(lines, heads, hpos)))
 
-    start = F.when(first > 0, F.array(sec(F.lit(0), F.lit(START_SECTION), F.lit(0), first)))
-    rest = F.transform(hpos, lambda p, k: sec(k + 1, F.get(heads, p), p,
-                                              F.coalesce(F.get(hpos, k + 1), n)))
-    return F.concat(F.coalesce(start, F.array().cast(SECTION_TYPE)), rest)
+    return let(_split_literal(col(text), sep), with_heads)
 
 
 def split_sections(docs: DataFrame, key="doc_id", text="text", mode: str = "compat") -> DataFrame:
@@ -112,9 +122,9 @@ def fit_context(text, max_tokens: int = MAX_CONTEXT_TOKENS, mode: str = "compat"
                                    cut.alias("parts")))
         return F.when(st["over"], st).otherwise(nxt)
 
-    walk = F.aggregate(ranked, init, step)
-    chosen = F.when(walk["over"] | (F.size(walk["parts"]) > 0), F.array_join(walk["parts"], "")) \
-              .otherwise(F.substr(t, F.lit(1), F.lit(max_tokens * CHARS_PER_TOKEN)))
+    chosen = let(F.aggregate(ranked, init, step), lambda walk: F.when(
+        walk["over"] | (F.size(walk["parts"]) > 0), F.array_join(walk["parts"], ""))
+        .otherwise(F.substr(t, F.lit(1), F.lit(max_tokens * CHARS_PER_TOKEN))))
     fits_whole = F.floor(F.length(t) / F.lit(CHARS_PER_TOKEN)) <= F.lit(max_tokens)
     return F.struct(F.when(fits_whole, t).otherwise(chosen).alias("text"),
                     (~fits_whole).alias("truncated"))

@@ -23,9 +23,11 @@ def _lines(*parts: str) -> str:
 S = "source"
 G = "lang"
 N = "CAST(n_chars AS STRING)"
-W1 = "split_part(text, ' ', 1)"
-W2 = "split_part(text, ' ', 2)"
-W3 = "split_part(text, ' ', 3)"
+# The k-th space-separated word (as split_part(text, ' ', k)), by an anchored
+# regex that stops at the k-th space instead of splitting the whole text.
+W1 = "regexp_extract(text, '^([^ ]*)', 1)"
+W2 = "regexp_extract(text, '^[^ ]* ([^ ]*)', 1)"
+W3 = "regexp_extract(text, '^[^ ]* [^ ]* ([^ ]*)', 1)"
 
 INC_Y = _q("**Include in Review**: Y")
 

@@ -265,17 +265,16 @@ def q_is_question_echo(spark, sf_dir):
                     is_question_echo("answer", strict=False).alias("light_echo"))
 
 
-_FORM_COLS = {1: [F.col("a1").alias("answer"), F.col("s1").alias("source")],
-              2: [F.col("a2").alias("answer")],
-              3: [F.col("a3").alias("answer"), F.col("s3").alias("source")],
-              4: [F.col("a4").alias("answer"), F.col("s4").alias("source")]}
+_FORM_COLS = {1: {"a1": "answer", "s1": "source"}, 2: {"a2": "answer"},
+              3: {"a3": "answer", "s3": "source"}, 4: {"a4": "answer", "s4": "source"}}
 
 
 def _register_form(form):
     @register(f"parse_form{form}", oracles.form_sql(form))
     def q_form(spark, sf_dir):
         c = candidate_table(_replies(spark, sf_dir))
-        return c.where(F.col(f"f{form}")).select("doc_id", "line_no", "n", *_FORM_COLS[form])
+        return c.where(F.col(f"f{form}")).select(
+            "doc_id", "line_no", "n", *[F.col(k).alias(v) for k, v in _FORM_COLS[form].items()])
 
 
 for _form in (1, 2, 3, 4):
