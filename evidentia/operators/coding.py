@@ -104,3 +104,10 @@ def candidate_table(df: DataFrame, response="response", keep=("doc_id",)) -> Dat
     keep = _keep(keep)
     facts = df.select(*keep, reply_facts(response_lines(col(response))).alias("_facts"))
     return facts.select(*keep, F.inline(line_candidates("_facts")))
+
+
+def question_dim(spark) -> DataFrame:
+    """The 12 questions: ``(n, answer_column, source_column)`` (a fixed table;
+    small enough to broadcast, or used as literals as the parser does)."""
+    rows = [(n, QUESTION_COLUMNS[n], source_column(QUESTION_COLUMNS[n])) for n in QUESTIONS]
+    return spark.createDataFrame(rows, "n int, answer_column string, source_column string")

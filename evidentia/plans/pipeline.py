@@ -56,11 +56,29 @@ def code_documents(docs: DataFrame, responses: DataFrame, text="text", file_name
     routed away from coding get the failure values in the final projection.
     """
     papers = routed_papers(docs, text, file_name, key)
+    joined = papers.join(_parsed_replies(responses, key).drop(TITLE), key, "left")
+    return _finish(joined, key)
+
+
+def code_replies(docs: DataFrame, responses: DataFrame, text="text", file_name="file_name",
+                 key: str = "doc_id") -> DataFrame:
+    """Like ``code_documents`` but driven by the replies: one row per reply
+    whose paper is known (inner join). This is the form a stream of replies
+    can be joined in (stream on the left, static papers on the right)."""
+    papers = routed_papers(docs, text, file_name, key)
+    joined = _parsed_replies(responses, key).drop(TITLE).join(papers, key, "inner")
+    return _finish(joined, key)
+
+
+def _parsed_replies(responses: DataFrame, key: str) -> DataFrame:
     replies = responses.select(key, "response", "error", F.lit(True).alias("_has_reply"))
-    parsed = coded_rows(replies, response="response", title=F.lit(None).cast("string"),
-                        keep=(key, "error", "_has_reply"))
-    joined = papers.join(parsed.drop(TITLE), key, "left")
+    return coded_rows(replies, response="response", title=F.lit(None).cast("string"),
+                      keep=(key, "error", "_has_reply"))
+
 
+def _finish(joined: DataFrame, key: str) -> DataFrame:
+    """Final projection: failure values for papers not routed to coding, for
+    failed calls and for papers without a stored reply."""
     route_c = F.col("route")
     error = F.when(F.col("_has_reply").isNull(), F.lit(NO_REPLY_ERROR)).otherwise(F.col("error"))
     failed = (route_c != ROUTE_CODE) | error.isNotNull()
@@ -76,3 +94,40 @@ def code_documents(docs: DataFrame, responses: DataFrame, text="text", file_name
     result = joined.select(key, *out)
     assert result.columns[1:] == CSV_COLUMNS
     return result
+
+
+def request_documents(docs: DataFrame, template: str, model=None, key: str = "doc_id",
+                      text: str = "text", max_tokens: int | None = None,
+                      mode: str = "compat") -> DataFrame:
+    """``(key, request, request_json)`` for the papers routed to coding: text
+    fitted to the budget, prompt, request payload (all narrow)."""
+    from evidentia.operators.context import fit_context
+    from evidentia.operators.requests import build_requests, prompt_text
+    from evidentia.schema import DEFAULT_MODEL, MAX_CONTEXT_TOKENS
+    coded = docs.where(route(text) == F.lit(ROUTE_CODE))
+    fitted = fit_context(text, max_tokens=max_tokens or MAX_CONTEXT_TOKENS, mode=mode)["text"]
+    prompts = coded.select(key, prompt_text(template, fitted, mode).alias("prompt"))
+    return build_requests(prompts, model=model or DEFAULT_MODEL, key=key)
+
+
+def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
+               output_path: str | None = None, key: str = "doc_id", text: str = "text",
+               file_name: str = "file_name", model=None, csv: bool = False) -> DataFrame:
+    """The whole run: requests -> responder -> replies written once to
+    ``replies_path`` (a shared folder) -> coded rows -> optional sink.
+
+    Writing the replies cuts the lineage before the expensive, non-repeatable
+    step's consumers: a lost executor later on re-reads stored replies
+    instead of calling the model again.
+    """
+    from evidentia.operators.requests import apply_responder, persist_responses
+    reqs = request_documents(docs, template, model=model, key=key, text=text)
+    replies = persist_responses(apply_responder(reqs, responder, key=key), replies_path)
+    coded = code_documents(docs, replies, text=text, file_name=file_name, key=key)
+    if output_path:
+        if csv:
+            from evidentia.sources.sinks import write_coding_csv
+            write_coding_csv(coded, output_path)
+        else:
+            coded.write.mode("overwrite").parquet(output_path)
+    return coded
