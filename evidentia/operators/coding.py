@@ -109,5 +109,7 @@ def candidate_table(df: DataFrame, response="response", keep=("doc_id",)) -> Dat
 def question_dim(spark) -> DataFrame:
     """The 12 questions: ``(n, answer_column, source_column)`` (a fixed table;
     small enough to broadcast, or used as literals as the parser does)."""
+    from evidentia.operators.pages import literal_table
     rows = [(n, QUESTION_COLUMNS[n], source_column(QUESTION_COLUMNS[n])) for n in QUESTIONS]
-    return spark.createDataFrame(rows, "n int, answer_column string, source_column string")
+    return literal_table(spark, rows, ["n", "answer_column", "source_column"],
+                         ["int", "string", "string"])

@@ -47,12 +47,19 @@ def pick_page_strategy(cands: DataFrame, key=("doc_id", "page_no"), order="strat
 
 def extraction_rules(spark: SparkSession) -> DataFrame:
     """The ranked extraction methods; OCR-type methods drop pages of <= 10
-    stripped chars and need more than 100 chars in total."""
+    stripped chars and need more than 100 chars in total. A literal table
+    (JVM-side, no Python worker), broadcast where it is joined."""
     rows = [("text_layer", 1, None, None), ("text_layer_tolerant", 2, None, None),
             ("layout", 3, None, None), ("reader", 4, None, None), ("cli", 5, None, None),
             ("ocr", 6, OCR_MIN_PAGE_CHARS, OCR_MIN_DOC_CHARS)]
-    return spark.createDataFrame(
-        rows, "method string, rank int, min_page_chars int, min_doc_chars int")
+    return literal_table(spark, rows, ["method", "rank", "min_page_chars", "min_doc_chars"],
+                         ["string", "int", "int", "int"])
+
+
+def literal_table(spark: SparkSession, rows, names, types) -> DataFrame:
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(r, names, types)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def first_accepted_text(cands: DataFrame, rules: DataFrame, key: str = "doc_id",

@@ -9,19 +9,27 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
+def _size_in_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` when its scan yields fewer splits than
-    the cluster has task slots; otherwise return it unchanged.
+    """Hash-partition ``df`` on ``key`` when the input is smaller than one
+    full wave of splits (task slots x ``spark.sql.files.maxPartitionBytes``);
+    otherwise return it unchanged.
 
-    Text tables are wide per row: one parquet row group can hold a whole
-    file, so a small input may scan as a single task, and every CPU-bound
-    per-row step after it (regexes, reply parsing) would run serially. On a
-    large input (splits >= slots) this is a no-op and adds no shuffle. With a
+    Text tables are wide per row and a Parquet row group is the unit of a
+    split: a small file can hold a single row group and scan as one task, so
+    every CPU-bound per-row step after it (regexes, reply parsing) would run
+    serially however many slots there are. A large input already yields at
+    least one split per slot, so this adds no shuffle at scale. With a
     ``key``, later joins/aggregations on that key reuse the partitioning.
     """
     spark = df.sparkSession
     slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
+    split_bytes = int(split) if split.isdigit() else 128 * 1024 * 1024
+    if _size_in_bytes(df) >= slots * split_bytes:
         return df
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(n, slots), key) if key else df.repartition(max(n, slots))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), slots)
+    return df.repartition(n, key) if key else df.repartition(n)
