@@ -103,28 +103,32 @@ def fit_context(text, max_tokens: int = MAX_CONTEXT_TOKENS, mode: str = "compat"
                                        s["content"].alias("content"))),
         lambda s: s["prio"].isNotNull()))
 
-    init = F.struct(F.lit(0).cast("long").alias("cum"), F.lit(False).alias("over"),
-                    F.array().cast("array<string>").alias("parts"))
+    # The walk carries scalars only (running length, sections kept, overflow
+    # flag) - O(sections); the text is then cut once from the ranked array.
+    init = F.struct(F.lit(0).cast("long").alias("cum"), F.lit(0).alias("kept"),
+                    F.lit(False).alias("over"))
 
     def step(st, s):
         grown = st["cum"] + F.lit(len(joiner)) + F.length(s["content"])
         fits = F.floor(grown / F.lit(CHARS_PER_TOKEN)) < F.lit(limit)
-        remaining = F.lit(budget) - st["cum"]
-        piece = F.concat(F.lit(joiner), F.substr(s["content"], F.lit(1), remaining.cast("int")),
-                         F.lit(sep + TRUNCATION_TAG))
-        cut = F.when(remaining > min_partial, F.concat(st["parts"], F.array(piece))) \
-               .otherwise(st["parts"])
-        nxt = F.when(fits, F.struct(grown.alias("cum"), F.lit(False).alias("over"),
-                                    F.concat(st["parts"], F.array(F.concat(F.lit(joiner),
-                                                                           s["content"])))
-                                    .alias("parts"))) \
-               .otherwise(F.struct(st["cum"].alias("cum"), F.lit(True).alias("over"),
-                                   cut.alias("parts")))
+        nxt = F.when(fits, F.struct(grown.alias("cum"), (st["kept"] + 1).alias("kept"),
+                                    F.lit(False).alias("over"))) \
+               .otherwise(F.struct(st["cum"].alias("cum"), st["kept"].alias("kept"),
+                                   F.lit(True).alias("over")))
         return F.when(st["over"], st).otherwise(nxt)
 
-    chosen = let(F.aggregate(ranked, init, step), lambda walk: F.when(
-        walk["over"] | (F.size(walk["parts"]) > 0), F.array_join(walk["parts"], ""))
-        .otherwise(F.substr(t, F.lit(1), F.lit(max_tokens * CHARS_PER_TOKEN))))
+    def assemble(ranked_arr, walk):
+        kept = F.array_join(F.transform(F.slice(ranked_arr, F.lit(1), walk["kept"]),
+                                        lambda x: F.concat(F.lit(joiner), x["content"])), "")
+        remaining = F.lit(budget) - walk["cum"]
+        first_out = F.get(ranked_arr, walk["kept"])["content"]
+        cut = F.when(walk["over"] & (remaining > min_partial),
+                     F.concat(F.lit(joiner), F.substr(first_out, F.lit(1), remaining.cast("int")),
+                              F.lit(sep + TRUNCATION_TAG))).otherwise(F.lit(""))
+        return F.when(walk["over"] | (walk["kept"] > 0), F.concat(kept, cut)) \
+                .otherwise(F.substr(t, F.lit(1), F.lit(max_tokens * CHARS_PER_TOKEN)))
+
+    chosen = let(ranked, lambda r: let(F.aggregate(r, init, step), lambda w: assemble(r, w)))
     fits_whole = F.floor(F.length(t) / F.lit(CHARS_PER_TOKEN)) <= F.lit(max_tokens)
     return F.struct(F.when(fits_whole, t).otherwise(chosen).alias("text"),
                     (~fits_whole).alias("truncated"))

@@ -77,3 +77,15 @@ def test_sections_and_budget_match_python(spark):
                       fit_documents(df, max_tokens=max_tokens, mode=mode).collect()}
             for i, text in docs:
                 assert fitted[i] == py_fit(text, max_tokens, sep), (mode, max_tokens, i)
+
+
+def test_many_sections_paper(spark):
+    # a reference list where every short line reads as a section header
+    sep = "\n"
+    lines = ["Abstract", "a" * 3000] + [f"Methods in Study {i}, 2001" for i in range(5000)]
+    text = sep.join(lines)
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    for max_tokens in (500, 20000, 60000):
+        got = fit_documents(df, max_tokens=max_tokens, mode="newline").first().text
+        assert got == py_fit(text, max_tokens, sep)
+    assert split_sections(df, mode="newline").count() == 5001
