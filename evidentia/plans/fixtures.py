@@ -173,12 +173,11 @@ def named_documents(documents):
 
 
 # ---------------------------------------------------------------- pages
-# Three extraction modes of a web page: a short plain text (two title words),
-# a layout text (first word of the heading) and the raw html.
+# Three extraction modes of a web page: the plain text is the whole title,
+# the layout text the whole advertising block, and the raw html.
 PAGE_TITLE = "regexp_extract(html, '<title>(.*?)</title>', 1)"
-PAGE_H1 = "regexp_extract(html, '<h1>(.*?)</h1>', 1)"
-PAGE_TEXT_EXPR = f"split_part({PAGE_TITLE}, ' ', 1) || ' ' || split_part({PAGE_TITLE}, ' ', 2)"
-PAGE_LAYOUT_EXPR = f"split_part({PAGE_H1}, ' ', 1)"
+PAGE_TEXT_EXPR = PAGE_TITLE
+PAGE_LAYOUT_EXPR = "regexp_extract(html, '<div class=\"ad\">(.*?)</div>', 1)"
 
 # Conversation turns stand for the pages of a paper (conv_id = paper,
 # turn = page); the role decides which extraction method produced the page,
@@ -189,7 +188,7 @@ CAND_TEXT_EXPR = "CASE WHEN role = 'user' AND length(text) <= 150 THEN '' ELSE t
 
 # Metadata of a paper no method could read.
 PH_IS_PDF = "lang <> 'de'"
-PH_TITLE = "CASE WHEN lang = 'en' THEN split_part(text, ' ', 2) END"
+PH_TITLE = f"CASE WHEN lang = 'en' THEN {W2} END"
 PH_AUTHOR = "CASE WHEN doc_id % 3 = 0 THEN source END"
 PH_PAGES = "CAST(floor(n_chars / 3000) AS BIGINT)"
 
