@@ -332,8 +332,10 @@ def q_failed_rows(spark, sf_dir):
 @register("assemble_results", oracles.assemble_results_sql())
 def q_assemble_results(spark, sf_dir):
     src = table(spark, sf_dir, "documents", spread_on="doc_id")
-    routed = route_documents(fixtures.named_documents(src)).join(
-        fixtures.responses(src).select("doc_id", "response"), "doc_id")
+    # route, title and the stored reply come from the same rows: one projection
+    docs = src.selectExpr("doc_id", f"{fixtures.FILE_NAME_EXPR} AS file_name",
+                          f"{fixtures.ROUTED_TEXT_EXPR} AS text", f"{fixtures.RESPONSE_EXPR} AS response")
+    routed = route_documents(docs)
     coded = coded_rows(routed.where(F.col("route") == ROUTE_CODE), title="Title")
     failed = failed_rows(routed.where(F.col("route") != ROUTE_CODE), title="Title")
     return assemble_results(coded, failed.drop("Exclusion Reason"))
@@ -341,11 +343,11 @@ def q_assemble_results(spark, sf_dir):
 
 # ---------------------------------------------------------------- extraction audit
 
-def _audit(spark, sf_dir):
+def _audit(spark, sf_dir, sort=True):
     docs = table(spark, sf_dir, "documents", spread_on="doc_id").selectExpr(
         f"{fixtures.FILE_NAME_EXPR} AS file", f"{fixtures.ROUTED_TEXT_EXPR} AS text",
         "octet_length(text) AS size_bytes", f"{fixtures.AUDIT_ERROR_EXPR} AS error")
-    return audit_extraction(docs, error="error")
+    return audit_extraction(docs, error="error", sort=sort)
 
 
 @register("audit_extraction", oracles.audit_extraction_sql())
@@ -358,7 +360,7 @@ def q_audit_extraction(spark, sf_dir):
 
 @register("audit_summary", oracles.audit_summary_sql())
 def q_audit_summary(spark, sf_dir):
-    return audit_summary(_audit(spark, sf_dir))
+    return audit_summary(_audit(spark, sf_dir, sort=False))   # an aggregate needs no order
 
 
 @register("audit_failures", oracles.audit_failures_sql())
