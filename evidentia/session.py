@@ -51,3 +51,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for staged outputs."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def sized_conf(shuffle_bytes: int, slots: int, text_heavy: bool = True) -> dict:
+    """Settings for a cluster run, sized from the bytes the widest shuffle
+    moves (for the coding run that is page text in ``assemble_pages`` /
+    ``first_accepted_text``; the coding join itself moves short strings).
+
+    * ~200 MB per shuffle partition, and at least two waves of tasks;
+    * 64 MB input splits for text tables (strings expand ~3x once decoded
+      from compressed Parquet, and per-row work is CPU-bound);
+    * adaptive execution with skew-join splitting, coalescing that respects
+      the advisory size (so CPU-heavy stages are not squeezed into few tasks).
+    """
+    per_partition = 200 * 1024 * 1024
+    partitions = max(2 * slots, -(-shuffle_bytes // per_partition))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str((64 if text_heavy else 128) * 1024 * 1024),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    }
