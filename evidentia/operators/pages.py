@@ -65,24 +65,40 @@ def literal_table(spark: SparkSession, rows, names, types) -> DataFrame:
 def first_accepted_text(cands: DataFrame, rules: DataFrame, key: str = "doc_id",
                         order: str = "page_no", text: str = "text") -> DataFrame:
     """``(key, method, rank, text)``: per paper, the lowest-rank method whose
-    assembled, stripped text is non-empty (and long enough for OCR-type rules).
-
-    ``rules`` has one row per extraction method (a handful), so it is
-    broadcast; the page rows are shuffled once on ``key`` and both
-    aggregations reuse that partitioning.
+    assembled, stripped text is non-empty (and, for rules with
+    ``min_doc_chars``, longer than that).
+
+    Lazy like the original fall-back chain: acceptance is decided from
+    per-(paper, method) statistics that aggregate map-side (has content; the
+    stripped length as the sum of page lengths + separators minus the first
+    page's leading and the last page's trailing whitespace), the winner is
+    the minimum rank over those small rows, and only the winning method's
+    pages are assembled. So a paper's group holds one method's pages, not
+    every method's. ``rules`` (one row per method) is broadcast. A rule with
+    ``min_doc_chars`` must also set ``min_page_chars`` (its kept pages then
+    all have content, which makes the length statistic exact).
     """
+    bad = rules.where(F.col("min_doc_chars").isNotNull() & F.col("min_page_chars").isNull())
+    if not bad.isEmpty():    # rules is one row per method: a tiny check
+        raise ValueError("a rule with min_doc_chars needs min_page_chars")
     rules_small = F.broadcast(rules.select("method", "rank", "min_page_chars", "min_doc_chars"))
-    t = col(text)
-    pages = (cands.join(rules_small, "method")
-             .where(t.isNotNull() & (t != F.lit("")) &
-                    (F.col("min_page_chars").isNull() |
-                     (F.length(py_strip(t)) > F.col("min_page_chars"))))
-             .repartition(key))
-    per_method = pages.groupBy(key, "method", "rank", "min_doc_chars").agg(
-        assembled_text(order, text).alias("text"))
-    accepted = per_method.where((F.col("text") != F.lit("")) &
-                                (F.col("min_doc_chars").isNull() |
-                                 (F.length("text") > F.col("min_doc_chars"))))
-    best = accepted.groupBy(key).agg(
-        F.min_by(F.struct("method", "rank", "text"), F.col("rank")).alias("best"))
-    return best.select(key, "best.method", "best.rank", "best.text")
+    t, o = col(text), col(order)
+    stripped = F.length(py_strip(t))
+    kept = (cands.join(rules_small, "method")
+            .where(t.isNotNull() & (t != F.lit("")) &
+                   (F.col("min_page_chars").isNull() | (stripped > F.col("min_page_chars")))))
+
+    lead = F.length(t) - F.length(F.regexp_replace(t, r"(?U)\A[\s\x1c-\x1f]+", ""))
+    trail = F.length(t) - F.length(F.regexp_replace(t, r"(?U)[\s\x1c-\x1f]+\z", ""))
+    stats = kept.groupBy(key, "method", "rank", "min_doc_chars").agg(
+        F.max(stripped > 0).alias("has_text"),
+        (F.sum(F.length(t)) + F.count(F.lit(1)) - 1
+         - F.min_by(lead, o) - F.max_by(trail, o)).alias("text_len"))
+    accepted = stats.where(F.col("has_text") & (F.col("min_doc_chars").isNull() |
+                                                (F.col("text_len") > F.col("min_doc_chars"))))
+    chosen = accepted.groupBy(key).agg(F.min_by("method", "rank").alias("method"),
+                                       F.min("rank").alias("rank"))
+
+    pages = kept.select(key, "method", o.alias("_o"), t.alias("_t")).repartition(key)
+    winners = pages.join(chosen.repartition(key), [key, "method"])
+    return winners.groupBy(key, "method", "rank").agg(assembled_text("_o", "_t").alias("text"))
