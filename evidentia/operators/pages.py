@@ -102,3 +102,19 @@ def first_accepted_text(cands: DataFrame, rules: DataFrame, key: str = "doc_id",
     pages = kept.select(key, "method", o.alias("_o"), t.alias("_t")).repartition(key)
     winners = pages.join(chosen.repartition(key), [key, "method"])
     return winners.groupBy(key, "method", "rank").agg(assembled_text("_o", "_t").alias("text"))
+
+
+def paper_text(files: DataFrame, accepted: DataFrame, key: str = "doc_id",
+               file_name: str = "file_name", is_pdf: str = "is_pdf", title=None, author=None,
+               page_count=None) -> DataFrame:
+    """``(key, file_name, method, text)``: the text of each paper file - the
+    accepted method's text; else, for a PDF, the stand-in text; else ``""``
+    (which later routes the paper to a failed row)."""
+    from evidentia.functions.text import placeholder_text
+    acc = accepted.select(key, F.col("method").alias("_method"), F.col("text").alias("_text"))
+    j = files.join(acc, key, "left")
+    stand_in = placeholder_text(file_name, is_pdf, title, author, page_count)
+    return j.select(
+        key, file_name,
+        F.coalesce(F.col("_method"), F.when(col(is_pdf), F.lit("placeholder"))).alias("method"),
+        F.coalesce(F.col("_text"), stand_in).alias("text"))

@@ -36,3 +36,15 @@ def test_first_accepted_text(spark):
     assert got[2] == ("ocr", "y" * 120)          # tiny OCR page dropped
     assert 3 not in got                           # OCR total must exceed 100 chars
     assert got[4] == ("reader", "reader text")    # lower rank wins
+
+
+def test_paper_text_fallbacks(spark):
+    from evidentia.operators.pages import paper_text
+    files = spark.createDataFrame(
+        [(1, "a.pdf", True), (2, "scan.pdf", True), (3, "notes.pdf", False)],
+        "doc_id long, file_name string, is_pdf boolean")
+    accepted = spark.createDataFrame([(1, "layout", "the text")], "doc_id long, method string, text string")
+    got = {r.doc_id: (r.method, r.text) for r in paper_text(files, accepted).collect()}
+    assert got[1] == ("layout", "the text")
+    assert got[2][0] == "placeholder" and got[2][1].startswith("Title: scan\n\nNote: ")
+    assert got[3] == (None, "")
