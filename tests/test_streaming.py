@@ -33,3 +33,19 @@ def test_run_coding_end_to_end(spark, tmp_path):
     failed = out.where("`Include in Review (Y/N)` = 'N'").count()
     coded_ok = out.where("`1.1 Primary Stakeholders` LIKE 'Readers of a %'").count()
     assert failed > 0 and coded_ok > 0 and failed + coded_ok == src.count()
+
+
+def test_stream_restart_codes_each_reply_once(spark, tmp_path):
+    src = spark.read.parquet(f"{SF}/documents.parquet")
+    papers = fixtures.named_documents(src)
+    replies = fixtures.responses(src)
+    inbox, out, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    replies.where("doc_id < 50").write.parquet(str(inbox / "b1"))
+    stream_code_replies(spark, str(inbox / "*"), papers, out, checkpoint=ckpt).awaitTermination(300)
+    first = spark.read.parquet(out).count()
+    # more replies land while the job is down; the restart resumes from the checkpoint
+    replies.where("doc_id >= 50").write.parquet(str(inbox / "b2"))
+    stream_code_replies(spark, str(inbox / "*"), papers, out, checkpoint=ckpt).awaitTermination(300)
+    done = spark.read.parquet(out)
+    assert first == 50
+    assert done.count() == src.count() == done.select("doc_id").distinct().count()
