@@ -68,6 +68,15 @@ def format_title(file_name) -> Column:
         " ")
 
 
+LAYOUT_TYPE = "array<struct<lines:array<struct<spans:array<struct<text:string>>>>>>"
+
+
+def layout_from_json(c) -> Column:
+    """Parse a page layout stored as JSON (``{"blocks": [...]}``) into the
+    nested blocks array; absent keys read as null and are skipped later."""
+    return F.from_json(col(c), f"struct<blocks:{LAYOUT_TYPE}>")["blocks"]
+
+
 def flatten_layout(blocks) -> Column:
     """blocks -> lines -> spans -> text, joined by one space; missing levels skipped."""
     def line_texts(line):

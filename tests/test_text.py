@@ -88,3 +88,12 @@ def test_placeholder_text(spark):
     assert got[1] == ""
     assert got[2].startswith("Title: c\n\nNote: This PDF appears")
     assert "including OCR" in got[2]
+
+
+def test_layout_from_json(spark):
+    from evidentia.functions.text import layout_from_json
+    js = ('{"blocks": [{"lines": [{"spans": [{"text": "Deep"}, {"size": 9}]}, {"spans": [{"text": "nets"}]}]},'
+          ' {"type": 1}, {"lines": [{"bbox": [0, 1]}]}]}')
+    df = spark.createDataFrame([(js,), ("not json",)], "j string")
+    got = [r[0] for r in df.select(flatten_layout(layout_from_json("j"))).collect()]
+    assert got == ["Deep nets", None]
