@@ -22,6 +22,8 @@ def _csv_writer(df: DataFrame):
     return (df.write.mode("overwrite")
             .option("header", True).option("quote", '"').option("escape", '"')
             .option("emptyValue", "").option("nullValue", "")
+            # no comment character: a value starting with '#' stays unquoted
+            .option("comment", "\u0000")
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
             .option("encoding", "UTF-8").option("lineSep", "\n"))
 

@@ -43,3 +43,15 @@ def test_csv_round_trip(spark, tmp_path):
     spark_back = read_coding_csv(spark, path)
     assert spark_back.columns == CSV_COLUMNS and spark_back.count() == 4
     assert write_coding_csv(df.limit(0), str(tmp_path)) == ""
+
+
+def test_csv_bytes_match_pandas(spark, tmp_path):
+    import pandas as pd
+    vals = [" lead", "trail ", "a,b", 'say "hi"', "multi\nline", "cr\rx", "", "#hash",
+            "Not specified", "tab\there", "é ß", '"', ";semi"]
+    rows = [tuple(vals[(i + j) % len(vals)] for j in range(27)) for i in range(len(vals))]
+    pd.DataFrame(rows, columns=CSV_COLUMNS).to_csv(tmp_path / "p.csv", index=False,
+                                                   encoding="utf-8-sig")
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in CSV_COLUMNS))
+    path = write_coding_csv(df.coalesce(1), str(tmp_path), name="s.csv", single_file=True)
+    assert open(path, "rb").read() == (tmp_path / "p.csv").read_bytes()
