@@ -58,3 +58,20 @@ def test_pages_shuffle_text_once(spark):
     # page text crosses one exchange; the statistics exchanges carry numbers only
     assert sum(1 for c in inputs if re.search(r"\btext#|\b_t#", c)) == 1
     assert len(inputs) >= 2
+
+
+def test_bucketed_inputs_code_without_shuffle(spark, tmp_path):
+    from evidentia.plans import fixtures
+    from evidentia.sources.sinks import write_bucketed
+    src = _docs(spark)
+    write_bucketed(fixtures.named_documents(src), "papers_b", buckets=4, path=str(tmp_path / "p"))
+    write_bucketed(fixtures.responses(src), "replies_b", buckets=4, path=str(tmp_path / "r"))
+    # large tables never broadcast; make the small test tables behave the same
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        coded = code_documents(spark.table("papers_b"), spark.table("replies_b"))
+        assert _exchange_inputs(coded, broadcasts=True) == []
+        assert coded.count() == src.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
