@@ -144,13 +144,15 @@ def _injected(spark, sf_dir, mode):
 
 
 def _register_context(mode):
-    @register(f"split_sections_{mode}", oracles.split_sections_sql(mode))
+    suffix = "" if mode == "compat" else f"_{mode}"     # compat is the default mode
+
+    @register(f"split_sections{suffix}", oracles.split_sections_sql(mode))
     def q_split(spark, sf_dir):
         secs = split_sections(_injected(spark, sf_dir, mode), mode=mode)
         return secs.select("doc_id", "section_no", "header", F.md5("content").alias("content_md5"),
                            F.length("content").cast("long").alias("content_len"))
 
-    @register(f"fit_context_{mode}", oracles.fit_context_sql(mode, FIT_MAX_TOKENS))
+    @register(f"fit_context{suffix}", oracles.fit_context_sql(mode, FIT_MAX_TOKENS))
     def q_fit(spark, sf_dir):
         fitted = fit_documents(_injected(spark, sf_dir, mode), max_tokens=FIT_MAX_TOKENS, mode=mode)
         return fitted.select("doc_id", F.md5("text").alias("text_md5"),
