@@ -110,19 +110,34 @@ def request_documents(docs: DataFrame, template: str, model=None, key: str = "do
     return build_requests(prompts, model=model or DEFAULT_MODEL, key=key)
 
 
+def _complete(spark, path: str) -> bool:
+    """True when ``path`` holds a committed Spark output (its _SUCCESS marker)."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
                output_path: str | None = None, key: str = "doc_id", text: str = "text",
-               file_name: str = "file_name", model=None, csv: bool = False) -> DataFrame:
+               file_name: str = "file_name", model=None, csv: bool = False,
+               reuse_replies: bool = True) -> DataFrame:
     """The whole run: requests -> responder -> replies written once to
     ``replies_path`` (a shared folder) -> coded rows -> optional sink.
 
     Writing the replies cuts the lineage before the expensive, non-repeatable
     step's consumers: a lost executor later on re-reads stored replies
-    instead of calling the model again.
+    instead of calling the model again. With ``reuse_replies`` a rerun (after
+    a failed job or a lost driver) finds the committed replies and skips the
+    model calls; a write that failed part-way commits nothing, so it is
+    simply redone.
     """
     from evidentia.operators.requests import apply_responder, persist_responses
-    reqs = request_documents(docs, template, model=model, key=key, text=text)
-    replies = persist_responses(apply_responder(reqs, responder, key=key), replies_path)
+    spark = docs.sparkSession
+    if reuse_replies and _complete(spark, replies_path):
+        replies = spark.read.parquet(replies_path)
+    else:
+        reqs = request_documents(docs, template, model=model, key=key, text=text)
+        replies = persist_responses(apply_responder(reqs, responder, key=key), replies_path)
     coded = code_documents(docs, replies, text=text, file_name=file_name, key=key)
     if output_path:
         if csv:

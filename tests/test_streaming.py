@@ -49,3 +49,16 @@ def test_stream_restart_codes_each_reply_once(spark, tmp_path):
     done = spark.read.parquet(out)
     assert first == 50
     assert done.count() == src.count() == done.select("doc_id").distinct().count()
+
+
+def test_run_coding_reuses_committed_replies(spark, tmp_path):
+    src = spark.read.parquet(f"{SF}/documents.parquet")
+    papers = fixtures.named_documents(src)
+    replies = str(tmp_path / "replies")
+    run_coding(papers, fixtures.demo_responder, "T", replies, str(tmp_path / "o1"))
+    # a rerun must not call the model again: this responder would change every answer
+    run_coding(papers, lambda req: "**1. X**: SECOND CALL", "T", replies, str(tmp_path / "o2"))
+    a = spark.read.parquet(str(tmp_path / "o1"))
+    b = spark.read.parquet(str(tmp_path / "o2"))
+    assert b.where("`1.1 Primary Stakeholders` = 'SECOND CALL'").count() == 0
+    assert a.exceptAll(b).count() == 0
