@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 import pandas as pd
@@ -90,22 +91,31 @@ def _to_plain(v):
 
 
 def apply_responder(requests: DataFrame, fn, key: str = "doc_id",
-                    request: str = "request") -> DataFrame:
+                    request: str = "request_json") -> DataFrame:
     """``(key, response, error)``: ``fn(request_dict) -> str`` on every row.
 
+    The request reaches ``fn`` as the dict a chat API takes: decoded from
+    ``request_json`` (fields that are not set are absent, as ``to_json``
+    drops nulls), or from a request struct with its null fields removed.
     Arrow batches through ``mapInPandas``; an exception becomes that row's
     ``error`` and never fails the task, so one bad paper cannot abort the
     batch. Stage retries call ``fn`` again: persist the result (Parquet in the
     shared folder) before joining, so each reply is paid for once.
     """
     key_type = requests.schema[key].dataType.simpleString()
+    as_json = requests.schema[request].dataType.simpleString() == "string"
+
+    def decode(raw):
+        if as_json:
+            return json.loads(raw)
+        return {k: v for k, v in _to_plain(raw).items() if v is not None}
 
     def run(batches):
         for pdf in batches:
             replies, errors = [], []
-            for req in pdf[request]:
+            for raw in pdf[request]:
                 try:
-                    out = fn(_to_plain(req))
+                    out = fn(decode(raw))
                     replies.append(None if out is None else str(out))
                     errors.append(None)
                 except Exception as e:  # noqa: BLE001 - failure isolation is the point

@@ -40,3 +40,12 @@ def test_responder_isolates_failures(spark, tmp_path):
     assert len(got) == 20
     assert got[3] == (None, "ValueError: bad paper") and got[13][1] == "ValueError: bad paper"
     assert got[4] == ("reply p4", None)
+
+
+def test_responder_gets_api_shaped_request(spark):
+    df = spark.createDataFrame([(1, "p")], "doc_id long, prompt string")
+    reqs = build_requests(df, model="gpt-5-mini")
+    seen = apply_responder(reqs, lambda r: ",".join(sorted(r))).first().response
+    assert seen == "max_completion_tokens,messages,model"
+    seen_struct = apply_responder(reqs, lambda r: ",".join(sorted(r)), request="request").first().response
+    assert seen_struct == seen
