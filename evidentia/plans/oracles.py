@@ -12,7 +12,7 @@ from __future__ import annotations
 from evidentia.plans import fixtures
 from evidentia.schema import (ANSWER_MARKER, CSV_COLUMNS, EXCLUSION_REASON, FAILED_INCLUDE,
                               PLACEHOLDER_NOTE,
-                              FIELD_COLUMNS, INCLUDE, INCLUDE_MARKER, NOT_SPECIFIED,
+                              FIELD_COLUMNS, INCLUDE, INCLUDE_MARKER,
                               PLACEHOLDER_PHRASE, PROCESSING_FAILED, PY_WHITESPACE,
                               QUESTION_COLUMNS, QUESTION_STARTERS, QUESTIONS, REASON_MANUAL_REVIEW,
                               REASON_MARKER, REASON_NO_TEXT, SOURCE_MARKER, TITLE,

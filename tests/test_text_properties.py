@@ -4,7 +4,6 @@ import random
 import re
 from pathlib import Path
 
-from pyspark.sql import functions as F
 
 from evidentia.functions.strings import py_split_words, py_strip
 from evidentia.functions.text import estimate_tokens, file_stem, format_title, strip_markup
