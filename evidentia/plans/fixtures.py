@@ -144,8 +144,6 @@ ERROR_EXPR = f"CASE WHEN doc_id % 8 = 7 THEN 'Request failed: timeout after ' ||
 # A file name per document: source, three leading words and the language.
 FILE_NAME_EXPR = f"{S} || '_' || {W1} || '-' || {W2} || '_' || {W3} || '-' || {G} || '.pdf'"
 
-RESPONSE_SQL = (f"SELECT doc_id, {RESPONSE_EXPR} AS response, {ERROR_EXPR} AS error "
-                "FROM documents")
 # Text as extraction left it: very short papers read as nothing, short ones
 # as the stand-in text of an unreadable PDF, the rest as their text.
 def _placeholder_sql() -> str:
@@ -157,7 +155,6 @@ ROUTED_TEXT_EXPR = (f"CASE WHEN n_chars < 300 THEN '' WHEN n_chars < 800 THEN {_
                     "ELSE text END")
 AUDIT_ERROR_EXPR = "CASE WHEN n_chars < 50 THEN 'unreadable file' END"
 
-DOCUMENTS_SQL = f"SELECT doc_id, {FILE_NAME_EXPR} AS file_name, {ROUTED_TEXT_EXPR} AS text FROM documents"
 
 
 def responses(documents):

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from evidentia.functions.text import (estimate_tokens, flatten_layout, format_title,
                                       normalize_text, page_mode_chain, placeholder_text,
                                       strip_markup)
-from evidentia.functions.replies import count_extracted, is_question_echo, is_short_response
+from evidentia.functions.replies import is_question_echo, is_short_response
 from evidentia.functions.strings import after_first, py_strip
 from evidentia.operators.coding import (answers_long, audit_responses, candidate_table, coded_rows,
-                                        reply_lines, screening)
+                                        reply_lines, screening, with_extracted_count)
 from evidentia.operators.audit import audit_extraction, audit_failures, audit_summary
 from evidentia.operators.results import (ROUTE_CODE, assemble_results, failed_rows,
                                          route_documents)
@@ -304,7 +304,7 @@ def q_short_response_guard(spark, sf_dir):
 @register("count_extracted", oracles.count_extracted_sql())
 def q_count_extracted(spark, sf_dir):
     coded = q_code_documents(spark, sf_dir)
-    return coded.select("doc_id", count_extracted().alias("extracted_count"))
+    return with_extracted_count(coded).select("doc_id", "extracted_count")
 
 
 @register("response_audit", oracles.response_audit_sql())
