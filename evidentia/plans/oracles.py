@@ -53,8 +53,8 @@ def echo(a: str, strict: bool) -> str:
 def format_title_sql(fn: str) -> str:
     name = f"regexp_extract({fn}, '[^/]*$', 0)"
     stem = f"regexp_replace({name}, '(?s)^(.+)\\.[^.]+$', '\\1')"
-    words = (f"list_filter(regexp_split_to_array({strip(f'translate({stem}, {q(chr(95) + chr(45))}, {q(chr(32) * 2)})')}, "
-             f"'{WS_RE}+'), lambda w: w <> '')")
+    spaced = f"translate({stem}, '_-', '  ')"
+    words = f"list_filter(regexp_split_to_array({strip(spaced)}, '{WS_RE}+'), lambda w: w <> '')"
     small = "[" + ", ".join(q(w) for w in TITLE_LOWERCASE_WORDS) + "]"
     # Python's capitalize title-cases with full mappings (a leading sharp s -> 'Ss').
     cap = "CASE WHEN left(w, 1) = 'ß' THEN 'Ss' ELSE upper(left(w, 1)) END || lower(substr(w, 2))"
