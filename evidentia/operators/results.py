@@ -52,11 +52,14 @@ def routed_failure_reason() -> Column:
 
 
 def assemble_results(*dfs: DataFrame, keep=("doc_id",)) -> DataFrame:
-    """Union by name, fixed column order; a missing column reads ``'nan'``."""
+    """Union by name in the fixed column order, with the string conversion the
+    CSV step applies: a missing column reads ``'nan'`` and a null value
+    ``'None'`` (every coding path fills all 27, so these are edge cases)."""
     keep = list(keep or [])
     fixed = []
     for d in dfs:
         present = set(d.columns)
-        fixed.append(d.select(*keep, *[F.col(f"`{c}`") if c in present
-                                       else F.lit("nan").alias(c) for c in CSV_COLUMNS]))
+        fixed.append(d.select(*keep, *[
+            F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("None")).alias(c) if c in present
+            else F.lit("nan").alias(c) for c in CSV_COLUMNS]))
     return reduce(lambda a, b: a.unionByName(b), fixed)

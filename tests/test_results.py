@@ -27,3 +27,14 @@ def test_code_documents_routes(spark):
     assert out[3]["1.1 Primary Stakeholders - Source"] == NS
     assert out[4]["Exclusion Reason"] == PF and out[4]["Include in Review (Y/N)"] == "N"
     assert out[5]["Exclusion Reason"] == PF and out[5]["4.2 Measurement of agency"] == PF
+
+
+def test_assemble_results_string_conversion(spark):
+    from evidentia.operators.results import assemble_results
+    full = spark.createDataFrame([tuple([1] + ["x"] * 27)],
+                                 ", ".join(["doc_id long"] + [f"`{c}` string" for c in CSV_COLUMNS]))
+    partial = spark.createDataFrame([(2, None, "N")], "doc_id long, Title string, `Include in Review (Y/N)` string")
+    out = {r.doc_id: r.asDict() for r in assemble_results(full, partial).collect()}
+    assert list(out[2])[1:] == CSV_COLUMNS
+    assert out[2]["Title"] == "None" and out[2]["Include in Review (Y/N)"] == "N"
+    assert out[2]["Exclusion Reason"] == "nan" and out[1]["Exclusion Reason"] == "x"
