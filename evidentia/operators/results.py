@@ -46,9 +46,12 @@ def route_documents(df: DataFrame, text="text", file_name="file_name") -> DataFr
                           .otherwise(format_title(col(file_name)))))
 
 
-def routed_failure_reason() -> Column:
-    return (F.when(F.col("route") == ROUTE_NO_TEXT, F.lit(REASON_NO_TEXT))
-             .otherwise(F.lit(REASON_MANUAL_REVIEW)))
+def routed_failure_reason(route_col="route") -> Column:
+    """Exclusion reason of a failed row: no text, manual review, or a failed call."""
+    r = col(route_col)
+    return (F.when(r == F.lit(ROUTE_NO_TEXT), F.lit(REASON_NO_TEXT))
+             .when(r == F.lit(ROUTE_MANUAL), F.lit(REASON_MANUAL_REVIEW))
+             .otherwise(F.lit(PROCESSING_FAILED)))
 
 
 def assemble_results(*dfs: DataFrame, keep=("doc_id",)) -> DataFrame:

@@ -13,12 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.operators.coding import coded_rows
-from evidentia.operators.results import ROUTE_CODE, ROUTE_MANUAL, ROUTE_NO_TEXT, route
+from evidentia.operators.results import ROUTE_CODE, ROUTE_NO_TEXT, route, routed_failure_reason
 from evidentia.functions.strings import col
 from evidentia.functions.text import format_title
 from evidentia.schema import (CSV_COLUMNS, EXCLUSION_REASON, FAILED_INCLUDE, FIELD_COLUMNS,
-                              INCLUDE, PROCESSING_FAILED, REASON_MANUAL_REVIEW, REASON_NO_TEXT,
-                              TITLE)
+                              INCLUDE, PROCESSING_FAILED, TITLE)
 
 NO_REPLY_ERROR = "no response recorded"
 
@@ -82,9 +81,7 @@ def _finish(joined: DataFrame, key: str) -> DataFrame:
     route_c = F.col("route")
     error = F.when(F.col("_has_reply").isNull(), F.lit(NO_REPLY_ERROR)).otherwise(F.col("error"))
     failed = (route_c != ROUTE_CODE) | error.isNotNull()
-    reason = (F.when(route_c == ROUTE_NO_TEXT, F.lit(REASON_NO_TEXT))
-               .when(route_c == ROUTE_MANUAL, F.lit(REASON_MANUAL_REVIEW))
-               .otherwise(F.lit(PROCESSING_FAILED)))
+    reason = routed_failure_reason("route")
     out = [F.col(TITLE)]
     out.append(F.when(failed, F.lit(FAILED_INCLUDE)).otherwise(F.col(f"`{INCLUDE}`")).alias(INCLUDE))
     out.append(F.when(failed, reason).otherwise(F.col(f"`{EXCLUSION_REASON}`"))
