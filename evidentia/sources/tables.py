@@ -9,8 +9,13 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
-def _size_in_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def _size_in_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (file sizes for a plain scan), or
+    None where the plan statistics are not reachable (e.g. Spark Connect)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate means: leave the input as it is
+        return None
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -29,7 +34,8 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     slots = spark.sparkContext.defaultParallelism
     split = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
     split_bytes = int(split) if split.isdigit() else 128 * 1024 * 1024
-    if _size_in_bytes(df) >= slots * split_bytes:
+    size = _size_in_bytes(df)
+    if size is None or size >= slots * split_bytes:
         return df
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), slots)
     return df.repartition(n, key) if key else df.repartition(n)
