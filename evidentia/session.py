@@ -19,10 +19,10 @@ LOCAL_DEFAULTS = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "evidentia") -> SparkSession:
+                  app: str = "evidentia", extra: dict | None = None) -> SparkSession:
     """A local session for tests and benchmarks (cluster jobs bring their own)."""
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for k, v in LOCAL_DEFAULTS.items():
+    for k, v in {**LOCAL_DEFAULTS, **(extra or {})}.items():
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = b.config("spark.driver.memory", os.environ.get("EVIDENTIA_DRIVER_MEMORY", "8g"))

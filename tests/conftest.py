@@ -11,8 +11,11 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from evidentia.session import local_session
-    s = local_session(cores=4, shuffle_partitions=8, app="evidentia-tests")
+    warehouse = tempfile.mkdtemp(prefix="evidentia-warehouse-")
+    s = local_session(cores=4, shuffle_partitions=8, app="evidentia-tests",
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
