@@ -17,7 +17,7 @@ from evidentia.schema import (COMPLETION_CAP_MODELS, DEFAULT_MAX_TOKENS, DEFAULT
 
 PAPER_LABEL = "RESEARCH PAPER:"
 DEFAULT_TEMPLATE = os.path.join(os.path.dirname(os.path.dirname(__file__)), "resources",
-                                "prompt_template.txt")
+                                "coding_prompt.txt")
 
 REQUEST_TYPE = T.StructType([
     T.StructField("model", T.StringType()),
