@@ -29,9 +29,27 @@ def assembled_text(order, text) -> Column:
     return py_strip(F.array_join(ordered, "\n"))
 
 
-def assemble_pages(pages: DataFrame, key="doc_id", order="page_no", text="text") -> DataFrame:
-    """``(key.., text)``: one text per paper from its page rows."""
-    return pages.groupBy(*_keys(key)).agg(assembled_text(order, text).alias("text"))
+def assemble_pages(pages: DataFrame, key="doc_id", order="page_no", text="text",
+                   chunk_pages: int | None = None) -> DataFrame:
+    """``(key.., text)``: one text per paper from its page rows.
+
+    ``chunk_pages`` splits papers with very many pages: chunks of that many
+    consecutive pages are assembled first, keyed by (paper, chunk), so a hot
+    paper's sorting and concatenation spread over many tasks; the second
+    step only joins a paper's few chunk strings. It costs a second shuffle of
+    the text, so use it for inputs with such papers only.
+    """
+    keys = _keys(key)
+    if not chunk_pages:
+        return pages.groupBy(*keys).agg(assembled_text(order, text).alias("text"))
+    t = col(text)
+    page = F.when(t.isNotNull() & (t != F.lit("")), F.struct(col(order).alias("o"), t.alias("t")))
+    chunk = F.floor(col(order) / F.lit(chunk_pages)).alias("_chunk")
+    chunks = pages.groupBy(*keys, chunk).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(page)), lambda p: p["t"]), "\n")
+        .alias("_t"))
+    return chunks.groupBy(*keys).agg(
+        assembled_text("_chunk", "_t").alias("text"))
 
 
 def pick_page_strategy(cands: DataFrame, key=("doc_id", "page_no"), order="strategy",

@@ -48,3 +48,17 @@ def test_paper_text_fallbacks(spark):
     assert got[1] == ("layout", "the text")
     assert got[2][0] == "placeholder" and got[2][1].startswith("Title: scan\n\nNote: ")
     assert got[3] == (None, "")
+
+
+def test_chunked_assembly_equals_single_step(spark):
+    import random
+    rng = random.Random(5)
+    rows = []
+    for doc in range(30):
+        for p in rng.sample(range(500), rng.randint(1, 120)):
+            rows.append((doc, p, rng.choice(["", None, " ", "a", "line\\n", f"page {p} "])))
+    pages = spark.createDataFrame(rows, "doc_id long, page_no int, text string")
+    one = {r.doc_id: r.text for r in assemble_pages(pages).collect()}
+    for k in (1, 7, 64):
+        two = {r.doc_id: r.text for r in assemble_pages(pages, chunk_pages=k).collect()}
+        assert two == one, k
