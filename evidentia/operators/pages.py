@@ -81,7 +81,8 @@ def literal_table(spark: SparkSession, rows, names, types) -> DataFrame:
 
 
 def first_accepted_text(cands: DataFrame, rules: DataFrame, key: str = "doc_id",
-                        order: str = "page_no", text: str = "text") -> DataFrame:
+                        order: str = "page_no", text: str = "text",
+                        chunk_pages: int | None = None) -> DataFrame:
     """``(key, method, rank, text)``: per paper, the lowest-rank method whose
     assembled, stripped text is non-empty (and, for rules with
     ``min_doc_chars``, longer than that).
@@ -92,7 +93,8 @@ def first_accepted_text(cands: DataFrame, rules: DataFrame, key: str = "doc_id",
     page's leading and the last page's trailing whitespace), the winner is
     the minimum rank over those small rows, and only the winning method's
     pages are assembled. So a paper's group holds one method's pages, not
-    every method's. ``rules`` (one row per method) is broadcast. A rule with
+    every method's (``chunk_pages`` as in ``assemble_pages``). ``rules`` (one
+    row per method) is broadcast. A rule with
     ``min_doc_chars`` must also set ``min_page_chars`` (its kept pages then
     all have content, which makes the length statistic exact).
     """
@@ -119,7 +121,8 @@ def first_accepted_text(cands: DataFrame, rules: DataFrame, key: str = "doc_id",
 
     pages = kept.select(key, "method", o.alias("_o"), t.alias("_t")).repartition(key)
     winners = pages.join(chosen.repartition(key), [key, "method"])
-    return winners.groupBy(key, "method", "rank").agg(assembled_text("_o", "_t").alias("text"))
+    return assemble_pages(winners, key=[key, "method", "rank"], order="_o", text="_t",
+                          chunk_pages=chunk_pages)
 
 
 def paper_text(files: DataFrame, accepted: DataFrame, key: str = "doc_id",

@@ -62,3 +62,14 @@ def test_chunked_assembly_equals_single_step(spark):
     for k in (1, 7, 64):
         two = {r.doc_id: r.text for r in assemble_pages(pages, chunk_pages=k).collect()}
         assert two == one, k
+
+
+def test_first_accepted_text_chunked(spark):
+    conv = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    cands = conv.selectExpr("conv_id AS doc_id",
+                            "CASE role WHEN 'user' THEN 'layout' ELSE 'ocr' END AS method",
+                            "turn AS page_no", "text")
+    rules = extraction_rules(spark)
+    one = sorted(first_accepted_text(cands, rules).collect())
+    two = sorted(first_accepted_text(cands, rules, chunk_pages=2).collect())
+    assert one == two and len(one) > 0
