@@ -36,10 +36,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is; only when it is unset (local tests) a scratch folder is created.
+    is. Only a local-mode session without it gets a scratch folder (tests): a
+    machine-local folder would not survive a lost executor, so a cluster
+    session without the setting is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: set it to a folder every "
+                             "executor and the driver share (e.g. on HDFS or an object store)")
         current = tempfile.mkdtemp(prefix="evidentia-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
