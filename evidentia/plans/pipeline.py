@@ -9,6 +9,9 @@ so the inputs are scanned once.
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,23 +98,55 @@ def _finish(joined: DataFrame, key: str) -> DataFrame:
 
 def request_documents(docs: DataFrame, template: str, model=None, key: str = "doc_id",
                       text: str = "text", max_tokens: int | None = None,
-                      mode: str = "compat") -> DataFrame:
+                      mode: str = "compat", skip: DataFrame | None = None) -> DataFrame:
     """``(key, request, request_json)`` for the papers routed to coding: text
-    fitted to the budget, prompt, request payload (all narrow)."""
+    fitted to the budget, prompt, request payload (all narrow).
+
+    ``skip`` (a frame with ``key``) drops papers that already have a reply,
+    by a left anti join on the key before any text work; only the key column
+    of ``skip`` is read, so adaptive execution broadcasts it while it is small.
+    """
     from evidentia.operators.context import fit_context
     from evidentia.operators.requests import build_requests, prompt_text
     from evidentia.schema import DEFAULT_MODEL, MAX_CONTEXT_TOKENS
     coded = docs.where(route(text) == F.lit(ROUTE_CODE))
+    if skip is not None:
+        coded = coded.join(skip.select(key), key, "left_anti")
     fitted = fit_context(text, max_tokens=max_tokens or MAX_CONTEXT_TOKENS, mode=mode)["text"]
     prompts = coded.select(key, prompt_text(template, fitted, mode).alias("prompt"))
     return build_requests(prompts, model=model or DEFAULT_MODEL, key=key)
 
 
-def _complete(spark, path: str) -> bool:
-    """True when ``path`` holds a committed Spark output (its _SUCCESS marker)."""
+def _fs(spark, path: str):
     jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _committed(spark, path: str) -> bool:
+    """True when ``path`` holds a committed Spark output (its _SUCCESS marker)."""
+    p, fs = _fs(spark, path.rstrip("/") + "/_SUCCESS")
+    return fs.exists(p)
+
+
+def committed_reply_batches(spark, replies_path: str) -> list[str]:
+    """The committed reply batches under ``replies_path``: its sub-folders
+    with a _SUCCESS marker (or the folder itself, when one committed output
+    was written there directly). A batch whose job failed part-way has no
+    marker and is ignored. Only folder metadata is listed on the driver."""
+    root, fs = _fs(spark, replies_path)
+    if not fs.exists(root):
+        return []
+    if _committed(spark, replies_path):
+        return [replies_path]
+    found = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and not name.startswith(("_", ".")):
+            sub = st.getPath().toString()
+            if _committed(spark, sub):
+                found.append(sub)
+    return sorted(found)
 
 
 def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
@@ -123,18 +158,29 @@ def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
 
     Writing the replies cuts the lineage before the expensive, non-repeatable
     step's consumers: a lost executor later on re-reads stored replies
-    instead of calling the model again. With ``reuse_replies`` a rerun (after
-    a failed job or a lost driver) finds the committed replies and skips the
-    model calls; a write that failed part-way commits nothing, so it is
-    simply redone.
+    instead of calling the model again. ``replies_path`` holds one committed
+    batch per run. With ``reuse_replies`` a rerun (after a failed job, a lost
+    driver, or with papers added to ``docs``) reads the committed batches,
+    calls the model only for papers that have no stored reply yet and commits
+    those replies as a new batch; a batch whose write failed part-way commits
+    nothing and its papers are simply asked again. Stored replies, failed
+    calls included, are kept as they are. Without ``reuse_replies`` the
+    folder is cleared and every paper is asked again.
     """
     from evidentia.operators.requests import apply_responder, persist_responses
     spark = docs.sparkSession
-    if reuse_replies and _complete(spark, replies_path):
-        replies = spark.read.parquet(replies_path)
+    if reuse_replies:
+        batches = committed_reply_batches(spark, replies_path)
     else:
-        reqs = request_documents(docs, template, model=model, key=key, text=text)
-        replies = persist_responses(apply_responder(reqs, responder, key=key), replies_path)
+        root, fs = _fs(spark, replies_path)
+        if fs.exists(root):
+            fs.delete(root, True)
+        batches = []
+    stored = spark.read.parquet(*batches) if batches else None
+    reqs = request_documents(docs, template, model=model, key=key, text=text, skip=stored)
+    batch = f"{replies_path.rstrip('/')}/batch-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+    persist_responses(apply_responder(reqs, responder, key=key), batch)
+    replies = spark.read.parquet(*batches, batch)
     coded = code_documents(docs, replies, text=text, file_name=file_name, key=key)
     if output_path:
         if csv:

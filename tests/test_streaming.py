@@ -1,7 +1,7 @@
 """The streaming coder gives the batch coder's rows for the replies that landed."""
 
 from evidentia.plans import fixtures
-from evidentia.plans.pipeline import code_documents, run_coding
+from evidentia.plans.pipeline import code_documents, committed_reply_batches, run_coding
 from evidentia.streaming.coding_stream import stream_code_replies
 
 SF = "/root/testdata/sf0.001"
@@ -62,3 +62,31 @@ def test_run_coding_reuses_committed_replies(spark, tmp_path):
     b = spark.read.parquet(str(tmp_path / "o2"))
     assert b.where("`1.1 Primary Stakeholders` = 'SECOND CALL'").count() == 0
     assert a.exceptAll(b).count() == 0
+
+
+def test_run_coding_asks_only_papers_without_a_stored_reply(spark, tmp_path):
+    src = spark.read.parquet(f"{SF}/documents.parquet")
+    papers = fixtures.named_documents(src)
+    replies = str(tmp_path / "replies")
+    first = papers.where("doc_id < 50")
+    run_coding(first, fixtures.demo_responder, "T", replies, str(tmp_path / "o1"))
+    # a batch folder without _SUCCESS (a write that failed part-way) is ignored
+    first.limit(1).write.parquet(str(tmp_path / "replies" / "batch-broken"))
+    (tmp_path / "replies" / "batch-broken" / "_SUCCESS").unlink()
+    # all papers now: only the new ones reach the (different) responder
+    run_coding(papers, lambda req: "**1. X**: SECOND CALL", "T", replies, str(tmp_path / "o2"))
+    a = spark.read.parquet(str(tmp_path / "o1"))
+    b = spark.read.parquet(str(tmp_path / "o2"))
+    assert b.count() == src.count() == b.select("doc_id").distinct().count()
+    second = b.where("`1.1 Primary Stakeholders` = 'SECOND CALL'").select("doc_id")
+    assert second.where("doc_id < 50").count() == 0
+    assert second.count() > 0
+    assert a.exceptAll(b.where("doc_id < 50")).count() == 0
+    # without reuse every paper is asked again
+    run_coding(papers, lambda req: "**1. X**: THIRD CALL", "T", replies, str(tmp_path / "o3"),
+               reuse_replies=False)
+    c = spark.read.parquet(str(tmp_path / "o3"))
+    assert c.count() == src.count()
+    assert c.where("`1.1 Primary Stakeholders` = 'SECOND CALL'").count() == 0
+    assert c.where("`1.1 Primary Stakeholders` = 'THIRD CALL'").count() > 0
+    assert len(committed_reply_batches(spark, replies)) == 1
