@@ -39,10 +39,10 @@ def cmd_requests(a) -> int:
 
 
 def cmd_code(a) -> int:
-    from evidentia.plans.pipeline import code_documents
+    from evidentia.plans.pipeline import code_documents, read_replies
     from evidentia.sources.sinks import write_coding_csv
     spark = _session()
-    coded = code_documents(spark.read.parquet(a.papers), spark.read.parquet(a.replies))
+    coded = code_documents(spark.read.parquet(a.papers), read_replies(spark, a.replies))
     if a.csv:
         print(write_coding_csv(coded, a.out, single_file=a.single_file))
     else:

@@ -149,6 +149,14 @@ def committed_reply_batches(spark, replies_path: str) -> list[str]:
     return sorted(found)
 
 
+def read_replies(spark, replies_path: str) -> DataFrame:
+    """Stored replies ``(key, response, error)``: the committed batches a
+    ``run_coding`` folder holds, else the folder read as one Parquet table
+    (replies written by another tool)."""
+    batches = committed_reply_batches(spark, replies_path)
+    return spark.read.parquet(*(batches or [replies_path]))
+
+
 def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
                output_path: str | None = None, key: str = "doc_id", text: str = "text",
                file_name: str = "file_name", model=None, csv: bool = False,

@@ -1,7 +1,8 @@
 """The streaming coder gives the batch coder's rows for the replies that landed."""
 
 from evidentia.plans import fixtures
-from evidentia.plans.pipeline import code_documents, committed_reply_batches, run_coding
+from evidentia.plans.pipeline import (code_documents, committed_reply_batches, read_replies,
+                                      request_documents, run_coding)
 from evidentia.streaming.coding_stream import stream_code_replies
 
 SF = "/root/testdata/sf0.001"
@@ -90,3 +91,7 @@ def test_run_coding_asks_only_papers_without_a_stored_reply(spark, tmp_path):
     assert c.where("`1.1 Primary Stakeholders` = 'SECOND CALL'").count() == 0
     assert c.where("`1.1 Primary Stakeholders` = 'THIRD CALL'").count() > 0
     assert len(committed_reply_batches(spark, replies)) == 1
+    stored = read_replies(spark, replies)
+    asked = request_documents(papers, "T").select("doc_id")
+    assert stored.count() == asked.count() == stored.select("doc_id").distinct().count()
+    assert stored.select("doc_id").exceptAll(asked).count() == 0
