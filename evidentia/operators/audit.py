@@ -37,11 +37,17 @@ def audit_extraction(files: DataFrame, file="file", text="text", size_bytes="siz
         "error")
     if not sort:
         return out
-    # The range partitioner samples its input before the sort; hash-shuffling
-    # the (small) audit rows first makes it sample materialized rows instead
-    # of re-running the per-file text work a second time.
+    # The range partitioner samples its input before the sort; shuffling the
+    # (small) audit rows first makes it sample materialized rows instead of
+    # re-running the per-file text work a second time. Copies of one file
+    # share a name (and a whole audit row), so neither that shuffle nor the
+    # sort may key on the name alone: the shuffle is keyless and the sort
+    # breaks ties on the row's input position (taken before any shuffle, so
+    # a retried task sees the same values), letting the range partitioner
+    # spread a name held by many rows over many tasks.
     n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return out.repartition(n, "file").orderBy("file")
+    ranked = out.withColumn("_pos", F.monotonically_increasing_id())
+    return ranked.repartition(n).orderBy("file", "_pos").drop("_pos")
 
 
 def audit_summary(audit: DataFrame) -> DataFrame:
