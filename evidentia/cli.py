@@ -88,7 +88,8 @@ def main(argv=None) -> int:
     c.add_argument("--replies", required=True)
     c.add_argument("--out", required=True)
     c.add_argument("--csv", action="store_true")
-    c.add_argument("--single-file", action="store_true")
+    c.add_argument("--single-file", action="store_true",
+                   help="one CSV file when the output is at most 128 MB staged, else part files")
     c.set_defaults(fn=cmd_code)
     u = sub.add_parser("audit", help="extraction audit of the papers' texts")
     u.add_argument("--papers", required=True)

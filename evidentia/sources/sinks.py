@@ -28,15 +28,25 @@ def _csv_writer(df: DataFrame):
             .option("encoding", "UTF-8").option("lineSep", "\n"))
 
 
+# Staged (Parquet) bytes one task may turn into a single CSV file; larger
+# outputs are written as a directory of part files instead.
+SINGLE_FILE_MAX_BYTES = 128 * 1024 * 1024
+
+
 def write_coding_csv(df: DataFrame, folder: str, name: str | None = None,
-                     single_file: bool = False) -> str:
+                     single_file: bool = False,
+                     single_file_max_bytes: int = SINGLE_FILE_MAX_BYTES) -> str:
     """Write the 27 columns in order as CSV: header, no index column, UTF-8 with
     a byte-order mark, minimal quoting with doubled quotes, empty strings kept
     empty. Returns the output path; an empty input writes nothing, returns "".
 
     By default every task writes its own part file into ``folder/name`` (a
-    directory); ``single_file=True`` coalesces to one file named ``name`` -
-    only for outputs small enough for one task.
+    directory). ``single_file=True`` asks for one file named ``name``, which
+    one task must write: the rows are first written in parallel to a staging
+    table in ``folder`` (each with its input position) and only when that
+    table is at most ``single_file_max_bytes`` does one task write the file,
+    in input order; a larger output is written as part files (a directory)
+    and a warning says so.
     """
     out = df.select(*[F.col(f"`{c}`").cast("string") for c in CSV_COLUMNS])
     if out.isEmpty():
@@ -50,11 +60,35 @@ def write_coding_csv(df: DataFrame, folder: str, name: str | None = None,
         _csv_writer(out).csv(target)
         return target
     staging = f"{folder.rstrip('/')}/_staging-{uuid.uuid4().hex}"
-    _csv_writer(out.coalesce(1)).csv(staging)
-    _move_single_part(spark, staging, target)
+    out.withColumn("_pos", F.monotonically_increasing_id()).write.parquet(staging)
+    staged = spark.read.parquet(staging)
+    size = _folder_bytes(spark, staging)
+    if size > single_file_max_bytes:
+        import warnings
+        warnings.warn(f"coding CSV: {size} staged bytes exceed {single_file_max_bytes}; "
+                      f"writing part files into the directory {target}", stacklevel=2)
+        _csv_writer(staged.drop("_pos")).csv(target)
+    else:
+        csv_staging = staging + "-csv"
+        _csv_writer(staged.coalesce(1).sortWithinPartitions("_pos").drop("_pos")).csv(csv_staging)
+        _move_single_part(spark, csv_staging, target)
+    _delete(spark, staging)
     return target
 
 
+def _folder_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _move_single_part(spark: SparkSession, staging: str, target: str) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

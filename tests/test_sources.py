@@ -55,3 +55,19 @@ def test_csv_bytes_match_pandas(spark, tmp_path):
     df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in CSV_COLUMNS))
     path = write_coding_csv(df.coalesce(1), str(tmp_path), name="s.csv", single_file=True)
     assert open(path, "rb").read() == (tmp_path / "p.csv").read_bytes()
+
+
+def test_csv_single_file_falls_back_to_part_files_above_the_bound(spark, tmp_path):
+    import os
+    import warnings
+    rows = [tuple(f"v{i}-{j}" for j in range(27)) for i in range(200)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in CSV_COLUMNS)).repartition(4)
+    with warnings.catch_warnings(record=True) as seen:
+        warnings.simplefilter("always")
+        path = write_coding_csv(df, str(tmp_path), name="big.csv", single_file=True,
+                                single_file_max_bytes=1)
+    assert os.path.isdir(path) and any("part files" in str(w.message) for w in seen)
+    assert read_coding_csv(spark, path).count() == 200
+    assert not [p for p in os.listdir(tmp_path) if p.startswith("_staging")]
+    one = write_coding_csv(df, str(tmp_path), name="one.csv", single_file=True)
+    assert os.path.isfile(one) and read_coding_csv(spark, one).count() == 200
