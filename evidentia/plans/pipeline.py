@@ -96,6 +96,29 @@ def _finish(joined: DataFrame, key: str) -> DataFrame:
     return result
 
 
+KEY_ROW_BYTES = 16  # one bigint key as a broadcast row (null bits + value)
+
+
+def drop_done(docs: DataFrame, done: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` without the papers whose key is in ``done``.
+
+    A key-only job first counts the papers still to do (both sides read only
+    the key column). When their keys fit under
+    ``spark.sql.autoBroadcastJoinThreshold`` they are broadcast and the papers
+    semi-joined to them, so the paper text is not shuffled (the usual case
+    when a few papers were added to a large, already coded corpus).
+    Otherwise the papers are anti-joined with ``done``'s keys, which Spark
+    broadcasts while those are small and sort-merge joins beyond that.
+    """
+    done_keys = done.select(key)
+    pending = docs.select(key).join(done_keys, key, "left_anti")
+    limit = docs.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    limit = int(limit) if limit.lstrip("-").isdigit() else 10 * 1024 * 1024
+    if limit > 0 and pending.count() * KEY_ROW_BYTES <= limit:
+        return docs.join(F.broadcast(pending), key, "left_semi")
+    return docs.join(done_keys, key, "left_anti")
+
+
 def request_documents(docs: DataFrame, template: str, model=None, key: str = "doc_id",
                       text: str = "text", max_tokens: int | None = None,
                       mode: str = "compat", skip: DataFrame | None = None) -> DataFrame:
@@ -103,15 +126,14 @@ def request_documents(docs: DataFrame, template: str, model=None, key: str = "do
     fitted to the budget, prompt, request payload (all narrow).
 
     ``skip`` (a frame with ``key``) drops papers that already have a reply,
-    by a left anti join on the key before any text work; only the key column
-    of ``skip`` is read, so adaptive execution broadcasts it while it is small.
+    before any text work (see ``drop_done``).
     """
     from evidentia.operators.context import fit_context
     from evidentia.operators.requests import build_requests, prompt_text
     from evidentia.schema import DEFAULT_MODEL, MAX_CONTEXT_TOKENS
-    coded = docs.where(route(text) == F.lit(ROUTE_CODE))
     if skip is not None:
-        coded = coded.join(skip.select(key), key, "left_anti")
+        docs = drop_done(docs, skip, key)
+    coded = docs.where(route(text) == F.lit(ROUTE_CODE))
     fitted = fit_context(text, max_tokens=max_tokens or MAX_CONTEXT_TOKENS, mode=mode)["text"]
     prompts = coded.select(key, prompt_text(template, fitted, mode).alias("prompt"))
     return build_requests(prompts, model=model or DEFAULT_MODEL, key=key)

@@ -49,3 +49,23 @@ def test_responder_gets_api_shaped_request(spark):
     assert seen == "max_completion_tokens,messages,model"
     seen_struct = apply_responder(reqs, lambda r: ",".join(sorted(r)), request="request").first().response
     assert seen_struct == seen
+
+
+def test_drop_done_same_rows_either_way(spark):
+    """Pending keys broadcast (under the threshold) or anti join (above it)."""
+    from evidentia.plans.pipeline import drop_done
+    docs = spark.range(2000).selectExpr("id AS doc_id", "repeat('x', CAST(id % 7 AS INT)) AS text")
+    done = spark.range(0, 2000, 3).selectExpr("id AS doc_id", "'r' AS response")
+    want = sorted(i for i in range(2000) if i % 3)
+    small = drop_done(docs, done)
+    assert "LeftSemi" in small._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.doc_id for r in small.select("doc_id").collect()) == want
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64")
+    try:
+        large = drop_done(docs, done)
+        plan = large._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftAnti" in plan and "LeftSemi" not in plan
+        assert sorted(r.doc_id for r in large.select("doc_id").collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
