@@ -13,7 +13,8 @@ The public operators, grouped as in the README:
 * replies: ``coded_rows``, ``answers_long``, ``candidate_table``,
   ``reply_lines``, ``screening``, ``audit_responses``
 * results: ``route_documents``, ``failed_rows``, ``assemble_results``,
-  ``code_documents``, ``code_replies``, ``run_coding``, ``read_replies``
+  ``code_documents``, ``code_replies``, ``code_routed_replies``, ``run_coding``,
+  ``read_replies``
 * audit: ``audit_extraction``, ``audit_summary``, ``audit_failures``
 """
 
@@ -30,7 +31,7 @@ from evidentia.operators.requests import (apply_responder, build_prompt, build_r
                                           persist_responses)
 from evidentia.operators.results import assemble_results, failed_rows, route_documents
 from evidentia.plans.pipeline import (attach_responses, code_documents, code_replies,
-                                      committed_reply_batches, read_replies, request_documents,
+                                      code_routed_replies, committed_reply_batches, read_replies, request_documents,
                                       run_coding)
 from evidentia.schema import CSV_COLUMNS
 from evidentia.sources.files import file_diagnostics, load_prompt, scan_papers

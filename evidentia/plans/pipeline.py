@@ -67,8 +67,13 @@ def code_replies(docs: DataFrame, responses: DataFrame, text="text", file_name="
     """Like ``code_documents`` but driven by the replies: one row per reply
     whose paper is known (inner join). This is the form a stream of replies
     can be joined in (stream on the left, static papers on the right)."""
-    papers = routed_papers(docs, text, file_name, key)
-    joined = _parsed_replies(responses, key).drop(TITLE).join(papers, key, "inner")
+    return code_routed_replies(routed_papers(docs, text, file_name, key), responses, key)
+
+
+def code_routed_replies(routed: DataFrame, responses: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``code_replies`` on already routed papers ``(key, route, Title)``
+    (``routed_papers``), e.g. a thin table staged once for a stream."""
+    joined = _parsed_replies(responses, key).drop(TITLE).join(routed, key, "inner")
     return _finish(joined, key)
 
 

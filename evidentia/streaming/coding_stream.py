@@ -1,18 +1,22 @@
 """Coding replies as they land: the same parse, run by Structured Streaming.
 
 Replies arrive as Parquet files ``(key, response, error)`` in a folder (for
-example, written batch by batch by a responder job). Each micro-batch is
-parsed (stateless, narrow) and joined to the static, projected paper table
-(stream-static left join), and appended to a Parquet sink. The checkpoint
+example, written batch by batch by a responder job). When the query starts,
+the papers are routed once and the thin ``(key, route, Title)`` table is
+written to the shared folder, so a micro-batch never re-reads paper text.
+Each micro-batch is parsed (stateless, narrow), joined to that static table
+(stream-static join) and appended to a Parquet sink. The checkpoint
 lives in the shared ``spark.checkpoint.dir`` so a restarted query resumes
 exactly where it stopped; the file sink commits each batch once.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.plans.pipeline import code_replies
+from evidentia.plans.pipeline import code_routed_replies, routed_papers
 from evidentia.session import scratch_path
 
 REPLY_SCHEMA = "doc_id long, response string, error string"
@@ -32,7 +36,9 @@ def stream_code_replies(spark: SparkSession, replies_dir: str, papers: DataFrame
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     replies = reader.parquet(replies_dir)
-    coded = _code_stream(papers, replies, key)
+    staged = scratch_path(spark, f"coding-stream-papers-{uuid.uuid4().hex}")
+    routed_papers(papers, key=key).write.parquet(staged)
+    coded = _code_stream(spark.read.parquet(staged), replies, key)
     writer = (coded.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint or scratch_path(spark, "coding-stream"))
               .option("path", output_dir))
@@ -40,7 +46,7 @@ def stream_code_replies(spark: SparkSession, replies_dir: str, papers: DataFrame
     return writer.start()
 
 
-def _code_stream(papers: DataFrame, replies: DataFrame, key: str) -> DataFrame:
-    # stream (replies) on the left, static papers on the right: one coded row
-    # per arriving reply; the parse itself is stateless, so no watermark.
-    return code_replies(papers, replies, key=key)
+def _code_stream(routed: DataFrame, replies: DataFrame, key: str) -> DataFrame:
+    # stream (replies) on the left, static routed papers on the right: one
+    # coded row per arriving reply; the parse itself is stateless, so no watermark.
+    return code_routed_replies(routed, replies, key=key)

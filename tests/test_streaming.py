@@ -8,7 +8,7 @@ from evidentia.streaming.coding_stream import stream_code_replies
 SF = "/root/testdata/sf0.001"
 
 
-def test_stream_matches_batch(spark, tmp_path):
+def test_stream_matches_batch(spark, tmp_path, capsys):
     src = spark.read.parquet(f"{SF}/documents.parquet")
     papers = fixtures.named_documents(src)
     replies = fixtures.responses(src)
@@ -18,6 +18,11 @@ def test_stream_matches_batch(spark, tmp_path):
     q = stream_code_replies(spark, str(tmp_path / "in" / "*"), papers, str(tmp_path / "out"),
                             checkpoint=str(tmp_path / "ckpt"))
     q.awaitTermination(300)
+    # a micro-batch reads the staged (key, route, Title) table, never paper text
+    capsys.readouterr()
+    q.explain()
+    plan = capsys.readouterr().out
+    assert "ReadSchema" in plan and "text:string" not in plan and "Title:string" in plan
     got = spark.read.parquet(str(tmp_path / "out"))
     want = code_documents(papers, replies)
     assert got.count() == want.count() == src.count()
