@@ -19,6 +19,7 @@ from evidentia.operators.coding import coded_rows
 from evidentia.operators.results import ROUTE_CODE, ROUTE_NO_TEXT, route, routed_failure_reason
 from evidentia.functions.strings import col
 from evidentia.functions.text import format_title
+from evidentia.sources import paths
 from evidentia.schema import (CSV_COLUMNS, EXCLUSION_REASON, FAILED_INCLUDE, FIELD_COLUMNS,
                               INCLUDE, PROCESSING_FAILED, TITLE)
 
@@ -144,36 +145,14 @@ def request_documents(docs: DataFrame, template: str, model=None, key: str = "do
     return build_requests(prompts, model=model or DEFAULT_MODEL, key=key)
 
 
-def _fs(spark, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _committed(spark, path: str) -> bool:
-    """True when ``path`` holds a committed Spark output (its _SUCCESS marker)."""
-    p, fs = _fs(spark, path.rstrip("/") + "/_SUCCESS")
-    return fs.exists(p)
-
-
 def committed_reply_batches(spark, replies_path: str) -> list[str]:
     """The committed reply batches under ``replies_path``: its sub-folders
     with a _SUCCESS marker (or the folder itself, when one committed output
     was written there directly). A batch whose job failed part-way has no
     marker and is ignored. Only folder metadata is listed on the driver."""
-    root, fs = _fs(spark, replies_path)
-    if not fs.exists(root):
-        return []
-    if _committed(spark, replies_path):
+    if paths.committed(spark, replies_path):
         return [replies_path]
-    found = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and not name.startswith(("_", ".")):
-            sub = st.getPath().toString()
-            if _committed(spark, sub):
-                found.append(sub)
-    return sorted(found)
+    return [d for d in paths.child_dirs(spark, replies_path) if paths.committed(spark, d)]
 
 
 def read_replies(spark, replies_path: str) -> DataFrame:
@@ -207,9 +186,7 @@ def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
     if reuse_replies:
         batches = committed_reply_batches(spark, replies_path)
     else:
-        root, fs = _fs(spark, replies_path)
-        if fs.exists(root):
-            fs.delete(root, True)
+        paths.delete(spark, replies_path)
         batches = []
     stored = spark.read.parquet(*batches) if batches else None
     reqs = request_documents(docs, template, model=model, key=key, text=text, skip=stored)

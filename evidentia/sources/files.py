@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from evidentia.functions.strings import col, py_strip
 from evidentia.functions.text import file_name_of
 from evidentia.schema import HEADER_BYTES, PDF_MAGIC, PDF_SNIFF_BYTES
+from evidentia.sources import paths
 
 PAPER_GLOB = "*.{pdf,PDF}"
 FILES_SCHEMA = T.StructType([
@@ -19,13 +20,6 @@ FILES_SCHEMA = T.StructType([
 ])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def scan_papers(spark: SparkSession, path: str, glob: str = PAPER_GLOB) -> DataFrame:
     """``(path, file_name, modificationTime, length, content)`` for the paper
     files directly in ``path`` (not recursive); empty when the folder is
@@ -35,7 +29,7 @@ def scan_papers(spark: SparkSession, path: str, glob: str = PAPER_GLOB) -> DataF
     shuffle) is needed. ``content`` is read lazily: selecting only names and
     sizes never opens the files.
     """
-    if not _exists(spark, path):
+    if not paths.exists(spark, path):
         df = spark.createDataFrame([], FILES_SCHEMA)
     else:
         df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
@@ -49,7 +43,7 @@ def load_prompt(spark: SparkSession, path: str) -> str:
 
     A template is a few kilobytes of configuration, so it is read as one
     whole-text row and handed to the plan as a literal."""
-    if not _exists(spark, path):
+    if not paths.exists(spark, path):
         raise FileNotFoundError(path)
     row = spark.read.text(path, wholetext=True).select(py_strip("value").alias("t")).first()
     return "" if row is None else row["t"]

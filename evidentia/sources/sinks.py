@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.schema import CSV_COLUMNS, TITLE
+from evidentia.sources import paths
 
 BOM = "\ufeff"
 
@@ -62,7 +63,7 @@ def write_coding_csv(df: DataFrame, folder: str, name: str | None = None,
     staging = f"{folder.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     out.withColumn("_pos", F.monotonically_increasing_id()).write.parquet(staging)
     staged = spark.read.parquet(staging)
-    size = _folder_bytes(spark, staging)
+    size = paths.total_bytes(spark, staging)
     if size > single_file_max_bytes:
         import warnings
         warnings.warn(f"coding CSV: {size} staged bytes exceed {single_file_max_bytes}; "
@@ -71,37 +72,11 @@ def write_coding_csv(df: DataFrame, folder: str, name: str | None = None,
     else:
         csv_staging = staging + "-csv"
         _csv_writer(staged.coalesce(1).sortWithinPartitions("_pos").drop("_pos")).csv(csv_staging)
-        _move_single_part(spark, csv_staging, target)
-    _delete(spark, staging)
+        paths.move_single_part(spark, csv_staging, target)
+    paths.delete(spark, staging)
     return target
 
 
-def _folder_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def _move_single_part(spark: SparkSession, staging: str, target: str) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src_dir = jvm.org.apache.hadoop.fs.Path(staging)
-    fs = src_dir.getFileSystem(conf)
-    parts = [s.getPath() for s in fs.listStatus(src_dir) if s.getPath().getName().startswith("part-")]
-    dst = jvm.org.apache.hadoop.fs.Path(target)
-    if fs.exists(dst):
-        fs.delete(dst, True)
-    fs.rename(parts[0], dst)
-    fs.delete(src_dir, True)
-
-
 def read_coding_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read a coding CSV back (BOM stripped from the first header cell)."""
     df = (spark.read.option("header", True).option("multiLine", True)
