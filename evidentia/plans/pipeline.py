@@ -155,18 +155,39 @@ def committed_reply_batches(spark, replies_path: str) -> list[str]:
     return [d for d in paths.child_dirs(spark, replies_path) if paths.committed(spark, d)]
 
 
-def read_replies(spark, replies_path: str) -> DataFrame:
+def read_replies(spark, replies_path: str, key: str = "doc_id") -> DataFrame:
     """Stored replies ``(key, response, error)``: the committed batches a
     ``run_coding`` folder holds, else the folder read as one Parquet table
     (replies written by another tool)."""
     batches = committed_reply_batches(spark, replies_path)
-    return spark.read.parquet(*(batches or [replies_path]))
+    if not batches:
+        return spark.read.parquet(replies_path)
+    return _one_reply_per_paper(spark, batches, key)
+
+
+def _one_reply_per_paper(spark, batches: list[str], key: str) -> DataFrame:
+    """The union of the batches, one row per paper. A paper appears in more
+    than one batch only when an earlier call failed and was asked again
+    (``retry_failed``): it keeps its successful reply, else its latest
+    failure. Successful replies are never shuffled; only failure rows and
+    the successful keys are (batch names sort by time)."""
+    df = spark.read.parquet(*batches)
+    if len(batches) == 1:
+        return df
+    cols = df.columns
+    ok = df.where(F.col("error").isNull())
+    failed = (df.where(F.col("error").isNotNull())
+                .withColumn("_batch", F.col("_metadata.file_path"))
+                .join(ok.select(key), key, "left_anti"))
+    latest = failed.groupBy(key).agg(F.max_by(F.struct(*[c for c in cols if c != key]),
+                                              F.col("_batch")).alias("_r"))
+    return ok.unionByName(latest.select(key, "_r.*").select(*cols))
 
 
 def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
                output_path: str | None = None, key: str = "doc_id", text: str = "text",
                file_name: str = "file_name", model=None, csv: bool = False,
-               reuse_replies: bool = True) -> DataFrame:
+               reuse_replies: bool = True, retry_failed: bool = False) -> DataFrame:
     """The whole run: requests -> responder -> replies written once to
     ``replies_path`` (a shared folder) -> coded rows -> optional sink.
 
@@ -178,8 +199,11 @@ def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
     calls the model only for papers that have no stored reply yet and commits
     those replies as a new batch; a batch whose write failed part-way commits
     nothing and its papers are simply asked again. Stored replies, failed
-    calls included, are kept as they are. Without ``reuse_replies`` the
-    folder is cleared and every paper is asked again.
+    calls included, are kept as they are unless ``retry_failed``: then only
+    successful replies count as done, papers whose call failed are asked
+    again, and a paper keeps its successful reply, else its latest failure.
+    Without ``reuse_replies`` the folder is cleared and every paper is asked
+    again.
     """
     from evidentia.operators.requests import apply_responder, persist_responses
     spark = docs.sparkSession
@@ -189,10 +213,12 @@ def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
         paths.delete(spark, replies_path)
         batches = []
     stored = spark.read.parquet(*batches) if batches else None
+    if stored is not None and retry_failed:
+        stored = stored.where(F.col("error").isNull())
     reqs = request_documents(docs, template, model=model, key=key, text=text, skip=stored)
     batch = f"{replies_path.rstrip('/')}/batch-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
     persist_responses(apply_responder(reqs, responder, key=key), batch)
-    replies = spark.read.parquet(*batches, batch)
+    replies = _one_reply_per_paper(spark, [*batches, batch], key)
     coded = code_documents(docs, replies, text=text, file_name=file_name, key=key)
     if output_path:
         if csv:

@@ -100,3 +100,40 @@ def test_run_coding_asks_only_papers_without_a_stored_reply(spark, tmp_path):
     asked = request_documents(papers, "T").select("doc_id")
     assert stored.count() == asked.count() == stored.select("doc_id").distinct().count()
     assert stored.select("doc_id").exceptAll(asked).count() == 0
+
+
+def test_run_coding_retry_failed_asks_failed_papers_again(spark, tmp_path):
+    src = spark.read.parquet(f"{SF}/documents.parquet")
+    papers = fixtures.named_documents(src)
+    replies = str(tmp_path / "replies")
+    run_coding(papers, fixtures.demo_responder, "T", replies, str(tmp_path / "o1"))
+    first = read_replies(spark, replies)
+    failed_keys = {r.doc_id for r in first.where("error IS NOT NULL").select("doc_id").collect()}
+    assert failed_keys
+    run_coding(papers, lambda req: "**1. X**: SECOND CALL", "T", replies, str(tmp_path / "o2"),
+               retry_failed=True)
+    both = read_replies(spark, replies)
+    assert len(committed_reply_batches(spark, replies)) == 2
+    assert both.count() == first.count() == both.select("doc_id").distinct().count()
+    assert both.where("error IS NOT NULL").count() == 0
+    b = spark.read.parquet(str(tmp_path / "o2"))
+    again = {r.doc_id for r in b.where("`1.1 Primary Stakeholders` = 'SECOND CALL'")
+             .select("doc_id").collect()}
+    assert again == failed_keys
+    a = spark.read.parquet(str(tmp_path / "o1"))
+    keep = ",".join(str(k) for k in sorted(failed_keys))
+    assert a.where(f"doc_id NOT IN ({keep})").exceptAll(b.where(f"doc_id NOT IN ({keep})")).count() == 0
+
+
+def test_read_replies_success_else_latest_failure(spark, tmp_path):
+    schema = "doc_id long, response string, error string"
+    root = tmp_path / "replies"
+    batches = {
+        "batch-0001-a": [(1, None, "e1"), (2, "r2", None)],
+        "batch-0002-b": [(1, None, "e2"), (3, None, "e3")],
+        "batch-0003-c": [(3, "r3", None)],
+    }
+    for name, rows in batches.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(root / name))
+    got = {r.doc_id: (r.response, r.error) for r in read_replies(spark, str(root)).collect()}
+    assert got == {1: (None, "e2"), 2: ("r2", None), 3: ("r3", None)}
