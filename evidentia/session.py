@@ -67,7 +67,9 @@ def sized_conf(shuffle_bytes: int, slots: int, text_heavy: bool = True) -> dict:
     * 64 MB input splits for text tables (strings expand ~3x once decoded
       from compressed Parquet, and per-row work is CPU-bound);
     * adaptive execution with skew-join splitting, coalescing that respects
-      the advisory size (so CPU-heavy stages are not squeezed into few tasks).
+      the advisory size (so CPU-heavy stages are not squeezed into few tasks);
+    * Arrow batches to Python workers (NFKD, the responder) capped by bytes
+      as well as rows, so long papers cannot make one batch huge.
     """
     per_partition = 200 * 1024 * 1024
     partitions = max(2 * slots, -(-shuffle_bytes // per_partition))
@@ -78,4 +80,5 @@ def sized_conf(shuffle_bytes: int, slots: int, text_heavy: bool = True) -> dict:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.execution.arrow.maxBytesPerBatch": str((64 if text_heavy else 256) * 1024 * 1024),
     }
