@@ -209,6 +209,11 @@ def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
     spark = docs.sparkSession
     if reuse_replies:
         batches = committed_reply_batches(spark, replies_path)
+        if batches == [replies_path]:
+            # new batches cannot go inside another job's output folder
+            raise ValueError(f"{replies_path} is one committed Parquet output, not a folder of "
+                             "reply batches: read it with read_replies / code_documents, or "
+                             "give run_coding another replies_path")
     else:
         paths.delete(spark, replies_path)
         batches = []

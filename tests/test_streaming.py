@@ -137,3 +137,13 @@ def test_read_replies_success_else_latest_failure(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.parquet(str(root / name))
     got = {r.doc_id: (r.response, r.error) for r in read_replies(spark, str(root)).collect()}
     assert got == {1: (None, "e2"), 2: ("r2", None), 3: ("r3", None)}
+
+
+def test_run_coding_refuses_a_plain_replies_folder(spark, tmp_path):
+    import pytest
+    src = spark.read.parquet(f"{SF}/documents.parquet")
+    plain = str(tmp_path / "plain")
+    fixtures.responses(src).write.parquet(plain)
+    with pytest.raises(ValueError, match="not a folder of reply batches"):
+        run_coding(fixtures.named_documents(src), fixtures.demo_responder, "T", plain)
+    assert read_replies(spark, plain).count() == src.count()
