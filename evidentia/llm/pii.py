@@ -93,7 +93,7 @@ def mod97(found):
         letter = F.ascii(c) > 57
         return (rest * F.when(letter, 100).otherwise(10) + F.ascii(c) - F.when(letter, 55).otherwise(48)) % 97
 
-    return F.aggregate(F.split(turned, "(?!^)"), F.lit(0), add) == 1
+    return F.aggregate(F.split(turned, ""), F.lit(0), add) == 1
 
 
 def _confirmed(kind: str, found):
