@@ -28,6 +28,8 @@ from evidentia.llm.common import id_text
 SHINGLE = 5
 CONTAINMENT = 0.8
 BANDS = 64
+#: Template bands (each with its template's shingles) to broadcast at most.
+MOST_BANDS = 65536
 
 #: Common license notices.
 TEMPLATES = (
@@ -121,7 +123,8 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, containment: float = CON
     d = d.filter(F.col("window").isNotNull()).select("doc_id", "text_hash", "window.*")
     d = d.withColumn("b", F.explode(_bands(F.col("h")))).select("doc_id", "text_hash", "reach", "start", "w", "b.band", "b.value")
     t = table.withColumn("b", F.explode(_bands(F.col("hashes")))).select("template_id", "license", "shingles", "reach", "b.band", "b.value")
-    found = d.join(t, ["reach", "band", "value"])
+    # BANDS rows for each template of the parameter; beyond the bound Spark chooses the join
+    found = d.join(F.broadcast(t) if len(templates) * BANDS <= MOST_BANDS else t, ["reach", "band", "value"])
     share = F.size(F.array_intersect(_shingle_texts(F.col("w")), "shingles")) / F.size("shingles")
     found = found.select("doc_id", "text_hash", "template_id", "license", "start", share.alias("containment")).filter(F.col("containment") >= containment)
     windows_of = found.groupBy("doc_id", "text_hash", "template_id", "license", "start").agg(F.max("containment").alias("containment"))
