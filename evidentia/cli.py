@@ -33,7 +33,8 @@ def cmd_requests(a) -> int:
     spark = _session()
     papers = spark.read.parquet(a.papers)
     reqs = request_documents(papers, load_prompt(spark, a.template), model=a.model,
-                             max_tokens=a.max_context_tokens, mode=a.mode)
+                             context_tokens=a.max_context_tokens, mode=a.mode,
+                             max_tokens=a.max_tokens, temperature=a.temperature)
     reqs.select("doc_id", "request_json").write.mode("overwrite").parquet(a.out)
     return 0
 
@@ -44,7 +45,7 @@ def cmd_code(a) -> int:
     spark = _session()
     coded = code_documents(spark.read.parquet(a.papers), read_replies(spark, a.replies))
     if a.csv:
-        print(write_coding_csv(coded, a.out, single_file=a.single_file))
+        print(write_coding_csv(coded, a.out))
     else:
         coded.write.mode("overwrite").parquet(a.out)
         print(a.out)
@@ -69,7 +70,7 @@ def cmd_audit(a) -> int:
     s = spark.read.parquet(f"{a.out}/summary").first()
     print(f"total={s.total} successful={s.successful} failed={s.failed} "
           f"success_rate={s.success_rate}% total_chars={s.total_chars} avg_chars={s.avg_chars}")
-    return 0 if s.failed == 0 else 1
+    return 0 if s.total and s.failed == 0 else 1
 
 
 def main(argv=None) -> int:
@@ -81,6 +82,8 @@ def main(argv=None) -> int:
     r.add_argument("--out", required=True)
     r.add_argument("--model", default=None)
     r.add_argument("--max-context-tokens", type=int, default=None)
+    r.add_argument("--max-tokens", type=int, default=None, help="reply cap")
+    r.add_argument("--temperature", type=float, default=None)
     r.add_argument("--mode", choices=["compat", "newline"], default="compat")
     r.set_defaults(fn=cmd_requests)
     c = sub.add_parser("code", help="parse stored replies into the coding table")
@@ -88,8 +91,6 @@ def main(argv=None) -> int:
     c.add_argument("--replies", required=True)
     c.add_argument("--out", required=True)
     c.add_argument("--csv", action="store_true")
-    c.add_argument("--single-file", action="store_true",
-                   help="one CSV file when the output is at most 128 MB staged, else part files")
     c.set_defaults(fn=cmd_code)
     u = sub.add_parser("audit", help="extraction audit of the papers' texts")
     u.add_argument("--papers", required=True)

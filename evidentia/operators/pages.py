@@ -93,15 +93,16 @@ def first_accepted_text(cands: DataFrame, rules: DataFrame, key: str = "doc_id",
     page's leading and the last page's trailing whitespace), the winner is
     the minimum rank over those small rows, and only the winning method's
     pages are assembled. So a paper's group holds one method's pages, not
-    every method's (``chunk_pages`` as in ``assemble_pages``). ``rules`` (one
-    row per method) is broadcast. A rule with
+    every method's (``chunk_pages`` as in ``assemble_pages``). Spark chooses the
+    join with the winners by their size, and may split a hot paper in it. A rule with
     ``min_doc_chars`` must also set ``min_page_chars`` (its kept pages then
     all have content, which makes the length statistic exact).
     """
-    bad = rules.where(F.col("min_doc_chars").isNotNull() & F.col("min_page_chars").isNull())
-    if not bad.isEmpty():    # rules is one row per method: a tiny check
-        raise ValueError("a rule with min_doc_chars needs min_page_chars")
-    rules_small = F.broadcast(rules.select("method", "rank", "min_page_chars", "min_doc_chars"))
+    # a rule with min_doc_chars alone would need every page's exact length: it fails when it is read
+    page_min = F.when(F.col("min_doc_chars").isNotNull() & F.col("min_page_chars").isNull(),
+                      F.raise_error(F.lit("a rule with min_doc_chars needs min_page_chars")).cast("int")) \
+        .otherwise(F.col("min_page_chars"))
+    rules_small = rules.select("method", "rank", page_min.alias("min_page_chars"), "min_doc_chars")
     t, o = col(text), col(order)
     stripped = F.length(py_strip(t))
     kept = (cands.join(rules_small, "method")
@@ -119,8 +120,8 @@ def first_accepted_text(cands: DataFrame, rules: DataFrame, key: str = "doc_id",
     chosen = accepted.groupBy(key).agg(F.min_by("method", "rank").alias("method"),
                                        F.min("rank").alias("rank"))
 
-    pages = kept.select(key, "method", o.alias("_o"), t.alias("_t")).repartition(key)
-    winners = pages.join(chosen.repartition(key), [key, "method"])
+    pages = kept.select(key, "method", o.alias("_o"), t.alias("_t"))
+    winners = pages.join(chosen, [key, "method"])
     return assemble_pages(winners, key=[key, "method", "rank"], order="_o", text="_t",
                           chunk_pages=chunk_pages)
 

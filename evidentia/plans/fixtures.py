@@ -20,153 +20,103 @@ def _lines(*parts: str) -> str:
     return "(" + NL.join(parts) + ")"
 
 
+def _placeholder_sql() -> str:
+    from evidentia.schema import PLACEHOLDER_NOTE
+    return "'Title: web' || chr(10) || chr(10) || " + _q(PLACEHOLDER_NOTE)
+
+
+# The papers: every document with its whole text, and a file for every row of
+# ``pages`` (negative keys), so that each outcome occurs beside the documents:
+# kind 0 has no text, 1 the stand-in text, 2 a failed call, 3 a short reply.
+PAPER_COLUMNS = {
+    "documents": ["doc_id", "text AS head", "text", "lang", "source", "n_chars", "-1 AS kind"],
+    "pages": ["-1 - page_id AS doc_id", "'page file ' || CAST(page_id AS STRING) AS head",
+              f"CASE page_id % 4 WHEN 0 THEN '' WHEN 1 THEN {_placeholder_sql()} ELSE html END AS text",
+              "'en' AS lang", "'web' AS source", "CAST(length(html) AS BIGINT) AS n_chars",
+              "CAST(page_id % 4 AS INT) AS kind"],
+}
+PAPERS_SQL = " UNION ALL ".join(f"SELECT {', '.join(c)} FROM {t}" for t, c in PAPER_COLUMNS.items())
+
 S = "source"
 G = "lang"
 N = "CAST(n_chars AS STRING)"
-# The k-th space-separated word (as split_part(text, ' ', k)), by an anchored
-# regex that stops at the k-th space instead of splitting the whole text.
-W1 = "regexp_extract(text, '^([^ ]*)', 1)"
-W2 = "regexp_extract(text, '^[^ ]* ([^ ]*)', 1)"
-W3 = "regexp_extract(text, '^[^ ]* [^ ]* ([^ ]*)', 1)"
+T = "text"
+# The k-th space-separated word of the name, by an anchored regex that stops at
+# the k-th space instead of splitting the whole text.
+W1 = "regexp_extract(head, '^([^ ]*)', 1)"
+W2 = "regexp_extract(head, '^[^ ]* ([^ ]*)', 1)"
+W3 = "regexp_extract(head, '^[^ ]* [^ ]* ([^ ]*)', 1)"
 
 INC_Y = _q("**Include in Review**: Y")
 
-# 0: layout 1 (bold number), complete, with a too-short answer and an echo
-REPLY_FORM1 = _lines(
-    INC_Y, _q("**Reason if excluded**: Not applicable"), "''",
-    _q("**1. Primary Stakeholders**: Students and teachers at ") + f" || {S}",
-    _q('**Source**: "') + f" || {W1} || ' ' || {W2} || " + _q('" (Methods, p. ') + f" || {N} || ')'",
-    _q("**2. Context**: Classroom setting in ") + f" || {G}",
-    _q('**Source**: "') + f" || {W2} || " + _q('" (Introduction)'),
-    _q("**3. Tech/AI type**: Intelligent tutoring for ") + f" || {W1}",
-    _q("**Source**: Not specified"),
-    _q("**4. Tool/Platform**: Platform ") + f" || upper({S})",
-    _q('**Source**: "delivered through ') + f" || {S} || " + _q('"'),
-    _q("**5. Education level**: ITS"),
-    _q('**Source**: "grade ') + f" || {N} || " + _q('"'),
-    _q("**6. Feedback term**: Adaptive hints (") + f" || {G} || ')'",
-    _q('**Source**: "hints"'),
-    _q("**7. Description of mechanism and context**: What triggers feedback?"),
-    _q("**Answer**: Triggered after each of ") + f" || {N} || " + _q(" characters"),
-    _q('**Source**: "after each step"'),
-    _q("**8. Our interpretation/analysis**: Consistent with ") + f" || {W2}",
-    _q("**9. Agency type**: Limited agency"),
-    _q('**Source**: "teachers decide"'),
-    _q("**10. Feedback timing control**: No student control over timing in ") + f" || {S}",
-    _q('**Source**: "automatic"'),
-    _q("**11. Metrics for evaluation**: Pre and post test scores"),
-    _q('**Source**: "scores of ') + f" || {N} || " + _q(' students"'),
-    _q("**12. Measurement of agency**: Survey on autonomy"),
-    _q("**Source**: ") + f" || {W1}",
-)
-
-# 1: layout 2 (number, bold field), incl. empty answer and a literal 'Not specified'
-REPLY_FORM2 = _lines(
-    INC_Y,
-    _q("1. **Primary Stakeholders**: Teachers in ") + f" || {S}",
-    _q('**Source**: "ignored by this layout"'),
-    _q("2. **Context**: Not specified"),
-    _q('**Source**: "context quote ') + f" || {N} || " + _q('"'),
-    _q("3. **Tech/AI type**: ITS"),
-    _q("4. **Tool/Platform**:"),
-    _q("5. **Education level:** Secondary school in ") + f" || {G}",
-    _q("Source: p. ") + f" || {N}",
-    _q("6. **Feedback term**: Hints for ") + f" || {W1}",
-)
-
-# 2: layout 3 (plain number and field)
-REPLY_FORM3 = _lines(
-    INC_Y, _q("**Reason if excluded**: "),
-    _q("1. Primary Stakeholders: Pupils of ") + f" || {S}",
-    _q("Source: roster ") + f" || {N}",
-    _q("2. Context: *Online* course in ") + f" || {G}",
-    _q('Evidence source: "') + f" || {W1} || " + _q('"'),
-    _q("3. Tech/AI type: What is it"),
-    _q("5.2 Education level: Primary ") + f" || {G}",
-    _q("7. Description: Are there any hints"),
-    _q("9. Agency type: Choice of tasks ") + f" || {W3}",
-    _q("10. Feedback timing control: Yes"),
-    _q("12. Measurement of agency: Logs of ") + f" || {N} || " + _q(" sessions"),
-)
-
-# 3: layout 4 (echoed question, then **Answer** / **Source**)
-REPLY_FORM4 = _lines(
-    INC_Y,
-    _q("**1. Primary Stakeholders**: Who are the main participants?"),
-    _q("**Answer**: Students from ") + f" || {S}",
-    _q('**Source**: "') + f" || {W1} || " + _q('"'),
-    _q("**2. Context**: What is the context or setting?"),
-    _q("**Answer**: Remote instruction in ") + f" || {G}",
-    _q('**Source**: "remote"'),
-    _q("**6. Feedback term**: What terms are used for feedback?"),
-    _q("**Answer**: Immediate response"),
-    _q("**11. Metrics for evaluation**: How is it measured?"), "''",
-    _q("**12. Measurement of agency**: What measures?"),
-    _q("**Answer**: abc"),
-    _q("**Answer**: Questionnaire on ") + f" || {N} || " + _q(" items"),
-)
-
-# 4: excluded with reason
-REPLY_EXCLUDED = _lines(
-    _q("**Include in Review**: N"),
-    _q("**Reason if excluded**: Not English language (") + f" || {G} || ')'",
-)
-
-# 5: short reply
-REPLY_SHORT = _q("N/A ") + f" || {G}"
-
-# 6: partial, literal 'Not specified', repeated questions
-REPLY_PARTIAL = _lines(
-    INC_Y,
-    _q("**1. Primary Stakeholders**: Not specified"),
-    _q("**Source**: Not specified"),
-    _q("**1. Primary Stakeholders**: Researchers in ") + f" || {S}",
-    _q("**3. Tech/AI type**: Chatbot for ") + f" || {G}",
-    _q('**Source**: "') + f" || {W2} || " + _q('"'),
-    _q("**3. Tech/AI type**: Large language model"),
-    _q("**4. Tool/Platform**: Custom app"),
-    _q("**Source:** wrong colon"),
-    _q("**Include in Review**: Y"),
-)
-
-RESPONSE_EXPR = f"""
-CASE doc_id % 8
-  WHEN 0 THEN {REPLY_FORM1}
-  WHEN 1 THEN {REPLY_FORM2}
-  WHEN 2 THEN {REPLY_FORM3}
-  WHEN 3 THEN {REPLY_FORM4}
-  WHEN 4 THEN {REPLY_EXCLUDED}
-  WHEN 5 THEN {REPLY_SHORT}
-  WHEN 6 THEN {REPLY_PARTIAL}
-END"""
-ERROR_EXPR = f"CASE WHEN doc_id % 8 = 7 THEN 'Request failed: timeout after ' || {N} || ' chars' END"
-
-# A file name per document: source, three leading words and the language.
+
+def _said(label: str, *values: str) -> str:
+    """``label`` followed by values of the paper."""
+    return " || ".join([_q(label), *values])
+
+
+# Each layout carries the paper's whole text: as an answer or a source, whose
+# first line it then is, with the other lines as prose behind it.
+REPLIES = {
+    # bold number; one answer too short, one echoed question, one source missing
+    0: _lines(INC_Y, _said("**Reason if excluded**: none in ", G), "''",
+              _said("**1. A**: ", T), _said("**Source**: ", S), _said("**2. B**: ", S, "' / '", G),
+              _said("**Source**: ", T), _said("**3. C**: ", N), _said("**Source**: ", G), _q("**4. D**: xy"),
+              _said("**7. E**: What of ", G, "'?'"), _said("**Answer**: ", W1, "' '", N), _said("**Source**: ", W2),
+              _said("**8. F**: ", W3, "' '", S), _said("**12. G**: ", N, "' characters'"), _said("**Source**: ", W1)),
+    # number, bold field; an empty answer, a literal 'Not specified', plain evidence
+    1: _lines(INC_Y, _said("1. **A**: ", S), _said("**Source**: ", W1), _q("2. **B**: Not specified"), _said("**Source**: ", N),
+              _q("3. **C**: xy"), _q("4. **D**:"), _said("5. **E:** ", T), _said("Source: ", N), _said("6. **F**: ", W1, "' '", G)),
+    # plain number and field
+    2: _lines(INC_Y, _q("**Reason if excluded**: "), _said("1. A: ", S), _said("Source: ", N), _said("2. B: *", G, "'* '", W2),
+              _said("Some source here: ", T), _q("3. C: What is it"), _said("5.2 E: ", T), _q("7. G: Are there any"),
+              _said("9. I: ", W3, "' '", N), _said("10. J: ", G), _said("12. L: ", N, "' of '", S)),
+    # echoed question, then answer and source
+    3: _lines(INC_Y, _q("**1. A**: Who is it about?"), _said("**Answer**: ", T), _said("**Source**: ", W1),
+              _q("**2. B**: Where was it?"), _said("**Answer**: ", S, "' in '", G), _said("**Source**: ", T),
+              _q("**11. K**: How is it known?"), "''", _q("**12. L**: Which ones?"), _q("**Answer**: xyz"), _said("**Answer**: ", N, "' items'")),
+    # excluded, the text as its reason
+    4: _lines(_q("**Include in Review**: N"), _said("**Reason if excluded**: ", T)),
+    # prose without any layout
+    5: T,
+    # repeated questions, late decisions
+    6: _lines(INC_Y, _q("**1. A**: Not specified"), _q("**Source**: Not specified"), _said("**1. A**: ", S, "' '", G),
+              _said("**3. C**: ", T), _said("**Source**: ", W2), _said("**3. C**: ", G, "' again'"), _said("**4. D**: ", S),
+              _q("**Source:** wrong colon"), _q("**Include in Review**: Y")),
+    # layouts mixed
+    7: _lines(_said("1. A: ", T), _said("**2. B**: ", S), _said("3. **C**: ", G), _q("**6. F**: Does it?"), _said("**Answer**: ", T), INC_Y),
+}
+SHORT_REPLY = _said("N/A ", G)
+
+RESPONSE_EXPR = (f"CASE kind WHEN 2 THEN NULL WHEN 3 THEN {SHORT_REPLY} ELSE CASE abs(doc_id) % 8 "
+                 + " ".join(f"WHEN {k} THEN {v}" for k, v in REPLIES.items()) + " END END")
+ERROR_EXPR = f"CASE WHEN kind = 2 THEN 'Request failed: timeout after ' || {N} || ' chars' END"
+
+# A file name per paper: source, three leading words and the language.
 FILE_NAME_EXPR = f"{S} || '_' || {W1} || '-' || {W2} || '_' || {W3} || '-' || {G} || '.pdf'"
 
-# Text as extraction left it: very short papers read as nothing, short ones
-# as the stand-in text of an unreadable PDF, the rest as their text.
-def _placeholder_sql() -> str:
-    from evidentia.schema import PLACEHOLDER_NOTE
-    return "'Title: ' || source || chr(10) || chr(10) || " + _q(PLACEHOLDER_NOTE)
+AUDIT_ERROR_EXPR = "CASE WHEN kind = 2 THEN 'unreadable file' END"
+
 
+def papers(documents, pages=None):
+    """The rows of ``PAPERS_SQL``; without ``pages`` the documents only."""
+    out = documents.selectExpr(*PAPER_COLUMNS["documents"])
+    return out if pages is None else out.unionByName(pages.selectExpr(*PAPER_COLUMNS["pages"]))
 
-ROUTED_TEXT_EXPR = (f"CASE WHEN n_chars < 300 THEN '' WHEN n_chars < 800 THEN {_placeholder_sql()} "
-                    "ELSE text END")
-AUDIT_ERROR_EXPR = "CASE WHEN n_chars < 50 THEN 'unreadable file' END"
 
+def _papers(df):
+    return df if "kind" in df.columns else papers(df)
 
 
 def responses(documents):
-    """Generated replies ``(doc_id, response, error)`` for every document."""
-    return documents.selectExpr("doc_id", f"{RESPONSE_EXPR} AS response",
-                                f"{ERROR_EXPR} AS error")
+    """Generated replies ``(doc_id, response, error)`` for every paper."""
+    return _papers(documents).selectExpr("doc_id", f"{RESPONSE_EXPR} AS response",
+                                         f"{ERROR_EXPR} AS error")
 
 
 def named_documents(documents):
-    """``(doc_id, file_name, text)`` for every document."""
-    return documents.selectExpr("doc_id", f"{FILE_NAME_EXPR} AS file_name",
-                                f"{ROUTED_TEXT_EXPR} AS text")
+    """``(doc_id, file_name, text)`` for every paper."""
+    return _papers(documents).selectExpr("doc_id", f"{FILE_NAME_EXPR} AS file_name", "text")
 
 
 # ---------------------------------------------------------------- pages
@@ -177,11 +127,21 @@ PAGE_TEXT_EXPR = PAGE_TITLE
 PAGE_LAYOUT_EXPR = "regexp_extract(html, '<div class=\"ad\">(.*?)</div>', 1)"
 
 # Conversation turns stand for the pages of a paper (conv_id = paper,
-# turn = page); the role decides which extraction method produced the page,
-# and short user turns count as an empty extraction.
+# turn = page); the role decides which extraction method produced the page. A
+# method that read nothing from a page is an empty row beside it.
 CAND_METHOD_EXPR = ("CASE role WHEN 'system' THEN 'text_layer' WHEN 'user' THEN 'layout' "
                     "ELSE 'ocr' END")
-CAND_TEXT_EXPR = "CASE WHEN role = 'user' AND length(text) <= 150 THEN '' ELSE text END"
+CANDIDATES = [["conv_id AS doc_id", f"{CAND_METHOD_EXPR} AS method", "turn AS page_no", "text"],
+              ["conv_id AS doc_id", "CASE role WHEN 'user' THEN 'text_layer_tolerant' WHEN 'system' THEN 'reader' "
+               "ELSE 'cli' END AS method", "turn AS page_no", "CASE role WHEN 'assistant' THEN ' ' ELSE '' END AS text"]]
+CANDIDATES_SQL = " UNION ALL ".join(f"SELECT {', '.join(c)} FROM conversations" for c in CANDIDATES)
+
+
+def candidates(conversations):
+    """``(doc_id, method, page_no, text)``: the rows of ``CANDIDATES_SQL``."""
+    first, second = (conversations.selectExpr(*c) for c in CANDIDATES)
+    return first.unionByName(second)
+
 
 # Metadata of a paper no method could read.
 PH_IS_PDF = "lang <> 'de'"
@@ -206,7 +166,6 @@ SEP_SQL = {"newline": "chr(10)", "compat": "chr(92) || 'n'"}
 # ---------------------------------------------------------------- requests
 # Model per paper language (a literal map, so no join is needed).
 MODEL_BY_LANG = {"en": "gpt-4o-mini", "fr": "gpt-5-mini", "de": "gpt-4-turbo", "es": "gpt-5"}
-PROMPT_MAX_TOKENS = 5000
 
 
 def demo_responder(request: dict) -> str:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from evidentia.plans import fixtures
 from evidentia.schema import (ANSWER_MARKER, CSV_COLUMNS, EXCLUSION_REASON, FAILED_INCLUDE,
                               PLACEHOLDER_NOTE,
-                              FIELD_COLUMNS, INCLUDE, INCLUDE_MARKER,
+                              FIELD_COLUMNS, INCLUDE, INCLUDE_MARKER, MAX_CONTEXT_TOKENS,
                               PLACEHOLDER_PHRASE, PROCESSING_FAILED, PY_WHITESPACE,
                               QUESTION_COLUMNS, QUESTION_STARTERS, QUESTIONS, REASON_MANUAL_REVIEW,
                               REASON_MARKER, REASON_NO_TEXT, SOURCE_MARKER, TITLE,
@@ -172,7 +172,7 @@ FROM ln LEFT JOIN scr USING (doc_id) LEFT JOIN wide w USING (doc_id)
 
 def generated_replies_src(title_expr: str = "'Paper ' || CAST(doc_id AS STRING)") -> str:
     return (f"SELECT doc_id, {title_expr} AS title, {fixtures.RESPONSE_EXPR} AS response "
-            f"FROM documents")
+            f"FROM ({fixtures.PAPERS_SQL})")
 
 
 def route_sql(text: str) -> str:
@@ -191,8 +191,8 @@ def code_documents_sql() -> str:
       FROM (
         SELECT doc_id, {fn} AS file_name, {fixtures.RESPONSE_EXPR} AS response,
                {fixtures.ERROR_EXPR} AS error,
-               {route_sql(fixtures.ROUTED_TEXT_EXPR)} AS rt
-        FROM documents)"""
+               {route_sql('text')} AS rt
+        FROM ({fixtures.PAPERS_SQL}))"""
     parsed = parse_sql(routed, extra_cols=", ln.rt, ln.error")
     failed = "(rt <> 'code' OR error IS NOT NULL)"
     reason = (f"CASE WHEN rt = 'no_text' THEN {q(REASON_NO_TEXT)} WHEN rt = 'manual_review' "
@@ -224,7 +224,7 @@ NORMALIZE_TEXT = """
 SELECT doc_id,
        CAST(length(text) + len(list_filter(list_zip(string_split(text, ''),
             string_split(strip_accents(text), '')), lambda p: p[1] <> p[2])) AS BIGINT) AS nfkd_chars,
-       md5(strip_accents(text)) AS base_md5
+       md5(nfc_normalize(text)) AS nfc_md5
 FROM documents"""
 
 STRIP_MARKUP = """
@@ -274,9 +274,7 @@ def first_accepted_text_sql() -> str:
 WITH rules(method, rank, min_page_chars, min_doc_chars) AS (VALUES
   ('text_layer', 1, NULL, NULL), ('text_layer_tolerant', 2, NULL, NULL), ('layout', 3, NULL, NULL),
   ('reader', 4, NULL, NULL), ('cli', 5, NULL, NULL), ('ocr', 6, 10, 100)),
-cands AS (
-  SELECT conv_id AS doc_id, {fixtures.CAND_METHOD_EXPR} AS method, turn AS page_no,
-         {fixtures.CAND_TEXT_EXPR} AS text FROM conversations),
+cands AS ({fixtures.CANDIDATES_SQL}),
 per_method AS (
   SELECT doc_id, c.method, r.rank, r.min_doc_chars, {assembled_sql('page_no', 'text')} AS text
   FROM cands c JOIN rules r ON c.method = r.method
@@ -301,12 +299,12 @@ def placeholder_text_sql() -> str:
 SELECT doc_id, md5(t) AS text_md5, CAST(length(t) AS BIGINT) AS text_len
 FROM (SELECT doc_id, CASE WHEN is_pdf THEN {body} ELSE '' END AS t
       FROM (SELECT doc_id, {fn} AS fn, {fixtures.PH_IS_PDF} AS is_pdf, {fixtures.PH_TITLE} AS mt,
-                   {fixtures.PH_AUTHOR} AS au, {fixtures.PH_PAGES} AS pc FROM documents))"""
+                   {fixtures.PH_AUTHOR} AS au, {fixtures.PH_PAGES} AS pc FROM ({fixtures.PAPERS_SQL})))"""
 
 
 def format_title_query_sql() -> str:
     return (f"SELECT doc_id, file_name, {format_title_sql('file_name')} AS title "
-            f"FROM (SELECT doc_id, {fixtures.FILE_NAME_EXPR} AS file_name FROM documents)")
+            f"FROM (SELECT doc_id, {fixtures.FILE_NAME_EXPR} AS file_name FROM ({fixtures.PAPERS_SQL}))")
 
 
 ESTIMATE_TOKENS = "SELECT doc_id, CAST(length(text) // 4 AS BIGINT) AS tokens FROM documents"
@@ -386,7 +384,7 @@ def _prompt_sql() -> str:
 
 def build_prompt_sql() -> str:
     sel = f"SELECT doc_id, md5({_prompt_sql()}) AS prompt_md5, CAST(length({_prompt_sql()}) AS BIGINT) AS prompt_len"
-    return fit_context_sql("compat", fixtures.PROMPT_MAX_TOKENS, text_sql="text", select=sel)
+    return fit_context_sql("compat", MAX_CONTEXT_TOKENS, text_sql="text", select=sel)
 
 
 def _request_json_sql() -> str:
@@ -403,7 +401,7 @@ def _requests_sql() -> str:
     models = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in fixtures.MODEL_BY_LANG.items())
     sel = (f"SELECT doc_id, {_prompt_sql()} AS prompt, "
            f"CASE lang {models} END AS model")
-    base = fit_context_sql("compat", fixtures.PROMPT_MAX_TOKENS, text_sql="text",
+    base = fit_context_sql("compat", MAX_CONTEXT_TOKENS, text_sql="text",
                            select=sel + ", lang")
     base = base.replace("SELECT d.doc_id, d.text,", "SELECT d.doc_id, d.text, d.lang,")
     base = base.replace("d AS (SELECT doc_id, text AS text FROM documents)",
@@ -440,9 +438,9 @@ def attach_responses_sql() -> str:
     return f"""
 SELECT d.doc_id, md5(r.response) AS response_md5,
        CASE WHEN r.doc_id IS NULL THEN 'no response recorded' ELSE r.error END AS error
-FROM documents d LEFT JOIN (
+FROM ({fixtures.PAPERS_SQL}) d LEFT JOIN (
   SELECT doc_id, {fixtures.RESPONSE_EXPR} AS response, {fixtures.ERROR_EXPR} AS error
-  FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) r ON d.doc_id = r.doc_id"""
+  FROM ({fixtures.PAPERS_SQL}) WHERE kind >= 0 OR doc_id IN (SELECT doc_id FROM labels)) r ON d.doc_id = r.doc_id"""
 
 
 def file_diagnostics_sql() -> str:
@@ -455,8 +453,7 @@ FROM pages"""
 
 
 def write_coding_csv_sql() -> str:
-    cols = ", ".join(f"nullif({ident(c)}, '') AS {ident(c)}" for c in CSV_COLUMNS)
-    return f"SELECT {cols} FROM ({code_documents_sql()})"
+    return f"SELECT {', '.join(map(ident, CSV_COLUMNS))} FROM ({code_documents_sql()})"
 
 
 # ---------------------------------------------------------------- reply parsing pieces
@@ -529,7 +526,7 @@ def _routed_docs_sql() -> str:
     return f"""SELECT doc_id, rt AS route,
       CASE WHEN rt = 'no_text' THEN file_name ELSE {format_title_sql('file_name')} END AS title
     FROM (SELECT doc_id, {fixtures.FILE_NAME_EXPR} AS file_name,
-                 {route_sql(fixtures.ROUTED_TEXT_EXPR)} AS rt FROM documents)"""
+                 {route_sql('text')} AS rt FROM ({fixtures.PAPERS_SQL}))"""
 
 
 def route_documents_sql() -> str:
@@ -549,7 +546,7 @@ def failed_rows_sql() -> str:
 
 def assemble_results_sql() -> str:
     coded_src = (f"SELECT r.doc_id, r.title, {fixtures.RESPONSE_EXPR} AS response "
-                 f"FROM ({_routed_docs_sql()}) r JOIN documents USING (doc_id) WHERE r.route = 'code'")
+                 f"FROM ({_routed_docs_sql()}) r JOIN ({fixtures.PAPERS_SQL}) USING (doc_id) WHERE r.route = 'code'")
     coded = parse_sql(coded_src)
     cols = ", ".join(["doc_id"] + [ident(c) for c in CSV_COLUMNS])
     return (f"SELECT {cols} FROM ({coded}) UNION ALL "
@@ -572,9 +569,9 @@ def _audit_sql() -> str:
       CASE WHEN status = 'SUCCESS' THEN {strip(f"replace(substr({t}, 1, 100), chr(10), ' ')")} END AS preview,
       error
     FROM (SELECT *, CASE WHEN error IS NOT NULL THEN 'ERROR' WHEN {ok} THEN 'SUCCESS' ELSE 'FAILED' END AS status
-          FROM (SELECT {fixtures.FILE_NAME_EXPR} AS file, {fixtures.ROUTED_TEXT_EXPR} AS text,
+          FROM (SELECT {fixtures.FILE_NAME_EXPR} AS file, text,
                        octet_length(encode(text)) AS size_bytes, {fixtures.AUDIT_ERROR_EXPR} AS error
-                FROM documents))"""
+                FROM ({fixtures.PAPERS_SQL})))"""
 
 
 def audit_extraction_sql() -> str:

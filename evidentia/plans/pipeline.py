@@ -41,7 +41,7 @@ def routed_papers(docs: DataFrame, text="text", file_name="file_name", key="doc_
     r = route(text)
     return docs.select(
         key, r.alias("route"),
-        F.when(r == F.lit(ROUTE_NO_TEXT), col(file_name))
+        F.when(col(text).isNull() | (col(text) == F.lit("")), col(file_name))
          .otherwise(format_title(col(file_name))).alias(TITLE))
 
 
@@ -52,14 +52,14 @@ def code_documents(docs: DataFrame, responses: DataFrame, text="text", file_name
     ``responses`` holds ``(key, response, error)``; ``error`` set means the
     model call failed for that paper only (failed row, Include 'N').
 
-    Plan: the replies are parsed where they are (narrow, at input
-    parallelism) and only then joined to the projected papers, so the join
-    moves short coded strings and never the paper text; the CPU-bound parse
-    never runs behind a shuffle that adaptive execution may coalesce. Papers
-    routed away from coding get the failure values in the final projection.
+    Several stored replies for one paper are reduced to one (``one_reply``).
+
+    Plan: the replies are reduced on the key, parsed, and joined to the
+    projected papers on the same partitioning, so the paper text never moves.
+    Papers routed away from coding get the failure values in the final projection.
     """
     papers = routed_papers(docs, text, file_name, key)
-    joined = papers.join(_parsed_replies(responses, key).drop(TITLE), key, "left")
+    joined = papers.join(_parsed_replies(one_reply(responses, key), key).drop(TITLE), key, "left")
     return _finish(joined, key)
 
 
@@ -102,47 +102,44 @@ def _finish(joined: DataFrame, key: str) -> DataFrame:
     return result
 
 
-KEY_ROW_BYTES = 16  # one bigint key as a broadcast row (null bits + value)
+def one_reply(responses: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(key, response, error)`` with one row per key: a success before a failure, then
+    the smallest reply (or error). Reduced map-side first, on the key the join uses."""
+    order = F.struct(F.col("error").isNotNull().alias("f"), F.coalesce("response", F.lit("")).alias("r"),
+                     F.coalesce("error", F.lit("")).alias("e"))
+    best = F.min_by(F.struct("response", "error"), order).alias("_r")
+    return responses.groupBy(key).agg(best).select(key, "_r.response", "_r.error")
 
 
 def drop_done(docs: DataFrame, done: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` without the papers whose key is in ``done``.
-
-    A key-only job first counts the papers still to do (both sides read only
-    the key column). When their keys fit under
-    ``spark.sql.autoBroadcastJoinThreshold`` they are broadcast and the papers
-    semi-joined to them, so the paper text is not shuffled (the usual case
-    when a few papers were added to a large, already coded corpus).
-    Otherwise the papers are anti-joined with ``done``'s keys, which Spark
-    broadcasts while those are small and sort-merge joins beyond that.
-    """
-    done_keys = done.select(key)
-    pending = docs.select(key).join(done_keys, key, "left_anti")
-    limit = docs.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    limit = int(limit) if limit.lstrip("-").isdigit() else 10 * 1024 * 1024
-    if limit > 0 and pending.count() * KEY_ROW_BYTES <= limit:
-        return docs.join(F.broadcast(pending), key, "left_semi")
-    return docs.join(done_keys, key, "left_anti")
+    """``docs`` without the papers whose key is in ``done``; a paper without a
+    key is never done. One anti join at every size: Spark broadcasts the keys while
+    they are small."""
+    return docs.join(done.select(key), key, "left_anti")
 
 
 def request_documents(docs: DataFrame, template: str, model=None, key: str = "doc_id",
-                      text: str = "text", max_tokens: int | None = None,
-                      mode: str = "compat", skip: DataFrame | None = None) -> DataFrame:
+                      text: str = "text", context_tokens: int | None = None,
+                      mode: str = "compat", skip: DataFrame | None = None,
+                      max_tokens: int | None = None, temperature: float | None = None) -> DataFrame:
     """``(key, request, request_json)`` for the papers routed to coding: text
-    fitted to the budget, prompt, request payload (all narrow).
+    fitted to the budget (``context_tokens``), prompt, request payload with the reply cap
+    ``max_tokens`` and the ``temperature`` (all narrow).
 
     ``skip`` (a frame with ``key``) drops papers that already have a reply,
     before any text work (see ``drop_done``).
     """
     from evidentia.operators.context import fit_context
     from evidentia.operators.requests import build_requests, prompt_text
-    from evidentia.schema import DEFAULT_MODEL, MAX_CONTEXT_TOKENS
+    from evidentia.schema import DEFAULT_MAX_TOKENS, DEFAULT_MODEL, DEFAULT_TEMPERATURE, MAX_CONTEXT_TOKENS
     if skip is not None:
         docs = drop_done(docs, skip, key)
     coded = docs.where(route(text) == F.lit(ROUTE_CODE))
-    fitted = fit_context(text, max_tokens=max_tokens or MAX_CONTEXT_TOKENS, mode=mode)["text"]
+    fitted = fit_context(text, max_tokens=context_tokens or MAX_CONTEXT_TOKENS, mode=mode)["text"]
     prompts = coded.select(key, prompt_text(template, fitted, mode).alias("prompt"))
-    return build_requests(prompts, model=model or DEFAULT_MODEL, key=key)
+    return build_requests(prompts, model=model or DEFAULT_MODEL, key=key,
+                          max_tokens=DEFAULT_MAX_TOKENS if max_tokens is None else max_tokens,
+                          temperature=DEFAULT_TEMPERATURE if temperature is None else temperature)
 
 
 def committed_reply_batches(spark, replies_path: str) -> list[str]:
@@ -187,7 +184,9 @@ def _one_reply_per_paper(spark, batches: list[str], key: str) -> DataFrame:
 def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
                output_path: str | None = None, key: str = "doc_id", text: str = "text",
                file_name: str = "file_name", model=None, csv: bool = False,
-               reuse_replies: bool = True, retry_failed: bool = False) -> DataFrame:
+               reuse_replies: bool = True, retry_failed: bool = False, batches: int = 1,
+               context_tokens: int | None = None, mode: str = "compat",
+               max_tokens: int | None = None, temperature: float | None = None) -> DataFrame:
     """The whole run: requests -> responder -> replies written once to
     ``replies_path`` (a shared folder) -> coded rows -> optional sink.
 
@@ -202,28 +201,36 @@ def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
     calls included, are kept as they are unless ``retry_failed``: then only
     successful replies count as done, papers whose call failed are asked
     again, and a paper keeps its successful reply, else its latest failure.
-    Without ``reuse_replies`` the folder is cleared and every paper is asked
-    again.
+    Without ``reuse_replies`` every paper is asked again, and only once all new
+    replies are committed are the older batches removed.
+
+    The papers are dealt by a hash of their key into ``batches`` jobs, each
+    committed on its own: a run that dies keeps the batches it finished, and
+    the next one asks for the others only.
     """
     from evidentia.operators.requests import apply_responder, persist_responses
     spark = docs.sparkSession
-    if reuse_replies:
-        batches = committed_reply_batches(spark, replies_path)
-        if batches == [replies_path]:
-            # new batches cannot go inside another job's output folder
-            raise ValueError(f"{replies_path} is one committed Parquet output, not a folder of "
-                             "reply batches: read it with read_replies / code_documents, or "
-                             "give run_coding another replies_path")
-    else:
-        paths.delete(spark, replies_path)
-        batches = []
-    stored = spark.read.parquet(*batches) if batches else None
+    stored_batches = committed_reply_batches(spark, replies_path)
+    if stored_batches == [replies_path]:
+        # new batches cannot go inside another job's output folder
+        raise ValueError(f"{replies_path} is one committed Parquet output, not a folder of "
+                         "reply batches: read it with read_replies / code_documents, or "
+                         "give run_coding another replies_path")
+    reused = stored_batches if reuse_replies else []
+    stored = spark.read.parquet(*reused) if reused else None
     if stored is not None and retry_failed:
         stored = stored.where(F.col("error").isNull())
-    reqs = request_documents(docs, template, model=model, key=key, text=text, skip=stored)
-    batch = f"{replies_path.rstrip('/')}/batch-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
-    persist_responses(apply_responder(reqs, responder, key=key), batch)
-    replies = _one_reply_per_paper(spark, [*batches, batch], key)
+    reqs = request_documents(docs, template, model=model, key=key, text=text, skip=stored, mode=mode,
+                             context_tokens=context_tokens, max_tokens=max_tokens, temperature=temperature)
+    new = []
+    for i in range(batches):
+        part = reqs if batches == 1 else reqs.where(F.pmod(F.xxhash64(key), F.lit(batches)) == i)
+        new.append(f"{replies_path.rstrip('/')}/batch-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}")
+        persist_responses(apply_responder(part, responder, key=key), new[-1])
+    if not reuse_replies:
+        for old in stored_batches:
+            paths.delete(spark, old)
+    replies = _one_reply_per_paper(spark, [*reused, *new], key)
     coded = code_documents(docs, replies, text=text, file_name=file_name, key=key)
     if output_path:
         if csv:

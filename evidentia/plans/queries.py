@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evidentia.functions.text import (estimate_tokens, flatten_layout, format_title,
                                       normalize_text, page_mode_chain, placeholder_text,
@@ -18,7 +20,7 @@ from evidentia.operators.context import fit_context, fit_documents, split_sectio
 from evidentia.operators.requests import (DEFAULT_TEMPLATE, apply_responder, build_prompt,
                                           build_requests)
 from evidentia.plans.pipeline import attach_responses
-from evidentia.schema import CSV_COLUMNS
+from evidentia.schema import CSV_COLUMNS, MAX_CONTEXT_TOKENS
 from evidentia.session import scratch_path
 from evidentia.sources.files import file_diagnostics, load_prompt, scan_papers
 from evidentia.sources.sinks import read_coding_csv, write_coding_csv
@@ -28,13 +30,16 @@ from evidentia.plans import fixtures, oracles
 from evidentia.plans.pipeline import code_documents
 from evidentia.plans.registry import register, table
 
+def _papers(spark, sf_dir):
+    return fixtures.papers(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 # ---------------------------------------------------------------- reply parsing
 
 
 @register("coded_rows", oracles.parse_sql(oracles.generated_replies_src()))
 def q_coded_rows(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", spread_on="doc_id")
-    replies = docs.selectExpr("doc_id", "'Paper ' || CAST(doc_id AS STRING) AS title",
+    replies = _papers(spark, sf_dir).selectExpr("doc_id", "'Paper ' || CAST(doc_id AS STRING) AS title",
                               f"{fixtures.RESPONSE_EXPR} AS response")
     return coded_rows(replies, response="response", title="title", keep=("doc_id",))
 
@@ -44,7 +49,7 @@ def q_coded_rows(spark, sf_dir):
 
 @register("code_documents", oracles.code_documents_sql())
 def q_code_documents(spark, sf_dir):
-    src = table(spark, sf_dir, "documents", spread_on="doc_id")
+    src = _papers(spark, sf_dir)
     return code_documents(fixtures.named_documents(src), fixtures.responses(src))
 
 
@@ -55,23 +60,28 @@ def _md5_len(df, key, text_col):
                      F.length(text_col).cast("long").alias("text_len"))
 
 
+@F.pandas_udf(T.StringType())
+def _nfc(s: pd.Series) -> pd.Series:
+    return s.str.normalize("NFC")
+
+
 @register("normalize_text", oracles.NORMALIZE_TEXT)
 def q_normalize_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", spread_on="doc_id")
+    docs = table(spark, sf_dir, "documents")
     n = docs.select("doc_id", normalize_text("text").alias("n"))
     return n.select("doc_id", F.length("n").cast("long").alias("nfkd_chars"),
-                    F.md5(F.regexp_replace("n", r"\p{M}", "")).alias("base_md5"))
+                    F.md5(_nfc("n")).alias("nfc_md5"))
 
 
 @register("strip_markup", oracles.STRIP_MARKUP)
 def q_strip_markup(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages", spread_on="page_id")
+    pages = table(spark, sf_dir, "pages")
     return _md5_len(pages, "page_id", strip_markup("html"))
 
 
 @register("page_mode_chain", oracles.page_mode_chain_sql())
 def q_page_mode_chain(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages", spread_on="page_id").selectExpr(
+    pages = table(spark, sf_dir, "pages").selectExpr(
         "page_id", "html", f"{fixtures.PAGE_TEXT_EXPR} AS t0", f"{fixtures.PAGE_LAYOUT_EXPR} AS lay")
     return _md5_len(pages, "page_id", page_mode_chain("t0", "lay", "html"))
 
@@ -105,9 +115,7 @@ def q_pick_page_strategy(spark, sf_dir):
 
 @register("first_accepted_text", oracles.first_accepted_text_sql())
 def q_first_accepted_text(spark, sf_dir):
-    cands = table(spark, sf_dir, "conversations").selectExpr(
-        "conv_id AS doc_id", f"{fixtures.CAND_METHOD_EXPR} AS method", "turn AS page_no",
-        f"{fixtures.CAND_TEXT_EXPR} AS text")
+    cands = fixtures.candidates(table(spark, sf_dir, "conversations"))
     best = first_accepted_text(cands, extraction_rules(spark), key="doc_id")
     return best.select("doc_id", "method", "rank", F.md5("text").alias("text_md5"),
                        F.length("text").cast("long").alias("text_len"))
@@ -115,7 +123,7 @@ def q_first_accepted_text(spark, sf_dir):
 
 @register("placeholder_text", oracles.placeholder_text_sql())
 def q_placeholder_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", spread_on="doc_id").selectExpr(
+    docs = _papers(spark, sf_dir).selectExpr(
         "doc_id", f"{fixtures.FILE_NAME_EXPR} AS fn", f"{fixtures.PH_IS_PDF} AS is_pdf",
         f"{fixtures.PH_TITLE} AS mt", f"{fixtures.PH_AUTHOR} AS au", f"{fixtures.PH_PAGES} AS pc")
     return _md5_len(docs, "doc_id", placeholder_text("fn", "is_pdf", "mt", "au", "pc"))
@@ -123,7 +131,7 @@ def q_placeholder_text(spark, sf_dir):
 
 @register("format_title", oracles.format_title_query_sql())
 def q_format_title(spark, sf_dir):
-    docs = fixtures.named_documents(table(spark, sf_dir, "documents", spread_on="doc_id"))
+    docs = fixtures.named_documents(_papers(spark, sf_dir))
     return docs.select("doc_id", "file_name", format_title("file_name").alias("title"))
 
 
@@ -139,7 +147,7 @@ FIT_MAX_TOKENS = 1000
 
 
 def _injected(spark, sf_dir, mode):
-    docs = table(spark, sf_dir, "documents", spread_on="doc_id")
+    docs = table(spark, sf_dir, "documents")
     return docs.selectExpr("doc_id", f"{fixtures.injected_text_expr(fixtures.SEP_SQL[mode])} AS text")
 
 
@@ -166,8 +174,8 @@ for _mode in ("newline", "compat"):
 # ---------------------------------------------------------------- requests and replies
 
 def _requests(spark, sf_dir, with_model=True):
-    docs = table(spark, sf_dir, "documents", spread_on="doc_id")
-    fitted = docs.select("doc_id", "lang", fit_context("text", max_tokens=fixtures.PROMPT_MAX_TOKENS,
+    docs = table(spark, sf_dir, "documents")
+    fitted = docs.select("doc_id", "lang", fit_context("text", max_tokens=MAX_CONTEXT_TOKENS,
                                                         mode="compat")["text"].alias("fitted"))
     prompts = build_prompt(fitted, load_prompt(spark, DEFAULT_TEMPLATE), text="fitted")
     models = F.create_map(*[F.lit(x) for kv in fixtures.MODEL_BY_LANG.items() for x in kv])
@@ -204,9 +212,9 @@ def q_apply_responder(spark, sf_dir):
 
 @register("attach_responses", oracles.attach_responses_sql())
 def q_attach_responses(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", spread_on="doc_id")
-    stored = fixtures.responses(docs).join(table(spark, sf_dir, "labels").select("doc_id"),
-                                           "doc_id", "left_semi")
+    docs = _papers(spark, sf_dir)
+    labelled = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    stored = fixtures.responses(labelled.unionByName(docs.where("kind >= 0")))
     joined = attach_responses(docs.select("doc_id"), stored)
     return joined.select("doc_id", F.md5("response").alias("response_md5"), "error")
 
@@ -215,7 +223,7 @@ def q_attach_responses(spark, sf_dir):
 
 @register("file_diagnostics", oracles.file_diagnostics_sql())
 def q_file_diagnostics(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages", spread_on="page_id")
+    pages = table(spark, sf_dir, "pages")
     files = pages.select("page_id", F.encode(F.expr(fixtures.FILE_CONTENT_EXPR), "UTF-8")
                          .alias("content"))
     files = files.withColumn("length", F.octet_length("content").cast("long"))
@@ -243,8 +251,7 @@ def q_write_coding_csv(spark, sf_dir):
 # ---------------------------------------------------------------- reply parsing pieces
 
 def _replies(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents", spread_on="doc_id")
-    return docs.selectExpr("doc_id", "'Paper ' || CAST(doc_id AS STRING) AS title",
+    return _papers(spark, sf_dir).selectExpr("doc_id", "'Paper ' || CAST(doc_id AS STRING) AS title",
                            f"{fixtures.RESPONSE_EXPR} AS response")
 
 
@@ -315,7 +322,7 @@ def q_response_audit(spark, sf_dir):
 # ---------------------------------------------------------------- results
 
 def _routed(spark, sf_dir):
-    src = table(spark, sf_dir, "documents", spread_on="doc_id")
+    src = _papers(spark, sf_dir)
     return route_documents(fixtures.named_documents(src)), src
 
 
@@ -333,10 +340,10 @@ def q_failed_rows(spark, sf_dir):
 
 @register("assemble_results", oracles.assemble_results_sql())
 def q_assemble_results(spark, sf_dir):
-    src = table(spark, sf_dir, "documents", spread_on="doc_id")
+    src = _papers(spark, sf_dir)
     # route, title and the stored reply come from the same rows: one projection
     docs = src.selectExpr("doc_id", f"{fixtures.FILE_NAME_EXPR} AS file_name",
-                          f"{fixtures.ROUTED_TEXT_EXPR} AS text", f"{fixtures.RESPONSE_EXPR} AS response")
+                          "text", f"{fixtures.RESPONSE_EXPR} AS response")
     routed = route_documents(docs)
     coded = coded_rows(routed.where(F.col("route") == ROUTE_CODE), title="Title")
     failed = failed_rows(routed.where(F.col("route") != ROUTE_CODE), title="Title")
@@ -346,8 +353,8 @@ def q_assemble_results(spark, sf_dir):
 # ---------------------------------------------------------------- extraction audit
 
 def _audit(spark, sf_dir, sort=True):
-    docs = table(spark, sf_dir, "documents", spread_on="doc_id").selectExpr(
-        f"{fixtures.FILE_NAME_EXPR} AS file", f"{fixtures.ROUTED_TEXT_EXPR} AS text",
+    docs = _papers(spark, sf_dir).selectExpr(
+        f"{fixtures.FILE_NAME_EXPR} AS file", "text",
         "octet_length(text) AS size_bytes", f"{fixtures.AUDIT_ERROR_EXPR} AS error")
     return audit_extraction(docs, error="error", sort=sort)
 

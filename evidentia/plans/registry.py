@@ -11,16 +11,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidentia.sources.tables import read_table, spread
+from evidentia.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_on: str | None = None) -> DataFrame:
-    """A driver table; ``spread_on`` hash-partitions a thin scan on that key."""
-    df = read_table(spark, sf_dir, name)
-    return spread(df, spread_on) if spread_on else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table, as its files are split."""
+    return read_table(spark, sf_dir, name)
 
 
 def register(name: str, oracle: str | None = None):

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.schema import CSV_COLUMNS, TITLE
@@ -29,56 +28,28 @@ def _csv_writer(df: DataFrame):
             .option("encoding", "UTF-8").option("lineSep", "\n"))
 
 
-# Staged (Parquet) bytes one task may turn into a single CSV file; larger
-# outputs are written as a directory of part files instead.
-SINGLE_FILE_MAX_BYTES = 128 * 1024 * 1024
-
-
-def write_coding_csv(df: DataFrame, folder: str, name: str | None = None,
-                     single_file: bool = False,
-                     single_file_max_bytes: int = SINGLE_FILE_MAX_BYTES) -> str:
+def write_coding_csv(df: DataFrame, folder: str, name: str | None = None) -> str:
     """Write the 27 columns in order as CSV: header, no index column, UTF-8 with
     a byte-order mark, minimal quoting with doubled quotes, empty strings kept
-    empty. Returns the output path; an empty input writes nothing, returns "".
-
-    By default every task writes its own part file into ``folder/name`` (a
-    directory). ``single_file=True`` asks for one file named ``name``, which
-    one task must write: the rows are first written in parallel to a staging
-    table in ``folder`` (each with its input position) and only when that
-    table is at most ``single_file_max_bytes`` does one task write the file,
-    in input order; a larger output is written as part files (a directory)
-    and a warning says so.
+    empty. Every task writes its own part file (with the header) into the
+    directory ``folder/name``, at every size. Returns that path; an empty input
+    leaves nothing and returns "".
     """
     out = df.select(*[F.col(f"`{c}`").cast("string") for c in CSV_COLUMNS])
-    if out.isEmpty():
-        return ""
     # the BOM rides on the first header cell, so each part file starts with it
     out = out.withColumnRenamed(TITLE, BOM + TITLE)
-    name = name or default_csv_name()
-    spark = df.sparkSession
-    target = f"{folder.rstrip('/')}/{name}"
-    if not single_file:
-        _csv_writer(out).csv(target)
+    target = f"{folder.rstrip('/')}/{name or default_csv_name()}"
+    rows = Observation()
+    _csv_writer(out.observe(rows, F.count(F.lit(1)).alias("n"))).csv(target)
+    if rows.get["n"]:
         return target
-    staging = f"{folder.rstrip('/')}/_staging-{uuid.uuid4().hex}"
-    out.withColumn("_pos", F.monotonically_increasing_id()).write.parquet(staging)
-    staged = spark.read.parquet(staging)
-    size = paths.total_bytes(spark, staging)
-    if size > single_file_max_bytes:
-        import warnings
-        warnings.warn(f"coding CSV: {size} staged bytes exceed {single_file_max_bytes}; "
-                      f"writing part files into the directory {target}", stacklevel=2)
-        _csv_writer(staged.drop("_pos")).csv(target)
-    else:
-        csv_staging = staging + "-csv"
-        _csv_writer(staged.coalesce(1).sortWithinPartitions("_pos").drop("_pos")).csv(csv_staging)
-        paths.move_single_part(spark, csv_staging, target)
-    paths.delete(spark, staging)
-    return target
+    paths.delete(df.sparkSession, target)
+    return ""
 
 
 def read_coding_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Read a coding CSV back (BOM stripped from the first header cell)."""
+    """Read a coding CSV back (BOM stripped from the first header cell). The format
+    has no null: an empty cell is the empty string."""
     df = (spark.read.option("header", True).option("multiLine", True)
           .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -86,7 +57,7 @@ def read_coding_csv(spark: SparkSession, path: str) -> DataFrame:
     first = df.columns[0]
     if first.startswith(BOM):
         df = df.withColumnRenamed(first, first[len(BOM):])
-    return df
+    return df.na.fill("")
 
 
 def write_parquet(df: DataFrame, path: str) -> str:

@@ -1,4 +1,4 @@
-"""Reading driver tables, and spreading a thin scan over the task slots."""
+"""Reading driver tables."""
 
 from __future__ import annotations
 
@@ -7,35 +7,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
-
-
-def _size_in_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (file sizes for a plain scan), or
-    None where the plan statistics are not reachable (e.g. Spark Connect)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate means: leave the input as it is
-        return None
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` when the input is smaller than one
-    full wave of splits (task slots x ``spark.sql.files.maxPartitionBytes``);
-    otherwise return it unchanged.
-
-    Text tables are wide per row and a Parquet row group is the unit of a
-    split: a small file can hold a single row group and scan as one task, so
-    every CPU-bound per-row step after it (regexes, reply parsing) would run
-    serially however many slots there are. A large input already yields at
-    least one split per slot, so this adds no shuffle at scale. With a
-    ``key``, later joins/aggregations on that key reuse the partitioning.
-    """
-    spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
-    split_bytes = int(split) if split.isdigit() else 128 * 1024 * 1024
-    size = _size_in_bytes(df)
-    if size is None or size >= slots * split_bytes:
-        return df
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), slots)
-    return df.repartition(n, key) if key else df.repartition(n)

@@ -12,6 +12,7 @@ exactly where it stopped; the file sink commits each batch once.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,11 +37,14 @@ def stream_code_replies(spark: SparkSession, replies_dir: str, papers: DataFrame
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     replies = reader.parquet(replies_dir)
+    # one checkpoint per output folder: another output starts its own
+    own = hashlib.sha256(output_dir.rstrip("/").encode()).hexdigest()[:16]
+    checkpoint = checkpoint or scratch_path(spark, f"coding-stream-{own}")
     staged = scratch_path(spark, f"coding-stream-papers-{uuid.uuid4().hex}")
     routed_papers(papers, key=key).write.parquet(staged)
     coded = _code_stream(spark.read.parquet(staged), replies, key)
     writer = (coded.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "coding-stream"))
+              .option("checkpointLocation", checkpoint)
               .option("path", output_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()

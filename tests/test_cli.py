@@ -7,8 +7,15 @@ from evidentia.schema import CSV_COLUMNS
 SF = "/root/testdata/sf0.001"
 
 
+def _empty(spark, tmp_path):
+    """A folder of papers without a row."""
+    path = str(tmp_path / "no-papers")
+    spark.createDataFrame([], "doc_id long, file_name string, text string").write.parquet(path)
+    return path
+
+
 def test_cli_round_trip(spark, tmp_path):
-    src = spark.read.parquet(f"{SF}/documents.parquet")
+    src = fixtures.papers(*(spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "pages")))
     fixtures.named_documents(src).write.parquet(str(tmp_path / "papers"))
     fixtures.responses(src).write.parquet(str(tmp_path / "replies"))
     (tmp_path / "t.txt").write_text("Code this paper.\n")
@@ -17,13 +24,13 @@ def test_cli_round_trip(spark, tmp_path):
     reqs = spark.read.parquet(str(tmp_path / "reqs"))
     assert reqs.count() > 0 and reqs.columns == ["doc_id", "request_json"]
     assert cli.main(["code", "--papers", str(tmp_path / "papers"), "--replies",
-                     str(tmp_path / "replies"), "--out", str(tmp_path / "out"), "--csv",
-                     "--single-file"]) == 0
+                     str(tmp_path / "replies"), "--out", str(tmp_path / "out"), "--csv"]) == 0
     from evidentia.sources.sinks import read_coding_csv
     import glob
     csv_path = glob.glob(str(tmp_path / "out" / "literature_coding_results_*.csv"))[0]
     back = read_coding_csv(spark, csv_path)
     assert back.columns == CSV_COLUMNS and back.count() == src.count()
     rc = cli.main(["audit", "--papers", str(tmp_path / "papers"), "--out", str(tmp_path / "audit")])
-    assert rc == 1        # short documents read as failures in this fixture
+    assert rc == 1        # the fixture has papers without text
+    assert cli.main(["audit", "--papers", _empty(spark, tmp_path), "--out", str(tmp_path / "none")]) == 1
     assert spark.read.parquet(str(tmp_path / "audit" / "summary")).first().total == src.count()

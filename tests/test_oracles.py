@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from evidentia.plans import registry
 from tools.check_oracles import TABLES, digest, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -22,7 +23,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    assert set(E.queries()) - set(E.oracle_sql()) == {"scan_papers"}
+    assert set(registry.QUERIES) - set(E.oracle_sql()) == {"scan_papers"}
+    assert set(registry.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
@@ -39,7 +41,7 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[0] == "doc_id" and len(df.columns) == 28
-    assert df.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert df.count() == sum(spark.read.parquet(f"{SF}/{t}.parquet").count() for t in ("documents", "pages"))
 
 
 def test_scan_papers_against_brute_force(spark):

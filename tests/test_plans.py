@@ -55,8 +55,8 @@ def test_pages_shuffle_text_once(spark):
     assert len(_exchange_inputs(assemble_pages(conv, "conv_id", "turn", "text"))) == 1
     cands = conv.selectExpr("conv_id AS doc_id", "'layout' AS method", "turn AS page_no", "text")
     inputs = _exchange_inputs(first_accepted_text(cands, extraction_rules(spark)))
-    # page text crosses one exchange; the statistics exchanges carry numbers only
-    assert sum(1 for c in inputs if re.search(r"\btext#|\b_t#", c)) == 1
+    # page text crosses one exchange at most (none where the winners are broadcast); the others carry numbers only
+    assert sum(1 for c in inputs if re.search(r"\btext#|\b_t#", c)) <= 1
     assert len(inputs) >= 2
 
 

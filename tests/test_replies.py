@@ -1,125 +1,61 @@
-"""Reply parsing: the original tool's mock-reply cases plus layout edge cases."""
+"""Reply parsing: the layouts in any mix, and edge cases of each."""
 
-from evidentia.schema import CSV_COLUMNS, FIELD_COLUMNS, INCLUDE, EXCLUSION_REASON, TITLE
+from evidentia.schema import (CSV_COLUMNS, EXCLUSION_REASON, FIELD_COLUMNS, INCLUDE, QUESTION_COLUMNS, TITLE,
+                              source_column)
 
 NS = "Not specified"
 Q1, Q1S = "1.1 Primary Stakeholders", "1.1 Primary Stakeholders - Source"
-Q2, Q2S = "1.2 Context", "1.2 Context - Source"
-Q3, Q3S = "1.3 Tech/AI type", "1.3 Tech/AI type - Source"
-Q4 = "1.4 Tool/Platform"
-Q6, Q6S = "2.1 Feedback term", "2.1 Feedback term - Source"
 Q10 = "3.2 Feedback timing control"
 
-QUESTIONS = ["Primary Stakeholders", "Context", "Tech/AI type", "Tool/Platform", "Education level",
-             "Feedback term", "Description of mechanism and context", "Our interpretation/analysis",
-             "Agency type", "Feedback timing control", "Metrics for evaluation",
-             "Measurement of agency"]
-
-COMPLETE = "\n".join(
-    ["", "**Include in Review**: Y", "**Reason if excluded**: Not applicable", ""]
-    + [line for i, q in enumerate(QUESTIONS, 1) for line in (
-        f"**{i}. {q}**: " + ("FractionLab web platform" if i == 4 else
-                             "Year seven pupils and their teachers" if i == 1 else
-                             f"Coded answer number {i}"),
-        f'**Source**: "Quoted evidence {i} mentions FractionLab web platform" (Methods, p. {i})', "")])
-
-PARTIAL = """
-**Include in Review**: Y
-
-**1. Primary Stakeholders**: Pupils in year five
-**Source**: "Thirty pupils took part in the trial" (Design, p. 4)
-
-**3. Tech/AI type**: Rule-based tutoring engine
-**Source**: Not specified
-
-**6. Feedback term**: Prompts
-**Source**: "The engine gave prompts after each error" (Findings, p. 9)
-"""
-
-EXCLUDED = """
-**Include in Review**: N
-**Reason if excluded**: Written in Spanish and about chemistry teaching
-"""
-
-ANSWER_FORM = """
-**Include in Review**: Y
-
-**1. Primary Stakeholders**: Who took part in the study?
-**Answer**: Lower secondary learners and two teachers
-**Source**: "We worked with 64 learners aged 12 to 13" (Sample, p. 6)
-
-**2. Context**: What was the setting?
-**Answer**: Homework sessions on a web platform
-**Source**: "Tasks were set as weekly homework" (Procedure, p. 7)
-
-**6. Feedback term**: Which words describe the feedback?
-**Answer**: Worked-example hints
-**Source**: "Each hint showed a worked example of the step" (Materials, p. 5)
-"""
-
-
 def test_columns():
     assert len(CSV_COLUMNS) == 27
     assert CSV_COLUMNS[:5] == [TITLE, INCLUDE, EXCLUSION_REASON, Q1, Q1S]
     assert CSV_COLUMNS[-1] == "4.2 Measurement of agency - Source"
 
 
-def test_complete(parse_one):
-    r = parse_one(COMPLETE, "Test Paper Title")
-    assert list(r) == CSV_COLUMNS
-    assert r[TITLE] == "Test Paper Title"
-    assert r[INCLUDE] == "Y" and r[EXCLUSION_REASON] == "Not applicable"
-    assert r[Q1] == "Year seven pupils and their teachers"
-    assert r[Q4] == "FractionLab web platform"
-    assert "FractionLab web platform" in r["1.4 Tool/Platform - Source"]
-    assert sum(r[c] != NS for c in FIELD_COLUMNS) == 24
+def _mixed(numbers):
+    """A reply that gives each question in another layout, and what the rules read from it."""
+    lines, want = ["**Include in Review**: Y"], {}
+    for n in numbers:
+        layout = [
+            ([f"**{n}. Theme**: alpha value {n}", "", f"**Source**: place {n}"], f"alpha value {n}", f"place {n}"),
+            ([f"{n}. **Theme**: beta value {n}", "not evidence"], f"beta value {n}", NS),
+            ([f"{n}. Theme: gamma value {n}", f"Found in source: spot {n}"], f"gamma value {n}", f"spot {n}"),
+            ([f"**{n}. Theme**: Which one is it?", f"**Answer**: delta value {n}", f"**Source**: page {n}"], f"delta value {n}", f"page {n}"),
+        ][n % 4]
+        lines += [*layout[0], "", "prose between the answers"]
+        want[QUESTION_COLUMNS[n]], want[source_column(QUESTION_COLUMNS[n])] = layout[1:]
+    return "\n".join(lines), want
 
 
-def test_partial(parse_one):
-    r = parse_one(PARTIAL, "Partial")
-    assert r[INCLUDE] == "Y" and r[EXCLUSION_REASON] == NS
-    assert r[Q1] == "Pupils in year five" and "Thirty pupils took part" in r[Q1S]
-    assert r[Q3] == "Rule-based tutoring engine" and r[Q3S] == NS
-    assert r[Q6] == "Prompts"
-    assert r[Q2] == NS and r[Q4] == NS and r["4.1 Metrics for evaluation"] == NS
+def test_mixed_layouts_in_any_order(parse_one):
+    for numbers in ([12, 7, 3, 10, 1, 5, 8, 2, 11, 4, 9, 6], [9, 4, 2], [11], []):
+        text, want = _mixed(numbers)
+        r = parse_one(text, "Any title")
+        assert list(r) == CSV_COLUMNS and r[TITLE] == "Any title" and r[INCLUDE] == "Y"
+        assert {c: r[c] for c in FIELD_COLUMNS} == {c: NS for c in FIELD_COLUMNS} | want
 
 
-def test_excluded(parse_one):
-    r = parse_one(EXCLUDED, "Excluded")
-    assert r[INCLUDE] == "N"
-    assert r[EXCLUSION_REASON] == "Written in Spanish and about chemistry teaching"
-    assert all(r[c] == NS for c in FIELD_COLUMNS)
+def test_rejected_paper_with_stray_answers(parse_one):
+    r = parse_one("**Reason if excluded**: no pupils: only software\n7. Theme: kept all the same\n**Include in Review**: N")
+    assert r[INCLUDE] == "N" and r[EXCLUSION_REASON] == "no pupils: only software"
+    assert r[QUESTION_COLUMNS[7]] == "kept all the same"
+    assert sum(r[c] != NS for c in FIELD_COLUMNS) == 1
 
 
-def test_answer_form(parse_one):
-    r = parse_one(ANSWER_FORM)
-    assert r[Q1] == "Lower secondary learners and two teachers"
-    assert r[Q2] == "Homework sessions on a web platform"
-    assert r[Q6] == "Worked-example hints"
-    assert "64 learners" in r[Q1S]
-    assert "weekly homework" in r[Q2S]
-    assert "worked example of the step" in r[Q6S]
+def test_replies_under_ten_characters_say_nothing(parse_one):
+    for text in [None, " \t\n ", "1. A: bcd", "   1. A: b   "]:
+        r = parse_one(text, "T")
+        assert r[TITLE] == "T" and all(r[c] == NS for c in CSV_COLUMNS[1:])
+    assert parse_one("1. A: bcdef", "T")[Q1] == "bcdef"
 
 
-def test_empty_and_short(parse_one):
-    for text in ["", "Short", None, "     tiny  "]:
-        r = parse_one(text, "T")
-        assert r[TITLE] == "T"
-        assert all(r[c] == NS for c in CSV_COLUMNS[1:])
-
-
-def test_all_four_forms(parse_one):
-    forms = {
-        1: "**1. Primary Stakeholders**: Students\n**Source**: Evidence line 1",
-        2: "1. **Primary Stakeholders**: Students\n**Source**: Evidence line 2",
-        3: "1. Primary Stakeholders: Students\nSource: Evidence line 3",
-        4: "**1. Primary Stakeholders**: Question text\n**Answer**: Students\n**Source**: Evidence line 4",
-    }
-    expect_source = {1: "Evidence line 1", 2: NS, 3: "Evidence line 3", 4: "Evidence line 4"}
-    for k, text in forms.items():
-        r = parse_one(text)
-        assert r[Q1] == "Students", k
-        assert r[Q1S] == expect_source[k], k
+def test_long_real_lines(parse_one):
+    """Colons, stars and digits inside long answers stay as they are."""
+    line = "ratio 3:1, see *note* 4. and 5: " + "word " * 2000 + "end"
+    r = parse_one(f"**5. E**: {line}\n**Source**: {line}\nprose: 7 of 9\n**8. F**: {line}")
+    assert r[QUESTION_COLUMNS[5]] == line.replace("**", "").strip() and r[source_column(QUESTION_COLUMNS[5])] == line
+    assert r[QUESTION_COLUMNS[8]] == line
 
 
 CASES = [
