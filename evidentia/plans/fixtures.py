@@ -9,6 +9,8 @@ generated reply is chosen by ``doc_id % 8`` so all eight reply layouts occur.
 
 from __future__ import annotations
 
+import re
+
 NL = " || chr(10) || "
 
 
@@ -143,6 +145,37 @@ def candidates(conversations):
     return first.unionByName(second)
 
 
+# The paper files these candidates belong to, and those of the web pages: no method read a page on a .net host.
+EXTRACT_FILES = {"conversations": ["DISTINCT conv_id AS doc_id", "'Talk_' || conv_id || '.pdf' AS file_name",
+                                   "true AS is_pdf", "CAST(NULL AS STRING) AS title"],
+                 "pages": ["-1 - page_id AS doc_id", "'Page_' || page_id || '.pdf' AS file_name",
+                           "length(url) % 2 = 0 AS is_pdf", f"{PAGE_TITLE} AS title"]}
+EXTRACT_FILES_SQL = " UNION ALL ".join(f"SELECT {', '.join(c)} FROM {t}" for t, c in EXTRACT_FILES.items())
+_NET = "url LIKE '%.net%'"
+PAGE_CANDIDATES = ["-1 - page_id AS doc_id", "'layout' AS method", "1 AS page_no",
+                   f"CASE WHEN {_NET} THEN NULL ELSE {PAGE_TEXT_EXPR} END AS text",
+                   f"CASE WHEN {_NET} THEN NULL ELSE {PAGE_LAYOUT_EXPR} END AS layout_text",
+                   f"CASE WHEN {_NET} THEN NULL ELSE html END AS html"]
+EXTRACT_CANDIDATES = [[*c, "CAST(NULL AS STRING) AS layout_text", "CAST(NULL AS STRING) AS html"] for c in CANDIDATES]
+# a turn's own text is also its layout text, so that the mode chain keeps it
+EXTRACT_CANDIDATES[0][4] = "text AS layout_text"
+EXTRACT_CANDIDATES_SQL = " UNION ALL ".join(
+    [f"SELECT {', '.join(c)} FROM conversations" for c in EXTRACT_CANDIDATES] + [f"SELECT {', '.join(PAGE_CANDIDATES)} FROM pages"])
+
+
+def extract_files(conversations, pages):
+    """``(doc_id, file_name, is_pdf, title)``: the rows of ``EXTRACT_FILES_SQL``."""
+    first, *rest = EXTRACT_FILES["conversations"]
+    talks = conversations.selectExpr(first.removeprefix("DISTINCT "), *rest).distinct()
+    return talks.unionByName(pages.selectExpr(*EXTRACT_FILES["pages"]))
+
+
+def extract_candidates(conversations, pages):
+    """``(doc_id, method, page_no, text, layout_text, html)``: the rows of ``EXTRACT_CANDIDATES_SQL``."""
+    first, second = (conversations.selectExpr(*c) for c in EXTRACT_CANDIDATES)
+    return first.unionByName(second).unionByName(pages.selectExpr(*PAGE_CANDIDATES))
+
+
 # Metadata of a paper no method could read.
 PH_IS_PDF = "lang <> 'de'"
 PH_TITLE = f"CASE WHEN lang = 'en' THEN {W2} END"
@@ -181,3 +214,26 @@ def demo_responder(request: dict) -> str:
 
 # Pages sent as file content; pages on .net hosts carry a PDF signature.
 FILE_CONTENT_EXPR = "CASE WHEN url LIKE '%.net%' THEN '%PDF-1.7 ' || html ELSE html END"
+
+# The file each row of ``pages`` is written to; the default glob finds two of the three endings.
+PAPER_FILE_EXPR = ("'page_' || page_id || CASE length(html) % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '.PDF' "
+                   "ELSE '.html' END")
+
+
+def write_paper_files(pages, folder: str) -> None:
+    """Each row of ``pages`` as a file in ``folder``, written by the tasks; a retried task writes the
+    same files again. ``folder`` is a path of the shared file system."""
+    uri = folder.replace("file:/", "file:///", 1) if re.match("file:/(?!/)", folder) else folder
+
+    def write(batches):
+        from pyarrow import fs
+        store, at = fs.FileSystem.from_uri(uri)
+        store.create_dir(at, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch["name"].to_pylist(), batch["content"].to_pylist(), strict=True):
+                with store.open_output_stream(f"{at}/{name}") as f:
+                    f.write(content.encode())
+            yield batch.select(["name"])
+
+    rows = pages.selectExpr(f"{PAPER_FILE_EXPR} AS name", f"{FILE_CONTENT_EXPR} AS content")
+    rows.mapInArrow(write, "name string").write.format("noop").mode("overwrite").save()

@@ -220,11 +220,14 @@ def assembled_sql(order: str, text: str) -> str:
     return f"coalesce({strip(agg)}, '')"
 
 
-NORMALIZE_TEXT = """
-SELECT doc_id,
-       CAST(length(text) + len(list_filter(list_zip(string_split(text, ''),
-            string_split(strip_accents(text), '')), lambda p: p[1] <> p[2])) AS BIGINT) AS nfkd_chars,
-       md5(nfc_normalize(text)) AS nfc_md5
+def nfkd_chars(e: str) -> str:
+    """Code points of the NFKD form: one more for each character with an accent."""
+    return (f"(length({e}) + len(list_filter(list_zip(string_split({e}, ''), "
+            f"string_split(strip_accents({e}), '')), lambda p: p[1] <> p[2])))")
+
+
+NORMALIZE_TEXT = f"""
+SELECT doc_id, CAST({nfkd_chars('text')} AS BIGINT) AS nfkd_chars, md5(nfc_normalize(text)) AS nfc_md5
 FROM documents"""
 
 STRIP_MARKUP = """
@@ -288,6 +291,42 @@ WHERE text <> '' AND (min_doc_chars IS NULL OR length(text) > min_doc_chars)
 GROUP BY doc_id"""
 
 
+def extract_papers_sql() -> str:
+    """Texts stay composed here; what Spark decomposed is composed again before it is compared.
+    The stand-in text holds the file's own title, which is not normalized."""
+    html = "regexp_replace(html, '<[^<]+?>', '', 'g')"
+    first = f"CASE WHEN method = 'layout' AND (text IS NULL OR {nfkd_chars(strip('text'))} < 20) THEN layout_text ELSE text END"
+    mode = (f"CASE WHEN method = 'layout' AND (t IS NULL OR length({strip('t')}) < 20) "
+            f"AND html IS NOT NULL AND html <> '' THEN {html} ELSE t END")
+    return f"""
+WITH rules(method, rank, min_page_chars, min_doc_chars) AS (VALUES
+  ('text_layer', 1, NULL, NULL), ('text_layer_tolerant', 2, NULL, NULL), ('layout', 3, NULL, NULL),
+  ('reader', 4, NULL, NULL), ('cli', 5, NULL, NULL), ('ocr', 6, 10, 100)),
+pg AS (SELECT doc_id, method, page_no, {mode} AS text
+       FROM (SELECT *, {first} AS t FROM ({fixtures.EXTRACT_CANDIDATES_SQL}))),
+per_method AS (
+  SELECT doc_id, pg.method, r.rank, r.min_doc_chars, {assembled_sql('page_no', 'text')} AS text
+  FROM pg JOIN rules r ON pg.method = r.method
+  WHERE text IS NOT NULL AND text <> ''
+    AND (r.min_page_chars IS NULL OR {nfkd_chars(strip('text'))} > r.min_page_chars)
+  GROUP BY doc_id, pg.method, r.rank, r.min_doc_chars),
+acc AS (SELECT doc_id, arg_min(method, rank) AS method, arg_min(text, rank) AS text FROM per_method
+        WHERE text <> '' AND (min_doc_chars IS NULL OR {nfkd_chars('text')} > min_doc_chars)
+        GROUP BY doc_id),
+papers AS (
+  SELECT f.doc_id, f.file_name,
+         CASE WHEN a.doc_id IS NOT NULL THEN a.method WHEN f.is_pdf THEN 'placeholder' END AS method,
+         CASE WHEN a.doc_id IS NOT NULL THEN a.text
+              WHEN f.is_pdf THEN 'Title: ' || {stem_sql('f.file_name')}
+                || CASE WHEN f.title <> '' THEN chr(10) || 'Extracted title: ' || f.title ELSE '' END
+                || chr(10) || chr(10) || {q(PLACEHOLDER_NOTE)}
+              ELSE '' END AS text
+  FROM ({fixtures.EXTRACT_FILES_SQL}) f LEFT JOIN acc a ON f.doc_id = a.doc_id)
+SELECT doc_id, file_name, method, {route_sql('text')} AS route, md5(nfc_normalize(text)) AS nfc_md5,
+       CAST(CASE method WHEN 'placeholder' THEN length(text) ELSE {nfkd_chars('text')} END AS BIGINT) AS text_chars
+FROM papers"""
+
+
 def placeholder_text_sql() -> str:
     fn = fixtures.FILE_NAME_EXPR
     body = (f"'Title: ' || {stem_sql('fn')} "
@@ -452,6 +491,15 @@ SELECT page_id, CAST(octet_length(encode({c})) AS BIGINT) AS size_bytes,
 FROM pages"""
 
 
+def scan_papers_sql() -> str:
+    c = f"({fixtures.FILE_CONTENT_EXPR})"
+    return f"""
+SELECT name AS file_name, CAST(octet_length(encode(c)) AS BIGINT) AS length, hex(left(c, 10)) AS header_hex,
+       contains(left(c, 1000), '%PDF') AS is_pdf, octet_length(encode(c)) / 1048576 AS size_mb
+FROM (SELECT {fixtures.PAPER_FILE_EXPR} AS name, {c} AS c FROM pages)
+WHERE name LIKE '%.pdf' OR name LIKE '%.PDF'"""
+
+
 def write_coding_csv_sql() -> str:
     return f"SELECT {', '.join(map(ident, CSV_COLUMNS))} FROM ({code_documents_sql()})"
 

@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidentia.operators.coding import coded_rows
+from evidentia.operators.pages import first_accepted_text, paper_text, pick_page_strategy
 from evidentia.operators.results import ROUTE_CODE, ROUTE_NO_TEXT, route, routed_failure_reason
 from evidentia.functions.strings import col
-from evidentia.functions.text import format_title
+from evidentia.functions.text import format_title, normalize_text, page_mode_chain
 from evidentia.sources import paths
 from evidentia.schema import (CSV_COLUMNS, EXCLUSION_REASON, FAILED_INCLUDE, FIELD_COLUMNS,
                               INCLUDE, PROCESSING_FAILED, TITLE)
@@ -26,6 +27,33 @@ from evidentia.schema import (CSV_COLUMNS, EXCLUSION_REASON, FAILED_INCLUDE, FIE
 NO_REPLY_ERROR = "no response recorded"
 
 
+def extract_papers(files: DataFrame, candidates: DataFrame, rules: DataFrame, key: str = "doc_id",
+                   order: str = "page_no", text: str = "text", layout: str | None = None,
+                   html: str | None = None, strategy: str | None = None, file_name: str = "file_name",
+                   is_pdf: str = "is_pdf", title=None, author=None, page_count=None,
+                   chunk_pages: int | None = None) -> DataFrame:
+    """``(key, file_name, method, text, route)``: the papers' texts from page candidates.
+
+    ``files`` has one row per paper ``(key, file_name, is_pdf, ..)`` and ``candidates`` one per
+    (paper, method, page): ``(key, method, page_no, text)``. Where one method read a page in
+    several ways, ``strategy`` names the column that orders them; ``layout`` and ``html``
+    name the other modes of a page of the method 'layout'. Each page's text is NFKD-normalized, the
+    first accepted method wins, a PDF without one gets the stand-in text and any other file ''. A
+    file without candidates stays; candidates without a file are left out.
+    """
+    pages = candidates
+    if layout and html:
+        pages = pages.withColumn(text, F.when(F.col("method") == "layout", page_mode_chain(text, layout, html))
+                                        .otherwise(F.col(text)))
+    if strategy:
+        pages = pick_page_strategy(pages, key=(key, "method", order), order=strategy, text=text) \
+            .withColumnRenamed("text", text)
+    pages = pages.select(key, "method", order, normalize_text(text).alias(text))
+    accepted = first_accepted_text(pages, rules, key, order, text, chunk_pages)
+    papers = paper_text(files, accepted, key, file_name, is_pdf, title, author, page_count)
+    return papers.withColumn("route", route("text"))
+
+
 def attach_responses(docs: DataFrame, responses: DataFrame, key: str = "doc_id") -> DataFrame:
     """Left-join stored replies ``(key, response, error)``; a paper without a
     stored reply gets ``error = 'no response recorded'``."""

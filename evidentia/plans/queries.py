@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +29,7 @@ from evidentia.sources.sinks import read_coding_csv, write_coding_csv
 from evidentia.operators.pages import (assemble_pages, extraction_rules, first_accepted_text,
                                        pick_page_strategy)
 from evidentia.plans import fixtures, oracles
-from evidentia.plans.pipeline import code_documents
+from evidentia.plans.pipeline import code_documents, extract_papers
 from evidentia.plans.registry import register, table
 
 def _papers(spark, sf_dir):
@@ -121,6 +123,15 @@ def q_first_accepted_text(spark, sf_dir):
                        F.length("text").cast("long").alias("text_len"))
 
 
+@register("extract_papers", oracles.extract_papers_sql())
+def q_extract_papers(spark, sf_dir):
+    src = table(spark, sf_dir, "conversations"), table(spark, sf_dir, "pages")
+    papers = extract_papers(fixtures.extract_files(*src), fixtures.extract_candidates(*src), extraction_rules(spark),
+                            layout="layout_text", html="html", title="title")
+    return papers.select("doc_id", "file_name", "method", "route", F.md5(_nfc("text")).alias("nfc_md5"),
+                         F.length("text").cast("long").alias("text_chars"))
+
+
 @register("placeholder_text", oracles.placeholder_text_sql())
 def q_placeholder_text(spark, sf_dir):
     docs = _papers(spark, sf_dir).selectExpr(
@@ -232,17 +243,17 @@ def q_file_diagnostics(spark, sf_dir):
                     F.hex("header").alias("header_hex"), "is_pdf", "size_mb")
 
 
-@register("scan_papers")
+@register("scan_papers", oracles.scan_papers_sql())
 def q_scan_papers(spark, sf_dir):
-    # the driver tables themselves, scanned as files: names, sizes, signatures
-    files = file_diagnostics(scan_papers(spark, sf_dir, glob="*.parquet"))
+    folder = scratch_path(spark, f"paper-files-{uuid.uuid4().hex}")
+    fixtures.write_paper_files(table(spark, sf_dir, "pages"), folder)
+    files = file_diagnostics(scan_papers(spark, folder))
     return files.select("file_name", "length", F.hex("header").alias("header_hex"), "is_pdf",
                         "size_mb")
 
 
 @register("write_coding_csv", oracles.write_coding_csv_sql())
 def q_write_coding_csv(spark, sf_dir):
-    import uuid
     coded = q_code_documents(spark, sf_dir)
     path = write_coding_csv(coded, scratch_path(spark, f"coding-csv-{uuid.uuid4().hex}"))
     return read_coding_csv(spark, path).select(*[F.col(f"`{c}`") for c in CSV_COLUMNS])

@@ -73,3 +73,25 @@ def test_first_accepted_text_chunked(spark):
     one = sorted(first_accepted_text(cands, rules).collect())
     two = sorted(first_accepted_text(cands, rules, chunk_pages=2).collect())
     assert one == two and len(one) > 0
+
+
+def test_extract_papers(spark):
+    from evidentia.plans.pipeline import extract_papers
+    files = spark.createDataFrame(
+        [(1, "a.pdf", True), (2, "b.pdf", True), (3, "c.html", False), (4, "d.pdf", True), (5, "e.pdf", True)],
+        "doc_id long, file_name string, is_pdf boolean")
+    cands = spark.createDataFrame(
+        [(1, "text_layer", 1, 1, "\ufb01rst caf\u00e9", None, None), (1, "text_layer", 2, 1, "second", None, None),
+         (2, "layout", 1, 1, "short", "", "<p>from the markup of the page</p>"),
+         (4, "text_layer", 1, 1, " \u00a0", None, None),          # only white space: the next method's turn
+         (4, "ocr", 1, 1, "n" * 20, None, None), (4, "ocr", 1, 2, "y" * 120, None, None),
+         (6, "cli", 1, 1, "no such file", None, None)],
+        "doc_id long, method string, page_no int, strategy int, text string, layout string, html string")
+    out = extract_papers(files, cands, extraction_rules(spark), layout="layout", html="html", strategy="strategy")
+    got = {r.doc_id: (r.method, r.text, r.route) for r in out.collect()}
+    assert got[1] == ("text_layer", "first cafe\u0301\nsecond", "code")
+    assert got[2] == ("layout", "from the markup of the page", "code")
+    assert got[3] == (None, "", "no_text")
+    assert got[4] == ("ocr", "y" * 120, "code")
+    assert got[5][0] == "placeholder" and got[5][2] == "manual_review"
+    assert set(got) == {1, 2, 3, 4, 5}
