@@ -1,11 +1,12 @@
 """Command line: the coding run, request export, and the extraction audit.
 
+    python -m evidentia.cli extract --files F --candidates C --out P [--chunk-pages N]
     python -m evidentia.cli requests --papers P --template T --out DIR [--model M]
     python -m evidentia.cli code --papers P --replies R --out DIR [--csv]
     python -m evidentia.cli audit --papers P --out DIR
 
-``papers`` is a Parquet table ``(doc_id, file_name, text)`` (the output of a
-text-extraction job); ``replies`` holds ``(doc_id, response, error)``. Results
+``papers`` is a Parquet table ``(doc_id, file_name, text)`` (the output of
+``extract``); ``replies`` holds ``(doc_id, response, error)``. Results
 are written to ``--out`` (Parquet, or CSV in the original format with
 ``--csv``); the audit writes its rows, summary and failures as Parquet and
 prints the one-line summary.
@@ -27,6 +28,18 @@ def _session() -> SparkSession:
     return spark
 
 
+def cmd_extract(a) -> int:
+    from evidentia.operators.pages import extraction_rules
+    from evidentia.plans.pipeline import extract_papers
+    spark = _session()
+    candidates = spark.read.parquet(a.candidates)
+    optional = {c: c for c in ("layout", "html", "strategy") if c in candidates.columns}
+    papers = extract_papers(spark.read.parquet(a.files), candidates, extraction_rules(spark),
+                            chunk_pages=a.chunk_pages, **optional)
+    papers.write.mode("overwrite").parquet(a.out)
+    return 0
+
+
 def cmd_requests(a) -> int:
     from evidentia.plans.pipeline import request_documents
     from evidentia.sources.files import load_prompt
@@ -76,6 +89,12 @@ def cmd_audit(a) -> int:
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="evidentia")
     sub = ap.add_subparsers(dest="cmd", required=True)
+    e = sub.add_parser("extract", help="choose and assemble the papers' texts from page candidates")
+    e.add_argument("--files", required=True, help="(doc_id, file_name, is_pdf)")
+    e.add_argument("--candidates", required=True, help="(doc_id, method, page_no, text[, layout, html][, strategy])")
+    e.add_argument("--out", required=True)
+    e.add_argument("--chunk-pages", type=int, default=None)
+    e.set_defaults(fn=cmd_extract)
     r = sub.add_parser("requests", help="fit texts, build prompts and model requests")
     r.add_argument("--papers", required=True)
     r.add_argument("--template", required=True)

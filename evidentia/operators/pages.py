@@ -40,16 +40,19 @@ def assemble_pages(pages: DataFrame, key="doc_id", order="page_no", text="text",
     the text, so use it for inputs with such papers only.
     """
     keys = _keys(key)
-    if not chunk_pages:
-        return pages.groupBy(*keys).agg(assembled_text(order, text).alias("text"))
+    if chunk_pages:
+        pages, order, text = page_chunks(pages, keys, order, text, chunk_pages), "_chunk", "_t"
+    return pages.groupBy(*keys).agg(assembled_text(order, text).alias("text"))
+
+
+def page_chunks(pages: DataFrame, keys: list, order: str, text: str, chunk_pages: int) -> DataFrame:
+    """``(keys.., _chunk, _t)``: each ``chunk_pages`` consecutive pages joined to one string."""
     t = col(text)
     page = F.when(t.isNotNull() & (t != F.lit("")), F.struct(col(order).alias("o"), t.alias("t")))
     chunk = F.floor(col(order) / F.lit(chunk_pages)).alias("_chunk")
-    chunks = pages.groupBy(*keys, chunk).agg(
+    return pages.groupBy(*keys, chunk).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(page)), lambda p: p["t"]), "\n")
         .alias("_t"))
-    return chunks.groupBy(*keys).agg(
-        assembled_text("_chunk", "_t").alias("text"))
 
 
 def pick_page_strategy(cands: DataFrame, key=("doc_id", "page_no"), order="strategy",
@@ -93,7 +96,7 @@ def first_accepted_text(cands: DataFrame, rules: DataFrame, key: str = "doc_id",
     page's leading and the last page's trailing whitespace), the winner is
     the minimum rank over those small rows, and only the winning method's
     pages are assembled. So a paper's group holds one method's pages, not
-    every method's (``chunk_pages`` as in ``assemble_pages``). Spark chooses the
+    every method's. With ``chunk_pages`` every method's pages are joined to chunks first. Spark chooses the
     join with the winners by their size, and may split a hot paper in it. A rule with
     ``min_doc_chars`` must also set ``min_page_chars`` (its kept pages then
     all have content, which makes the length statistic exact).
@@ -121,9 +124,11 @@ def first_accepted_text(cands: DataFrame, rules: DataFrame, key: str = "doc_id",
                                        F.min("rank").alias("rank"))
 
     pages = kept.select(key, "method", o.alias("_o"), t.alias("_t"))
+    if chunk_pages:
+        # before anything deals the pages by paper alone, or a hot paper's chunks would share a task
+        pages = page_chunks(pages, [key, "method"], "_o", "_t", chunk_pages).withColumnRenamed("_chunk", "_o")
     winners = pages.join(chosen, [key, "method"])
-    return assemble_pages(winners, key=[key, "method", "rank"], order="_o", text="_t",
-                          chunk_pages=chunk_pages)
+    return assemble_pages(winners, key=[key, "method", "rank"], order="_o", text="_t")
 
 
 def paper_text(files: DataFrame, accepted: DataFrame, key: str = "doc_id",

@@ -30,6 +30,14 @@ def test_cli_round_trip(spark, tmp_path):
     csv_path = glob.glob(str(tmp_path / "out" / "literature_coding_results_*.csv"))[0]
     back = read_coding_csv(spark, csv_path)
     assert back.columns == CSV_COLUMNS and back.count() == src.count()
+    conv, pages = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("conversations", "pages"))
+    fixtures.extract_files(conv, pages).write.parquet(str(tmp_path / "files"))
+    fixtures.candidates(conv).write.parquet(str(tmp_path / "candidates"))
+    assert cli.main(["extract", "--files", str(tmp_path / "files"), "--candidates", str(tmp_path / "candidates"),
+                     "--chunk-pages", "4", "--out", str(tmp_path / "texts")]) == 0
+    texts = spark.read.parquet(str(tmp_path / "texts"))
+    assert texts.columns == ["doc_id", "file_name", "method", "text", "route"]
+    assert texts.count() == conv.select("conv_id").distinct().count() + pages.count()
     rc = cli.main(["audit", "--papers", str(tmp_path / "papers"), "--out", str(tmp_path / "audit")])
     assert rc == 1        # the fixture has papers without text
     assert cli.main(["audit", "--papers", _empty(spark, tmp_path), "--out", str(tmp_path / "none")]) == 1

@@ -95,3 +95,14 @@ def test_extract_papers(spark):
     assert got[4] == ("ocr", "y" * 120, "code")
     assert got[5][0] == "placeholder" and got[5][2] == "manual_review"
     assert set(got) == {1, 2, 3, 4, 5}
+
+
+def test_chunks_are_dealt_before_papers(spark):
+    """A paper with a third of all pages: its chunks are joined in many tasks."""
+    rows = spark.range(3000).selectExpr("IF(id < 1000, 0, id) AS doc_id", "'cli' AS method",
+                                        "CAST(IF(id < 1000, id, 1) AS INT) AS page_no", "'p' || id AS text")
+    plan = first_accepted_text(rows, extraction_rules(spark), chunk_pages=10)._jdf.queryExecution().executedPlan().toString()
+    # the chunk number, named by the optimizer, is in the first key that any page is dealt by
+    assert any("hashpartitioning" in line and "_groupingexpression" in line for line in plan.splitlines())
+    got = {r.doc_id: r.text for r in first_accepted_text(rows, extraction_rules(spark), chunk_pages=10).collect()}
+    assert got[0] == "\n".join(f"p{i}" for i in range(1000)) and len(got) == 2001
