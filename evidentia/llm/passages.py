@@ -11,8 +11,8 @@ chained: a Fenwick tree of prefix maxima over the representative's positions fin
 for each match the best chain to go on, an anchor counts K words and each word of
 a gap, on either side, costs ``GAP``. Chains are aligned word by word (a byte of
 each word's hash travels with the seed): equal stretches directly, unequal
-ones in a band, with an extension after the last anchor. Chains of 0.8
-equal words or more become passages; what touches in the document is joined,
+ones in a band, with an extension after the last anchor. A chain of less than 0.8
+equal words is cut at its worst gap until each part has them; parts become passages; what touches in the document is joined,
 and passages of ``MIN_WORDS`` words or more are returned. The up to 15 words in
 front of a chain's first seed are not seen, so ``MIN_WORDS`` is 35: every exact
 repeat of 50 words is found.
@@ -147,23 +147,39 @@ def equal_words(a: bytes, b: bytes, la: int, lb: int) -> int:
     return max(row)
 
 
-def align(path: list[int], x: np.ndarray, y: np.ndarray, mine: list[bytes], theirs: list[bytes]) -> tuple[int, int, int, int, int]:
-    """(first word, end, first word there, end there, equal words) of a chain."""
-    same = 0
+def align(path: list[int], x: np.ndarray, y: np.ndarray, mine: list[bytes], theirs: list[bytes]) -> list[tuple[int, int, int, int, int]]:
+    """(first word, end, first word there, end there, equal words) of each part of a chain.
+
+    A part with less than ``SIMILAR`` equal words is cut at the gap with the most unequal
+    words, and both sides are tested again; equal stretches have no such gap, so they stay whole.
+    """
+    size, equal = [], []
     for i, j in zip(path, path[1:], strict=False):
         dx, dy = int(x[j] - x[i]), int(y[j] - y[i])
-        same += min(max(min(K, dx, dy), equal_words(mine[i], theirs[i], dx, dy)), dx, dy)
-    last = path[-1]
-    a, b = mine[last], theirs[last]
-    # go on after the last anchor while most of the words still agree
-    good = best = length = 0
-    for n, (c, d) in enumerate(zip(a, b, strict=False), 1):
-        good += 1 if c == d else -3
-        if good > best:
-            best, length = good, n
-    length = max(length, min(K, len(a), len(b)))
-    same += sum(c == d for c, d in zip(a[:length], b[:length], strict=True))
-    return int(x[path[0]]), int(x[last]) + length, int(y[path[0]]), int(y[last]) + length, same
+        size.append(max(dx, dy))
+        equal.append(min(max(min(K, dx, dy), equal_words(mine[i], theirs[i], dx, dy)), dx, dy))
+    total = np.concatenate(([0], np.cumsum(equal, dtype=np.int64)))
+    unequal = np.array(size, np.int64) - np.array(equal, np.int64)
+    out, open_ = [], [(0, len(path) - 1)]
+    while open_:
+        s, e = open_.pop()
+        first, last = path[s], path[e]
+        a, b = mine[last], theirs[last]
+        # go on after the last anchor while most of the words still agree
+        good = best = length = 0
+        for n, (c, d) in enumerate(zip(a, b, strict=False), 1):
+            good += 1 if c == d else -3
+            if good > best:
+                best, length = good, n
+        length = max(length, min(K, len(a), len(b)))
+        same = int(total[e] - total[s]) + sum(c == d for c, d in zip(a[:length], b[:length], strict=True))
+        part = int(x[first]), int(x[last]) + length, int(y[first]), int(y[last]) + length, same
+        if s == e or same >= SIMILAR * max(part[1] - part[0], part[3] - part[2]):
+            out.append(part)
+        else:
+            worst = s + int(unequal[s:e].argmax())
+            open_ += [(worst + 1, e), (s, worst)]
+    return out
 
 
 def passages_of(x, other, y, mine, theirs) -> list[tuple]:
@@ -174,9 +190,9 @@ def passages_of(x, other, y, mine, theirs) -> list[tuple]:
     for s, e in zip(np.concatenate(([0], cut)).tolist(), np.concatenate((cut, [len(x)])).tolist(), strict=True):
         m, t = mine[s:e], theirs[s:e]
         for path in chains(x[s:e], y[s:e]):
-            a, b, c, d, same = align(path, x[s:e], y[s:e], m, t)
-            if same >= SIMILAR * max(b - a, d - c):
-                spans.append((a, b, same, int(other[s]), c, d))
+            for a, b, c, d, same in align(path, x[s:e], y[s:e], m, t):
+                if same >= SIMILAR * max(b - a, d - c):
+                    spans.append((a, b, same, int(other[s]), c, d))
     spans.sort()
     out: list[list] = []
     for a, b, same, rep, c, d in spans:

@@ -309,6 +309,24 @@ def test_every_exact_repeat_of_50_words_is_found(spark):
     assert passages.repeated_passages(frame(spark).limit(0)).count() == 0
 
 
+def covered(rows, doc_id):
+    return {w for r in rows if r["doc_id"] == doc_id for w in range(r["start_word"], r["end_word"])}
+
+
+def test_two_passages_of_a_document_pair_at_any_gap(spark):
+    rng = np.random.default_rng(31)
+    texts, want = [], {}
+    for size in (60, 100, 200):
+        for mine, theirs in [(0, 0), (0, 100), (20, 20), (50, 50), (80, 80), (100, 0), (200, 120), (400, 400)]:
+            a, b = words_of(rng, size), words_of(rng, size)
+            texts.append(" ".join([*a, *words_of(rng, theirs), *b]))
+            want[len(texts)] = {*range(12, size - 12), *range(size + mine + 12, 2 * size + mine - 12)}
+            texts.append(" ".join([*a, *words_of(rng, mine), *b]))
+    rows = passages.repeated_passages(frame(spark, texts, range(len(texts)))).collect()
+    for i, words in want.items():
+        assert words <= covered(rows, i), (i, sorted(words - covered(rows, i)))
+
+
 def test_chains_against_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(150):
