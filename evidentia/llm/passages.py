@@ -12,7 +12,7 @@ for each match the best chain to go on, an anchor counts K words and each word o
 a gap, on either side, costs ``GAP``. Chains are aligned word by word (a byte of
 each word's hash travels with the seed): equal stretches directly, unequal
 ones in a band, with an extension after the last anchor. A chain of less than 0.8
-equal words is cut at its worst gap until each part has them; parts become passages; what touches in the document is joined,
+equal words is cut at its worst gap until each part has them; parts that lie next to each other in both documents are joined if the whole has them too,
 and passages of ``MIN_WORDS`` words or more are returned. The up to 15 words in
 front of a chain's first seed are not seen, so ``MIN_WORDS`` is 35: every exact
 repeat of 50 words is found.
@@ -182,30 +182,50 @@ def align(path: list[int], x: np.ndarray, y: np.ndarray, mine: list[bytes], thei
     return out
 
 
+def joined(spans: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Spans with one counterpart (start, end, start there, end there, equal words): neighbours in
+    both documents are joined where ``SIMILAR`` of the joined words are equal."""
+    out: list[tuple[int, int, int, int, int]] = []
+    for a, b, c, d, same in sorted(spans):
+        if out:
+            pa, pb, pc, pd, psame = out[-1]
+            if b <= pb and c >= pc and d <= pd:
+                continue
+            if a <= pb + SPREAD and pc <= c <= pd + SPREAD and b >= pb and d >= pd:
+                equal = psame + max(0, same - max(0, pb - a, pd - c))
+                if equal >= SIMILAR * max(b - pa, d - pc):
+                    out[-1] = (pa, b, pc, d, equal)
+                    continue
+        out.append((a, b, c, d, same))
+    return out
+
+
 def passages_of(x, other, y, mine, theirs) -> list[tuple]:
     """Passages of one document: (start, end, equal words, rep_id, rep_start, rep_end, all reps);
-    matches sorted by the other document, then x."""
+    matches sorted by the other document, then x. Each of ``MIN_WORDS`` words or more has its equal words in
+    one counterpart; those of several counterparts are joined only where they overlap."""
     spans = []
     cut = np.flatnonzero(np.diff(other)) + 1
     for s, e in zip(np.concatenate(([0], cut)).tolist(), np.concatenate((cut, [len(x)])).tolist(), strict=True):
         m, t = mine[s:e], theirs[s:e]
+        parts = []
         for path in chains(x[s:e], y[s:e]):
-            for a, b, c, d, same in align(path, x[s:e], y[s:e], m, t):
-                if same >= SIMILAR * max(b - a, d - c):
-                    spans.append((a, b, same, int(other[s]), c, d))
+            parts += [p for p in align(path, x[s:e], y[s:e], m, t) if p[4] >= SIMILAR * max(p[1] - p[0], p[3] - p[2])]
+        spans += [(a, b, same, int(other[s]), c, d) for a, b, c, d, same in joined(parts) if b - a >= MIN_WORDS]
     spans.sort()
     out: list[list] = []
     for a, b, same, rep, c, d in spans:
-        if out and a <= out[-1][1] + SPREAD:
+        if out and a < out[-1][1]:
             p = out[-1]
-            p[6].add(rep)
-            p[2] += max(0, same - max(0, p[1] - a))
-            p[1] = max(p[1], b)
-            if same > p[7]:
-                p[3], p[4], p[5], p[7] = rep, c, d, same
-        else:
-            out.append([a, b, same, rep, c, d, {rep}, same])
-    return [(*p[:6], sorted(p[6])) for p in out if p[1] - p[0] >= MIN_WORDS]
+            equal = p[2] + max(0, same - (p[1] - a)) if b > p[1] else p[2]
+            if equal >= SIMILAR * (max(b, p[1]) - p[0]):
+                p[6].add(rep)
+                p[1], p[2] = max(p[1], b), equal
+                if same > p[7]:
+                    p[3], p[4], p[5], p[7] = rep, c, d, same
+                continue
+        out.append([a, b, same, rep, c, d, {rep}, same])
+    return [(*p[:6], sorted(p[6])) for p in out]
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

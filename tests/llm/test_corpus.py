@@ -327,6 +327,19 @@ def test_two_passages_of_a_document_pair_at_any_gap(spark):
         assert words <= covered(rows, i), (i, sorted(words - covered(rows, i)))
 
 
+def test_stock_phrases_of_other_documents_are_no_passage(spark):
+    """Every seed of a clean document is a phrase that some earlier document holds, each a different one."""
+    rng = np.random.default_rng(37)
+    texts, clean = [], []
+    for _ in range(3):
+        w = words_of(rng, 300)
+        texts += [" ".join(w[p:p + passages.K]) for p in sorted(set(passages.seeds(" ".join(w))[1].tolist()))]
+        clean.append(len(texts))
+        texts.append(" ".join(w))
+    rows = passages.repeated_passages(frame(spark, texts, range(len(texts)))).collect()
+    assert rows == [], [(r["start_word"], r["end_word"], r["n_equal"]) for r in rows]
+
+
 def test_chains_against_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(150):
