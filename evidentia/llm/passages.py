@@ -3,22 +3,25 @@
 Words are lower-cased (A-Z) runs without white space. Of every ``SPREAD``
 consecutive k-mers of ``K`` words the one with the smallest hash is a seed
 (a minimizer), so a run of K + SPREAD - 1 = 16 equal words shares a
-seed wherever it stands. Seeds that two documents share are joined with the seed's
-representative, its occurrence in the smallest ``doc_id`` - one row per occurrence
+seed wherever it stands. From each seed on, runs of ``RUNS`` words are matched with the run's
+representative, its occurrence in the smallest ``doc_id`` - one row per occurrence and length
 however many documents share it, so a passage of a third of all documents makes
-no pairs. Per document and representative document the matches are
+no pairs. A short run that a smaller document holds too doesn't hide the
+longer one: a repeat of 50 words holds whole runs of 39, each matched with a
+document that has all 39. A run whose shorter run has the same representative is left out.
+Per document and representative document the matches are
 chained: a Fenwick tree of prefix maxima over the representative's positions finds
 for each match the best chain to go on, an anchor counts K words and each word of
 a gap, on either side, costs ``GAP``. Chains are aligned word by word (a byte of
-each word's hash travels with the seed): equal stretches directly, unequal
-ones in a band, with an extension after the last anchor. A chain of less than 0.8
-equal words is cut at its worst gap until each part has them; parts that lie next to each other in both documents are joined if the whole has them too,
-and passages of ``MIN_WORDS`` words or more are returned. The up to 15 words in
-front of a chain's first seed are not seen, so ``MIN_WORDS`` is 35: every exact
-repeat of 50 words is found.
+each word's hash; of the counterpart, ``BACK`` words in front of each match and ``SEEN`` from it on): equal stretches
+directly, unequal ones in a band, with an extension at both ends. A chain of less than 0.8
+equal words is cut at its worst gap until each part has them; parts that lie next to
+each other in both documents are joined if the whole has them too,
+and passages of ``MIN_WORDS`` words or more are returned: every exact repeat of 50 words
+is found. Up to 11 words at either end of a repeat are not seen where no counterpart of its inner runs has them.
 
 Defined results: a null text has no passages; rows of one ``doc_id`` are one document
-to each other (no passage between them); rows without an id are left out, for
+to each other (no passage between them; word positions are those of the row's own text); rows without an id are left out, for
 no result could name them; repeated rows add nothing; an empty table gives no rows.
 """
 
@@ -39,45 +42,93 @@ SPREAD = 12
 GAP = 0.1
 SIMILAR = 0.8
 MIN_WORDS = 35
-#: Words whose hash byte travels with a seed.
-SEEN = 32
-#: Matches between two anchors at most this far apart are aligned; words beyond what is seen count as unequal.
+#: Lengths of the runs of words that are matched from each seed on. A repeat of 50 words holds a whole run
+#: of the last length: its first seed is at most SPREAD - 1 words inside.
+RUNS = (K, 14, 39)
+#: Words of the counterpart in front of a match and from it on that travel with it.
+BACK, SEEN = 12, 48
+#: Matches between two anchors are aligned in a band; words beyond what is seen count as unequal.
 BAND = 8
 
+_ODD = 0x9E3779B97F4A7C15
+_INVERSE = pow(_ODD, -1, 1 << 64)
 
-def seeds(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and word position of each seed, and the hash byte of each word."""
+
+def _codes(text: str) -> np.ndarray:
     words = text.encode().lower().split()
-    codes = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+    return np.fromiter(map(zlib.crc32, words), np.uint64, len(words)) * np.uint64(_ODD)
+
+
+def word_bytes(text: str) -> bytes:
+    """A byte of each word's hash."""
+    return (_codes(text) >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
+def seeds(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, word position and length of the runs from each seed on, and the hash of the next shorter run there
+    (0: none)."""
+    codes = _mixed(_codes(text))
     n = len(codes) - K + 1
     if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
-    h = np.zeros(n, np.uint64)
-    for j in range(K):
-        h = (h ^ codes[j:j + n]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-    size = min(SPREAD, n)
-    views = np.lib.stride_tricks.sliding_window_view(h, size)
+        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int64)
+    # sums of codes times powers of an odd number give the hash of any run; overflow is modulo 2 ** 64
+    power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(codes) - 1, _ODD, np.uint64))))
+    back = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(codes) - 1, _INVERSE, np.uint64))))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes * power)))
+
+    def run(at, length):
+        return _mixed((sums[at + length] - sums[at]) * back[at] + np.uint64(length))
+
+    h = run(np.arange(n), K)
+    views = np.lib.stride_tricks.sliding_window_view(h, min(SPREAD, n))
     at = np.unique(np.arange(len(views)) + views.argmin(axis=1))
-    byte = ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8)
-    return h[at].view(np.int64), at, byte
+    out, shorter = [], np.zeros(len(at), np.uint64)
+    for length in RUNS:
+        there = at + length <= len(codes)
+        at, shorter = at[there], shorter[there]
+        found = run(at, length)
+        out.append((found.view(np.int64), at.astype(np.int32), np.full(len(at), length, np.int32), shorter.view(np.int64)))
+        shorter = found
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def _parts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, part (tells the texts of one id apart) and text."""
+    rows = id_text(docs, id_col, text_col).filter("doc_id is not null")
+    return rows.select("doc_id", F.xxhash64("text").alias("part"), "text")
 
 
-def seed_table(docs: DataFrame, seen: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """seed, doc_id and, if ``seen``, pos and next (the hash bytes of the words from there on)."""
+def seed_table(docs: DataFrame, full: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """seed, doc_id and, if ``full``, part, pos, words (the run's length) and shorter."""
 
     def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow:
-            ids, found = batch.column("doc_id").to_numpy(), [seeds(t) for t in batch.column("text").to_pylist()]
-            n = [len(s) for s, _, _ in found]
-            cols = [pa.array(np.concatenate([s for s, _, _ in found] or [np.zeros(0, np.int64)])), pa.array(np.repeat(ids, n))]
-            if seen:
-                cols.append(pa.array(np.concatenate([p for _, p, _ in found] or [np.zeros(0, np.int64)]).astype(np.int32)))
-                cols.append(pa.array([b[p:p + SEEN].tobytes() for _, at, b in found for p in at.tolist()], pa.binary()))
-            yield pa.record_batch(cols, ["seed", "doc_id", "pos", "next"][:len(cols)])
+            found = [seeds(t) for t in batch.column("text").to_pylist()] or [seeds("")]
+            n = [len(f[0]) for f in found][:batch.num_rows]
+            seed, pos, words, shorter = (np.concatenate(c) for c in zip(*found, strict=True))
+            cols = [seed, np.repeat(batch.column("doc_id").to_numpy(), n)]
+            if full:
+                cols += [np.repeat(batch.column("part").to_numpy(), n), pos, words, shorter]
+            yield pa.record_batch([pa.array(c) for c in cols], ["seed", "doc_id", "part", "pos", "words", "shorter"][:len(cols)])
 
-    rows = id_text(docs, id_col, text_col).filter("doc_id is not null")
-    return rows.mapInArrow(run, "seed long, doc_id long" + ", pos int, next binary" * seen)
+    return _parts(docs, id_col, text_col).mapInArrow(run, "seed long, doc_id long" + ", part long, pos int, words int, shorter long" * full)
+
+
+def byte_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, part and bytes (a byte of each word's hash), once for each text of an id."""
+
+    def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow:
+            bytes_ = pa.array([word_bytes(t) for t in batch.column("text").to_pylist()], pa.binary())
+            yield pa.record_batch([batch.column("doc_id"), batch.column("part"), bytes_], ["doc_id", "part", "bytes"])
+
+    rows = _parts(docs, id_col, text_col).mapInArrow(run, "doc_id long, part long, bytes binary")
+    return rows.dropDuplicates(["doc_id", "part"])
 
 
 # --- chaining ------------------------------------------------------------------
@@ -147,33 +198,50 @@ def equal_words(a: bytes, b: bytes, la: int, lb: int) -> int:
     return max(row)
 
 
-def align(path: list[int], x: np.ndarray, y: np.ndarray, mine: list[bytes], theirs: list[bytes]) -> list[tuple[int, int, int, int, int]]:
+def _reach(a: bytes, b: bytes) -> int:
+    """How far two strings go on while most of the words still agree."""
+    good = best = length = 0
+    for n, (c, d) in enumerate(zip(a, b, strict=False), 1):
+        good += 1 if c == d else -3
+        if good > best:
+            best, length = good, n
+    return length
+
+
+def align(path: list[int], x: np.ndarray, y: np.ndarray, words: np.ndarray, mine: bytes, theirs: list[bytes]) -> list[tuple[int, int, int, int, int]]:
     """(first word, end, first word there, end there, equal words) of each part of a chain.
 
     A part with less than ``SIMILAR`` equal words is cut at the gap with the most unequal
     words, and both sides are tested again; equal stretches have no such gap, so they stay whole.
     """
     size, equal = [], []
-    for i, j in zip(path, path[1:], strict=False):
+    before = [min(BACK, int(y[i])) for i in path]
+    for n, (i, j) in enumerate(zip(path, path[1:], strict=False)):
         dx, dy = int(x[j] - x[i]), int(y[j] - y[i])
+        seen = theirs[i][before[n]:]
+        if dy > len(seen):  # the last words of the gap stand in front of the next match
+            back = theirs[j][:before[n + 1]][-(dy - len(seen)):]
+            tail = sum(c == d for c, d in zip(mine[int(x[j]) - min(len(back), dx):int(x[j])][::-1], back[::-1], strict=False)) if back else 0
+            rest = max(dx - len(back), 0)
+        else:
+            tail, rest = 0, dx
+        same = equal_words(mine[int(x[i]):int(x[i]) + min(rest, len(seen) + BAND)], seen, rest, dy) + tail
         size.append(max(dx, dy))
-        equal.append(min(max(min(K, dx, dy), equal_words(mine[i], theirs[i], dx, dy)), dx, dy))
+        equal.append(min(max(min(int(words[i]), dx, dy), same), dx, dy))
     total = np.concatenate(([0], np.cumsum(equal, dtype=np.int64)))
     unequal = np.array(size, np.int64) - np.array(equal, np.int64)
     out, open_ = [], [(0, len(path) - 1)]
     while open_:
         s, e = open_.pop()
         first, last = path[s], path[e]
-        a, b = mine[last], theirs[last]
-        # go on after the last anchor while most of the words still agree
-        good = best = length = 0
-        for n, (c, d) in enumerate(zip(a, b, strict=False), 1):
-            good += 1 if c == d else -3
-            if good > best:
-                best, length = good, n
-        length = max(length, min(K, len(a), len(b)))
+        front = _reach(mine[max(int(x[first]) - BACK, 0):int(x[first])][::-1], theirs[first][:before[s]][::-1])
+        a, b = mine[int(x[last]):int(x[last]) + SEEN], theirs[last][before[e]:]
+        length = max(_reach(a, b), min(int(words[last]), len(a), len(b)))
         same = int(total[e] - total[s]) + sum(c == d for c, d in zip(a[:length], b[:length], strict=True))
-        part = int(x[first]), int(x[last]) + length, int(y[first]), int(y[last]) + length, same
+        if front:
+            f, g = int(x[first]), before[s]
+            same += sum(c == d for c, d in zip(mine[f - front:f], theirs[first][g - front:g], strict=True))
+        part = int(x[first]) - front, int(x[last]) + length, int(y[first]) - front, int(y[last]) + length, same
         if s == e or same >= SIMILAR * max(part[1] - part[0], part[3] - part[2]):
             out.append(part)
         else:
@@ -200,17 +268,16 @@ def joined(spans: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int,
     return out
 
 
-def passages_of(x, other, y, mine, theirs) -> list[tuple]:
+def passages_of(x, other, y, words, mine, theirs) -> list[tuple]:
     """Passages of one document: (start, end, equal words, rep_id, rep_start, rep_end, all reps);
     matches sorted by the other document, then x. Each of ``MIN_WORDS`` words or more has its equal words in
     one counterpart; those of several counterparts are joined only where they overlap."""
     spans = []
     cut = np.flatnonzero(np.diff(other)) + 1
     for s, e in zip(np.concatenate(([0], cut)).tolist(), np.concatenate((cut, [len(x)])).tolist(), strict=True):
-        m, t = mine[s:e], theirs[s:e]
         parts = []
         for path in chains(x[s:e], y[s:e]):
-            parts += [p for p in align(path, x[s:e], y[s:e], m, t) if p[4] >= SIMILAR * max(p[1] - p[0], p[3] - p[2])]
+            parts += [p for p in align(path, x[s:e], y[s:e], words[s:e], mine, theirs[s:e]) if p[4] >= SIMILAR * max(p[1] - p[0], p[3] - p[2])]
         spans += [(a, b, same, int(other[s]), c, d) for a, b, c, d, same in joined(parts) if b - a >= MIN_WORDS]
     spans.sort()
     out: list[list] = []
@@ -236,20 +303,38 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     shared = stage(shared.filter("least < most").select("seed"), "seeds")
     # both sides of each join are read from files and shuffled, so Spark can split a hot seed
     held = stage(seed_table(docs, True, id_col, text_col).join(shared, "seed"), "seed-matches")
-    reps = held.groupBy("seed").agg(F.min(F.struct(F.col("doc_id").alias("rep"), F.col("pos").alias("rep_pos"), F.col("next").alias("rep_next"))).alias("r"))
+    texts = stage(byte_table(docs, id_col, text_col), "word-bytes")
+    reps = held.groupBy("seed").agg(F.min(F.struct(F.col("doc_id").alias("rep"), F.col("pos").alias("rep_pos"), F.col("part").alias("rep_part"),
+                                                   "words", "shorter")).alias("r"))
     reps = stage(reps.select("seed", "r.*"), "seed-reps")
-    pairs = held.join(reps, "seed").filter("doc_id <> rep").select("doc_id", "pos", "next", "rep", "rep_pos", "rep_next")
+    # a run whose shorter run has the same first occurrence adds nothing
+    short = reps.select(F.col("seed").alias("shorter"), F.struct("rep", "rep_pos", "rep_part").alias("first"))
+    same = F.coalesce(F.col("first") == F.struct("rep", "rep_pos", "rep_part"), F.lit(False))
+    more = reps.filter(F.col("words") > K).join(short, "shorter", "left").filter(~same).select(reps.columns)
+    reps = reps.filter(F.col("words") == K).unionByName(more)
+    of_rep = texts.select(F.col("doc_id").alias("rep"), F.col("part").alias("rep_part"), "bytes")
+    front = F.least(F.col("rep_pos"), F.lit(BACK))
+    around = F.substring("bytes", F.col("rep_pos") - front + 1, front + SEEN)
+    reps = stage(reps.join(of_rep, ["rep", "rep_part"]).select("seed", "rep", "rep_pos", around.alias("seen")), "seed-words")
+    pairs = held.join(reps, "seed").filter("doc_id <> rep").select("doc_id", "part", "pos", "words", "rep", "rep_pos", "seen")
+    # the document's own words come first in its group, as a row of no words
+    own = texts.select("doc_id", "part", F.lit(-1).alias("pos"), F.lit(0).alias("words"), F.col("doc_id").alias("rep"),
+                       F.lit(0).alias("rep_pos"), F.col("bytes").alias("seen"))
 
     def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, pos, mine, rep, there, theirs in whole_groups(arrow, "doc_id", "pos", "next", "rep", "rep_pos", "rep_next"):
-            cut = np.flatnonzero(np.diff(ids)) + 1
+        for ids, part, pos, words, rep, there, seen in whole_groups(arrow, "doc_id", "part", "pos", "words", "rep", "rep_pos", "seen"):
+            cut = np.flatnonzero(words == 0)
             out = []
-            for s, e in zip(np.concatenate(([0], cut)).tolist(), np.concatenate((cut, [len(ids)])).tolist(), strict=True):
-                out += [(int(ids[s]), *p) for p in passages_of(pos[s:e], rep[s:e], there[s:e], mine[s:e], theirs[s:e])]
+            for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(ids)], strict=True):
+                if e - s > 1:
+                    m = slice(s + 1, e)
+                    out += [(int(ids[s]), *p) for p in passages_of(pos[m], rep[m], there[m], words[m], seen[s], seen[m])]
             yield pa.RecordBatch.from_pylist([dict(zip(_NAMES, r, strict=True)) for r in out], schema=_SCHEMA)
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (pairs.repartition(n, "doc_id").sortWithinPartitions("doc_id", "rep", "pos", "rep_pos")
+    own_first = F.when(F.col("words") == 0, 0).otherwise(1)
+    return (pairs.unionByName(own).repartition(n, "doc_id").withColumn("own", own_first)
+                 .sortWithinPartitions("doc_id", "part", "own", "rep", "pos", "rep_pos").drop("own")
                  .mapInArrow(run, "doc_id long, start_word long, end_word long, n_equal long, rep_id long, "
                                   "rep_start long, rep_end long, rep_ids array<long>"))
 

@@ -340,6 +340,22 @@ def test_stock_phrases_of_other_documents_are_no_passage(spark):
     assert rows == [], [(r["start_word"], r["end_word"], r["n_equal"]) for r in rows]
 
 
+def test_a_smaller_document_with_the_inner_part_hides_no_outer_part(spark):
+    rng = np.random.default_rng(43)
+    texts, want = [], {}
+    for outer, inner in [(20, 100), (50, 100), (20, 40), (25, 20), (50, 300), (15, 30)] * 3:
+        p = words_of(rng, 2 * outer + inner)
+        texts.append(" ".join([*words_of(rng, 30), *p[outer:outer + inner], *words_of(rng, 30)]))
+        texts.append(" ".join([*words_of(rng, 40), *p, *words_of(rng, 10)]))
+        texts.append(" ".join([*words_of(rng, 25), *p[outer:outer + inner], *words_of(rng, 5)]))
+        want[len(texts)] = {*range(60 + 12, 60 + len(p) - 12)}
+        texts.append(" ".join([*words_of(rng, 60), *p, *words_of(rng, 30)]))
+    rows = passages.repeated_passages(frame(spark, texts, range(len(texts)))).collect()
+    lost = {i: len(words - covered(rows, i)) for i, words in want.items() if words - covered(rows, i)}
+    assert not lost, lost
+    assert all(r["n_equal"] >= passages.SIMILAR * (r["end_word"] - r["start_word"]) for r in rows)
+
+
 def test_chains_against_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(150):
