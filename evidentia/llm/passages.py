@@ -69,13 +69,12 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def seeds(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, word position and length of the runs from each seed on, and the hash of the next shorter run there
-    (0: none)."""
+def seeds(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, word position and length of the runs from each seed on."""
     codes = _mixed(_codes(text))
     n = len(codes) - K + 1
     if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
     # sums of codes times powers of an odd number give the hash of any run; overflow is modulo 2 ** 64
     power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(codes) - 1, _ODD, np.uint64))))
     back = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(codes) - 1, _INVERSE, np.uint64))))
@@ -87,13 +86,10 @@ def seeds(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     h = run(np.arange(n), K)
     views = np.lib.stride_tricks.sliding_window_view(h, min(SPREAD, n))
     at = np.unique(np.arange(len(views)) + views.argmin(axis=1))
-    out, shorter = [], np.zeros(len(at), np.uint64)
+    out = []
     for length in RUNS:
-        there = at + length <= len(codes)
-        at, shorter = at[there], shorter[there]
-        found = run(at, length)
-        out.append((found.view(np.int64), at.astype(np.int32), np.full(len(at), length, np.int32), shorter.view(np.int64)))
-        shorter = found
+        at = at[at + length <= len(codes)]
+        out.append((run(at, length).view(np.int64), at.astype(np.int32), np.full(len(at), length, np.int32)))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
@@ -104,19 +100,19 @@ def _parts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def seed_table(docs: DataFrame, full: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """seed, doc_id and, if ``full``, part, pos, words (the run's length) and shorter."""
+    """seed, doc_id and, if ``full``, part, pos and words (the run's length)."""
 
     def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow:
             found = [seeds(t) for t in batch.column("text").to_pylist()] or [seeds("")]
             n = [len(f[0]) for f in found][:batch.num_rows]
-            seed, pos, words, shorter = (np.concatenate(c) for c in zip(*found, strict=True))
+            seed, pos, words = (np.concatenate(c) for c in zip(*found, strict=True))
             cols = [seed, np.repeat(batch.column("doc_id").to_numpy(), n)]
             if full:
-                cols += [np.repeat(batch.column("part").to_numpy(), n), pos, words, shorter]
-            yield pa.record_batch([pa.array(c) for c in cols], ["seed", "doc_id", "part", "pos", "words", "shorter"][:len(cols)])
+                cols += [np.repeat(batch.column("part").to_numpy(), n), pos, words]
+            yield pa.record_batch([pa.array(c) for c in cols], ["seed", "doc_id", "part", "pos", "words"][:len(cols)])
 
-    return _parts(docs, id_col, text_col).mapInArrow(run, "seed long, doc_id long" + ", part long, pos int, words int, shorter long" * full)
+    return _parts(docs, id_col, text_col).mapInArrow(run, "seed long, doc_id long" + ", part long, pos int, words int" * full)
 
 
 def byte_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -304,14 +300,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # both sides of each join are read from files and shuffled, so Spark can split a hot seed
     held = stage(seed_table(docs, True, id_col, text_col).join(shared, "seed"), "seed-matches")
     texts = stage(byte_table(docs, id_col, text_col), "word-bytes")
-    reps = held.groupBy("seed").agg(F.min(F.struct(F.col("doc_id").alias("rep"), F.col("pos").alias("rep_pos"), F.col("part").alias("rep_part"),
-                                                   "words", "shorter")).alias("r"))
-    reps = stage(reps.select("seed", "r.*"), "seed-reps")
-    # a run whose shorter run has the same first occurrence adds nothing
-    short = reps.select(F.col("seed").alias("shorter"), F.struct("rep", "rep_pos", "rep_part").alias("first"))
-    same = F.coalesce(F.col("first") == F.struct("rep", "rep_pos", "rep_part"), F.lit(False))
-    more = reps.filter(F.col("words") > K).join(short, "shorter", "left").filter(~same).select(reps.columns)
-    reps = reps.filter(F.col("words") == K).unionByName(more)
+    first = F.min(F.struct(F.col("doc_id").alias("rep"), F.col("pos").alias("rep_pos"), F.col("part").alias("rep_part"), "words"))
+    reps = stage(held.groupBy("seed").agg(first.alias("r")).select("seed", "r.*"), "seed-reps")
+    # a run whose shorter run has the same representative adds nothing
+    place = ["rep", "rep_part", "rep_pos"]
+    reps = reps.join(reps.groupBy(*place).agg(F.min("words").alias("words")), [*place, "words"])
     of_rep = texts.select(F.col("doc_id").alias("rep"), F.col("part").alias("rep_part"), "bytes")
     front = F.least(F.col("rep_pos"), F.lit(BACK))
     around = F.substring("bytes", F.col("rep_pos") - front + 1, front + SEEN)
