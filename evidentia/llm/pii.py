@@ -30,6 +30,15 @@ KINDS = (*BASE, "iban", "ssn")
 THRESHOLD = 0.6
 NEAR = 50
 
+#: Lengths of account numbers by country code; a code that is not listed may have 15 to 34 characters.
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+                22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+                25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+                28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+                31: "MT SC", 32: "LC", 33: "RU"}
+_IBANS = [rf"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items()]
+_LISTED = "|".join(c for codes in IBAN_LENGTHS.values() for c in codes.split())
+
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 _UP_TO_255 = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 PATTERNS = {
@@ -38,7 +47,8 @@ PATTERNS = {
     # a whole chain of digits with single separators between them, of 16 to 19 digits
     "card": r"[0-9](?<![0-9][0-9])(?<![0-9][\x20-][0-9])(?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    # a look-ahead, so that a number inside a wrong candidate is proposed too
+    "iban": rf"(?<![A-Za-z0-9])(?=((?:{'|'.join(_IBANS)}|(?!{_LISTED})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+)(?![A-Za-z0-9])))",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
 }
 #: A text without this has no match; a plain search is cheaper than the pattern.
@@ -53,8 +63,9 @@ WORDS = {"email": "e-?mail|contact|write to|reach", "ip": r"\bip\b|address|serve
 
 def _matches(text, kind: str):
     """Array of (start, end, found) of a kind's matches, in code points."""
-    p = F.lit(PATTERNS[kind])
-    found, between = F.regexp_extract_all(text, p, F.lit(0)), F.split(text, PATTERNS[kind], -1)
+    p, ahead = F.lit(PATTERNS[kind]), kind == "iban"
+    # a match of no width at the very start would not split: a line end is put in front
+    found, between = F.regexp_extract_all(text, p, F.lit(int(ahead))), F.split(F.concat(F.lit("\n"), text) if ahead else text, PATTERNS[kind], -1)
     none = F.expr("cast(array() as array<struct<start:int,end:int,found:string>>)")
 
     def add(state, x):
@@ -62,10 +73,10 @@ def _matches(text, kind: str):
         end = start + F.char_length(x["found"])
         span = F.struct(start.alias("start"), end.alias("end"), x["found"].alias("found"))
         return F.when(x["found"].isNull(), state).otherwise(
-            F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans")))
+            F.struct((start if ahead else end).alias("at"), F.concat(state["spans"], F.array(span)).alias("spans")))
 
     zipped = F.arrays_zip(between.alias("between"), found.alias("found"))
-    walked = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("spans")), add)["spans"]
+    walked = F.aggregate(zipped, F.struct(F.lit(-1 if ahead else 0).alias("at"), none.alias("spans")), add)["spans"]
     return F.when(NEEDS[kind](text), walked).otherwise(none)
 
 
@@ -118,7 +129,11 @@ def _scored(text, kind: str, spans):
         return F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["found"].alias("found"),
                         value.cast("double").alias("score"))
 
-    return F.transform(F.filter(spans, lambda x: _confirmed(kind, x["found"])), score)
+    confirmed = F.filter(spans, lambda x: _confirmed(kind, x["found"]))
+    if kind == "iban":  # of two that overlap, the first
+        confirmed = F.aggregate(confirmed, F.slice(confirmed, 1, 0), lambda kept, x: F.when(
+            F.exists(kept, lambda y: x["start"] < y["end"]), kept).otherwise(F.concat(kept, F.array(x))))
+    return F.transform(confirmed, score)
 
 
 def with_spans(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataFrame:

@@ -138,6 +138,16 @@ def test_pii_added_kinds_and_redaction(spark):
     assert pii.find_pii(frame(spark, [])).count() == 0
 
 
+def test_ibans_before_capitals_codes_and_numbers(spark):
+    numbers = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"]
+    behind = [" The bank", " Danke", " BIC: COBADEFFXXX", " BIC COBADEFF", " 2024-01-05", " 12345 X", ", ok", "", " EUR 5"]
+    cases = [(n, f"é IBAN {n}{b}", 7) for n in numbers for b in behind] + [(n, f"account {p} {n} A", 9 + len(p)) for n in numbers for p in ("AB12", "BE12")]
+    cases += [(n, n + " Bank", 0) for n in numbers]
+    got = {r["doc_id"]: r["spans"] for r in pii.find_pii(frame(spark, [t for _, t, _ in cases])).collect()}
+    lost = [(t, got[i]) for i, (n, t, at) in enumerate(cases) if f"iban:{at}:{at + len(n)}" not in got[i].split(",")]
+    assert not lost, (len(lost), len(cases), lost)
+
+
 # --- secrets ----------------------------------------------------------------------
 
 SECRETS = {"assign": r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
