@@ -2,8 +2,8 @@
 
 Base kinds ``assign``, ``access`` and ``hex`` are patterns; their spans always
 stay. Every other run of 20 or more characters of the base-64 alphabets is a
-candidate of kind ``random``. Its encoding is inferred (hex, base32, base36,
-base64), and a battery tests it as a random string of that encoding:
+candidate of kind ``random``. A battery tests it as a random string of each encoding
+whose alphabet holds it (hex, base32, base36, base62, base64, base64url, all signs):
 
 * chi-squared: symbols, put into classes of known share (digits, vowels and
   other letters by case, signs), are as frequent as in uniform draws;
@@ -12,7 +12,7 @@ base64), and a battery tests it as a random string of that encoding:
 * serial correlation of neighbouring symbols.
 
 A string whose smallest p-value (times the number of tests) is below
-``UNLIKELY`` is no random string. What is left needs evidence that it is no
+``UNLIKELY`` in all of them is no random string. What is left needs evidence that it is no
 word either: the p-value of the number of times its characters change class
 (lower, upper, digit, sign), under a binomial law in which text changes class at
 ``TEXT_CHANGES`` of its places. That law has the length in it, so a short string
@@ -52,10 +52,12 @@ ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
-#: Alphabets by encoding, in the order in which they are tried.
+_BASE62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+#: Alphabets by encoding; a string is tested against each one that holds all of its symbols.
 ALPHABETS = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
-             "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
-             "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"}
+             "base32 lower": "abcdefghijklmnopqrstuvwxyz234567", "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
+             "base36 upper": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", "base62": _BASE62, "base64": _BASE62 + "+/", "base64url": _BASE62 + "-_",
+             "signs": _BASE62 + "+/-_"}
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -66,8 +68,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def encoding_of(s: str) -> str:
-    return next(name for name, alphabet in ALPHABETS.items() if name == "base64" or set(s) <= set(alphabet))
+def encodings_of(s: str) -> list[str]:
+    symbols = set(s)
+    return [name for name, alphabet in ALPHABETS.items() if symbols <= set(alphabet)]
 
 
 def _class(c: str) -> int:
@@ -147,7 +150,7 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             continue
         s = m[0].rstrip("=")
         step = text_step(s)
-        if step and battery(s, ALPHABETS[encoding_of(s)]) < UNLIKELY:
+        if step and all(battery(s, ALPHABETS[e]) < UNLIKELY for e in encodings_of(s)):
             step = -1
         out.append((start, end, sum(len(s) >= c for c in LENGTH_CLASSES), step))
     return out

@@ -199,6 +199,18 @@ def test_battery_accepts_random_and_rejects_patterns():
         assert secret_scan.battery(s, alphabet) < secret_scan.UNLIKELY
 
 
+def test_long_random_strings_of_each_encoding_pass():
+    rng = np.random.default_rng(17)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    alphabets = [letters + letters.upper() + "0123456789" + signs for signs in ("", "+/", "-_")] + [letters + "234567"]
+    lost = {}
+    for alphabet in alphabets:
+        for n in (40, 400, 1600, 4000):
+            texts = ["".join(rng.choice(list(alphabet), size=n)) for _ in range(40)]
+            lost[len(alphabet), alphabet[-1], n] = sum([c[3] for c in secret_scan.candidates(t, [])] == [-1] for t in texts)
+    assert all(x <= 1 for x in lost.values()), lost
+
+
 # --- licenses -----------------------------------------------------------------------
 
 
