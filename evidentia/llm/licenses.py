@@ -31,6 +31,72 @@ BANDS = 64
 #: Template bands (each with its template's shingles) to broadcast at most.
 MOST_BANDS = 65536
 
+_GNU = ("{it} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} General Public License "
+        "as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.")
+_GNU_ONLY = ("{it} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} General Public License "
+             "{version} as published by the Free Software Foundation.")
+_NO_WARRANTY = ("{it} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+                "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} General Public License for more details.")
+_MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        "(the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, "
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software.")
+_AS_IS = ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+          "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE "
+          "FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION "
+          "WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_BSD2 = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+         "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+         "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+         "disclaimer in the documentation and/or other materials provided with the distribution.")
+_BSD3 = (" 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+         "this software without specific prior written permission.")
+#: Whole notices and standard file headers, beside the one-sentence notices.
+_HEADERS = (
+    *((f"{name}-{version}.0-or-later", _GNU.format(it=it, kind=kind, version=version).replace("  ", " "))
+      for it, name, kind, versions in (("This program", "GPL", "", (2, 3)), ("This program", "AGPL", "Affero", (3,)), ("This library", "LGPL", "Lesser", (3,)))
+      for version in versions),
+    ("LGPL-2.1-or-later", _GNU.format(it="This library", kind="Lesser", version="2.1")),
+    ("LGPL-2.0-or-later", _GNU.format(it="This library", kind="Library", version="2")),
+    ("GPL-2.0-only", _GNU_ONLY.format(it="This program", kind="", version="version 2").replace("  ", " ")),
+    ("GPL-3.0-only", _GNU_ONLY.format(it="This program", kind="", version="version 3").replace("  ", " ")),
+    ("GPL", _NO_WARRANTY.format(it="This program", kind="").replace("  ", " ")),
+    ("AGPL", _NO_WARRANTY.format(it="This program", kind="Affero")),
+    ("LGPL", _NO_WARRANTY.format(it="This library", kind="Lesser")),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
+                   "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+                   "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+                   "permissions and limitations under the License."),
+    ("Apache-2.0", "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the NOTICE file distributed with "
+                   "this work for additional information regarding copyright ownership."),
+    ("MIT", _MIT),
+    ("MIT", _MIT + " " + _AS_IS),
+    ("MIT", "This source code is licensed under the MIT license found in the LICENSE file in the root directory of this source tree."),
+    ("MIT", "This project is licensed under the terms of the MIT license."),
+    ("BSD-2-Clause", _BSD2),
+    ("BSD-3-Clause", _BSD2 + _BSD3),
+    ("BSD", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+            "above copyright notice and this permission notice appear in all copies."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+                "file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at "
+                "http://www.boost.org/LICENSE_1_0.txt)"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute "
+             "it freely, subject to the following restrictions"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at "
+                "https://www.eclipse.org/legal/epl-2.0"),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+                  "binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+)
+
 #: Common license notices.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
@@ -46,6 +112,7 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    *_HEADERS,
 )
 
 
@@ -112,7 +179,9 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, containment: float = CON
 
     def windows(reach: int):
         # window k covers the shingles k * reach ... k * reach + 2 * reach - 1
-        k = F.array_distinct(F.flatten(F.transform("at", lambda i: F.sequence(F.greatest(F.floor(i / reach).cast("int") - 1, F.lit(0)), F.floor(i / reach).cast("int")))))
+        mine = sorted({h for r in known if r["reach"] == reach for h in r["hashes"]})
+        at = F.filter("at", lambda i: F.col("h")[i].isin(mine))
+        k = F.array_distinct(F.flatten(F.transform(at, lambda i: F.sequence(F.greatest(F.floor(i / reach).cast("int") - 1, F.lit(0)), F.floor(i / reach).cast("int")))))
         return F.transform(k, lambda x: F.struct(F.lit(reach).alias("reach"), (x * reach).alias("start"),
                                                  F.slice("h", x * reach + 1, 2 * reach).alias("h"),
                                                  F.slice("w", x * reach + 1, 2 * reach + SHINGLE - 1).alias("w")))

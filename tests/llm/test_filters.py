@@ -241,6 +241,43 @@ def test_licenses_against_brute_force(spark):
     assert licenses.scan_licenses(frame(spark, texts[:5]), templates=(("none", "too short"),)).count() == 0
 
 
+HEADERS = {
+    "GPL-3.0-or-later": """# This program is free software: you can redistribute it and/or modify
+        # it under the terms of the GNU General Public License as published by
+        # the Free Software Foundation, either version 3 of the License, or
+        # (at your option) any later version.""",
+    "GPL-2.0-or-later": """ * This file is free software; you can redistribute it and/or modify it
+         * under the terms of the GNU General Public License as published by the Free Software Foundation; either
+         * version 2 of the License, or (at your option) any later version.""",
+    "LGPL-2.1-or-later": """ * This library is free software; you can redistribute it and/or
+         * modify it under the terms of the GNU Lesser General Public
+         * License as published by the Free Software Foundation; either
+         * version 2.1 of the License, or (at your option) any later version.""",
+    "AGPL-3.0-or-later": """// This program is free software: you can redistribute it and/or modify it under the terms of the
+        // GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License,
+        // or (at your option) any later version.""",
+    "Apache-2.0": """// Licensed under the Apache License, Version 2.0 (the "License");
+        // you may not use this file except in compliance with the License.
+        // You may obtain a copy of the License at
+        //     http://www.apache.org/licenses/LICENSE-2.0""",
+    "ISC": """/* Permission to use, copy, modify, and distribute this software for any
+         * purpose with or without fee is hereby granted, provided that the above
+         * copyright notice and this permission notice appear in all copies. */""",
+    "BSD": """// Use of this source code is governed by a BSD-style license that can be
+        // found in the LICENSE file.""",
+}
+
+
+def test_real_file_headers_are_found(spark):
+    texts = ["Copyright (C) 2020 A. Person\n" + h + "\nimport os\n" * 40 for h in HEADERS.values()]
+    rows = licenses.scan_licenses(frame(spark, texts)).collect()
+    best = {}
+    for r in rows:
+        best.setdefault(r["doc_id"], set()).add(r["license"])
+    lost = [name for i, name in enumerate(HEADERS) if name not in best.get(i, ())]
+    assert not lost, lost
+
+
 @pytest.mark.parametrize("shingles", [["a b c d e", "b c d e f"], ["x y z v w", "a b c d e"]])
 def test_key_words_meet_every_shingle(shingles):
     keys = set(licenses.key_words(shingles))
