@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidentia.llm import byte_bpe, exact_dedup, licenses, packing, passages, pii, prefix_trie, quality, secret_scan, sharding, simhash, toxicity
+from evidentia.llm import byte_bpe, exact_dedup, licenses, packing, passages, phrases, pii, prefix_trie, quality, secret_scan, sharding, simhash, toxicity
 from evidentia.llm.common import read
 
 
@@ -57,6 +57,10 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir), read(spark, sf_dir, "labels"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = prefix_trie.turn_lists(read(spark, sf_dir, "conversations"))
     return prefix_trie.prefix_trie(prefix_trie.with_shared_start(lists))
@@ -65,5 +69,5 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_packing, op3_pii, op4_license_scan, op5_exact_dedup,
                             op6_substring_dedup, op7_sharding, op8_byte_bpe, op9_simhash, op10_secrets,
-                            op11_toxicity, op13_prefix_trie)}
-ORACLES: dict[str, str] = {"op5_exact_dedup": exact_dedup.ORACLE, "op13_prefix_trie": prefix_trie.ORACLE}
+                            op11_toxicity, op12_collocations, op13_prefix_trie)}
+ORACLES: dict[str, str] = {"op5_exact_dedup": exact_dedup.ORACLE, "op12_collocations": phrases.ORACLE, "op13_prefix_trie": prefix_trie.ORACLE}
