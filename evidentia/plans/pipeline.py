@@ -88,7 +88,7 @@ def code_documents(docs: DataFrame, responses: DataFrame, text="text", file_name
     """
     papers = routed_papers(docs, text, file_name, key)
     joined = papers.join(_parsed_replies(one_reply(responses, key), key).drop(TITLE), key, "left")
-    return _finish(joined, key)
+    return finish_coded(joined, key)
 
 
 def code_replies(docs: DataFrame, responses: DataFrame, text="text", file_name="file_name",
@@ -103,7 +103,7 @@ def code_routed_replies(routed: DataFrame, responses: DataFrame, key: str = "doc
     """``code_replies`` on already routed papers ``(key, route, Title)``
     (``routed_papers``), e.g. a thin table staged once for a stream."""
     joined = _parsed_replies(responses, key).drop(TITLE).join(routed, key, "inner")
-    return _finish(joined, key)
+    return finish_coded(joined, key)
 
 
 def _parsed_replies(responses: DataFrame, key: str) -> DataFrame:
@@ -112,7 +112,7 @@ def _parsed_replies(responses: DataFrame, key: str) -> DataFrame:
                       keep=(key, "error", "_has_reply"))
 
 
-def _finish(joined: DataFrame, key: str) -> DataFrame:
+def finish_coded(joined: DataFrame, key: str) -> DataFrame:
     """Final projection: failure values for papers not routed to coding, for
     failed calls and for papers without a stored reply."""
     route_c = F.col("route")

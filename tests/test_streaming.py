@@ -147,3 +147,80 @@ def test_run_coding_refuses_a_plain_replies_folder(spark, tmp_path):
     with pytest.raises(ValueError, match="not a folder of reply batches"):
         run_coding(fixtures.named_documents(src), fixtures.demo_responder, "T", plain)
     assert read_replies(spark, plain).count() == src.count()
+
+
+def _stream_rows(spark, out):
+    return sorted(tuple(r) for r in spark.read.parquet(out).collect())
+
+
+def _batch_rows(papers, replies, columns):
+    return sorted(tuple(r) for r in code_documents(papers, replies).select(*[f"`{c}`" for c in columns]).collect())
+
+
+def test_stream_codes_a_reply_once_its_paper_comes(spark, tmp_path):
+    """Replies of every paper land first; their papers come in two later starts, by folder."""
+    src = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    papers, replies = fixtures.named_documents(src), fixtures.responses(src)
+    inbox, shelf, out, ckpt = str(tmp_path / "in"), tmp_path / "papers", str(tmp_path / "out"), str(tmp_path / "ckpt")
+
+    def run():
+        stream_code_replies(spark, f"{inbox}/*", f"{shelf}/*", out, checkpoint=ckpt).awaitTermination(300)
+        return spark.read.parquet(out)
+
+    replies.where("doc_id < 40").write.parquet(f"{inbox}/b1")
+    papers.where("doc_id < 10").write.parquet(str(shelf / "p1"))
+    assert run().count() == 10                        # 30 replies wait
+    papers.where("doc_id BETWEEN 10 AND 29").write.parquet(str(shelf / "p2"))
+    replies.where("doc_id BETWEEN 40 AND 49").write.parquet(f"{inbox}/b2")
+    assert run().count() == 30                        # the state outlives the restart
+    papers.where("doc_id >= 30").write.parquet(str(shelf / "p3"))
+    replies.where("doc_id >= 50").write.parquet(f"{inbox}/b3")
+    done = run()
+    assert _stream_rows(spark, out) == _batch_rows(papers, replies, done.columns)
+    assert run().count() == 60                        # nothing twice
+
+
+def test_stream_takes_papers_added_at_a_later_start(spark, tmp_path):
+    src = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 40")
+    papers, replies = fixtures.named_documents(src), fixtures.responses(src)
+    inbox, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    replies.write.parquet(f"{inbox}/b1")
+    first = stream_code_replies(spark, f"{inbox}/*", papers.where("doc_id < 15"), out, checkpoint=ckpt)
+    first.awaitTermination(300)
+    assert spark.read.parquet(out).count() == 15
+    stream_code_replies(spark, f"{inbox}/*", papers, out, checkpoint=ckpt).awaitTermination(300)
+    done = spark.read.parquet(out)
+    assert _stream_rows(spark, out) == _batch_rows(papers, replies, done.columns)
+
+
+def test_meeting_of_replies_and_papers():
+    import pandas as pd
+
+    from evidentia.streaming.coding_stream import _meet
+
+    class State:
+        exists, value = False, None
+
+        @property
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.exists, self.value = True, value
+
+    def rows(*r):
+        return pd.DataFrame(r, columns=["doc_id", "response", "error", "route", "Title", "is_paper"])
+
+    def feed(state, *batches):
+        return [tuple(r) for df in _meet((7,), iter(batches), state) for r in df.itertuples(index=False)]
+
+    s = State()
+    assert feed(s, rows((7, "a", None, None, None, False)), rows((7, None, "failed", None, None, False))) == []
+    assert s.value == (None, None, [("a", None), (None, "failed")])
+    # the paper comes twice in one batch, after one more reply: the smallest counts
+    got = feed(s, rows((7, "b", None, None, None, False), (7, None, None, "code", "T2", True)), rows((7, None, None, "code", "T1", True)))
+    assert got == [(7, "a", None, "code", "T1"), (7, None, "failed", "code", "T1"), (7, "b", None, "code", "T1")]
+    assert s.value == ("code", "T1", [])
+    # a later paper of the key changes nothing, a later reply passes through
+    assert feed(s, rows((7, None, None, "no_text", "T0", True), (7, "c", None, None, None, False))) == [(7, "c", None, "code", "T1")]
+    assert s.value == ("code", "T1", [])
