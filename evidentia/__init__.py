@@ -34,7 +34,7 @@ from evidentia.plans.pipeline import (attach_responses, code_documents, code_rep
                                       code_routed_replies, committed_reply_batches, read_replies, request_documents,
                                       run_coding)
 from evidentia.schema import CSV_COLUMNS
-from evidentia.sources.files import file_diagnostics, load_prompt, scan_papers
+from evidentia.sources.files import file_diagnostics, load_prompt, scan_heads, scan_papers
 from evidentia.sources.sinks import read_coding_csv, write_coding_csv, write_parquet
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -77,16 +77,20 @@ def layout_from_json(c) -> Column:
     return F.from_json(col(c), f"struct<blocks:{LAYOUT_TYPE}>")["blocks"]
 
 
-def flatten_layout(blocks) -> Column:
-    """blocks -> lines -> spans -> text, joined by one space; missing levels skipped."""
+def layout_texts(blocks) -> Column:
+    """The texts of all spans of all lines of all blocks, in order; missing levels and texts skipped."""
     def line_texts(line):
         return F.coalesce(F.transform(line["spans"], lambda s: s["text"]), F.array())
 
     def block_texts(block):
         return F.coalesce(F.flatten(F.transform(block["lines"], line_texts)), F.array())
 
-    texts = F.flatten(F.transform(col(blocks), block_texts))
-    return F.array_join(F.filter(texts, lambda t: t.isNotNull()), " ")
+    return F.filter(F.flatten(F.transform(col(blocks), block_texts)), lambda t: t.isNotNull())
+
+
+def flatten_layout(blocks) -> Column:
+    """blocks -> lines -> spans -> text, joined by one space; missing levels skipped."""
+    return F.array_join(layout_texts(blocks), " ")
 
 
 def _short(c: Column, n: int) -> Column:

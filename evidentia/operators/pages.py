@@ -1,58 +1,100 @@
 """Page-level operators: assemble pages, pick a per-page strategy, choose the
 first acceptable extraction method per paper.
 
-A paper's pages are one group by construction (the output *is* the paper's
-text), so grouping by paper never gathers more than one paper's text in a
-task. Page rows are shuffled once on the paper key; the per-method and
-per-paper aggregations then run on that same partitioning.
+The text of a paper is one value, but its pages need not meet in one task to make it: papers of more than
+``HOT_PAGES`` pages are found from the keys alone and joined in ranges of ``CHUNK_PAGES`` pages
+first. All other pages are shuffled once, on the paper key.
 """
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidentia.functions.strings import col, py_strip
+from evidentia.functions.text import layout_texts
 from evidentia.schema import OCR_MIN_DOC_CHARS, OCR_MIN_PAGE_CHARS, PAGE_STRATEGY_MIN_CHARS
+from evidentia.session import scratch_path
+from evidentia.sources import paths
+
+#: A paper of more pages is joined range by range.
+HOT_PAGES = 4096
+CHUNK_PAGES = 1024
+#: Keys of hot papers to broadcast at most; more of them are joined as Spark sees fit.
+MOST_HOT = 200_000
 
 
 def _keys(key) -> list:
     return [key] if isinstance(key, str) else list(key)
 
 
-def assembled_text(order, text) -> Column:
-    """Aggregate: non-empty page texts in page order, one newline after each,
-    the whole stripped. A paper whose pages are all empty gives ``""``."""
-    t = col(text)
-    page = F.when(t.isNotNull() & (t != F.lit("")), F.struct(col(order).alias("o"), t.alias("t")))
-    ordered = F.transform(F.array_sort(F.collect_list(page)), lambda p: p["t"])
-    return py_strip(F.array_join(ordered, "\n"))
-
+def joined_pages(order, page: Column, sep: str) -> Column:
+    """Aggregate: the pages that are not null, in page order, joined by ``sep``; null without any."""
+    pages = F.array_sort(F.collect_list(F.when(page.isNotNull(), F.struct(col(order).alias("o"), page.alias("t")))))
+    return F.when(F.size(pages) > 0, F.array_join(F.transform(pages, lambda p: p["t"]), sep))
 
-def assemble_pages(pages: DataFrame, key="doc_id", order="page_no", text="text",
-                   chunk_pages: int | None = None) -> DataFrame:
-    """``(key.., text)``: one text per paper from its page rows.
 
-    ``chunk_pages`` splits papers with very many pages: chunks of that many
-    consecutive pages are assembled first, keyed by (paper, chunk), so a hot
-    paper's sorting and concatenation spread over many tasks; the second
-    step only joins a paper's few chunk strings. It costs a second shuffle of
-    the text, so use it for inputs with such papers only.
-    """
+def hot_papers(pages: DataFrame, key="doc_id", hot_pages: int = HOT_PAGES) -> DataFrame | None:
+    """The keys of the papers of more than ``hot_pages`` pages, counted from the keys alone and written; None without any."""
     keys = _keys(key)
+    hot = pages.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_pages).select(*keys)
+    path = scratch_path(pages.sparkSession, f"hot-papers-{uuid.uuid4().hex}")
+    hot.write.parquet(path)
+    hot = pages.sparkSession.read.schema(hot.schema).parquet(path)
+    n = hot.count()
+    return None if not n else F.broadcast(hot) if n <= MOST_HOT else hot
+
+
+def _join_pages(pages: DataFrame, keys: list, order, page: Column, sep: str, chunk_pages: int | None,
+                hot_pages: int, hot) -> DataFrame:
+    """``(keys.., text)``: ``joined_pages`` by paper, hot papers (or, with ``chunk_pages``, all) by page ranges first."""
+    rows = pages.select(*keys, col(order).alias("_o"), page.alias("_t"))
     if chunk_pages:
-        pages, order, text = page_chunks(pages, keys, order, text, chunk_pages), "_chunk", "_t"
-    return pages.groupBy(*keys).agg(assembled_text(order, text).alias("text"))
+        return _by_ranges(rows, keys, sep, chunk_pages)
+    hot = hot_papers(pages, keys, hot_pages) if hot is False else hot
+    if hot is None:
+        return rows.groupBy(*keys).agg(joined_pages("_o", F.col("_t"), sep).alias("text"))
+    rest = rows.join(hot, keys, "left_anti").groupBy(*keys).agg(joined_pages("_o", F.col("_t"), sep).alias("text"))
+    return rest.unionByName(_by_ranges(rows.join(hot, keys, "left_semi"), keys, sep, CHUNK_PAGES))
+
+
+def _by_ranges(rows: DataFrame, keys: list, sep: str, chunk_pages: int) -> DataFrame:
+    """Each ``chunk_pages`` consecutive pages are joined in a task of their own, then a paper's few strings."""
+    chunk = F.floor(F.col("_o") / F.lit(chunk_pages)).alias("_chunk")
+    chunks = rows.groupBy(*keys, chunk).agg(joined_pages("_o", F.col("_t"), sep).alias("_c"))
+    return chunks.groupBy(*keys).agg(joined_pages("_chunk", F.col("_c"), sep).alias("text"))
+
+
+def assemble_pages(pages: DataFrame, key="doc_id", order="page_no", text="text", chunk_pages: int | None = None,
+                   hot_pages: int = HOT_PAGES, min_page_chars: int | None = None, hot=False) -> DataFrame:
+    """``(key.., text)``: one text per paper from its page rows: the non-empty page texts (of more than
+    ``min_page_chars`` stripped characters, if given) in page order, a newline between them, the whole
+    stripped. A paper whose pages are all empty gives ``""``.
+
+    Papers of more than ``hot_pages`` pages are found by a count over the keys (``hot_papers``; hand in what it
+    returned as ``hot`` to count once for several calls): ranges of their pages are joined in many tasks, and the
+    last step only joins a paper's few strings. ``chunk_pages`` does so for every paper.
+    """
+    t = col(text)
+    wanted = t.isNotNull() & (t != F.lit(""))
+    if min_page_chars is not None:
+        wanted = wanted & (F.length(py_strip(t)) > min_page_chars)
+    keys = _keys(key)
+    joined = _join_pages(pages, keys, order, F.when(wanted, t), "\n", chunk_pages, hot_pages, hot)
+    return joined.select(*keys, F.coalesce(py_strip("text"), F.lit("")).alias("text"))
 
 
-def page_chunks(pages: DataFrame, keys: list, order: str, text: str, chunk_pages: int) -> DataFrame:
-    """``(keys.., _chunk, _t)``: each ``chunk_pages`` consecutive pages joined to one string."""
-    t = col(text)
-    page = F.when(t.isNotNull() & (t != F.lit("")), F.struct(col(order).alias("o"), t.alias("t")))
-    chunk = F.floor(col(order) / F.lit(chunk_pages)).alias("_chunk")
-    return pages.groupBy(*keys, chunk).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(page)), lambda p: p["t"]), "\n")
-        .alias("_t"))
+def flatten_layout_pages(pages: DataFrame, key="doc_id", order="page_no", blocks="blocks", hot_pages: int = HOT_PAGES) -> DataFrame:
+    """``(key.., text)``: ``flatten_layout`` over the blocks of all pages of a paper, in page order. Each page is
+    flattened where it is read; hot papers are joined by ranges, as in ``assemble_pages``."""
+    keys = _keys(key)
+    texts = pages.select(*keys, col(order).alias("_p"), layout_texts(blocks).alias("_x"))
+    page = F.when(F.size("_x") > 0, F.array_join("_x", " "))
+    joined = _join_pages(texts, keys, "_p", page, " ", None, hot_pages, False)
+    return joined.select(*keys, F.coalesce("text", F.lit("")).alias("text"))
 
 
 def pick_page_strategy(cands: DataFrame, key=("doc_id", "page_no"), order="strategy",
@@ -84,51 +126,48 @@ def literal_table(spark: SparkSession, rows, names, types) -> DataFrame:
 
 
 def first_accepted_text(cands: DataFrame, rules: DataFrame, key: str = "doc_id",
-                        order: str = "page_no", text: str = "text",
-                        chunk_pages: int | None = None) -> DataFrame:
+                        order: str = "page_no", text: str = "text", chunk_pages: int | None = None,
+                        prepare=None, by_method: bool = False) -> DataFrame:
     """``(key, method, rank, text)``: per paper, the lowest-rank method whose
-    assembled, stripped text is non-empty (and, for rules with
-    ``min_doc_chars``, longer than that).
-
-    Lazy like the original fall-back chain: acceptance is decided from
-    per-(paper, method) statistics that aggregate map-side (has content; the
-    stripped length as the sum of page lengths + separators minus the first
-    page's leading and the last page's trailing whitespace), the winner is
-    the minimum rank over those small rows, and only the winning method's
-    pages are assembled. So a paper's group holds one method's pages, not
-    every method's. With ``chunk_pages`` every method's pages are joined to chunks first. Spark chooses the
-    join with the winners by their size, and may split a hot paper in it. A rule with
-    ``min_doc_chars`` must also set ``min_page_chars`` (its kept pages then
-    all have content, which makes the length statistic exact).
+    assembled, stripped text is non-empty (and, for rules with ``min_doc_chars``, longer than that).
+
+    The methods are tried in rank order, as a fall-back chain is: the pages of a method are read for the papers
+    that no earlier method has settled (anti join), prepared (``prepare``: a function from a method's pages to
+    its pages, e.g. the page mode chain and NFKD), assembled, and the accepted texts written. So a page of a
+    method is prepared once, and only if its paper needs it.
+
+    The candidates are scanned once, to deal their non-empty pages by method into the shared folder; with
+    ``by_method`` they are stored like that already (Parquet partitioned by ``method``) and each method's
+    scan reads its own part. Hot papers are counted once, from the keys (see ``assemble_pages``).
     """
-    # a rule with min_doc_chars alone would need every page's exact length: it fails when it is read
-    page_min = F.when(F.col("min_doc_chars").isNotNull() & F.col("min_page_chars").isNull(),
-                      F.raise_error(F.lit("a rule with min_doc_chars needs min_page_chars")).cast("int")) \
-        .otherwise(F.col("min_page_chars"))
-    rules_small = rules.select("method", "rank", page_min.alias("min_page_chars"), "min_doc_chars")
-    t, o = col(text), col(order)
-    stripped = F.length(py_strip(t))
-    kept = (cands.join(rules_small, "method")
-            .where(t.isNotNull() & (t != F.lit("")) &
-                   (F.col("min_page_chars").isNull() | (stripped > F.col("min_page_chars")))))
-
-    lead = F.length(t) - F.length(F.regexp_replace(t, r"(?U)\A[\s\x1c-\x1f]+", ""))
-    trail = F.length(t) - F.length(F.regexp_replace(t, r"(?U)[\s\x1c-\x1f]+\z", ""))
-    stats = kept.groupBy(key, "method", "rank", "min_doc_chars").agg(
-        F.max(stripped > 0).alias("has_text"),
-        (F.sum(F.length(t)) + F.count(F.lit(1)) - 1
-         - F.min_by(lead, o) - F.max_by(trail, o)).alias("text_len"))
-    accepted = stats.where(F.col("has_text") & (F.col("min_doc_chars").isNull() |
-                                                (F.col("text_len") > F.col("min_doc_chars"))))
-    chosen = accepted.groupBy(key).agg(F.min_by("method", "rank").alias("method"),
-                                       F.min("rank").alias("rank"))
-
-    pages = kept.select(key, "method", o.alias("_o"), t.alias("_t"))
-    if chunk_pages:
-        # before anything deals the pages by paper alone, or a hot paper's chunks would share a task
-        pages = page_chunks(pages, [key, "method"], "_o", "_t", chunk_pages).withColumnRenamed("_chunk", "_o")
-    winners = pages.join(chosen, [key, "method"])
-    return assemble_pages(winners, key=[key, "method", "rank"], order="_o", text="_t")
+    spark = cands.sparkSession
+    ranked = rules.select("method", "rank", "min_page_chars", "min_doc_chars").orderBy("rank").collect()  # a handful
+    dealt = None
+    if not by_method:
+        t = col(text)
+        some = cands if prepare else cands.where(t.isNotNull() & (t != F.lit("")))
+        some = some.where(F.col("method").isin(*[r["method"] for r in ranked]))
+        dealt = scratch_path(spark, f"candidates-{uuid.uuid4().hex}")
+        some.write.partitionBy("method").parquet(dealt)
+        cands = spark.read.schema(some.schema).parquet(dealt)
+    hot = None if chunk_pages else hot_papers(cands, [key, "method"])
+    settled: list[DataFrame] = []
+    for r in ranked:
+        pages = cands.where(F.col("method") == r["method"])
+        if settled:
+            pages = pages.join(reduce(DataFrame.unionByName, settled).select(key), key, "left_anti")
+        pages = prepare(pages) if prepare else pages
+        texts = assemble_pages(pages, [key, "method"], order, text, chunk_pages, min_page_chars=r["min_page_chars"], hot=hot)
+        enough = F.col("text") != F.lit("")
+        if r["min_doc_chars"] is not None:
+            enough = enough & (F.length("text") > r["min_doc_chars"])
+        path = scratch_path(spark, f"accepted-{uuid.uuid4().hex}")
+        found = texts.where(enough).select(key, "method", F.lit(r["rank"]).cast("int").alias("rank"), "text")
+        found.write.parquet(path)
+        settled.append(spark.read.schema(found.schema).parquet(path))
+    if dealt is not None:
+        paths.delete(spark, dealt)
+    return reduce(DataFrame.unionByName, settled)
 
 
 def paper_text(files: DataFrame, accepted: DataFrame, key: str = "doc_id",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,8 +15,6 @@ from evidentia.schema import (COMPLETION_CAP_MODELS, DEFAULT_MAX_TOKENS, DEFAULT
                               DEFAULT_TEMPERATURE, NO_TEMPERATURE_MODELS, SYSTEM_MESSAGE)
 
 PAPER_LABEL = "RESEARCH PAPER:"
-DEFAULT_TEMPLATE = os.path.join(os.path.dirname(os.path.dirname(__file__)), "resources",
-                                "coding_prompt.txt")
 
 REQUEST_TYPE = T.StructType([
     T.StructField("model", T.StringType()),

@@ -66,3 +66,19 @@ def assemble_results(*dfs: DataFrame, keep=("doc_id",)) -> DataFrame:
             F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("None")).alias(c) if c in present
             else F.lit("nan").alias(c) for c in CSV_COLUMNS]))
     return reduce(lambda a, b: a.unionByName(b), fixed)
+
+
+def assemble_by_route(rows: DataFrame, failed: dict, route_col="route", keep=("doc_id",)) -> DataFrame:
+    """Coded and failed papers in one projection: ``rows`` has the route and the 27 coded columns of every
+    paper, ``failed`` the values of a failed row by column name. Which of them a row shows depends on its
+    route, so the input is scanned once; the string conversion is that of ``assemble_results`` (a
+    column that failed rows lack reads ``'nan'`` in them)."""
+    is_coded = col(route_col) == F.lit(ROUTE_CODE)
+    missing = F.lit("nan")
+
+    def text(c) -> Column:
+        return F.coalesce(c.cast("string"), F.lit("None"))
+
+    return rows.select(*keep, *[
+        F.when(is_coded, text(F.col(f"`{c}`"))).otherwise(text(failed[c]) if c in failed else missing).alias(c)
+        for c in CSV_COLUMNS])

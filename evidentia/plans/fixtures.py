@@ -10,6 +10,9 @@ generated reply is chosen by ``doc_id % 8`` so all eight reply layouts occur.
 from __future__ import annotations
 
 import re
+from functools import reduce
+
+from pyspark.sql import DataFrame
 
 NL = " || chr(10) || "
 
@@ -145,17 +148,17 @@ def candidates(conversations):
     return first.unionByName(second)
 
 
-# The paper files these candidates belong to, and those of the web pages: no method read a page on a .net host.
-EXTRACT_FILES = {"conversations": ["DISTINCT conv_id AS doc_id", "'Talk_' || conv_id || '.pdf' AS file_name",
-                                   "true AS is_pdf", "CAST(NULL AS STRING) AS title"],
-                 "pages": ["-1 - page_id AS doc_id", "'Page_' || page_id || '.pdf' AS file_name",
-                           "length(url) % 2 = 0 AS is_pdf", f"{PAGE_TITLE} AS title"]}
-EXTRACT_FILES_SQL = " UNION ALL ".join(f"SELECT {', '.join(c)} FROM {t}" for t, c in EXTRACT_FILES.items())
-_NET = "url LIKE '%.net%'"
-PAGE_CANDIDATES = ["-1 - page_id AS doc_id", "'layout' AS method", "1 AS page_no",
-                   f"CASE WHEN {_NET} THEN NULL ELSE {PAGE_TEXT_EXPR} END AS text",
-                   f"CASE WHEN {_NET} THEN NULL ELSE {PAGE_LAYOUT_EXPR} END AS layout_text",
-                   f"CASE WHEN {_NET} THEN NULL ELSE html END AS html"]
+# The paper files these candidates belong to, those of the web pages, and for each page a scan (keys of their
+# own) that no method read, so that the stand-in text and the missing text occur.
+EXTRACT_FILES = [("conversations", ["DISTINCT conv_id AS doc_id", "'Talk_' || conv_id || '.pdf' AS file_name",
+                                    "true AS is_pdf", "CAST(NULL AS STRING) AS title"]),
+                 ("pages", ["-1 - page_id AS doc_id", "'Page_' || page_id || '.pdf' AS file_name",
+                            "length(url) % 2 = 0 AS is_pdf", f"{PAGE_TITLE} AS title"]),
+                 ("pages", ["-1000000000 - page_id AS doc_id", "'Scan_' || page_id || '.pdf' AS file_name",
+                            "length(html) % 2 = 0 AS is_pdf", f"{PAGE_TITLE} AS title"])]
+EXTRACT_FILES_SQL = " UNION ALL ".join(f"SELECT {', '.join(c)} FROM {t}" for t, c in EXTRACT_FILES)
+PAGE_CANDIDATES = ["-1 - page_id AS doc_id", "'layout' AS method", "1 AS page_no", f"{PAGE_TEXT_EXPR} AS text",
+                   f"{PAGE_LAYOUT_EXPR} AS layout_text", "html"]
 EXTRACT_CANDIDATES = [[*c, "CAST(NULL AS STRING) AS layout_text", "CAST(NULL AS STRING) AS html"] for c in CANDIDATES]
 # a turn's own text is also its layout text, so that the mode chain keeps it
 EXTRACT_CANDIDATES[0][4] = "text AS layout_text"
@@ -165,9 +168,9 @@ EXTRACT_CANDIDATES_SQL = " UNION ALL ".join(
 
 def extract_files(conversations, pages):
     """``(doc_id, file_name, is_pdf, title)``: the rows of ``EXTRACT_FILES_SQL``."""
-    first, *rest = EXTRACT_FILES["conversations"]
+    (_, (first, *rest)), *others = EXTRACT_FILES
     talks = conversations.selectExpr(first.removeprefix("DISTINCT "), *rest).distinct()
-    return talks.unionByName(pages.selectExpr(*EXTRACT_FILES["pages"]))
+    return reduce(DataFrame.unionByName, [pages.selectExpr(*c) for _, c in others], talks)
 
 
 def extract_candidates(conversations, pages):

@@ -411,9 +411,8 @@ FROM res"""
 # ---------------------------------------------------------------- requests and replies
 
 def _template() -> str:
-    from evidentia.operators.requests import DEFAULT_TEMPLATE
-    with open(DEFAULT_TEMPLATE, encoding="utf-8") as f:
-        return f.read().strip()
+    from evidentia.sources.files import default_prompt
+    return default_prompt()
 
 
 def _prompt_sql() -> str:

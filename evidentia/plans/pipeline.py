@@ -20,18 +20,20 @@ from evidentia.operators.pages import first_accepted_text, paper_text, pick_page
 from evidentia.operators.results import ROUTE_CODE, ROUTE_NO_TEXT, route, routed_failure_reason
 from evidentia.functions.strings import col
 from evidentia.functions.text import format_title, normalize_text, page_mode_chain
+from evidentia.session import scratch_path
 from evidentia.sources import paths
 from evidentia.schema import (CSV_COLUMNS, EXCLUSION_REASON, FAILED_INCLUDE, FIELD_COLUMNS,
                               INCLUDE, PROCESSING_FAILED, TITLE)
 
 NO_REPLY_ERROR = "no response recorded"
+REPLY_PREFIX = 64
 
 
 def extract_papers(files: DataFrame, candidates: DataFrame, rules: DataFrame, key: str = "doc_id",
                    order: str = "page_no", text: str = "text", layout: str | None = None,
                    html: str | None = None, strategy: str | None = None, file_name: str = "file_name",
                    is_pdf: str = "is_pdf", title=None, author=None, page_count=None,
-                   chunk_pages: int | None = None) -> DataFrame:
+                   chunk_pages: int | None = None, by_method: bool = False) -> DataFrame:
     """``(key, file_name, method, text, route)``: the papers' texts from page candidates.
 
     ``files`` has one row per paper ``(key, file_name, is_pdf, ..)`` and ``candidates`` one per
@@ -39,17 +41,20 @@ def extract_papers(files: DataFrame, candidates: DataFrame, rules: DataFrame, ke
     several ways, ``strategy`` names the column that orders them; ``layout`` and ``html``
     name the other modes of a page of the method 'layout'. Each page's text is NFKD-normalized, the
     first accepted method wins, a PDF without one gets the stand-in text and any other file ''. A
-    file without candidates stays; candidates without a file are left out.
+    file without candidates stays; candidates without a file are left out. Pages are prepared (mode chain,
+    strategy, NFKD) method by method, for the papers still without a text (``first_accepted_text``).
     """
-    pages = candidates
-    if layout and html:
-        pages = pages.withColumn(text, F.when(F.col("method") == "layout", page_mode_chain(text, layout, html))
-                                        .otherwise(F.col(text)))
-    if strategy:
-        pages = pick_page_strategy(pages, key=(key, "method", order), order=strategy, text=text) \
-            .withColumnRenamed("text", text)
-    pages = pages.select(key, "method", order, normalize_text(text).alias(text))
-    accepted = first_accepted_text(pages, rules, key, order, text, chunk_pages)
+    def prepare(pages: DataFrame) -> DataFrame:
+        if layout and html:
+            pages = pages.withColumn(text, F.when(F.col("method") == "layout", page_mode_chain(text, layout, html))
+                                            .otherwise(F.col(text)))
+        if strategy:
+            pages = pick_page_strategy(pages, key=(key, "method", order), order=strategy, text=text) \
+                .withColumnRenamed("text", text)
+        return pages.select(key, "method", order, normalize_text(text).alias(text))
+
+    used = [c for c in (key, "method", order, text, layout, html, strategy) if c]
+    accepted = first_accepted_text(candidates.select(*used), rules, key, order, text, chunk_pages, prepare, by_method)
     papers = paper_text(files, accepted, key, file_name, is_pdf, title, author, page_count)
     return papers.withColumn("route", route("text"))
 
@@ -80,14 +85,15 @@ def code_documents(docs: DataFrame, responses: DataFrame, text="text", file_name
     ``responses`` holds ``(key, response, error)``; ``error`` set means the
     model call failed for that paper only (failed row, Include 'N').
 
-    Several stored replies for one paper are reduced to one (``one_reply``).
+    Of several stored replies for one paper one counts (``one_parsed_reply``).
 
-    Plan: the replies are reduced on the key, parsed, and joined to the
-    projected papers on the same partitioning, so the paper text never moves.
-    Papers routed away from coding get the failure values in the final projection.
+    Plan: the replies are parsed where they are read, the parsed answers reduced
+    on the key and joined to the projected papers on the same partitioning, so neither
+    paper text nor raw replies move. Papers routed away from coding get the failure values
+    in the final projection.
     """
     papers = routed_papers(docs, text, file_name, key)
-    joined = papers.join(_parsed_replies(one_reply(responses, key), key).drop(TITLE), key, "left")
+    joined = papers.join(one_parsed_reply(responses, key).drop(TITLE), key, "left")
     return finish_coded(joined, key)
 
 
@@ -106,10 +112,10 @@ def code_routed_replies(routed: DataFrame, responses: DataFrame, key: str = "doc
     return finish_coded(joined, key)
 
 
-def _parsed_replies(responses: DataFrame, key: str) -> DataFrame:
-    replies = responses.select(key, "response", "error", F.lit(True).alias("_has_reply"))
+def _parsed_replies(responses: DataFrame, key: str, *keep: str) -> DataFrame:
+    replies = responses.select(key, "response", "error", F.lit(True).alias("_has_reply"), *keep)
     return coded_rows(replies, response="response", title=F.lit(None).cast("string"),
-                      keep=(key, "error", "_has_reply"))
+                      keep=(key, "error", "_has_reply", *keep))
 
 
 def finish_coded(joined: DataFrame, key: str) -> DataFrame:
@@ -130,13 +136,18 @@ def finish_coded(joined: DataFrame, key: str) -> DataFrame:
     return result
 
 
-def one_reply(responses: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``(key, response, error)`` with one row per key: a success before a failure, then
-    the smallest reply (or error). Reduced map-side first, on the key the join uses."""
-    order = F.struct(F.col("error").isNotNull().alias("f"), F.coalesce("response", F.lit("")).alias("r"),
-                     F.coalesce("error", F.lit("")).alias("e"))
-    best = F.min_by(F.struct("response", "error"), order).alias("_r")
-    return responses.groupBy(key).agg(best).select(key, "_r.response", "_r.error")
+def one_parsed_reply(responses: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(key, error, _has_reply, <27 columns>)`` with one row per key: of several replies a success before a
+    failure, then the smallest by its first ``REPLY_PREFIX`` characters, then by its SHA-256 digest. So the choice never
+    needs the reply itself: replies are parsed in the projection that reads them, and what is reduced
+    (map-side first, on the key the join uses) is the flag, the prefix, the digest and the parsed answers."""
+    said = F.coalesce("response", "error", F.lit(""))
+    order = F.struct(F.col("error").isNotNull().alias("f"), F.substring(said, 1, REPLY_PREFIX).alias("p"),
+                     F.sha2(said, 256).alias("d"))
+    parsed = _parsed_replies(responses.select(key, "response", "error", order.alias("_order")), key, "_order")
+    rest = [F.col(f"`{c}`") for c in parsed.columns if c not in (key, "_order")]
+    best = F.min_by(F.struct(*rest), F.col("_order")).alias("_r")
+    return parsed.groupBy(key).agg(best).select(key, "_r.*")
 
 
 def drop_done(docs: DataFrame, done: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -232,9 +243,10 @@ def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
     Without ``reuse_replies`` every paper is asked again, and only once all new
     replies are committed are the older batches removed.
 
-    The papers are dealt by a hash of their key into ``batches`` jobs, each
+    The requests are dealt by a hash of the paper's key into ``batches`` jobs, each
     committed on its own: a run that dies keeps the batches it finished, and
-    the next one asks for the others only.
+    the next one asks for the others only. With more than one batch the requests are written
+    once, in the shared folder, and the papers read once, whatever the number of batches.
     """
     from evidentia.operators.requests import apply_responder, persist_responses
     spark = docs.sparkSession
@@ -250,11 +262,20 @@ def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
         stored = stored.where(F.col("error").isNull())
     reqs = request_documents(docs, template, model=model, key=key, text=text, skip=stored, mode=mode,
                              context_tokens=context_tokens, max_tokens=max_tokens, temperature=temperature)
-    new = []
+    new, dealt = [], None
+    if batches > 1:
+        # one pass over the papers: their requests are written dealt by key hash, and each job reads its own part only
+        dealt = scratch_path(spark, f"requests-{uuid.uuid4().hex}")
+        part_of = F.pmod(F.xxhash64(key), F.lit(batches)).cast("int").alias("_part")
+        requests = reqs.select(key, "request_json", part_of)
+        requests.write.partitionBy("_part").parquet(dealt)
+        reqs = spark.read.schema(requests.schema).parquet(dealt)
     for i in range(batches):
-        part = reqs if batches == 1 else reqs.where(F.pmod(F.xxhash64(key), F.lit(batches)) == i)
+        part = reqs if dealt is None else reqs.where(F.col("_part") == i)
         new.append(f"{replies_path.rstrip('/')}/batch-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}")
         persist_responses(apply_responder(part, responder, key=key), new[-1])
+    if dealt is not None:
+        paths.delete(spark, dealt)
     if not reuse_replies:
         for old in stored_batches:
             paths.delete(spark, old)

@@ -8,26 +8,24 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evidentia.functions.text import (estimate_tokens, flatten_layout, format_title,
-                                      normalize_text, page_mode_chain, placeholder_text,
-                                      strip_markup)
+from evidentia.functions.text import (estimate_tokens, format_title, normalize_text, page_mode_chain,
+                                      placeholder_text, strip_markup)
 from evidentia.functions.replies import is_question_echo, is_short_response
 from evidentia.functions.strings import after_first, py_strip
 from evidentia.operators.coding import (answers_long, audit_responses, candidate_table, coded_rows,
                                         reply_lines, screening, with_extracted_count)
 from evidentia.operators.audit import audit_extraction, audit_failures, audit_summary
-from evidentia.operators.results import (ROUTE_CODE, assemble_results, failed_rows,
+from evidentia.operators.results import (ROUTE_CODE, assemble_by_route, failed_columns, failed_rows,
                                          route_documents)
 from evidentia.operators.context import fit_context, fit_documents, split_sections
-from evidentia.operators.requests import (DEFAULT_TEMPLATE, apply_responder, build_prompt,
-                                          build_requests)
+from evidentia.operators.requests import apply_responder, build_prompt, build_requests
 from evidentia.plans.pipeline import attach_responses
 from evidentia.schema import CSV_COLUMNS, MAX_CONTEXT_TOKENS
 from evidentia.session import scratch_path
-from evidentia.sources.files import file_diagnostics, load_prompt, scan_papers
+from evidentia.sources.files import file_diagnostics, load_prompt, scan_heads
 from evidentia.sources.sinks import read_coding_csv, write_coding_csv
 from evidentia.operators.pages import (assemble_pages, extraction_rules, first_accepted_text,
-                                       pick_page_strategy)
+                                       flatten_layout_pages, pick_page_strategy)
 from evidentia.plans import fixtures, oracles
 from evidentia.plans.pipeline import code_documents, extract_papers
 from evidentia.plans.registry import register, table
@@ -94,11 +92,8 @@ def q_flatten_layout(spark, sf_dir):
     # one block per turn, one line per text line, one span per line
     lines = F.transform(F.split("text", "\n"),
                         lambda l: F.struct(F.array(F.struct(l.alias("text"))).alias("spans")))
-    blocks = conv.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", lines.alias("lines")))).alias("b"))
-    layout = blocks.select("conv_id", F.transform("b", lambda x: F.struct(x["lines"].alias("lines")))
-                           .alias("blocks"))
-    return _md5_len(layout, "conv_id", flatten_layout("blocks"))
+    pages = conv.select("conv_id", "turn", F.array(F.struct(lines.alias("lines"))).alias("blocks"))
+    return _md5_len(flatten_layout_pages(pages, key="conv_id", order="turn"), "conv_id", F.col("text"))
 
 
 @register("assemble_pages", oracles.assemble_pages_sql())
@@ -188,7 +183,7 @@ def _requests(spark, sf_dir, with_model=True):
     docs = table(spark, sf_dir, "documents")
     fitted = docs.select("doc_id", "lang", fit_context("text", max_tokens=MAX_CONTEXT_TOKENS,
                                                         mode="compat")["text"].alias("fitted"))
-    prompts = build_prompt(fitted, load_prompt(spark, DEFAULT_TEMPLATE), text="fitted")
+    prompts = build_prompt(fitted, load_prompt(spark), text="fitted")
     models = F.create_map(*[F.lit(x) for kv in fixtures.MODEL_BY_LANG.items() for x in kv])
     return prompts, build_requests(prompts.withColumn("model", F.element_at(models, F.col("lang"))),
                                    model=F.col("model"))
@@ -247,7 +242,7 @@ def q_file_diagnostics(spark, sf_dir):
 def q_scan_papers(spark, sf_dir):
     folder = scratch_path(spark, f"paper-files-{uuid.uuid4().hex}")
     fixtures.write_paper_files(table(spark, sf_dir, "pages"), folder)
-    files = file_diagnostics(scan_papers(spark, folder))
+    files = file_diagnostics(scan_heads(spark, folder), content="head")
     return files.select("file_name", "length", F.hex("header").alias("header_hex"), "is_pdf",
                         "size_mb")
 
@@ -355,10 +350,11 @@ def q_assemble_results(spark, sf_dir):
     # route, title and the stored reply come from the same rows: one projection
     docs = src.selectExpr("doc_id", f"{fixtures.FILE_NAME_EXPR} AS file_name",
                           "text", f"{fixtures.RESPONSE_EXPR} AS response")
-    routed = route_documents(docs)
-    coded = coded_rows(routed.where(F.col("route") == ROUTE_CODE), title="Title")
-    failed = failed_rows(routed.where(F.col("route") != ROUTE_CODE), title="Title")
-    return assemble_results(coded, failed.drop("Exclusion Reason"))
+    # a reply of a paper that is not coded is not parsed
+    routed = route_documents(docs).withColumn("response", F.when(F.col("route") == ROUTE_CODE, F.col("response")))
+    failed = dict(zip(CSV_COLUMNS, failed_columns("Title"), strict=True))
+    del failed["Exclusion Reason"]
+    return assemble_by_route(coded_rows(routed, title="Title", keep=("doc_id", "route")), failed)
 
 
 # ---------------------------------------------------------------- extraction audit

@@ -1,7 +1,7 @@
 """Folder operations on the cluster's file system (Hadoop ``FileSystem``:
 HDFS, object stores or local disk, whatever the path's scheme names).
 
-Driver-side metadata only: existence, listing, sizes, renames. No data is
+Driver-side metadata only: existence, listing, removal. No data is
 read or written through the driver.
 """
 
@@ -27,10 +27,16 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes of all files below ``path``."""
+def scheme(spark: SparkSession, path: str) -> str:
+    """The scheme of the file system ``path`` is on (a path without one is on the default file system)."""
+    _, fs = hadoop_path(spark, path)
+    return str(fs.getUri().getScheme())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI with its scheme."""
     p, fs = hadoop_path(spark, path)
-    return int(fs.getContentSummary(p).getLength())
+    return str(fs.makeQualified(p).toString())
 
 
 def committed(spark: SparkSession, path: str) -> bool:
@@ -45,15 +51,3 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
         return []
     return sorted(st.getPath().toString() for st in fs.listStatus(p)
                   if st.isDirectory() and not st.getPath().getName().startswith(("_", ".")))
-
-
-def move_single_part(spark: SparkSession, folder: str, target: str) -> None:
-    """Move the one part file of a single-task output ``folder`` to ``target``
-    (replacing it) and remove the folder."""
-    src, fs = hadoop_path(spark, folder)
-    parts = [s.getPath() for s in fs.listStatus(src) if s.getPath().getName().startswith("part-")]
-    dst, _ = hadoop_path(spark, target)
-    if fs.exists(dst):
-        fs.delete(dst, True)
-    fs.rename(parts[0], dst)
-    fs.delete(src, True)

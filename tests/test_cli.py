@@ -37,7 +37,7 @@ def test_cli_round_trip(spark, tmp_path):
                      "--chunk-pages", "4", "--out", str(tmp_path / "texts")]) == 0
     texts = spark.read.parquet(str(tmp_path / "texts"))
     assert texts.columns == ["doc_id", "file_name", "method", "text", "route"]
-    assert texts.count() == conv.select("conv_id").distinct().count() + pages.count()
+    assert texts.count() == fixtures.extract_files(conv, pages).count()
     rc = cli.main(["audit", "--papers", str(tmp_path / "papers"), "--out", str(tmp_path / "audit")])
     assert rc == 1        # the fixture has papers without text
     assert cli.main(["audit", "--papers", _empty(spark, tmp_path), "--out", str(tmp_path / "none")]) == 1

@@ -1,7 +1,9 @@
 """Page assembly, per-page strategy choice and ranked extraction methods."""
 
+from pyspark.sql import functions as F
+
 from evidentia.operators.pages import (assemble_pages, extraction_rules, first_accepted_text,
-                                       pick_page_strategy)
+                                       flatten_layout_pages, hot_papers, pick_page_strategy)
 
 
 def test_assemble_pages(spark):
@@ -97,12 +99,86 @@ def test_extract_papers(spark):
     assert set(got) == {1, 2, 3, 4, 5}
 
 
+def _hot_pages(spark):
+    """A third of all pages in paper 0, and a second hot paper without a key."""
+    return spark.range(30_000).selectExpr("CASE WHEN id < 10000 THEN 0 WHEN id < 16000 THEN NULL ELSE id END AS doc_id", "'cli' AS method",
+                                          "CAST(IF(id < 16000, id, 1) AS INT) AS page_no", "IF(id % 7 = 0, '', 'p' || id) AS text")
+
+
 def test_chunks_are_dealt_before_papers(spark):
-    """A paper with a third of all pages: its chunks are joined in many tasks."""
-    rows = spark.range(3000).selectExpr("IF(id < 1000, 0, id) AS doc_id", "'cli' AS method",
-                                        "CAST(IF(id < 1000, id, 1) AS INT) AS page_no", "'p' || id AS text")
-    plan = first_accepted_text(rows, extraction_rules(spark), chunk_pages=10)._jdf.queryExecution().executedPlan().toString()
+    """With ``chunk_pages`` the ranges of every paper are joined in many tasks first."""
+    plan = assemble_pages(_hot_pages(spark), chunk_pages=10)._jdf.queryExecution().executedPlan().toString()
     # the chunk number, named by the optimizer, is in the first key that any page is dealt by
     assert any("hashpartitioning" in line and "_groupingexpression" in line for line in plan.splitlines())
-    got = {r.doc_id: r.text for r in first_accepted_text(rows, extraction_rules(spark), chunk_pages=10).collect()}
-    assert got[0] == "\n".join(f"p{i}" for i in range(1000)) and len(got) == 2001
+
+
+def test_hot_papers_are_found_and_split(spark):
+    rows = _hot_pages(spark)
+    assert {r.doc_id for r in hot_papers(rows).collect()} == {0, None}
+    assert hot_papers(rows.where("doc_id > 0")) is None
+    whole = {r.doc_id: r.text for r in assemble_pages(rows).collect()}
+    assert whole == {r.doc_id: r.text for r in assemble_pages(rows, hot_pages=10**9).collect()}
+    assert whole[0] == "\n".join(f"p{i}" for i in range(10_000) if i % 7)
+    # without a setting of the caller's, no task of the assembly takes more than a range of the hot paper
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = rows.where("doc_id = 0")
+        ranges = hot.groupBy("doc_id", F.floor(F.col("page_no") / 1024)).count()
+        assert ranges.count() == 10 and max(r["count"] for r in ranges.collect()) <= 1024
+        plan = assemble_pages(rows)._jdf.queryExecution().executedPlan().toString()
+        assert any("hashpartitioning" in line and "_groupingexpression" in line for line in plan.splitlines())
+        tasks = ranges.select(F.spark_partition_id().alias("t")).distinct().count()
+        assert tasks >= 5
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_layout_pages_equal_whole_layouts(spark):
+    """Pages flattened one by one and joined are the layout of the paper flattened at once, hot papers too."""
+    from evidentia.functions.text import flatten_layout
+    rows = [(d, p, [{"lines": [{"spans": [{"text": t} for t in ts]}]} if ts is not None else {"lines": None}])
+            for d in range(6) for p, ts in enumerate([["a", "b"], [], None, [None, "c"], [""], ["d"]] * (200 if d == 0 else 1))]
+    pages = spark.createDataFrame(rows, "doc_id long, page_no int, blocks array<struct<lines:array<struct<spans:array<struct<text:string>>>>>>")
+    want = pages.groupBy("doc_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "blocks"))), lambda x: x["blocks"])).alias("b"))
+    want = {r.doc_id: r.t for r in want.select("doc_id", flatten_layout("b").alias("t")).collect()}
+    for hot_pages in (10, 10**9):
+        got = {r.doc_id: r.text for r in flatten_layout_pages(pages, hot_pages=hot_pages).collect()}
+        assert got == want
+
+
+def test_methods_are_tried_in_rank_order_for_open_papers_only(spark):
+    """Each page is prepared once, and only for papers that no earlier method has settled."""
+    cands = spark.createDataFrame(
+        [(1, "text_layer", 1, "one"), (1, "layout", 1, "unused"), (1, "ocr", 1, "u" * 200),
+         (2, "text_layer", 1, " "), (2, "layout", 1, "two"), (2, "cli", 1, "unused"),
+         (3, "ocr", 1, "y" * 11), (3, "ocr", 2, "z" * 120), (4, "ocr", 1, "short"), (5, "other", 1, "no rule")],
+        "doc_id long, method string, page_no int, text string")
+    seen = []
+
+    def prepare(pages):
+        seen.append(sorted((r.doc_id, r.method, r.page_no) for r in pages.collect()))
+        return pages.withColumn("text", F.upper("text"))
+
+    got = {r.doc_id: (r.method, r.rank, r.text) for r in first_accepted_text(cands, extraction_rules(spark), prepare=prepare).collect()}
+    assert got == {1: ("text_layer", 1, "ONE"), 2: ("layout", 3, "TWO"), 3: ("ocr", 6, "Y" * 11 + "\n" + "Z" * 120)}
+    assert seen == [[(1, "text_layer", 1), (2, "text_layer", 1)], [], [(2, "layout", 1)], [], [], [(3, "ocr", 1), (3, "ocr", 2), (4, "ocr", 1)]]
+    # candidates that are stored by method need no copy
+    import tempfile
+    path = tempfile.mkdtemp() + "/by-method"
+    cands.write.partitionBy("method").parquet(path)
+    stored = spark.read.parquet(path)
+    again = first_accepted_text(stored, extraction_rules(spark), prepare=lambda p: p.withColumn("text", F.upper("text")), by_method=True)
+    assert {r.doc_id: (r.method, r.rank, r.text) for r in again.collect()} == got
+
+
+def test_every_page_reading_reaches_the_mode_chain(spark):
+    """No page of the given tables is left out of the extraction's input, whatever its host."""
+    from evidentia.plans import fixtures
+    conv, pages = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("conversations", "pages"))
+    cands = fixtures.extract_candidates(conv, pages).where("doc_id < 0")
+    html = {r.doc_id: r.html for r in cands.collect()}
+    assert html == {-1 - r.page_id: r.html for r in pages.collect()}
+    assert pages.where("url LIKE '%.net%'").count() > 0

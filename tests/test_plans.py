@@ -53,11 +53,15 @@ def test_pages_shuffle_text_once(spark):
     conv = spark.read.parquet(f"{SF}/conversations.parquet")
     # one exchange, carrying the partial collect_list buffers (the page text)
     assert len(_exchange_inputs(assemble_pages(conv, "conv_id", "turn", "text"))) == 1
+    # of the methods' pages, each in its own part, only those of open papers are assembled: the result is written texts
     cands = conv.selectExpr("conv_id AS doc_id", "'layout' AS method", "turn AS page_no", "text")
-    inputs = _exchange_inputs(first_accepted_text(cands, extraction_rules(spark)))
-    # page text crosses one exchange at most (none where the winners are broadcast); the others carry numbers only
-    assert sum(1 for c in inputs if re.search(r"\btext#|\b_t#", c)) <= 1
-    assert len(inputs) >= 2
+    assert _exchange_inputs(first_accepted_text(cands, extraction_rules(spark))) == []
+
+
+def test_results_scan_each_input_once(spark):
+    from evidentia.plans import queries
+    plan = queries.q_assemble_results(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2          # documents and pages
 
 
 def test_bucketed_inputs_code_without_shuffle(spark, tmp_path):

@@ -7,7 +7,7 @@ import os
 import pytest
 
 from evidentia.schema import CSV_COLUMNS
-from evidentia.sources.files import file_diagnostics, load_prompt, scan_papers
+from evidentia.sources.files import default_prompt, file_diagnostics, load_prompt, scan_heads, scan_papers
 from evidentia.sources.sinks import read_coding_csv, write_coding_csv
 
 
@@ -28,6 +28,49 @@ def test_scan_and_diagnostics(spark, tmp_path):
     assert scan_papers(spark, str(tmp_path / "missing")).count() == 0
 
 
+def test_heads_are_read_without_the_files(spark, tmp_path):
+    (tmp_path / "a b%20é.pdf").write_bytes(b"x" * 990 + b"%PDF-1.4 and more")
+    (tmp_path / "empty.pdf").write_bytes(b"")
+    (tmp_path / "late.PDF").write_bytes(b"x" * 997 + b"%PDF")          # the mark ends behind byte 1000
+    with open(tmp_path / "huge.pdf", "wb") as f:                         # 3 GiB, all of it a hole
+        f.write(b"%PDF-1.7")
+        f.truncate(3 << 30)
+    heads = scan_heads(spark, str(tmp_path))
+    got = {r.file_name: r for r in file_diagnostics(heads, content="head").collect()}
+    assert {k: (r.length, len(r.head), r.is_pdf) for k, r in got.items()} == {
+        "a b%20é.pdf": (1007, 1000, True), "empty.pdf": (0, 0, False), "late.PDF": (1001, 1000, False),
+        "huge.pdf": (3 << 30, 1000, True)}
+    assert bytes(got["huge.pdf"].header) == b"%PDF-1.7\0\0"
+    plan = heads._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+
+
+def test_heads_through_the_binary_reader_are_the_same(spark, tmp_path):
+    for i, size in enumerate((5, 1000, 5000)):
+        (tmp_path / f"f{i}.pdf").write_bytes(bytes(range(256)) * 20 if size == 5000 else b"z" * size)
+    opened, read = (sorted((r.file_name, r.length, bytes(r.head)) for r in scan_heads(spark, str(tmp_path), **k).collect())
+                    for k in ({}, {"opened": {}}))
+    assert opened == read and len(read) == 3
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "d.pdf").write_bytes(b"%PDF")
+    (tmp_path / "x.txt").write_bytes(b"%PDF")
+    (tmp_path / "_hidden.pdf").write_bytes(b"%PDF")
+    assert scan_heads(spark, str(tmp_path)).count() == 3 == scan_papers(spark, str(tmp_path)).count()
+    assert scan_heads(spark, str(tmp_path / "missing")).count() == 0
+
+
+def test_a_file_that_cannot_be_opened_has_no_head(spark, tmp_path):
+    from evidentia.sources.files import OPENED_SCHEMES, _head_of
+    assert _head_of(f"file:{tmp_path}/gone.pdf", 10, {}, OPENED_SCHEMES) is None
+    (tmp_path / "x.pdf").write_bytes(b"0123456789")
+    assert _head_of(f"file:{tmp_path}/x.pdf", 4, {}, OPENED_SCHEMES) == b"0123"
+    assert _head_of(f"file://{tmp_path}/x.pdf", 40, {}, OPENED_SCHEMES) == b"0123456789"
+
+
+def test_default_prompt_needs_no_path(spark):
+    assert load_prompt(spark) == default_prompt() and default_prompt()
+
+
 def test_load_prompt(spark, tmp_path):
     p = tmp_path / "t.txt"
     p.write_text("\n  Hello\nWorld 　\n", encoding="utf-8")
