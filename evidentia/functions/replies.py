@@ -28,7 +28,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from evidentia.functions.strings import (after_first, col, contains, py_strip, replace_all,
+from evidentia.functions.strings import (after_first, col, contains, let, py_strip, replace_all,
                                          starts_with)
 from evidentia.schema import (ANSWER_MARKER, FIELD_COLUMNS, INCLUDE, INCLUDE_MARKER,
                               NOT_SPECIFIED, QUESTION_COLUMNS, QUESTION_STARTERS, QUESTIONS,
@@ -92,20 +92,21 @@ def line_facts(x: Column) -> Column:
     """Per-line facts, computed once per line (one regex); look-aheads read these."""
     num = F.regexp_extract(x, ANY_NUM_RE, 1)
     n = F.when(num != F.lit(""), num.cast("int"))
+    numbered = n.isNotNull()
     after_colon = py_strip(after_first(x, ":"))
     return F.struct(
         x.alias("line"),
         n.alias("n"),
-        (n.isNotNull() & starts_with(x, "**")).alias("bold"),
+        (numbered & starts_with(x, "**")).alias("bold"),
         contains(x, ":").alias("colon"),
         contains(x, "**").alias("stars"),
         _marker_value(x, SOURCE_MARKER).alias("src"),
         _marker_value(x, ANSWER_MARKER).alias("ans"),
-        # form 1: after the first ':', '**' removed; form 3: every '*' removed
-        py_strip(replace_all(after_colon, "**")).alias("a1"),
-        py_strip(replace_all(after_colon, "*")).alias("a3"),
+        # answers, of numbered lines only; form 1: after the first ':', '**' removed; form 3: every '*' removed
+        F.when(numbered, py_strip(replace_all(after_colon, "**"))).alias("a1"),
+        F.when(numbered, py_strip(replace_all(after_colon, "*"))).alias("a3"),
         # form 2: after the first '**:'
-        py_strip(after_first(x, "**:")).alias("a2"),
+        F.when(numbered, py_strip(after_first(x, "**:"))).alias("a2"),
     )
 
 
@@ -117,7 +118,7 @@ def line_candidate(facts: Column, f: Column, i: Column) -> Column:
     # form 1: first **Source**: within the next 4 lines, stop at the next **m.
     f1 = bold & f["colon"] & ~is_question_echo(f["a1"], strict=True) & (F.length(f["a1"]) > 3)
     k1 = _first_ahead(facts, i, lambda y: y["src"].isNotNull() | y["bold"])
-    s1 = F.get(facts, i + k1)["src"]
+    s1 = F.when(f1, let(k1, lambda k: F.get(facts, i + k)["src"]))
 
     # form 2: no filter, no evidence
     f2 = plain & contains(f["line"], "**:")
@@ -132,10 +133,16 @@ def line_candidate(facts: Column, f: Column, i: Column) -> Column:
     # form 4: **Answer**: within the next 4 lines (stop at any numbered line),
     # evidence on the line right after the answer
     k4 = _first_ahead(facts, i, lambda y: y["ans"].isNotNull() | y["n"].isNotNull())
-    a4 = F.get(facts, i + k4)["ans"]
-    f4 = f["stars"] & (F.length(a4) > 3)
-    s4 = F.when(a4.isNotNull(), F.get(facts, i + k4 + 1)["src"])
+    ahead = let(k4, lambda k: F.struct(F.get(facts, i + k)["ans"].alias("ans"), F.get(facts, i + k + 1)["src"].alias("src")))
+
+    return let(ahead, lambda four: _candidate(f, i, f1, s1, f2, f3, s3, four))
 
+
+def _candidate(f: Column, i: Column, f1, s1, f2, f3, s3, four: Column) -> Column:
+    """The candidate of line ``f``; ``four``: form 4's answer and what stands behind it."""
+    a4 = four["ans"]
+    f4 = f["stars"] & (F.length(a4) > 3)
+    s4 = F.when(a4.isNotNull(), four["src"])
     return F.struct(
         f["n"].alias("n"), i.alias("line_no"),
         F.coalesce(f1, F.lit(False)).alias("f1"), f["a1"].alias("a1"), s1.alias("s1"),
@@ -151,10 +158,11 @@ def reply_facts(lines) -> Column:
 
 
 def line_candidates(facts) -> Column:
-    """array<candidate> for the numbered lines of a reply (built once per reply)."""
+    """array<candidate> for the numbered lines of a reply: their places first, then a candidate
+    for each of these, so that lines of prose cost no more than a look at their number."""
     facts = col(facts)
-    return F.filter(F.transform(facts, lambda f, i: line_candidate(facts, f, i)),
-                    lambda c: c["n"].isNotNull())
+    places = F.filter(F.transform(facts, lambda f, i: F.when(f["n"].isNotNull(), i)), lambda i: i.isNotNull())
+    return F.transform(places, lambda i: let(F.get(facts, i), lambda f: line_candidate(facts, f, i)))
 
 
 def _merge(state: Column, c: Column) -> Column:
