@@ -256,6 +256,9 @@ def run_coding(docs: DataFrame, responder, template: str, replies_path: str,
         raise ValueError(f"{replies_path} is one committed Parquet output, not a folder of "
                          "reply batches: read it with read_replies / code_documents, or "
                          "give run_coding another replies_path")
+    if docs.isEmpty():  # nothing is asked and nothing written; an earlier output stays
+        none = spark.createDataFrame([], f"{key} {docs.schema[key].dataType.simpleString()}, response string, error string")
+        return code_documents(docs, none, text=text, file_name=file_name, key=key)
     reused = stored_batches if reuse_replies else []
     stored = spark.read.parquet(*reused) if reused else None
     if stored is not None and retry_failed:

@@ -42,3 +42,37 @@ def test_cli_round_trip(spark, tmp_path):
     assert rc == 1        # the fixture has papers without text
     assert cli.main(["audit", "--papers", _empty(spark, tmp_path), "--out", str(tmp_path / "none")]) == 1
     assert spark.read.parquet(str(tmp_path / "audit" / "summary")).first().total == src.count()
+
+
+def test_run_asks_the_users_responder_and_codes(spark, tmp_path):
+    src = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 40")
+    fixtures.named_documents(src).write.parquet(str(tmp_path / "papers"))
+    run = ["run", "--papers", str(tmp_path / "papers"), "--responder", "evidentia.plans.fixtures:demo_responder",
+           "--replies", str(tmp_path / "replies"), "--out", str(tmp_path / "out"), "--batches", "3"]
+    assert cli.main(run) == 0
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 40 and out.columns[1:] == CSV_COLUMNS
+    assert out.where("`1.1 Primary Stakeholders` LIKE 'Readers of a %'").count() > 0
+    # a second run finds every reply stored
+    before = sorted(tuple(r) for r in out.collect())
+    assert cli.main([*run[:-2], "--retry-failed"]) == 0
+    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == before
+
+
+def test_runs_without_papers_write_nothing(spark, tmp_path):
+    papers = _empty(spark, tmp_path)
+    replies = str(tmp_path / "stored")
+    spark.createDataFrame([(1, "a", None)], "doc_id long, response string, error string").write.parquet(replies)
+    out = tmp_path / "out"
+    for extra in ([], ["--csv"]):
+        assert cli.main(["code", "--papers", papers, "--replies", replies, "--out", str(out), *extra]) == 0
+        assert cli.main(["run", "--papers", papers, "--responder", "evidentia.plans.fixtures:demo_responder",
+                         "--replies", str(tmp_path / "new"), "--out", str(out), *extra]) == 0
+    assert not out.exists() and not (tmp_path / "new").exists()
+
+
+def test_responder_names():
+    import pytest
+    assert cli.responder_of("evidentia.plans.fixtures:demo_responder") is fixtures.demo_responder
+    with pytest.raises(SystemExit):
+        cli.responder_of("evidentia.plans.fixtures")
