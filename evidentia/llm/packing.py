@@ -17,6 +17,7 @@ Documents follow one another in the order of the input files.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidentia.llm.chunks import PieceCache, batches
+from evidentia.llm.chunks import PieceTable, batches
 from evidentia.llm.common import few, id_text, prefix_sums, stage
 
 SEQUENCE = 1024
@@ -35,7 +36,7 @@ SEPARATOR = 0
 MOST_OFFSETS = 1_000_000
 VOCABULARY = "byte_bpe_50k.json"
 
-_ENCODERS: dict[str, PieceCache] = {}
+_ENCODERS: dict[str, PieceTable] = {}
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -65,31 +66,42 @@ def ids_of(path: str):
     byte = _byte_of()
     ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
     bpe = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-    return lambda texts: [bpe.encode(t, allowed_special="all") for t in texts]
+    some = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+    return lambda texts: [bpe.encode(t, allowed_special="all") if some.search(t) else bpe.encode_ordinary(t) for t in texts]
 
 
-def _encoder(path: str) -> PieceCache:
+def id_type(path: str) -> str:
+    """The numpy type of the written ids: 2 bytes where the vocabulary's ids fit, else 4."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    most = max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"]), SEPARATOR])
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
+def _encoder(path: str) -> PieceTable:
     if path not in _ENCODERS:
-        ids = ids_of(path)
-        _ENCODERS[path] = PieceCache(lambda texts: [np.array(x, "<u2").tobytes() for x in ids(texts)])
+        _ENCODERS[path] = PieceTable(ids_of(path), id_type(path))
     return _ENCODERS[path]
 
 
 def token_line(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pass 1, written: part, first (tokens before it in the part), doc_id, ids (2 bytes each), doc_tokens."""
+    """Pass 1, written: part, first (tokens before it in the part), doc_id, ids (``id_type``), doc_tokens."""
 
     def encode(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, first = TaskContext.get().partitionId(), 0
-        cache = _encoder(path)
+        table = _encoder(path)
+        width = table.dtype.itemsize
         for batch in arrow:
             rows = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
             for some in batches(rows, lambda r: len(r[1])):
-                ids = [x + b"\0\0" for x in cache.encode([t for _, t in some])]  # the separator, id 0
-                n = np.fromiter((len(x) // 2 for x in ids), "int64", len(ids))
-                at = first + np.cumsum(n) - n
-                first += int(n.sum())
-                yield pa.record_batch([pa.array(np.full(len(ids), part, "int64")), pa.array(at),
-                                       pa.array([i for i, _ in some], pa.int64()), pa.array(ids, pa.binary()), pa.array(n)],
+                ids, n = table.encode_joined([t for _, t in some], SEPARATOR)
+                end = np.cumsum(n)
+                at = first + end - n
+                first += int(end[-1])
+                places = np.concatenate(([0], end * width)).astype(np.int32)
+                cells = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(places), pa.py_buffer(ids)])
+                yield pa.record_batch([pa.array(np.full(len(n), part, "int64")), pa.array(at),
+                                       pa.array([i for i, _ in some], pa.int64()), cells, pa.array(n)],
                                       ["part", "first", "doc_id", "ids", "doc_tokens"])
 
     rows = id_text(docs, id_col, text_col)
@@ -99,8 +111,11 @@ def token_line(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 def pack(docs: DataFrame, path: str | None = None, length: int = SEQUENCE, id_col: str = "doc_id",
          text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
-    crosses (the document goes on in the next sequence) and, if asked for, ids (2 bytes each)."""
-    line = token_line(docs, path or vocabulary_path(), id_col, text_col)
+    crosses (the document goes on in the next sequence) and, if asked for, ids (``id_type``)."""
+    path = path or vocabulary_path()
+    kind = id_type(path)
+    width = np.dtype(kind).itemsize
+    line = token_line(docs, path, id_col, text_col)
     totals = line.groupBy("part").agg(F.sum("doc_tokens").alias("n"))
     offsets = stage(prefix_sums(totals, "part", "n"), "part-offsets")  # one row per input partition
     placed = line.join(few(offsets, MOST_OFFSETS), "part")
@@ -110,13 +125,13 @@ def pack(docs: DataFrame, path: str | None = None, length: int = SEQUENCE, id_co
         for batch in arrow:
             out = []
             for doc, at, ids, n in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "at", "ids", "doc_tokens")), strict=True):
-                wide = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+                wide = np.frombuffer(ids, kind).astype("<u4").tobytes()
                 start = 0
                 while start < n:
                     sequence, offset = divmod(at + start, length)
                     take = min(length - offset, n - start)
                     out.append((doc, start, take, zlib.crc32(wide[4 * start:4 * (start + take)]), n, sequence, offset,
-                                start + take < n, ids[2 * start:2 * (start + take)] if with_ids else None))
+                                start + take < n, ids[width * start:width * (start + take)] if with_ids else None))
                     start += take
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)] if out else
                                              [pa.array([], t) for t in _TYPES], _NAMES)
@@ -131,8 +146,8 @@ _TYPES = [pa.int64()] * 7 + [pa.bool_(), pa.binary()]
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
-    """The packed sequences of ``pack(..., with_ids=True)``: sequence_id, n_tokens, ids (2
-    bytes each). A group holds at most one sequence's tokens."""
+    """The packed sequences of ``pack(..., with_ids=True)``: sequence_id, n_tokens, ids
+    (``id_type``). A group holds at most one sequence's tokens."""
     whole = pieces.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("p"), F.sum("length").alias("n_tokens"))
     joined = F.aggregate(F.col("p.ids"), F.lit(b""), lambda a, b: F.concat(a, b))
     return whole.select("sequence_id", "n_tokens", joined.alias("ids"))
