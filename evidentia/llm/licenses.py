@@ -12,6 +12,7 @@ of 64 bands of one MinHash value each agrees with a probability above
 windows, and texts without any word of a set that meets every shingle, are left
 out before MinHashes are computed. Each retrieved pair is
 verified on the words: shared shingles / shingles of the template >= 0.8.
+Where several templates match the same words, the best one can be kept alone.
 
 Defined results: a null text counts as ''; texts and templates of fewer than five
 words have no shingle and match nothing; repeated rows (same id and text) come
@@ -20,7 +21,7 @@ back once per template; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evidentia.llm.common import id_text
@@ -158,10 +159,37 @@ def key_words(shingles: list[str]) -> list[str]:
     return keys
 
 
+def _one_per_passage(found: DataFrame) -> DataFrame:
+    """Of templates whose matches share half the matched shingles (of the smaller match), in one place of a text, the one with
+    the greatest containment, then the most shared shingles, then the smallest id. ``found``: the verified
+    windows. Matches are settled in islands, stretches of a text that no match crosses."""
+    texts = F.transform(F.sequence(F.lit(1), F.size("w") - SHINGLE + 1), lambda i: F.array_join(F.slice("w", i, SHINGLE), " "))
+    at = F.filter(F.transform(texts, lambda t, i: F.when(F.array_contains("shingles", t), F.col("start") + i)), lambda i: i.isNotNull())
+    hits = found.dropDuplicates(["doc_id", "text_hash", "template_id", "start"]).withColumn("at", at)
+    # the same passage in two windows is one match: its places are the same, or one window holds a part of it
+    hits = hits.select("doc_id", "text_hash", "template_id", "license", "containment", "at", F.element_at("at", 1).alias("first"), F.element_at("at", -1).alias("last"))
+    order = Window.partitionBy("doc_id", "text_hash").orderBy("first", "last", "template_id")
+    hits = hits.withColumn("before", F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    hits = hits.withColumn("island", F.sum(F.when(F.col("first") <= F.col("before"), 0).otherwise(1)).over(order))
+    match = F.struct((-F.col("containment")).alias("c"), (-F.size("at")).alias("n"), "template_id", "first", "license", "at")
+    listed = hits.groupBy("doc_id", "text_hash", "island").agg(F.sort_array(F.collect_list(match)).alias("m"))
+
+    def rival(x, y):
+        return 2 * F.size(F.array_intersect(x["at"], y["at"])) >= F.least(F.size(x["at"]), F.size(y["at"]))
+
+    kept = F.aggregate("m", F.slice("m", 1, 0), lambda kept, x: F.when(F.exists(kept, lambda y: rival(x, y)), kept).otherwise(F.concat(kept, F.array(x))))
+    each = listed.select("doc_id", "text_hash", F.inline(kept))
+    best = each.groupBy("doc_id", "text_hash", "template_id", "license").agg(
+        (-F.min("c")).alias("containment"), F.min_by("first", F.struct("c", "first")).alias("start_word"), F.count(F.lit(1)).alias("n_passages"))
+    return best.drop("text_hash")
+
+
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", one_per_passage: bool = False) -> DataFrame:
     """One row per document and template found: doc_id, template_id, license, containment (the
-    best window's), start_word and n_windows (that match)."""
+    best window's), start_word and n_windows (that match). Licences share much of their wording, so a passage may
+    match several templates; with ``one_per_passage`` it counts for the best one only, start_word is its
+    first shared shingle, and n_passages replaces n_windows."""
     spark = docs.sparkSession
     table = template_table(spark, templates)
     known = table.select("hashes", "shingles", "reach").collect()  # the parameter's own shingles
@@ -195,7 +223,9 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, containment: float = CON
     # BANDS rows for each template of the parameter; beyond the bound Spark chooses the join
     found = d.join(F.broadcast(t) if len(templates) * BANDS <= MOST_BANDS else t, ["reach", "band", "value"])
     share = F.size(F.array_intersect(_shingle_texts(F.col("w")), "shingles")) / F.size("shingles")
-    found = found.select("doc_id", "text_hash", "template_id", "license", "start", share.alias("containment")).filter(F.col("containment") >= containment)
+    found = found.withColumn("containment", share).filter(F.col("containment") >= containment)
+    if one_per_passage:
+        return _one_per_passage(found)
     windows_of = found.groupBy("doc_id", "text_hash", "template_id", "license", "start").agg(F.max("containment").alias("containment"))
     best = windows_of.groupBy("doc_id", "text_hash", "template_id", "license").agg(
         F.max("containment").alias("containment"), F.max_by("start", F.struct("containment", -F.col("start"))).alias("start_word"),

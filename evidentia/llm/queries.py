@@ -24,7 +24,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(read(spark, sf_dir))
+    return licenses.scan_licenses(read(spark, sf_dir), one_per_passage=True)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -278,6 +278,26 @@ def test_real_file_headers_are_found(spark):
     assert not lost, lost
 
 
+def test_a_passage_has_one_licence(spark):
+    """Each header, and each template's own text, is reported as its own licence and as no other one."""
+    mit = max((n for name, n in licenses.TEMPLATES if name == "MIT"), key=len)
+    cases = [*HEADERS.items(), ("MIT", mit), ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+             *((name, n) for name, n in licenses.TEMPLATES if len(n.split()) >= 8)]
+    texts = ["Copyright (C) 2020 A. Person\n" + n + "\nimport os\n" * 40 for _, n in cases]
+    rows = licenses.scan_licenses(frame(spark, texts), one_per_passage=True).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["doc_id"], []).append((r["license"], r["n_passages"]))
+    assert {i: got.get(i) for i in range(len(cases))} == {i: [(name, 1)] for i, (name, _) in enumerate(cases)}
+    # two licences in one text, each twice, are both there
+    apart = "\n" + "other words stand here " * 60 + "\n"
+    both = apart.join([HEADERS["GPL-2.0-or-later"], HEADERS["ISC"]] * 2)
+    assert {(r["license"], r["n_passages"]) for r in licenses.scan_licenses(frame(spark, [both]), one_per_passage=True).collect()} == \
+        {("GPL-2.0-or-later", 2), ("ISC", 2)}
+    empty = licenses.scan_licenses(frame(spark, ODD), one_per_passage=True)
+    assert empty.columns == ["doc_id", "template_id", "license", "containment", "start_word", "n_passages"] and empty.count() == 0
+
+
 @pytest.mark.parametrize("shingles", [["a b c d e", "b c d e f"], ["x y z v w", "a b c d e"]])
 def test_key_words_meet_every_shingle(shingles):
     keys = set(licenses.key_words(shingles))
