@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evidentia.session import scratch_path
+from evidentia.sources import paths
 
 #: The white space that separates words; the byte class ``bytes.split()`` uses.
 WHITE = r"\x20\x09-\x0D"
@@ -20,9 +24,34 @@ def read(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that the driver and all executors share."""
-    return scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """The list of the paths that ``shared_path`` makes inside the block, for their removal (``remove``) once
+    what was computed from them is written. A block around this one lists them too."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        if (outer := _MADE.get()) is not None:
+            outer.extend(made)
+
+
+def remove(spark: SparkSession, made: Iterable[str]) -> None:
+    for path in made:
+        paths.delete(spark, path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -88,20 +117,18 @@ def drop_rows(docs: DataFrame, actions: DataFrame, key: dict) -> DataFrame:
 
     ``key``: name of a column of ``actions`` -> expression over ``docs``. ``actions``
     has one row per key and ``once``: false drops every row of that key, true
-    keeps one of its (repeated) rows. Keys that it doesn't list stay. Only rows to
+    keeps one of its (repeated) rows, the same in every run. Keys that it doesn't list stay. Only rows to
     drop or to thin out are listed, so the list is short beside ``docs`` and Spark
     chooses between a broadcast and a sort-merge join by its measured size.
     """
-    names = list(docs.columns)
-    mine = {k: f"__key_{i}" for i, k in enumerate(key)}
-    keyed = docs.select(*[F.col(f"`{c}`") for c in names], *[e.alias(mine[k]) for k, e in key.items()])
-    listed = actions.select(*[F.col(k).alias(f"__l{mine[k]}") for k in key], F.col("once").alias("__once"))
-    on = None
-    for k in key:
-        c = F.col(mine[k]).eqNullSafe(F.col(f"__l{mine[k]}"))
-        on = c if on is None else on & c
+    # the user's columns travel as one struct, so that no name of theirs meets one of ours
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        *[e.alias(f"key_{i}") for i, e in enumerate(key.values())])
+    listed = actions.select(*[F.col(k).alias(f"listed_{i}") for i, k in enumerate(key)], F.col("once").alias("once"))
+    on = reduce(lambda a, b: a & b, [F.col(f"key_{i}").eqNullSafe(F.col(f"listed_{i}")) for i in range(len(key))])
     joined = keyed.join(listed, on, "left")
-    back = [F.col(f"`{c}`") for c in names]
-    plain = joined.filter(F.col("__once").isNull()).select(*back)
-    once = joined.filter(F.col("__once")).dropDuplicates(list(mine.values())).select(*back)
-    return plain.unionByName(once)
+    plain = joined.filter(F.col("once").isNull()).select("row")
+    # of repeated rows the same one stays in every run: the smallest as JSON
+    once = (joined.filter(F.col("once")).groupBy(*[f"key_{i}" for i in range(len(key))])
+                  .agg(F.min_by("row", F.to_json("row")).alias("row")).select("row"))
+    return plain.unionByName(once).select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -23,7 +23,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import drop_rows, id_text, shared_path, stage
+from evidentia.llm.common import drop_rows, id_text, remove, shared_path, stage
 
 BUCKETS = 64
 
@@ -37,7 +37,7 @@ class DigestIndex:
     """A bucketed table ``digest -> keep_id`` in a folder that all executors see.
 
     Opening the same ``path`` again (in any session) finds what earlier batches
-    appended. Each append adds one file per bucket; ``compact`` rewrites them
+    appended. Batches are appended one at a time: two appends at once may each find a digest absent and store it twice. Each append adds one file per bucket; ``compact`` rewrites them
     as one sorted file per bucket into a new folder.
     """
 
@@ -59,6 +59,11 @@ class DigestIndex:
               .write.insertInto(self.table))
         self.spark.catalog.refreshTable(self.table)
 
+    def drop(self) -> None:
+        """Remove the index: its catalog entry and its files."""
+        self.spark.sql(f"DROP TABLE {self.table}")
+        remove(self.spark, [self.path])
+
     def compact(self, path: str | None = None) -> DigestIndex:
         new = DigestIndex(self.spark, path, self.buckets)
         new.append(self.rows())
@@ -68,7 +73,8 @@ class DigestIndex:
 def decide(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """One row per (digest, doc_id): digest, doc_id, n (its repeated rows), keep_id, group_size."""
-    index = index or DigestIndex(docs.sparkSession)
+    own = DigestIndex(docs.sparkSession) if index is None else None
+    index = index or own
     rows = id_text(docs, id_col, text_col).select("doc_id", digest(F.col("text")).alias("digest"))
     # keyed by (digest, id), so one hot text is spread over all tasks
     ids = stage(rows.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n")), "dedup-ids")
@@ -77,6 +83,8 @@ def decide(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc
     index.append(groups)
     # staged, so that the last join has an exchange on both sides and Spark can split a hot digest
     held = stage(groups.drop("keep_id").join(index.rows().hint("merge"), "digest"), "dedup-held")
+    if own:  # an index of this call alone has done its work
+        own.drop()
     return ids.join(held, "digest")
 
 

@@ -170,9 +170,11 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """``docs`` with each span replaced by its kind in brackets (a span that begins
     inside an earlier one goes with it); ``length_col`` gets the new length."""
-    df = with_spans(docs, text_col, "__spans")
-    text = F.col(f"`{text_col}`").cast("string")
-    ordered = F.array_sort("__spans", lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
+    # the user's columns travel as one struct, so that no name of theirs meets one of ours
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    df = with_spans(rows, "text", "spans")
+    text = F.col("text")
+    ordered = F.array_sort("spans", lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
 
     def cut(state, x):
         inside = x["start"] < state["at"]
@@ -181,7 +183,15 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = Non
 
     done = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), cut,
                        lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text))))
-    df = df.withColumn(text_col, F.when(text.isNotNull() & (F.size("__spans") > 0), done).otherwise(text))
-    if length_col is not None and length_col in docs.columns:
-        df = df.withColumn(length_col, F.when(F.size("__spans") > 0, F.char_length(F.col(f"`{text_col}`")).cast(docs.schema[length_col].dataType)).otherwise(F.col(f"`{length_col}`")))
-    return df.select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = F.size("spans") > 0
+    df = df.select("row", found.alias("found"), F.when(text.isNotNull() & found, done).otherwise(text).alias("text"))
+
+    def column(c: str):
+        if c == text_col:
+            return F.col("text").alias(c)
+        own = F.col("row")[c]
+        if c == length_col:
+            return F.when(F.col("found"), F.char_length("text").cast(docs.schema[c].dataType)).otherwise(own).alias(c)
+        return own.alias(c)
+
+    return df.select(*[column(c) for c in docs.columns])

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from evidentia.llm import byte_bpe, chunks, exact_dedup, packing, passages, pii, quality, sharding, simhash
@@ -414,3 +415,40 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
             assert out.count() >= 0
             if name != "packing":
                 assert out.columns == docs.columns
+
+
+HOSTILE = ["__once", "__key_0", "__l__key_0", "__spans", "____spans_email", "copy", "digest", "row", "once", "key_0", "listed_0", "spans", "found", "root",
+           "fp", "text_hash", "keep_id", "probability", "pii", "part", "n"]
+
+
+def test_stages_leave_clashing_columns_alone(spark):
+    """Extra columns with the operators' own names come back unchanged, whatever a stage does to the row."""
+    prose = " ".join(f"word{i}" for i in range(30))
+    rows = [(1, prose + " mail a@b.org", 1), (2, prose + " mail a@b.org", 2), (2, prose + " mail a@b.org", 3), (3, None, 4), (None, "one two", 5),
+            (4, prose + " call +1 415 555 0100 now", 6), (5, "", 7), (5, "", 7)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), *[f"{c}{k}" for c in HOSTILE]) for i, t, k in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in HOSTILE))
+    given = {tuple(r[c] for c in HOSTILE) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        kept = [tuple(r[c] for c in HOSTILE) for r in out.collect()]
+        assert set(kept) <= given and len(kept) > 0 and all(r[0] == f"{HOSTILE[0]}{r[-1][len(HOSTILE[-1]):]}" for r in kept), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= 0
+    redacted = {r["n"]: (r["text"], r["n_chars"]) for r in pii.redact(docs, length_col="n_chars").collect()}
+    assert redacted["n1"] == (prose + " mail [EMAIL]", len(prose) + 13) and redacted["n4"] == (None, 0)
+    # of the two rows of document 2 with one text, the same one stays in every order of the rows
+    for some in (docs, docs.orderBy(F.desc("n"))):
+        stays = sorted(r["n"] for r in exact_dedup.keep_first(some).collect() if r["doc_id"] == 2)
+        assert stays == ["n2"]
+
+
+def test_the_pipeline_leaves_its_last_result_only(spark):
+    import os
+    from evidentia.session import ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before, tables = set(os.listdir(folder)), {t.name for t in spark.catalog.listTables()}
+    n = corpus_pipeline.run(spark, SF).count()
+    left = [f for f in set(os.listdir(folder)) - before if f.startswith("llm-")]
+    assert n > 0 and len(left) == 1 and left[0].startswith("llm-pipeline-packing")
+    assert {t.name for t in spark.catalog.listTables()} == tables
