@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from evidentia.llm import exact_dedup, packing, pii, quality, simhash
-from evidentia.llm.common import read, stage
+from evidentia.llm.common import read, remove, scratch, stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir)
+    """The stages in turn. What a stage wrote on its way, and its input, are removed once its result is committed,
+    so that one copy of the documents stands on disk beside the one being written."""
+    docs, before = read(spark, sf_dir), []
     for name, f in STAGES:
-        docs = stage(f(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch() as made:
+            docs = stage(f(spark, docs, sf_dir), f"pipeline-{name}")
+        remove(spark, [*before, *made[:-1]])
+        before = made[-1:]
     return docs
