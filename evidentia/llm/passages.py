@@ -29,6 +29,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +71,29 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def minima(h: np.ndarray, width: int) -> np.ndarray:
+    """The places of the (leftmost) smallest value of every window of ``width`` values, each place once: windows
+    of twice the width come from two of the width, until two that overlap cover the window."""
+    at, size = np.arange(len(h)), 1
+    while size < width:
+        step = min(size, width - size)
+        right = h[step:] < h[:-step]
+        h, at = np.where(right, h[step:], h[:-step]), np.where(right, at[step:], at[:-step])
+        size += step
+    return at[np.flatnonzero(np.diff(at, prepend=-1))]  # the places never go back
+
+
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the odd number and of its inverse, kept per Python worker up to the longest text it met."""
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_ODD, _INVERSE)):
+            _POWERS[i] = np.cumprod(np.concatenate(([np.uint64(1)], np.full(2 * n - 1, base, np.uint64))))
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
 def seeds(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, word position and length of the runs from each seed on."""
     codes = _mixed(_codes(text))
@@ -76,16 +101,13 @@ def seeds(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if n < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
     # sums of codes times powers of an odd number give the hash of any run; overflow is modulo 2 ** 64
-    power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(codes) - 1, _ODD, np.uint64))))
-    back = np.cumprod(np.concatenate(([np.uint64(1)], np.full(len(codes) - 1, _INVERSE, np.uint64))))
+    power, back = _powers(len(codes))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes * power)))
 
     def run(at, length):
         return _mixed((sums[at + length] - sums[at]) * back[at] + np.uint64(length))
 
-    h = run(np.arange(n), K)
-    views = np.lib.stride_tricks.sliding_window_view(h, min(SPREAD, n))
-    at = np.unique(np.arange(len(views)) + views.argmin(axis=1))
+    at = minima(run(np.arange(n), K), min(SPREAD, n))
     out = []
     for length in RUNS:
         at = at[at + length <= len(codes)]
@@ -139,6 +161,8 @@ def chains(x: np.ndarray, y: np.ndarray) -> list[list[int]]:
     O(log n). Matches with equal x wait until all of them have asked.
     """
     n = len(x)
+    if n == 1:
+        return [[0]]
     rank = np.unique(y, return_inverse=True)[1] + 1
     xs, ys, ranks = x.tolist(), y.tolist(), rank.tolist()
     size = max(ranks)
@@ -196,6 +220,9 @@ def equal_words(a: bytes, b: bytes, la: int, lb: int) -> int:
 
 def _reach(a: bytes, b: bytes) -> int:
     """How far two strings go on while most of the words still agree."""
+    n = min(len(a), len(b))
+    if a[:n] == b[:n]:
+        return n
     good = best = length = 0
     for n, (c, d) in enumerate(zip(a, b, strict=False), 1):
         good += 1 if c == d else -3
@@ -204,44 +231,49 @@ def _reach(a: bytes, b: bytes) -> int:
     return length
 
 
-def align(path: list[int], x: np.ndarray, y: np.ndarray, words: np.ndarray, mine: bytes, theirs: list[bytes]) -> list[tuple[int, int, int, int, int]]:
+def _same(a: bytes, b: bytes) -> int:
+    """Words that agree place by place."""
+    return len(a) if a == b else sum(map(eq, a, b))
+
+
+def align(path: list[int], x: list[int], y: list[int], words: list[int], mine: bytes, theirs: list[bytes]) -> list[tuple[int, int, int, int, int]]:
     """(first word, end, first word there, end there, equal words) of each part of a chain.
 
     A part with less than ``SIMILAR`` equal words is cut at the gap with the most unequal
     words, and both sides are tested again; equal stretches have no such gap, so they stay whole.
     """
     size, equal = [], []
-    before = [min(BACK, int(y[i])) for i in path]
+    before = [min(BACK, y[i]) for i in path]
     for n, (i, j) in enumerate(zip(path, path[1:], strict=False)):
-        dx, dy = int(x[j] - x[i]), int(y[j] - y[i])
+        dx, dy = x[j] - x[i], y[j] - y[i]
         seen = theirs[i][before[n]:]
         if dy > len(seen):  # the last words of the gap stand in front of the next match
             back = theirs[j][:before[n + 1]][-(dy - len(seen)):]
-            tail = sum(c == d for c, d in zip(mine[int(x[j]) - min(len(back), dx):int(x[j])][::-1], back[::-1], strict=False)) if back else 0
+            tail = _same(mine[x[j] - min(len(back), dx):x[j]], back[max(len(back) - dx, 0):]) if back else 0
             rest = max(dx - len(back), 0)
         else:
             tail, rest = 0, dx
-        same = equal_words(mine[int(x[i]):int(x[i]) + min(rest, len(seen) + BAND)], seen, rest, dy) + tail
+        same = equal_words(mine[x[i]:x[i] + min(rest, len(seen) + BAND)], seen, rest, dy) + tail
         size.append(max(dx, dy))
-        equal.append(min(max(min(int(words[i]), dx, dy), same), dx, dy))
-    total = np.concatenate(([0], np.cumsum(equal, dtype=np.int64)))
-    unequal = np.array(size, np.int64) - np.array(equal, np.int64)
+        equal.append(min(max(min(words[i], dx, dy), same), dx, dy))
+    total = [0, *accumulate(equal)]
+    unequal = [n - same for n, same in zip(size, equal, strict=True)]
     out, open_ = [], [(0, len(path) - 1)]
     while open_:
         s, e = open_.pop()
         first, last = path[s], path[e]
-        front = _reach(mine[max(int(x[first]) - BACK, 0):int(x[first])][::-1], theirs[first][:before[s]][::-1])
-        a, b = mine[int(x[last]):int(x[last]) + SEEN], theirs[last][before[e]:]
-        length = max(_reach(a, b), min(int(words[last]), len(a), len(b)))
-        same = int(total[e] - total[s]) + sum(c == d for c, d in zip(a[:length], b[:length], strict=True))
+        f, g = x[first], before[s]
+        front = _reach(mine[max(f - BACK, 0):f][::-1], theirs[first][:g][::-1])
+        a, b = mine[x[last]:x[last] + SEEN], theirs[last][before[e]:]
+        length = max(_reach(a, b), min(words[last], len(a), len(b)))
+        same = total[e] - total[s] + _same(a[:length], b[:length])
         if front:
-            f, g = int(x[first]), before[s]
-            same += sum(c == d for c, d in zip(mine[f - front:f], theirs[first][g - front:g], strict=True))
-        part = int(x[first]) - front, int(x[last]) + length, int(y[first]) - front, int(y[last]) + length, same
+            same += _same(mine[f - front:f], theirs[first][g - front:g])
+        part = f - front, x[last] + length, y[first] - front, y[last] + length, same
         if s == e or same >= SIMILAR * max(part[1] - part[0], part[3] - part[2]):
             out.append(part)
         else:
-            worst = s + int(unequal[s:e].argmax())
+            worst = max(range(s, e), key=unequal.__getitem__)
             open_ += [(worst + 1, e), (s, worst)]
     return out
 
@@ -271,9 +303,9 @@ def passages_of(x, other, y, words, mine, theirs) -> list[tuple]:
     spans = []
     cut = np.flatnonzero(np.diff(other)) + 1
     for s, e in zip(np.concatenate(([0], cut)).tolist(), np.concatenate((cut, [len(x)])).tolist(), strict=True):
-        parts = []
+        parts, mx, my, mw, seen = [], x[s:e].tolist(), y[s:e].tolist(), words[s:e].tolist(), theirs[s:e]
         for path in chains(x[s:e], y[s:e]):
-            parts += [p for p in align(path, x[s:e], y[s:e], words[s:e], mine, theirs[s:e]) if p[4] >= SIMILAR * max(p[1] - p[0], p[3] - p[2])]
+            parts += [p for p in align(path, mx, my, mw, mine, seen) if p[4] >= SIMILAR * max(p[1] - p[0], p[3] - p[2])]
         spans += [(a, b, same, int(other[s]), c, d) for a, b, c, d, same in joined(parts) if b - a >= MIN_WORDS]
     spans.sort()
     out: list[list] = []
