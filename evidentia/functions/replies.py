@@ -118,7 +118,7 @@ def line_candidate(facts: Column, f: Column, i: Column) -> Column:
     # form 1: first **Source**: within the next 4 lines, stop at the next **m.
     f1 = bold & f["colon"] & ~is_question_echo(f["a1"], strict=True) & (F.length(f["a1"]) > 3)
     k1 = _first_ahead(facts, i, lambda y: y["src"].isNotNull() | y["bold"])
-    s1 = F.when(f1, let(k1, lambda k: F.get(facts, i + k)["src"]))
+    s1 = let(k1, lambda k: F.get(facts, i + k)["src"])
 
     # form 2: no filter, no evidence
     f2 = plain & contains(f["line"], "**:")
