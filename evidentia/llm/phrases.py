@@ -9,11 +9,11 @@ then complete: its count is exact. A phrase that completes its cycle below the t
 the scans end when no reached phrase can make another one active.
 
 A scan finds the occurrences to count from a table of the reached phrases' stops, one byte a slot,
-2 ** ``TABLE_BITS`` slots at every input size, broadcast. Phrases that share a slot can only make a scan
+2 ** ``TABLE_BITS`` slots at every input size, broadcast in compressed pages. Phrases that share a slot can only make a scan
 count too much: each counted phrase's subphrases are then joined with the reached phrases, which
 gives the exact stop from which it is active, and what isn't active goes. Occurrences are
 counted inside a block by their words (never by a hash alone), so that only distinct phrases leave
-a scan. The state (open and reached phrases) is a written table after each stop.
+a scan. The state (open and reached phrases) is a written table after each stop; the one before is then removed.
 
 Score of a candidate (2 to ``LONGEST`` words, f >= ``THRESHOLD``): the least floor(1000 a n / (l r)) over its cuts, in
 decimals of 38 digits, exact up to 1000 n n < 10 ** 38.
@@ -33,11 +33,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import few, shared_path, stage
+from evidentia.llm.common import few, remove, scratch, shared_path, stage
 
 THRESHOLD = 100
 LONGEST = 5
@@ -132,8 +132,9 @@ def _slots(h: np.ndarray, size: int) -> np.ndarray:
     return (h & np.uint64(size - 1)).astype(np.int64)
 
 
-def _table(reached: DataFrame, bits: int) -> np.ndarray:
-    """A byte a slot: the latest stop, plus 1, at which a phrase of that slot reached the threshold; 0: none."""
+def _table(reached: DataFrame, bits: int) -> tuple[int, int, list[tuple[int, bytes]]]:
+    """A byte a slot: the latest stop, plus 1, at which a phrase of that slot reached the threshold; 0: none.
+    As (bits, bits of a page, the pages that are not empty, compressed): ``_opened`` makes the array of it."""
     low = min(PAGE_BITS, bits)
 
     def slots(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,6 +157,13 @@ def _table(reached: DataFrame, bits: int) -> np.ndarray:
     rows = reached.select("lang", "phrase", "reach").mapInArrow(slots, "slot int, value int")
     rows = rows.groupBy("slot").agg(F.max("value").alias("value"))  # a page has 2 ** PAGE_BITS rows at most
     pages = rows.groupBy(F.shiftright("slot", low).alias("page")).applyInArrow(page, "page int, cells binary").collect()
+    return bits, low, [(number, bytes(cells)) for number, cells in pages]
+
+
+def _opened(packed: tuple[int, int, list[tuple[int, bytes]]] | None) -> np.ndarray | None:
+    if packed is None:
+        return None
+    bits, low, pages = packed
     table = np.zeros((1 << (bits - low), 1 << low), np.uint8)
     for number, cells in pages:
         table[number] = np.frombuffer(zlib.decompress(cells), np.uint8)
@@ -204,21 +212,20 @@ def block_counts(lang: str, words: pa.StringArray, c: np.ndarray, table: np.ndar
             reach[at], h[at] = table[_slots(h_at, len(table))], h_at
 
 
-def _scan(blocks: DataFrame, table: np.ndarray | None, stop: int, shards: int, longest: int) -> DataFrame:
-    """lang, phrase, n (words), c: what a stop counts in its shard, too much where slots are shared."""
-    shared = blocks.sparkSession.sparkContext.broadcast(table)
+def _scan(blocks: DataFrame, shared: Broadcast, stop: int, shards: int, longest: int) -> DataFrame:
+    """lang, phrase, n (words), c: what a stop counts in each block of its shard, too much where slots are shared."""
 
     def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _opened(shared.value)
         for batch in arrow:
             for i in range(batch.num_rows):
                 lang, words = batch.column("lang")[i].as_py(), batch.column("words")[i].values
                 c = np.frombuffer(batch.column("codes")[i].as_py(), "<i4")
-                for phrases, length, n in block_counts(lang, words, c, shared.value, stop, shards, longest):
+                for phrases, length, n in block_counts(lang, words, c, table, stop, shards, longest):
                     yield pa.record_batch([pa.array(np.full(len(n), lang, object), pa.string()), phrases.cast(pa.string()),
                                            pa.array(np.full(len(n), length, np.int32)), pa.array(n.astype(np.int64))], ["lang", "phrase", "n", "c"])
 
-    rows = blocks.filter(F.col("shard") == stop % shards).select("lang", "words", "codes").mapInArrow(run, "lang string, phrase string, n int, c long")
-    return rows.groupBy("lang", "phrase", "n").agg(F.sum("c").alias("c"))
+    return blocks.filter(F.col("shard") == stop % shards).select("lang", "words", "codes").mapInArrow(run, "lang string, phrase string, n int, c long")
 
 
 def _head(phrase: str = "phrase", n=None):
@@ -239,15 +246,18 @@ def _small(df: DataFrame) -> DataFrame:
 
 def _active(counted: DataFrame, reached: DataFrame, stop: int, shards: int) -> DataFrame:
     """What was rightly counted: words, and phrases whose exact first stop, the one after both subphrases
-    reached the threshold, is less than a cycle ago. With ``start``."""
+    reached the threshold, is less than a cycle ago. With ``start``. One pass over ``counted``; words look up
+    themselves, so that no key of the joins is null."""
     known = _small(reached)
     head = known.select(F.col("lang").alias("lang_h"), F.col("phrase").alias("head"), F.col("reach").alias("reach_h"))
     tail = known.select(F.col("lang").alias("lang_t"), F.col("phrase").alias("tail"), F.col("reach").alias("reach_t"))
-    longer = counted.filter("n > 1").withColumn("h", _head()).withColumn("t", _tail())
-    longer = longer.join(head, (F.col("lang") == F.col("lang_h")) & (F.col("h") == F.col("head")))
-    longer = longer.join(tail, (F.col("lang") == F.col("lang_t")) & (F.col("t") == F.col("tail")))
-    longer = longer.withColumn("start", F.greatest("reach_h", "reach_t") + 1).filter(F.col("start") + shards > stop)
-    return longer.select("lang", "phrase", "n", "c", "start")
+    word = F.col("n") == 1
+    rows = counted.withColumn("h", F.when(word, F.col("phrase")).otherwise(_head())).withColumn("t", F.when(word, F.col("phrase")).otherwise(_tail()))
+    rows = rows.join(head, (F.col("lang") == F.col("lang_h")) & (F.col("h") == F.col("head")), "left")
+    rows = rows.join(tail, (F.col("lang") == F.col("lang_t")) & (F.col("t") == F.col("tail")), "left")
+    rows = rows.withColumn("start", F.when(word, F.lit(0)).otherwise(F.greatest("reach_h", "reach_t") + 1))
+    both = F.col("reach_h").isNotNull() & F.col("reach_t").isNotNull() & (F.col("start") + shards > stop)
+    return rows.filter(word | both).select("lang", "phrase", "n", "c", "start")
 
 
 def phrase_counts(blocks: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, shards: int = SHARDS,
@@ -256,20 +266,21 @@ def phrase_counts(blocks: DataFrame, threshold: int = THRESHOLD, longest: int =
     spark = blocks.sparkSession
     schema = "lang string, phrase string, n int, c long, start int, reach int"
     state, table, stop, last = spark.createDataFrame([], schema), None, 0, shards - 1
-    reached = state
+    reached, before = state, []
     while stop <= last:
-        counted = _scan(blocks, table, stop, shards, longest)
-        if table is not None:
-            counted = stage(counted, f"phrase-scan-{stop}")  # read by words and by longer phrases
-            new = counted.filter("n = 1").withColumn("start", F.lit(0)).unionByName(_active(counted, reached, stop, shards))
-        else:
-            new = counted.withColumn("start", F.lit(0))
-        every = state.unionByName(new.withColumn("reach", F.lit(None).cast("int")))
-        sums = every.groupBy("lang", "phrase", "n").agg(F.sum("c").alias("c"), F.min("start").alias("start"), F.min("reach").alias("reach"))
-        sums = sums.withColumn("reach", F.coalesce("reach", F.when(F.col("c") >= threshold, F.lit(stop))))
-        # a phrase that has seen all shards below the threshold is dropped
-        state = stage(sums.filter(F.col("reach").isNotNull() | (F.col("start") + shards - 1 > stop)), f"phrase-state-{stop}")
-        reached = state.filter("reach is not null")
+        with scratch() as made:
+            shared = spark.sparkContext.broadcast(table)
+            counted = _scan(blocks, shared, stop, shards, longest)
+            new = counted.withColumn("start", F.lit(0)) if table is None else _active(counted, reached, stop, shards)
+            every = state.unionByName(new.withColumn("reach", F.lit(None).cast("int")))
+            sums = every.groupBy("lang", "phrase", "n").agg(F.sum("c").alias("c"), F.min("start").alias("start"), F.min("reach").alias("reach"))
+            sums = sums.withColumn("reach", F.coalesce("reach", F.when(F.col("c") >= threshold, F.lit(stop))))
+            # a phrase that has seen all shards below the threshold is dropped
+            state = stage(sums.filter(F.col("reach").isNotNull() | (F.col("start") + shards - 1 > stop)), f"phrase-state-{stop}")
+            reached = stage(state.filter("reach is not null"), f"phrase-reached-{stop}")  # read several times, few beside the open ones
+        shared.destroy()  # its copies on the executors too; what it served to count is written
+        remove(spark, before)  # the state of the stop before
+        before = made
         latest = reached.filter(F.col("n") < longest).agg(F.max("reach")).first()[0]
         if latest is not None:
             last = max(last, latest + shards)

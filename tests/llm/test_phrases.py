@@ -70,7 +70,7 @@ def corpus(seed, n=60):
     return [*rows, *late, ("en", None), ("fr", ""), ("en", " \t "), ("de", "one two"), ("en", "one two " * 3000)]
 
 
-@pytest.mark.parametrize(("threshold", "top", "shards", "block"), [(5, 2000, 3, 300), (3, 7, 2, 10**6), (20, 2000, 5, 50)])
+@pytest.mark.parametrize(("threshold", "top", "shards", "block"), [(5, 2000, 3, 300), (3, 7, 2, 10**6)])
 def test_against_brute_force(spark, threshold, top, shards, block):
     rows = corpus(threshold)
     assert result(ph.collocations(frame(spark, rows), threshold, 5, top, shards, block)) == brute(rows, threshold, top)
