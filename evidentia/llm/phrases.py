@@ -44,7 +44,7 @@ LONGEST = 5
 TOP = 2000
 SHARDS = 3
 #: Words of a block, about; a text is not cut.
-BLOCK = 2**21
+BLOCK = 2**20
 TABLE_BITS, PAGE_BITS = 24, 16
 #: Reached phrases to broadcast at most in a join, if their bytes are few too.
 MOST_REACHED, MOST_BYTES = 300_000, 2**25
