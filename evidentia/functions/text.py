@@ -1,14 +1,14 @@
 """Text preparation as Column expressions.
 
 Only ``normalize_text`` leaves the JVM (Unicode NFKD has no Spark built-in);
-it is an Arrow-batched pandas UDF. Everything else is native.
+it is a Python UDF on rows: a worker holds the 100 texts of a pickled batch,
+not the 10,000 of an Arrow batch. Everything else is native.
 """
 
 from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,20 +20,16 @@ from evidentia.schema import (CHARS_PER_TOKEN, LAYOUT_MIN_CHARS, PLACEHOLDER_NOT
 MARKUP_RE = r"<[^<]+?>"
 
 
-def _nfkd_one(s):
+@F.udf(T.StringType(), useArrow=False)
+def _nfkd(s):
     if s is None or s.isascii():
         return s
     # NFKD, then drop anything UTF-8 cannot encode (lone surrogates).
     return unicodedata.normalize("NFKD", s).encode("utf-8", errors="ignore").decode("utf-8")
 
 
-@F.pandas_udf(T.StringType())
-def _nfkd(s: pd.Series) -> pd.Series:
-    return s.map(_nfkd_one)
-
-
 def normalize_text(c) -> Column:
-    """Unicode NFKD + lossy UTF-8 clean-up (pandas UDF, Arrow batches)."""
+    """Unicode NFKD + lossy UTF-8 clean-up (Python UDF, small batches)."""
     return _nfkd(col(c))
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
 import uuid
 
-import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,9 +60,9 @@ def _md5_len(df, key, text_col):
                      F.length(text_col).cast("long").alias("text_len"))
 
 
-@F.pandas_udf(T.StringType())
-def _nfc(s: pd.Series) -> pd.Series:
-    return s.str.normalize("NFC")
+@F.udf(T.StringType(), useArrow=False)
+def _nfc(s):
+    return None if s is None else unicodedata.normalize("NFC", s)
 
 
 @register("normalize_text", oracles.NORMALIZE_TEXT)

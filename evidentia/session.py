@@ -68,7 +68,7 @@ def sized_conf(shuffle_bytes: int, slots: int, text_heavy: bool = True) -> dict:
       from compressed Parquet, and per-row work is CPU-bound);
     * adaptive execution with skew-join splitting, coalescing that respects
       the advisory size (so CPU-heavy stages are not squeezed into few tasks);
-    * Arrow batches to Python workers (NFKD, the responder) capped by bytes
+    * Arrow batches to Python workers (the responder) capped by bytes
       as well as rows, so long papers cannot make one batch huge.
     """
     per_partition = 200 * 1024 * 1024

@@ -52,6 +52,17 @@ def test_normalize_text(spark):
     assert _col(spark, vals, normalize_text) == want
 
 
+def test_normalization_takes_rows_not_arrow_batches(spark):
+    """A worker holds a small batch of texts, however many rows a task has (an Arrow batch has 10,000)."""
+    from evidentia.plans.queries import _nfc
+    vals = ["ﬁx é " * 500 + str(i) for i in range(250)] + [None]
+    df = spark.createDataFrame([(v,) for v in vals], "v string").select(normalize_text("v").alias("n"), _nfc(normalize_text("v")).alias("c"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    d = [None if v is None else unicodedata.normalize("NFKD", v) for v in vals]
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(((x, x and unicodedata.normalize("NFC", x)) for x in d), key=str)
+
+
 def test_page_mode_chain(spark):
     rows = [("a long enough page text here", "layout", "<p>html</p>"),
             ("short", "layout text that is long", "<p>h</p>"),
