@@ -37,7 +37,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidentia.llm.common import few, remove, scratch, shared_path, stage
+from evidentia.llm.common import remove, scratch, shared_path, stage
 
 THRESHOLD = 100
 LONGEST = 5
@@ -73,7 +73,7 @@ def text_codes(text: str, codes: _Codes) -> np.ndarray:
 
 
 def _blocks(docs: DataFrame, shards: int, lang_col: str, text_col: str, block: int) -> DataFrame:
-    """Written, partitioned by shard: lang, words (the block's dictionary), codes (4 bytes each), size (words)."""
+    """Written, partitioned by shard: lang, words (the block's dictionary, joined by spaces), codes (4 bytes each), size (words)."""
 
     def cut(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, tuple[_Codes, list]] = {}
@@ -83,8 +83,8 @@ def _blocks(docs: DataFrame, shards: int, lang_col: str, text_col: str, block: i
             for lang, (codes, parts) in held.items():
                 c = np.concatenate(parts)
                 if c.any():
-                    words = [w.decode("utf-8", "replace") for w in list(codes)[2:]]
-                    yield pa.record_batch([pa.array([turn % shards], pa.int32()), pa.array([lang]), pa.array([words], pa.list_(pa.string())),
+                    words = b" ".join(list(codes)[2:]).decode("utf-8", "replace")
+                    yield pa.record_batch([pa.array([turn % shards], pa.int32()), pa.array([lang]), pa.array([words], pa.string()),
                                            pa.array([c.astype("<i4").tobytes()], pa.binary()), pa.array([int((c > 0).sum())])],
                                           ["shard", "lang", "words", "codes", "size"])
 
@@ -99,7 +99,7 @@ def _blocks(docs: DataFrame, shards: int, lang_col: str, text_col: str, block: i
         yield from flush()
 
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    cut_rows = rows.mapInArrow(cut, "shard int, lang string, words array<string>, codes binary, size long")
+    cut_rows = rows.mapInArrow(cut, "shard int, lang string, words string, codes binary, size long")
     path = shared_path(docs.sparkSession, "phrase-blocks")
     cut_rows.write.partitionBy("shard").parquet(path)
     return docs.sparkSession.read.schema(cut_rows.schema).parquet(path)
@@ -113,8 +113,29 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _word_hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+def _word_hashes(words: pa.StringArray, long: int = 64, piece: int = 2**15) -> np.ndarray:
+    """Of words: polynomials of their bytes, ``piece`` words at once; XXH64 of those over ``long`` bytes."""
+    out = np.empty(len(words), np.uint64)
+    power = np.cumprod(np.full(long, _A))
+    for begin in range(0, len(words), piece):
+        some = words[begin:begin + piece]
+        size = pc.binary_length(some).to_numpy(zero_copy_only=False).astype(np.int64)
+        over, h = size > long, np.empty(len(some), np.uint64)
+        for i in np.flatnonzero(over).tolist():
+            h[i] = xxhash.xxh64_intdigest(some[i].as_buffer())
+        if over.any():
+            some, size = some.filter(pa.array(~over)), size[~over]
+        ends = np.cumsum(size)
+        if total := int(size.sum()):
+            first = np.frombuffer(some.buffers()[1], np.int32)[some.offset]
+            data = np.frombuffer(some.buffers()[2], np.uint8)[first:first + total]
+            terms = (data + np.uint64(1)) * power[np.arange(total) - np.repeat(ends - size, size)]
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms)))
+            h[~over] = _mixed(sums[ends] - sums[ends - size])
+        else:
+            h[~over] = 0
+        out[begin:begin + piece] = h
+    return out
 
 
 def _first(words: np.ndarray, lang: str) -> np.ndarray:
@@ -139,14 +160,17 @@ def _table(reached: DataFrame, bits: int) -> tuple[int, int, list[tuple[int, byt
 
     def slots(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow:
-            out = []
-            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True):
-                words = _word_hashes(phrase.split(" "))
-                h = _first(words[:1], lang)
-                for w in words[1:]:
-                    h = _longer(h, w)
-                out.append(h)
-            at = _slots(np.concatenate(out), 1 << bits) if out else np.zeros(0, np.int64)
+            parts = pc.split_pattern(batch.column("phrase").cast(pa.string()), " ")
+            words, size = _word_hashes(parts.flatten()), pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+            begin, langs = np.cumsum(size) - size, batch.column("lang").dictionary_encode()
+            h = np.zeros(batch.num_rows, np.uint64)
+            for i, lang in enumerate(langs.dictionary.to_pylist()):
+                own = langs.indices.to_numpy() == i
+                h[own] = _first(words[begin[own]], lang)
+            for k in range(1, int(size.max(initial=0))):
+                own = np.flatnonzero(size > k)
+                h[own] = _longer(h[own], words[begin[own] + k])
+            at = _slots(h, 1 << bits)
             yield pa.record_batch([pa.array(at.astype(np.int32)), pc.cast(pc.add(batch.column("reach"), 1), pa.int32())], ["slot", "value"])
 
     def page(key: tuple, group: pa.Table) -> pa.Table:
@@ -173,13 +197,18 @@ def _opened(packed: tuple[int, int, list[tuple[int, bytes]]] | None) -> np.ndarr
 # --- scans ------------------------------------------------------------------------
 
 
-def _distinct(c: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(a place of each distinct phrase of ``length`` codes that begins at ``at``, its number), by the codes themselves."""
-    rank = c[at].astype(np.int64)
-    for k in range(1, length - 1):
-        rank = np.unique(rank << 32 | c[at + k], return_inverse=True)[1]
-    _, first, n = np.unique(rank << 32 | c[at + length - 1], return_index=True, return_counts=True)
-    return at[first], n
+def _distinct(c: np.ndarray, at: np.ndarray, length: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """(the codes of each distinct phrase of ``length`` codes that begins at ``at``, an array a place; its number)."""
+    heads, rank = [], c[at].astype(np.int64)
+    for k in range(1, length):
+        keys = rank << 32 | c[at + k]
+        if k < length - 1:
+            found, rank = np.unique(keys, return_inverse=True)
+        else:
+            found, n = np.unique(keys, return_counts=True)
+        head, code = found >> 32, found & 0xFFFFFFFF
+        heads = [*(h[head] for h in heads), code] if heads else [head, code]
+    return heads, n
 
 
 def block_counts(lang: str, words: pa.StringArray, c: np.ndarray, table: np.ndarray | None, stop: int, shards: int,
@@ -192,7 +221,7 @@ def block_counts(lang: str, words: pa.StringArray, c: np.ndarray, table: np.ndar
         yield words.take(pa.array(some)), 1, n[some]
     if table is None:
         return
-    by_word = np.concatenate((np.zeros(1, np.uint64), _word_hashes(words.to_pylist())))
+    by_word = np.concatenate((np.zeros(1, np.uint64), _word_hashes(words)))
     word_slot = table[_slots(_first(by_word, lang), len(table))]
     word_slot[0] = 0  # a break
     reach, h = word_slot[c], _first(by_word, lang)[c]
@@ -203,8 +232,8 @@ def block_counts(lang: str, words: pa.StringArray, c: np.ndarray, table: np.ndar
         start = np.maximum(reach[at], reach[at + 1]).astype(np.int64)
         active = at[stop < start + shards]
         if len(active):
-            first, n = _distinct(c, active, length)
-            parts = [words.take(pa.array(c[first + k] - 1)) for k in range(length)]
+            codes, n = _distinct(c, active, length)
+            parts = [words.take(pa.array(k - 1)) for k in codes]
             yield pc.binary_join_element_wise(*parts, " "), length, n
         if length < longest:
             h_at = _longer(h[at], by_word[c[at + length - 1]])
@@ -219,10 +248,10 @@ def _scan(blocks: DataFrame, shared: Broadcast, stop: int, shards: int, longest:
         table = _opened(shared.value)
         for batch in arrow:
             for i in range(batch.num_rows):
-                lang, words = batch.column("lang")[i].as_py(), batch.column("words")[i].values
+                lang, words = batch.column("lang")[i].as_py(), pc.split_pattern(batch.column("words")[i:i + 1].cast(pa.string()), " ").flatten()
                 c = np.frombuffer(batch.column("codes")[i].as_py(), "<i4")
                 for phrases, length, n in block_counts(lang, words, c, table, stop, shards, longest):
-                    yield pa.record_batch([pa.array(np.full(len(n), lang, object), pa.string()), phrases.cast(pa.string()),
+                    yield pa.record_batch([pa.repeat(pa.scalar(lang, pa.string()), len(n)), phrases.cast(pa.string()),
                                            pa.array(np.full(len(n), length, np.int32)), pa.array(n.astype(np.int64))], ["lang", "phrase", "n", "c"])
 
     return blocks.filter(F.col("shard") == stop % shards).select("lang", "words", "codes").mapInArrow(run, "lang string, phrase string, n int, c long")
@@ -238,26 +267,42 @@ def _tail(phrase: str = "phrase"):
     return F.expr(f"substring({phrase}, locate(' ', {phrase}) + 1)")
 
 
+def _are_few(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` (written) and the bytes of its phrases are few enough for a broadcast."""
+    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("phrase") + F.octet_length("lang")), F.lit(0))).first()
+    return rows <= MOST_REACHED and size <= MOST_BYTES
+
+
 def _small(df: DataFrame) -> DataFrame:
-    """``df`` (written) marked for a broadcast if its rows and the bytes of its phrases are few; the same rows either way."""
-    size = df.agg(F.coalesce(F.sum(F.octet_length("phrase") + F.octet_length("lang")), F.lit(0))).first()[0]
-    return few(df, MOST_REACHED) if size <= MOST_BYTES else df
-
-
-def _active(counted: DataFrame, reached: DataFrame, stop: int, shards: int) -> DataFrame:
-    """What was rightly counted: words, and phrases whose exact first stop, the one after both subphrases
-    reached the threshold, is less than a cycle ago. With ``start``. One pass over ``counted``; words look up
-    themselves, so that no key of the joins is null."""
-    known = _small(reached)
-    head = known.select(F.col("lang").alias("lang_h"), F.col("phrase").alias("head"), F.col("reach").alias("reach_h"))
-    tail = known.select(F.col("lang").alias("lang_t"), F.col("phrase").alias("tail"), F.col("reach").alias("reach_t"))
-    word = F.col("n") == 1
-    rows = counted.withColumn("h", F.when(word, F.col("phrase")).otherwise(_head())).withColumn("t", F.when(word, F.col("phrase")).otherwise(_tail()))
-    rows = rows.join(head, (F.col("lang") == F.col("lang_h")) & (F.col("h") == F.col("head")), "left")
-    rows = rows.join(tail, (F.col("lang") == F.col("lang_t")) & (F.col("t") == F.col("tail")), "left")
-    rows = rows.withColumn("start", F.when(word, F.lit(0)).otherwise(F.greatest("reach_h", "reach_t") + 1))
-    both = F.col("reach_h").isNotNull() & F.col("reach_t").isNotNull() & (F.col("start") + shards > stop)
-    return rows.filter(word | both).select("lang", "phrase", "n", "c", "start")
+    """``df`` (written) marked for a broadcast if it is small; the same rows either way."""
+    return F.broadcast(df) if _are_few(df) else df
+
+
+def _added(state: DataFrame, counted: DataFrame, reached: DataFrame | None, stop: int, shards: int) -> DataFrame:
+    """``state`` with what was rightly counted at this stop. Numbers are summed first; a phrase of the state takes
+    the sum until it has seen all shards, and only the others are joined with ``reached`` (null: only words
+    were counted): they are new words, or phrases whose exact first stop, the one after both subphrases reached the
+    threshold, is less than a cycle ago."""
+    every = state.withColumn("more", F.lit(0).cast("long")).unionByName(counted.select(
+        "lang", "phrase", "n", F.lit(0).cast("long").alias("c"), F.col("c").alias("more"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("reach")))
+    rows = every.groupBy("lang", "phrase", "n").agg(*[F.sum(x).alias(x) for x in ("c", "more")], *[F.min(x).alias(x) for x in ("start", "reach")])
+    start = F.when(F.col("n") == 1, F.lit(0))
+    if reached is not None:
+        broadcast = _are_few(reached)
+        known = F.broadcast(reached) if broadcast else reached
+        # rows that need no look-up: a broadcast join skips null keys, a shuffle would bring them to one task
+        looked, own = F.col("start").isNull() & (F.col("n") > 1), F.lit(None).cast("string") if broadcast else F.col("phrase")
+        rows = rows.withColumn("h", F.when(looked, _head()).otherwise(own)).withColumn("t", F.when(looked, _tail()).otherwise(own))
+        for key, name in (("h", "reach_h"), ("t", "reach_t")):
+            part = known.select(F.col("lang").alias("lang_p"), F.col("phrase").alias("part"), F.col("reach").alias(name))
+            rows = rows.join(part, (F.col("lang") == F.col("lang_p")) & (F.col(key) == F.col("part")), "left").drop("lang_p", "part")
+        both = F.col("reach_h").isNotNull() & F.col("reach_t").isNotNull()
+        start = start.when(both, F.greatest("reach_h", "reach_t") + 1)
+    first = F.coalesce("start", start)
+    c = F.when(first + shards > stop, F.col("c") + F.col("more")).otherwise(F.col("c"))
+    new = F.col("start").isNull()
+    return rows.select("lang", "phrase", "n", c.alias("c"), first.alias("start"), "reach", new.alias("new")).filter(
+        F.col("start").isNotNull() & (~F.col("new") | (F.col("start") + shards > stop))).drop("new")
 
 
 def phrase_counts(blocks: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, shards: int = SHARDS,
@@ -266,14 +311,12 @@ def phrase_counts(blocks: DataFrame, threshold: int = THRESHOLD, longest: int =
     spark = blocks.sparkSession
     schema = "lang string, phrase string, n int, c long, start int, reach int"
     state, table, stop, last = spark.createDataFrame([], schema), None, 0, shards - 1
-    reached, before = state, []
+    reached, before, deepest = None, [], 1
     while stop <= last:
         with scratch() as made:
             shared = spark.sparkContext.broadcast(table)
-            counted = _scan(blocks, shared, stop, shards, longest)
-            new = counted.withColumn("start", F.lit(0)) if table is None else _active(counted, reached, stop, shards)
-            every = state.unionByName(new.withColumn("reach", F.lit(None).cast("int")))
-            sums = every.groupBy("lang", "phrase", "n").agg(F.sum("c").alias("c"), F.min("start").alias("start"), F.min("reach").alias("reach"))
+            counted = _scan(blocks, shared, stop, shards, deepest)
+            sums = _added(state, counted, None if table is None else reached, stop, shards)
             sums = sums.withColumn("reach", F.coalesce("reach", F.when(F.col("c") >= threshold, F.lit(stop))))
             # a phrase that has seen all shards below the threshold is dropped
             state = stage(sums.filter(F.col("reach").isNotNull() | (F.col("start") + shards - 1 > stop)), f"phrase-state-{stop}")
@@ -281,7 +324,9 @@ def phrase_counts(blocks: DataFrame, threshold: int = THRESHOLD, longest: int =
         shared.destroy()  # its copies on the executors too; what it served to count is written
         remove(spark, before)  # the state of the stop before
         before = made
-        latest = reached.filter(F.col("n") < longest).agg(F.max("reach")).first()[0]
+        # at the next stop a phrase can only be active if a subphrase reached the threshold in the cycle before
+        recent = F.when(F.col("reach") > stop - shards, F.col("n") + 1)
+        latest, deepest = reached.filter(F.col("n") < longest).agg(F.max("reach"), F.coalesce(F.max(recent), F.lit(1))).first()
         if latest is not None:
             last = max(last, latest + shards)
             if latest == stop or table is None:

@@ -115,3 +115,32 @@ def test_scores_are_exact_beyond_64_bits(spark):
     totals = spark.createDataFrame([("en", 9 * 10**15)], "lang string, n long")
     row = ph.scored(counts, totals).first()
     assert row["score"] == 1000 * (big - 7) * 9 * 10**15 // (big * (big - 1))
+
+
+def test_scans_go_no_deeper_than_may_be_active(spark, monkeypatch):
+    """The first scan counts words only, the next pairs; and the joins look up summed phrases, not counts of blocks."""
+    depths, plans, scan, added = [], [], ph._scan, ph._added
+    monkeypatch.setattr(ph, "_scan", lambda *a: depths.append(a[4]) or scan(*a))
+
+    def kept(*a):
+        plans.append((out := added(*a))._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(ph, "_added", kept)
+    rows = corpus(5, 20)
+    blocks = ph._blocks(frame(spark, rows), 2, "lang", "text", 200)
+    f, _ = brute_counts(rows, 3)
+    want = sorted((lang, " ".join(p), len(p), c) for lang, counts in f.items() for p, c in counts.items() if c >= 9)
+    assert sorted(tuple(r) for r in ph.phrase_counts(blocks, 9, 3, 2, table_bits=8).collect()) == want
+    assert depths[:2] == [1, 2] and max(depths) == 3
+    assert all(p.index("Join") < p.index("Aggregate") < p.index("MapInArrow") for p in plans[1:])
+
+
+def test_word_hashes_are_of_the_words_alone():
+    words = ["a", "b", "ab", "ba", "日本", "x" * 64, "x" * 65, "x" * 66, "f\x00", "f"]
+    h = ph._word_hashes(pa.array(words))
+    assert len(set(h.tolist())) == len(words)
+    assert ph._word_hashes(pa.array(words)[3:]).tolist() == h[3:].tolist()
+    assert ph._word_hashes(pa.array(words * 3), piece=4).tolist() == h.tolist() * 3
+    assert ph._word_hashes(pa.array(["y" * 99, *words])).tolist()[1:] == h.tolist()
+    assert ph._word_hashes(pa.array([], pa.string())).tolist() == []
