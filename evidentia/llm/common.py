@@ -54,11 +54,12 @@ def remove(spark: SparkSession, made: Iterable[str]) -> None:
         paths.delete(spark, path)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there,
-    each row is committed once, and a lost executor costs only its running tasks."""
+    each row is committed once, and a lost executor costs only its running tasks.
+    ``compression``: of the files, if not the session's."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -10,8 +10,9 @@ the scans end when no reached phrase can make another one active.
 
 A scan finds the occurrences to count from a table of the reached phrases' stops, one byte a slot,
 2 ** ``TABLE_BITS`` slots at every input size, broadcast in compressed pages. Phrases that share a slot can only make a scan
-count too much: each counted phrase's subphrases are then joined with the reached phrases, which
-gives the exact stop from which it is active, and what isn't active goes. Occurrences are
+count too much: the numbers of a stop are summed with the state, the subphrases of each phrase that is new
+there are joined with the reached phrases, which gives the exact stop from which it is active, and what isn't
+active goes. A phrase of the state takes what is counted until its cycle ends. Occurrences are
 counted inside a block by their words (never by a hash alone), so that only distinct phrases leave
 a scan. The state (open and reached phrases) is a written table after each stop; the one before is then removed.
 
@@ -101,7 +102,7 @@ def _blocks(docs: DataFrame, shards: int, lang_col: str, text_col: str, block: i
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     cut_rows = rows.mapInArrow(cut, "shard int, lang string, words string, codes binary, size long")
     path = shared_path(docs.sparkSession, "phrase-blocks")
-    cut_rows.write.partitionBy("shard").parquet(path)
+    cut_rows.write.partitionBy("shard").option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(cut_rows.schema).parquet(path)
 
 
@@ -319,8 +320,8 @@ def phrase_counts(blocks: DataFrame, threshold: int = THRESHOLD, longest: int =
             sums = _added(state, counted, None if table is None else reached, stop, shards)
             sums = sums.withColumn("reach", F.coalesce("reach", F.when(F.col("c") >= threshold, F.lit(stop))))
             # a phrase that has seen all shards below the threshold is dropped
-            state = stage(sums.filter(F.col("reach").isNotNull() | (F.col("start") + shards - 1 > stop)), f"phrase-state-{stop}")
-            reached = stage(state.filter("reach is not null"), f"phrase-reached-{stop}")  # read several times, few beside the open ones
+            state = stage(sums.filter(F.col("reach").isNotNull() | (F.col("start") + shards - 1 > stop)), f"phrase-state-{stop}", "zstd")
+            reached = stage(state.filter("reach is not null"), f"phrase-reached-{stop}", "zstd")  # read several times, few beside the open ones
         shared.destroy()  # its copies on the executors too; what it served to count is written
         remove(spark, before)  # the state of the stop before
         before = made
